@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, kmeans_tree, langid, packing, robust_quality, token_counts, url_rules
+from . import bpe_table, kmeans_tree, langid, packing, robust_quality, substring_dedup, token_counts, url_rules
 from .bpe_table import sha256_hex
 
 WORD_BPE, PIECE_BPE, END_ID = "word_bpe_49k.json", "piece_bpe_32k.model", 2
@@ -39,6 +39,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_table.decode(encoded, path).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeated(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 RULES = [
     url_rules.Rule("block", "com", "/en/"),
     url_rules.Rule("allow", "example.com", "/en/7"),
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_language_id,
             op2_bpe_round_trip,
+            op3_substring_dedup,
             op4_url_rules,
             op6_token_counts,
             op7_nearest_neighbours,
