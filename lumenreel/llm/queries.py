@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, kmeans_tree, langid, packing, robust_quality, substring_dedup, token_counts, url_rules
+from . import bpe_table, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, substring_dedup, token_counts, url_rules
 from .bpe_table import sha256_hex
 
 WORD_BPE, PIECE_BPE, END_ID = "word_bpe_49k.json", "piece_bpe_32k.model", 2
@@ -59,6 +59,11 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, labels).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path(PIECE_BPE)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -82,6 +87,10 @@ def op9_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -90,10 +99,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_bpe_round_trip,
             op3_substring_dedup,
             op4_url_rules,
+            op5_line_dedup,
             op6_token_counts,
             op7_nearest_neighbours,
             op8_packing,
             op9_robust_quality,
+            op10_near_duplicates,
         )
     }
 
