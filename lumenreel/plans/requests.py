@@ -1,0 +1,23 @@
+"""Request-log queries: rates, quotas, alerts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..catalog import register
+from ..session import table
+
+
+@register(
+    "request_spikes",
+    """
+    SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n_requests,
+           CASE WHEN count(*) >= 10 THEN 'critical' ELSE 'ok' END AS severity
+    FROM events GROUP BY 1, 2
+    """,
+)
+def request_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    n = e.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("n_requests"))
+    return n.withColumn("severity", F.when(F.col("n_requests") >= 10, "critical").otherwise("ok"))
