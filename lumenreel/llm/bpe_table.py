@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .fast_bpe import WordEncoder
+
 HOT_BYTES = 16 << 20
 #: A task hands on its word counts at this many distinct words.
 FLUSH_WORDS = 500_000
@@ -46,32 +48,6 @@ def load(path: str) -> Tokenizer:
     return t
 
 
-def encode_words(tok: Tokenizer, some: list[str]) -> list[list[int]]:
-    return [e.ids for e in tok.encode_batch_fast(some, add_special_tokens=False)]
-
-
-class Encoder(dict):
-    """word -> ids as bytes; ``hot`` words are given, others are encoded as they come up. It
-    forgets those at ``limit`` words."""
-
-    def __init__(self, path: str, hot: dict[str, bytes] | None = None, limit: int = 200_000):
-        super().__init__()
-        self.tok, self.hot, self.limit = load(path), hot or {}, limit
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.hot.get(word)
-        if ids is None:
-            ids = np.array(encode_words(self.tok, [word])[0], dtype="<u4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        if len(word) <= 100:
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join([self[w] for w in words(text)]), dtype="<u4")
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[str] = Counter()
 
@@ -88,7 +64,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 19) -> dict[str, bytes]:
+def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 30_000, hot_words: int = 1 << 20) -> dict[str, bytes]:
     """Ids of the commonest words of about ``sample_docs`` texts, chosen by a hash of the text; at
     most ``hot_words`` words and HOT_BYTES. A choice of what to broadcast, not of what to count."""
     share = min(1.0, sample_docs / max(1, docs.count()))
@@ -97,9 +73,9 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     top = counts.where((F.col("n") > 1) & (F.length("word") <= 64)).orderBy(F.desc("n"), "word").limit(hot_words)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path)
+        enc = WordEncoder(path)
         for batch in batches:
-            ids = [np.array(x, dtype="<u4").tobytes() for x in encode_words(tok, batch["word"].to_pylist())]
+            ids = enc.encode_all([[w] for w in batch["word"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
     got = top.repartition("word").mapInArrow(encoded, "word string, n long, ids binary").toPandas().sort_values(["n", "word"], ascending=[False, True])
@@ -112,7 +88,7 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     return hot
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 19) -> DataFrame:
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 30_000, hot_words: int = 1 << 20) -> DataFrame:
     """One row per document: ``doc_id`` and ``ids`` (binary: little-endian unsigned 32-bit ids).
 
     Null and empty texts get no ids; repeated rows each get their row; ties of word counts go by
@@ -136,17 +112,10 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.string())], names=["key", "word"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by the word: each distinct word is encoded where it is first met."""
-        tok, last, ids = load(path), None, b""
+        """Rows sorted by the word: each distinct word is encoded once, but for one at a batch's edge."""
+        enc = WordEncoder(path, limit=0)
         for batch in batches:
-            ws = batch["word"].to_pylist()
-            fresh = [w for w, before in zip(ws, [last, *ws], strict=False) if w != before]
-            new = iter(encode_words(tok, fresh))
-            out = []
-            for w in ws:
-                if w != last:
-                    last, ids = w, np.array(next(new), dtype="<u4").tobytes()
-                out.append(ids)
+            out = enc.encode_all([[w] for w in batch["word"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["key"], batch["word"], pa.array(out, pa.binary())], names=["key", "word", "ids"])
 
     asked = keyed.mapInArrow(others, "key long, word string")

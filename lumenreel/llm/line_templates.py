@@ -1,8 +1,8 @@
 """Line dedup with a log-template tree.
 
 Every line is parsed at a fixed depth: by its number of tokens, then its leading tokens, with
-fields that are variable in themselves (numbers, addresses, long hexadecimal strings) generalised
-to a wildcard. A leaf of the tree has three templates for a line: all its tokens; and, from
+fields that are variable in themselves (numbers, addresses, assignments) generalised to a
+wildcard. A leaf of the tree has three templates for a line: all its tokens; and, from
 ``general_tokens`` tokens on, the leading tokens with those at even or at odd places, the others
 being wildcards, so that lines that differ in one more field share at least one of them.
 
@@ -14,46 +14,75 @@ that was copied a thousand times don't count as recurring. Recurring lines are d
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored
+from .wordhash import MIX, U, encoded, mixed, word_hashes
 
 LEAD = 2
+#: Bytes of text that are parsed at once.
+PART = 1 << 18
 #: Up to so many recurring templates (8 bytes each) are broadcast; more are joined.
 BROADCAST_TEMPLATES = 1 << 20
-_VARIABLE = re.compile(r"\S*(?:\d|://|@)\S*|\b[0-9a-fA-F]{12,}\b")
-_EVEN, _ODD = b"\x01e", b"\x01o"
-
-
-def templates(line: str, min_tokens: int, general_tokens: int) -> list[int]:
-    """Hashes of the line's templates; none for lines of fewer than ``min_tokens`` tokens."""
-    tokens = line.split()
-    n = len(tokens)
-    if n < min_tokens:
-        return []
-    if _VARIABLE.search(line):
-        tokens = [_VARIABLE.sub("\x00", t) for t in tokens]
-    whole = "\x02".join(tokens).encode("utf-8", "surrogatepass")
-    size = str(n).encode()
-    out = [xxhash.xxh3_64_intdigest(size + b"\x01f" + whole)]
-    if n >= general_tokens:
-        lead = tokens[:LEAD]
-        for kind, rest in ((_EVEN, tokens[LEAD::2]), (_ODD, tokens[LEAD + 1 :: 2])):
-            out.append(xxhash.xxh3_64_intdigest(size + kind + "\x02".join(lead + rest).encode("utf-8", "surrogatepass")))
-    return out
-
-
-def _parsed(text: str | None, min_tokens: int, general_tokens: int) -> tuple[list[str], list[list[int]]]:
-    lines = text.split("\n") if text else []
-    return lines, [templates(x, min_tokens, general_tokens) for x in lines]
+#: Bytes that make a token a variable field: digits, and signs of addresses and assignments.
+_FIELD = np.isin(np.arange(256), [*b"0123456789@=\\"])
+
+
+def parse(texts: list[bytes], min_tokens: int, general_tokens: int) -> tuple[np.ndarray, ...]:
+    """Of some texts: where each one's lines start and end among all (one more than there are
+    texts), and for each line its number of tokens, the hash of its whole template, and its two
+    general ones (rows; 0 where the line has none)."""
+    whole_text = b"\n".join(texts)
+    a = np.frombuffer(whole_text, np.uint8)
+    broken = np.cumsum(a == 10, dtype=np.int32)
+    lines = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
+    bounds = np.concatenate(([0], np.cumsum(lines)))
+    total = int(bounds[-1])
+    starts, ends, h = word_hashes(whole_text)
+    if not len(h):
+        return bounds, np.zeros(total, np.int64), np.zeros(total, U), np.zeros((2, total), U)
+    vary = np.cumsum(_FIELD[a], dtype=np.int32)
+    h[vary[ends - 1] != vary[starts] - _FIELD[a[starts]]] = 0
+    line = broken[starts]
+    n = np.bincount(line, minlength=total)
+    first = np.cumsum(n) - n
+    place = np.arange(len(h)) - first[line]
+    value = (h + (place + 1).astype(U) * MIX) * U(0xBF58476D1CE4E5B9)
+    value ^= value >> U(31)
+    value *= U(0x94D049BB133111EB)
+    some = n > 0
+    at, size = first[some], n[some].astype(U) * MIX
+
+    def by_line(v: np.ndarray, salt: int) -> np.ndarray:
+        out = np.zeros(total, U)
+        out[some] = mixed(np.add.reduceat(v, at) + size + U(salt))
+        return out
+
+    even = np.where((place < LEAD) | (place & 1 == 0), value, U(0))
+    odd = np.where((place < LEAD) | (place & 1 == 1), value, U(0))
+    general = np.stack([by_line(even, 1), by_line(odd, 2)])
+    general[:, n < general_tokens] = 0
+    return bounds, n, by_line(value, 0), general
+
+
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """A batch in parts of about PART bytes, so that few are held at once."""
+    size = lo = 0
+    some: list[bytes] = []
+    for i, t in enumerate(batch[text]):
+        some.append(encoded(t.as_py()))
+        size += len(some[-1])
+        if size >= PART:
+            yield batch.slice(lo, i + 1 - lo), some
+            lo, size, some = i + 1, 0, []
+    if some:
+        yield batch.slice(lo), some
 
 
 def recurring(docs: DataFrame, min_docs: int = 10, min_share: float = 0.1, min_tokens: int = 4, general_tokens: int = 12) -> DataFrame:
@@ -61,18 +90,27 @@ def recurring(docs: DataFrame, min_docs: int = 10, min_share: float = 0.1, min_t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ts, cs = [], []
-            for t in batch["text"]:
-                lines, found = _parsed(t.as_py(), min_tokens, general_tokens)
-                plain = sorted({f[0] for f in found if f} | {xxhash.xxh3_64_intdigest(x.strip().encode("utf-8", "surrogatepass")) for x, f in zip(lines, found, strict=True) if not f and x.strip()})
-                seen = set()
-                for f in found:
-                    for k in f:
-                        if k not in seen:
-                            seen.add(k)
-                            ts.append(k)
-                            cs.append(next((p for p in plain[:2] if p != f[0]), 0))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(ts, np.uint64).view(np.int64)), pa.array(np.array(cs, np.uint64).view(np.int64))], names=["template", "content"])
+            for _, some in _parts(batch, "text"):
+                bounds, n, whole, general = parse(some, min_tokens, general_tokens)
+                doc = np.repeat(np.arange(len(some)), np.diff(bounds))
+                used = np.flatnonzero(n > 0)
+                order = used[np.lexsort((whole[used], doc[used]))]
+                d, h = doc[order], whole[order]
+                fresh = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])))[: len(d)])
+                d, h = d[fresh], h[fresh]
+                head = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))[: len(d)])
+                least, second = np.zeros(len(some), U), np.zeros(len(some), U)
+                least[d[head]] = h[head]
+                more = head[(head + 1 < len(d)) & (d[np.minimum(head + 1, max(0, len(d) - 1))] == d[head])]
+                second[d[more]] = h[more + 1]
+                use = np.flatnonzero(n >= min_tokens)
+                content = np.where(whole[use] == least[doc[use]], second[doc[use]], least[doc[use]])
+                t, c, d = np.concatenate([whole[use], *general[:, use]]), np.tile(content, 3), np.tile(doc[use], 3)
+                t, c, d = t[t != 0], c[t != 0], d[t != 0]
+                order = np.lexsort((t, d))
+                t, c, d = t[order], c[order], d[order]
+                keep = np.concatenate(([True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])))[: len(t)]
+                yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(c[keep].view(np.int64))], names=["template", "content"])
 
     pairs = docs.select("text").mapInArrow(run, "template long, content long").groupBy("template", "content").agg(F.count(F.lit(1)).alias("n"))
     sums = pairs.groupBy("template").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_contents"))
@@ -91,37 +129,42 @@ def drop_recurring(
     found = stored(recurring(docs.select(F.col(text).alias("text")), min_docs, min_share, min_tokens, general_tokens), "templates")
     shape = T.StructType([*docs.schema.fields, T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     if found.count() <= broadcast_templates:
-        gone = spark.sparkContext.broadcast(frozenset(r["template"] % (1 << 64) for r in found.select("template").collect()))
-        return docs.mapInArrow(lambda batches: _cleaned(batches, text, lambda _: gone.value, min_tokens, general_tokens), shape)
+        gone = spark.sparkContext.broadcast(np.sort(found.select("template").toArrow()["template"].to_numpy().view(U)))
+        return docs.mapInArrow(lambda batches: _cleaned(batches, text, gone.value, min_tokens, general_tokens), shape)
 
     def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ts = [], []
-            for key, t in zip(batch["_key"].to_pylist(), batch[text], strict=True):
-                mine = {k for f in _parsed(t.as_py(), min_tokens, general_tokens)[1] for k in f}
-                keys += [key] * len(mine)
-                ts += mine
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.array(ts, np.uint64).view(np.int64))], names=["_key", "template"])
+            for part, some in _parts(batch, text):
+                bounds, _, whole, general = parse(some, min_tokens, general_tokens)
+                doc = np.tile(np.repeat(np.arange(len(some)), np.diff(bounds)), 3)
+                keys = part["_key"].to_numpy(zero_copy_only=False)[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate([whole, *general]).view(np.int64))], names=["_key", "template"])
 
     keyed = docs.withColumn("_key", F.xxhash64(text))
     hits = keyed.select("_key", text).mapInArrow(where, "_key long, template long").distinct().join(found.select("template"), "template")
     gone = hits.groupBy("_key").agg(F.collect_list("template").alias("_gone"))
     joined = keyed.join(gone, "_key", "left").drop("_key")
-    return joined.mapInArrow(lambda batches: _cleaned(batches, text, lambda row: {x % (1 << 64) for x in row or ()}, min_tokens, general_tokens), shape)
+    return joined.mapInArrow(lambda batches: _cleaned(batches, text, None, min_tokens, general_tokens), shape)
 
 
-def _cleaned(batches, text, gone_of, min_tokens, general_tokens) -> Iterator[pa.RecordBatch]:
+def _cleaned(batches, text, gone, min_tokens, general_tokens) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
-            joined = "_gone" in part.schema.names
+        for part, some in _parts(batch, text):
             rest = [c for c in part.schema.names if c != "_gone"]
-            kept, total, removed = [], [], []
-            for i, t in enumerate(part[text]):
-                gone = gone_of(part["_gone"][i].as_py() if joined else None)
-                lines, found = _parsed(t.as_py(), min_tokens, general_tokens)
-                stay = [x for x, f in zip(lines, found, strict=True) if not any(k in gone for k in f)]
-                kept.append(None if t.as_py() is None else "\n".join(stay))
-                total.append(len(lines))
-                removed.append(len(lines) - len(stay))
+            bounds, n, whole, general = parse(some, min_tokens, general_tokens)
+            all_ = np.stack([whole, *general])
+            if gone is not None:
+                out = np.isin(all_, gone).any(0)
+            else:
+                out = np.zeros(len(n), bool)
+                for i, g in enumerate(part["_gone"]):
+                    if g.is_valid:
+                        mine = slice(bounds[i], bounds[i + 1])
+                        out[mine] = np.isin(all_[:, mine], np.array(g.as_py(), np.int64).view(U)).any(0)
+            out &= n >= min_tokens
+            removed = np.add.reduceat(out.astype(np.int64), bounds[:-1]) if len(some) else np.zeros(0, np.int64)
+            kept = [t.as_py() for t in part[text]]
+            for i in np.flatnonzero(removed).tolist():
+                kept[i] = "\n".join([x for x, z in zip(kept[i].split("\n"), out[bounds[i] : bounds[i + 1]].tolist(), strict=True) if not z])
+            total = np.where(np.fromiter(map(len, some), np.int64, len(some)) > 0, np.diff(bounds), 0)
             yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())], names=[*rest, "kept", "n_lines", "n_removed"])

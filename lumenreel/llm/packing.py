@@ -25,8 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_table import Encoder, hot_table
+from .bpe_table import hot_table, words
 from .common import stored
+from .fast_bpe import WordEncoder
 
 WINDOW = 4096
 
@@ -175,11 +176,11 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path, shared.value)
+        enc = WordEncoder(path, shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                ids = [enc.encode(t.as_py()).tobytes() + end for t in part["text"]]
+            for lo in range(0, batch.num_rows, 2048):
+                part = batch.slice(lo, 2048)
+                ids = [b + end for b in enc.encode_all([words(t.as_py()) for t in part["text"]])]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")

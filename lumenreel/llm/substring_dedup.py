@@ -30,30 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions
+from .wordhash import encoded, runs, word_hashes
 
 N, M = 35, 6
 #: Share of sampled documents from which on a minimiser is hot.
 HOT = 0.002
 #: Characters of text after which a task sends its blocks on.
 FLUSH = 24 << 20
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """word -> 63-bit hash; it starts over when it gets large."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1
-        if len(self) > 300_000:
-            self.clear()
-        if len(word) <= 100:
-            self[word] = h
-        return h
-
-
-def words(text: str | None) -> list[bytes]:
-    """Runs of other characters than the six ASCII spaces, as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").split()
+def plain(text: str | None) -> bytes:
+    """The words (runs of other characters than the six ASCII spaces) joined by one space."""
+    return b" ".join(encoded(text).split())
 
 
 def _least(g: np.ndarray, w: int) -> np.ndarray:
@@ -68,19 +56,18 @@ def _least(g: np.ndarray, w: int) -> np.ndarray:
     return best
 
 
-def super_kmers(ws: list[bytes], hashes: _Hashes, n: int = N, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, hash of the minimiser) of each super-k-mer."""
+def super_kmers(text: bytes, n: int = N, m: int = M) -> tuple[np.ndarray, ...]:
+    """(first window, number of windows, hash of the minimiser, start, end) of each super-k-mer;
+    start and end are its bytes in the text."""
+    starts, ends, h = word_hashes(text)
     none = np.zeros(0, np.int64)
-    if len(ws) < n:
-        return none, none, np.zeros(0, np.uint64)
-    h = np.fromiter([hashes[w] for w in ws], np.uint64, len(ws))
-    g = np.zeros(len(h) - m + 1, np.uint64)
-    for k in range(m):
-        g = (g ^ h[k : len(h) - m + 1 + k]) * MIX
-        g ^= g >> np.uint64(29)
+    if len(h) < n:
+        return none, none, np.zeros(0, np.uint64), none, none
+    g = runs(h, m)
     pos = _least(g, n - m + 1)
     first = np.flatnonzero(np.r_[True, pos[1:] != pos[:-1]])
-    return first, np.diff(np.r_[first, len(pos)]), g[pos[first]]
+    length = np.diff(np.r_[first, len(pos)])
+    return first, length, g[pos[first]], starts[first], ends[first + length + n - 2]
 
 
 def _digest(b: bytes) -> bytes:
@@ -95,11 +82,10 @@ def _hot(docs: DataFrame, n: int, m: int, sample_docs: int) -> np.ndarray:
     picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, docs = _Hashes(), defaultdict(int), 0
+        seen = defaultdict(int)
         for b in batches:
             for t in b["text"]:
-                docs += 1
-                for x in set(super_kmers(words(t.as_py()), hashes, n, m)[2].tolist()):
+                for x in set(super_kmers(plain(t.as_py()), n, m)[2].tolist()):
                     seen[x] += 1
         yield pa.RecordBatch.from_pydict({"h": pa.array([x - (1 << 63) for x in seen], pa.int64()), "c": pa.array(list(seen.values()), pa.int64())})
 
@@ -193,7 +179,6 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
         return h[np.minimum(np.searchsorted(h, mh), len(h) - 1)] == mh
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         items: dict[int, dict] = defaultdict(dict)
         singles: dict[int, dict] = defaultdict(dict)
         size = 0
@@ -206,18 +191,21 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
 
         for batch in batches:
             for t in batch["text"]:
-                ws = words(t.as_py())
-                first, length, mh = super_kmers(ws, hashes, n, m)
-                for a, w, h, single in zip(first.tolist(), length.tolist(), mh.tolist(), is_hot(mh).tolist(), strict=True):
+                text = plain(t.as_py())
+                first, length, mh, start, end = super_kmers(text, n, m)
+                hot_here, ws = is_hot(mh), ()
+                if hot_here.any():
+                    ws = text.split()
+                for a, w, h, s, e, single in zip(*(z.tolist() for z in (first, length, mh, start, end, hot_here)), strict=True):
                     if single:
                         for i in range(a, a + w):
                             d = _digest(b" ".join(ws[i : i + n]))
                             mine = singles[int.from_bytes(d[:8], "little") % count]
                             mine[d] = mine.get(d, 0) + 1
                     else:
-                        mine, k = items[(h >> 20) % count], (h, b" ".join(ws[a : a + w + n - 1]))
+                        mine, k = items[(h >> 20) % count], (h, text[s:e])
                         mine[k] = mine.get(k, 0) + 1
-                size += sum(map(len, ws)) + len(ws)
+                size += len(text)
                 if size >= FLUSH:
                     yield from flush()
                     size = 0
@@ -231,19 +219,21 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Where each string and single window of a document stands."""
-        hashes = _Hashes()
         for batch in batches:
             keys, ds, at = [], [], []
             for key, t in zip(batch["key"].to_pylist(), batch["text"], strict=True):
-                ws = words(t.as_py())
-                first, length, mh = super_kmers(ws, hashes, n, m)
-                for a, w, single in zip(first.tolist(), length.tolist(), is_hot(mh).tolist(), strict=True):
+                text = plain(t.as_py())
+                first, length, mh, start, end = super_kmers(text, n, m)
+                hot_here, ws = is_hot(mh), ()
+                if hot_here.any():
+                    ws = text.split()
+                for a, w, s, e, single in zip(*(z.tolist() for z in (first, length, start, end, hot_here)), strict=True):
                     if single:
                         ds += [_digest(b" ".join(ws[i : i + n])) for i in range(a, a + w)]
                         at += range(a, a + w)
                         keys += [key] * w
                     else:
-                        ds.append(_digest(b" ".join(ws[a : a + w + n - 1])))
+                        ds.append(_digest(text[s:e]))
                         at.append(a)
                         keys.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ds, pa.binary()), pa.array(at, pa.int32())], names=["key", "digest", "at"])
@@ -272,7 +262,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 part = batch.slice(lo, 256)
                 total, gone, kept = [], [], []
                 for t, found in zip(part[text], part["_found"], strict=True):
-                    ws = words(t.as_py())
+                    ws = encoded(t.as_py()).split()
                     edge = np.zeros(len(ws) + n, np.int64)
                     for f in found.as_py() or ():
                         for a, b in np.frombuffer(f["spans"], "<u4").reshape(-1, 2).tolist():
