@@ -64,7 +64,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 30_000, hot_words: int = 1 << 20) -> dict[str, bytes]:
+def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 18) -> dict[str, bytes]:
     """Ids of the commonest words of about ``sample_docs`` texts, chosen by a hash of the text; at
     most ``hot_words`` words and HOT_BYTES. A choice of what to broadcast, not of what to count."""
     share = min(1.0, sample_docs / max(1, docs.count()))
@@ -78,17 +78,17 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
             ids = enc.encode_all([[w] for w in batch["word"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    got = top.repartition("word").mapInArrow(encoded, "word string, n long, ids binary").toPandas().sort_values(["n", "word"], ascending=[False, True])
+    got = top.repartition("word").mapInArrow(encoded, "word string, n long, ids binary").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     hot, size = {}, 0
-    for word, ids in zip(got["word"], got["ids"], strict=True):
+    for word, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True):
         size += len(word.encode()) + len(ids)
         if size > HOT_BYTES:
             break
-        hot[word] = bytes(ids)
+        hot[word] = ids
     return hot
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 30_000, hot_words: int = 1 << 20) -> DataFrame:
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 18) -> DataFrame:
     """One row per document: ``doc_id`` and ``ids`` (binary: little-endian unsigned 32-bit ids).
 
     Null and empty texts get no ids; repeated rows each get their row; ties of word counts go by
