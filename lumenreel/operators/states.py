@@ -1,0 +1,53 @@
+"""Order-dependent state machines over samples of a clip, one clip to a call."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def hysteresis(samples: DataFrame, accept: float = 0.72, drop: float = 0.55, hold: int = 6, min_run: int = 8, scene: float = 25.0) -> DataFrame:
+    """samples (clip_id, n, score, scene_diff) with ``state`` and ``on``.
+
+    A score of ``accept`` or more is a hit. Once on, a score of ``drop`` or more is weak but still
+    on; below, the state is held for up to ``hold`` samples. A scene change above ``scene`` turns it
+    off at once. Runs with fewer than ``min_run`` hits are turned off again."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n").reset_index(drop=True)
+        states, on, held = [], False, 0
+        for score, diff in zip(pdf["score"].fillna(0), pdf["scene_diff"].fillna(0), strict=True):
+            if diff > scene:
+                on = False
+            if score >= accept:
+                on, held, state = True, 0, "hit"
+            elif on and score >= drop:
+                held, state = 0, "weak"
+            elif on and held < hold:
+                held, state = held + 1, "hold"
+            else:
+                state = "off" if on else "miss"
+                on = False
+            states.append(state)
+        live = np.isin(states, ["hit", "weak", "hold"])
+        run_no = np.cumsum(np.r_[True, live[1:] != live[:-1]]) if len(live) else np.zeros(0, int)
+        hits = pd.Series(np.array(states) == "hit").groupby(run_no).transform("sum") if len(live) else []
+        return pdf.assign(state=states, on=live & (np.asarray(hits) >= min_run))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in samples.schema.fields)
+    return samples.groupBy("clip_id").applyInPandas(run, f"{kinds}, state string, on boolean")
+
+
+def smooth(samples: DataFrame, value: str = "x", window: int = 5, alpha: float = 0.35) -> DataFrame:
+    """samples (clip_id, n, value) with ``median`` (rolling, edges padded) and ``ema`` of it."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n").reset_index(drop=True)
+        v = pdf[value].to_numpy(float)
+        if window >= 3 and len(v) >= window:
+            v = np.median(np.lib.stride_tricks.sliding_window_view(np.pad(v, window // 2, "edge"), window), axis=1)
+        return pdf.assign(median=v, ema=pd.Series(v).ewm(alpha=alpha, adjust=False).mean())
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in samples.schema.fields)
+    return samples.groupBy("clip_id").applyInPandas(run, f"{kinds}, median double, ema double")
