@@ -140,7 +140,7 @@ def build(langs: list[str], lang_ix: np.ndarray, grams: np.ndarray, n: np.ndarra
         row = context[ctx[i]].astype(np.int64)
         three = np.bincount(row * a + last3[3], weights=w[i], minlength=(len(kept) + 1) * a).reshape(-1, a)
         top[1:, :, k] = refined(three[1:], low[kept % (a * a), :, k])
-    return PpmModel(langs, symbol, context, top.reshape(-1, m), low.reshape(-1, m))
+    return PpmModel(langs, symbol, context, top.reshape(len(top) * a, m), low.reshape(len(low) * a, m))
 
 
 def fit(labelled: DataFrame, docs_per_language: int = 1500, max_languages: int = 200, max_contexts: int = 20_000) -> PpmModel:

@@ -44,7 +44,9 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     d = d.withColumn("_h", F.expr(f"CASE WHEN size(_w) >= {WINDOW} THEN {hashes} ELSE cast(array() as array<bigint>) END"))
     d = d.withColumn("_again", F.expr("size(_h) > size(array_distinct(_h))"))
     # windows by hash and position; one that equals a neighbour, word for word, is repeated
-    same = "(s[i].h = s[{0}].h AND slice(_w, s[i].p + 1, 5) = slice(_w, s[{0}].p + 1, 5))"
+    # (slice() would copy the whole array for each pair)
+    alike = " AND ".join(f"_w[s[i].p + {k}] = _w[s[{{0}}].p + {k}]" for k in range(WINDOW))
+    same = f"(s[i].h = s[{{0}}].h AND {alike})"
     found = f"""
         CASE WHEN _again THEN
           flatten(transform(array(sort_array(transform(_h, (h, p) -> named_struct('h', h, 'p', p)))), s ->
