@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +50,13 @@ def doc_key(doc_id: Column, text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``size`` bytes in ``column``; a longer row is alone or last."""
+    n = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero(np.diff(np.cumsum(n, dtype=np.int64) // size)) + 1
+    at = [0, *edges.tolist(), batch.num_rows]
+    for lo, hi in zip(at, at[1:], strict=False):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)

@@ -26,10 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_table import hot_table, words
-from .common import stored
+from .common import slices, stored
 from .fast_bpe import WordEncoder
 
 WINDOW = 4096
+#: Words with ids that a task holds: broadcast, and remembered beside those.
+HOT_WORDS, OTHER_WORDS = 1 << 17, 100_000
+#: Bytes of text that are split into words at once.
+SPLIT_BYTES = 1 << 20
 
 
 def combinations(window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,14 +176,13 @@ def plan(hist: np.ndarray, window: int) -> Plan:
 def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ids (binary, little-endian unsigned 32-bit) with the end id."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(hot_table(docs, path))
+    shared = docs.sparkSession.sparkContext.broadcast(hot_table(docs, path, hot_words=HOT_WORDS))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(path, shared.value)
+        enc = WordEncoder(path, shared.value, OTHER_WORDS)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
+            for part in slices(batch, "text", SPLIT_BYTES):
                 ids = [b + end for b in enc.encode_all([words(t.as_py()) for t in part["text"]])]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
