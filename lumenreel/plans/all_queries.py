@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import media, reports, requests  # noqa: F401
+from . import media, reports, requests, timeline  # noqa: F401
