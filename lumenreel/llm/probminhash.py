@@ -7,32 +7,35 @@ than every register's. Two texts agree in a register with the probability Jaccar
 their weights. Bands of registers give candidates, and each candidate pair that is used is verified
 on the sets of shingles.
 
-Equal texts are one node from the start. In a band's bucket the nodes aren't paired with each
-other but with a pivot; two orders of the bands give two pivots. Nodes that turn out unlike their
-pivot go on to narrower buckets, of two and then of three bands together, each with pivots of its
-own; so a bucket of many unlike texts, that share a passage, say, costs in proportion to its size.
-Nodes that share a pivot share its class. A pivot that many nodes ask for stands at several places,
-so that no task has a whole bucket. Classes are the connected components of the verified pairs.
+Equal texts are one node from the start. In a band's bucket the nodes first meet a pivot; two orders
+of the bands give two pivots. Their connected components are classes for the time being. Where a
+bucket still has nodes of several classes, those outside its largest class meet all its others, in
+blocks: so each pair that shares a band is compared or in one class already. A block is held as an
+inverted index of its shingles, which all that meet it are counted against; its cost is that of the
+shingles in common. A bucket of n texts in many classes (that share a passage, say) costs in
+proportion to n * n, spread over places of about PLACE by PLACE nodes. Classes are the connected
+components of the verified pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 from .wordhash import MIX, encoded, mixed, runs, word_hashes
 
 SHINGLE, BANDS, ROWS = 5, 20, 5
-#: Nodes that meet a pivot at one place.
+#: Nodes that meet a pivot, or a block of as many, at one place.
 PLACE = 500
-#: Bands that a narrower bucket joins to an unresolved one: from those that follow it.
-NEXT = 6
+#: Shingles that are looked up in a block at once.
+LOOKUP = 4096
 _U = np.uint64
 
 
@@ -165,17 +168,98 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _couples(ks: Column) -> Column:
-    """All [a, b] with a < b of an array of different values."""
-    return F.flatten(F.transform(ks, lambda a: F.transform(F.filter(ks, lambda b: b > a), lambda b: F.array(a, b))))
-
-
 def _bucketed(rows: DataFrame) -> DataFrame:
-    """(node, band, k, pivot) of rows (node, band, k, h) that share their bucket h with another node.
-    Even bands take the least node of a bucket for its pivot, odd ones the greatest."""
+    """(node, h, pivot) of rows (node, band, h) that share their bucket h with another node. Even
+    bands take the least node of a bucket for its pivot, odd ones the greatest."""
     ends = rows.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("band").alias("band")).where("low <> high")
     ends = ends.select("h", F.when(F.col("band") % 2 == 0, F.col("low")).otherwise(F.col("high")).alias("pivot"))
-    return rows.join(ends, "h").where("node <> pivot").select("node", "band", "k", "pivot")
+    return rows.join(ends, "h").where("node <> pivot").select("node", "h", "pivot")
+
+
+def _unmet(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root, at) of the nodes in buckets (node, h) of several classes (roots: node, root);
+    ``at`` lists places (h, i, j, holds, meets). The nodes outside a bucket's largest class are
+    dealt to blocks i, all of its nodes to blocks j; at place (i, j) those of i are held and those
+    of j meet them."""
+    of = stored(buckets.join(roots, "node", "left").select("node", "h", F.coalesce("root", "node").alias("root")), "of")
+    sizes = of.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("h").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    blocks = lambda n: F.ceil(n / PLACE).cast("int")
+    sizes = sizes.select("h", F.col("main.root").alias("main"), blocks(F.col("n") - F.col("main.n")).alias("few"), blocks(F.col("n")).alias("all"))
+    dealt = of.join(sizes, "h").withColumn("open", F.col("root") != F.col("main"))
+    dealt = dealt.withColumns({"i": F.pmod(F.xxhash64("node", F.lit("i")), "few").cast("int"), "j": F.pmod(F.xxhash64("node", F.lit("j")), "all").cast("int")})
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda i, j: F.struct("h", i.alias("i"), j.alias("j"), (F.col("open") & (i == F.col("i"))).alias("holds"), (j == F.col("j")).alias("meets"))
+    held = F.when(F.col("open"), F.transform(upto("all"), lambda j: place(F.col("i"), j))).otherwise(F.array())
+    at = F.array_union(held, F.transform(upto("few"), lambda i: place(i, F.col("j"))))
+    return dealt.select("node", "root", at.alias("at")).groupBy("node", "root").agg(F.flatten(F.collect_list("at")).alias("at"))
+
+
+class _Block:
+    """Texts (root, text, shingle hashes) that others are counted against."""
+
+    def __init__(self, held: list[tuple]) -> None:
+        self.held = held
+        self.size = np.array([len(g) for _, _, g in held])
+        h = np.concatenate([g for _, _, g in held])
+        order = np.argsort(h, kind="stable")
+        self.h, self.owner = h[order], np.repeat(np.arange(len(held)), self.size)[order]
+
+    def common(self, g: np.ndarray) -> np.ndarray:
+        """How many of g each text of the block has."""
+        found = np.zeros(len(self.held), np.int64)
+        for k in range(0, len(g), LOOKUP):
+            lo, hi = (np.searchsorted(self.h, g[k : k + LOOKUP], side) for side in ("left", "right"))
+            n = hi - lo
+            found += np.bincount(self.owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(found))
+        return found
+
+
+def _joined(texts: DataFrame, unmet: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): classes with a pair of texts, held and met at a place, that are that similar. Hashes
+    find the pairs, the sets of shingles verify them; two classes are joined once at a place."""
+    met = texts.join(unmet, "node").select("root", "text", F.explode("at").alias("at")).select("at.*", "root", "text")
+    spread = met.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", ~F.col("holds"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for h, i, j, holds, meets, root, text in zip(*(batch[c] for c in ("h", "i", "j", "holds", "meets", "root", "text")), strict=True):
+                yield (h.as_py(), i.as_py(), j.as_py()), holds.as_py(), meets.as_py(), root.as_py(), encoded(text.as_py())
+
+    def edges(block: _Block, root: bytes, text: bytes, g: np.ndarray, up: dict[bytes, bytes]) -> Iterator[tuple[bytes, bytes]]:
+        def top(x: bytes) -> bytes:
+            while x in up:
+                x = up[x]
+            return x
+
+        both, mine = block.common(g), None
+        for k in np.flatnonzero(both >= (threshold - 1e-9) * (len(g) + block.size - both)).tolist():
+            other, their, _ = block.held[k]
+            if top(root) != top(other):
+                mine = mine or _shingle_set(text)
+                if jaccard(mine, _shingle_set(their)) >= threshold:
+                    up[top(root)] = top(other)
+                    yield root, other
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, place in groupby(rows(batches), key=lambda r: r[0]):
+            held, meet, block, out, up = [], [], None, [], {}
+            for _, holds, meets, root, text in place:
+                g = np.unique(shingle_hashes(text))
+                if holds:
+                    held.append((root, text, g))
+                    if meets:
+                        meet.append(held[-1])
+                    continue
+                block = block or _Block(held)
+                out += edges(block, root, text, g, up)
+            block = block or _Block(held)
+            for one in meet:
+                out += edges(block, *one, up)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["a", "b"])
+
+    return spread.mapInArrow(compare, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -191,26 +275,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("rep"))
     nodes = stored(nodes, "nodes")
     reps = nodes.select("node", F.coalesce(F.col("rep").cast("string"), F.lit("-")).alias("rep"))
-    rows = nodes.select("node", F.posexplode("bands").alias("band", "h")).withColumn("k", F.lit(0))
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     buckets = stored(_bucketed(rows), "buckets")
     # null ids are told apart from all others, so that the join needs no null-safe equality
     asked = buckets.select("node").unionByName(buckets.select(F.col("pivot").alias("node"))).distinct().join(reps, "node")
     texts = docs.where(F.col("text").isNotNull()).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("rep"), F.unhex(F.md5("text")).alias("node"), "text")
     texts = stored(texts.join(asked, ["node", "rep"]).select("node", "text"), "texts")
-    done = stored(_verified(texts, buckets.select("pivot", "node").distinct(), threshold), "verified")
-    for level in (2, 3):
-        same = done.where("same").select("pivot", "node", F.lit(True).alias("same"))
-        left = buckets.join(same, ["pivot", "node"], "left").groupBy("node", "band").agg(F.array_sort(F.collect_set("k")).alias("ks"), F.bool_or(F.col("same").isNull()).alias("open")).where("open")
-        # who shares a bucket of three bands shares both buckets of two that it narrows; their pivots have met all that are there
-        more = F.array(*[F.array(F.lit(k)) for k in range(1, NEXT + 1)]) if level == 2 else _couples(F.col("ks"))
-        wide = left.join(nodes.select("node", "bands"), "node").withColumn("with", F.explode(more))
-        others = F.transform("with", lambda k: F.element_at("bands", F.pmod(F.col("band") + k, F.lit(BANDS)) + 1))
-        narrow = wide.select("node", "band", F.element_at("with", 1).alias("k"), F.xxhash64(F.lit(level), "band", F.element_at("bands", F.col("band") + 1), "with", others).alias("h"))
-        buckets = stored(_bucketed(narrow), "buckets")
-        fresh = buckets.select("pivot", "node").distinct().join(done.select("pivot", "node"), ["pivot", "node"], "left_anti")
-        done = stored(done.unionByName(_verified(texts, fresh, threshold)), "verified")
+    done = _verified(texts, buckets.select("pivot", "node").distinct(), threshold)
     roots = components(done.where("same").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    wider = components(_joined(texts, stored(_unmet(buckets, roots), "unmet"), threshold)).select(F.col("node").alias("root"), F.col("root").alias("top"))
     of = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of = of.join(wider, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
     least = of.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
     named = of.join(least, "root").select("node", "class_id", "n_texts")
     found = signed.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "n_texts")
