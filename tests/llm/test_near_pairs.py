@@ -53,3 +53,14 @@ def test_drifted_copies_of_a_large_group(spark, monkeypatch, place):
     twins = [changed(rng, group[k], 7) for k in range(0, 300, 3)]
     rows = [(f"{i:05d}", " ".join(w)) for i, w in enumerate(group + twins)]
     assert classed(spark, rows) == wanted(rows)
+
+
+def test_copies_in_a_family_of_unlike_texts(spark):
+    """Many texts share a passage, mutual similarity about 0.75; all near copies are found."""
+    rng = np.random.default_rng(6)
+    body = [f"p{i}" for i in range(180)]
+    family = [body + [f"u{x}" for x in rng.integers(0, 10**9, 30)] for _ in range(600)]
+    twins = [changed(rng, family[k], 4) for k in range(0, 600, 2)]
+    rows = [(f"{i:05d}", " ".join(w)) for i, w in enumerate(family + twins)]
+    want = wanted(rows)
+    assert 0 < sum(i != c for i, c in want.items()) and classed(spark, rows) == want
