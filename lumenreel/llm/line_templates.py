@@ -6,14 +6,15 @@ wildcard. A leaf of the tree has three templates for a line: all its tokens; and
 ``general_tokens`` tokens on, the leading tokens with those at even or at odd places, the others
 being wildcards, so that lines that differ in one more field share at least one of them.
 
-A template recurs if it is in the documents of ``min_docs`` different contents or more, which also
-make up ``min_share`` of all documents that have it. The content of a document is the least hash of its
-lines (without the line in question), which copies and near copies share; so the lines of a text
-that was copied a thousand times don't count as recurring. Recurring lines are dropped.
+A template recurs if it is in ``min_docs`` different texts or more, whatever their share of its
+documents: a text that was copied a thousand times counts once, so its lines don't recur by that. Near
+copies are different texts. Recurring lines are dropped, however short; only lines of fewer than
+``BARE`` tokens that are all wildcards (a number, say) are not counted, as they share no word.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from .common import stored
 from .wordhash import MIX, U, encoded, mixed, word_hashes
 
 LEAD = 2
+#: Lines of fewer tokens need a literal one.
+BARE = 4
 #: Bytes of text that are parsed at once.
 PART = 1 << 18
 #: Up to so many recurring templates (8 bytes each) are broadcast; more are joined.
@@ -34,9 +37,9 @@ BROADCAST_TEMPLATES = 1 << 20
 _FIELD = np.isin(np.arange(256), [*b"0123456789@=\\"])
 
 
-def parse(texts: list[bytes], min_tokens: int, general_tokens: int) -> tuple[np.ndarray, ...]:
+def parse(texts: list[bytes], general_tokens: int) -> tuple[np.ndarray, ...]:
     """Of some texts: where each one's lines start and end among all (one more than there are
-    texts), and for each line its number of tokens, the hash of its whole template, and its two
+    texts), and for each line whether it is counted, the hash of its whole template, and its two
     general ones (rows; 0 where the line has none)."""
     whole_text = b"\n".join(texts)
     a = np.frombuffer(whole_text, np.uint8)
@@ -46,11 +49,12 @@ def parse(texts: list[bytes], min_tokens: int, general_tokens: int) -> tuple[np.
     total = int(bounds[-1])
     starts, ends, h = word_hashes(whole_text)
     if not len(h):
-        return bounds, np.zeros(total, np.int64), np.zeros(total, U), np.zeros((2, total), U)
+        return bounds, np.zeros(total, bool), np.zeros(total, U), np.zeros((2, total), U)
     vary = np.cumsum(_FIELD[a], dtype=np.int32)
     h[vary[ends - 1] != vary[starts] - _FIELD[a[starts]]] = 0
     line = broken[starts]
     n = np.bincount(line, minlength=total)
+    literal = np.bincount(line[h != 0], minlength=total)
     first = np.cumsum(n) - n
     place = np.arange(len(h)) - first[line]
     value = (h + (place + 1).astype(U) * MIX) * U(0xBF58476D1CE4E5B9)
@@ -68,7 +72,7 @@ def parse(texts: list[bytes], min_tokens: int, general_tokens: int) -> tuple[np.
     odd = np.where((place < LEAD) | (place & 1 == 1), value, U(0))
     general = np.stack([by_line(even, 1), by_line(odd, 2)])
     general[:, n < general_tokens] = 0
-    return bounds, n, by_line(value, 0), general
+    return bounds, (literal > 0) | (n >= BARE), by_line(value, 0), general
 
 
 def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -85,57 +89,47 @@ def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, l
         yield batch.slice(lo), some
 
 
-def recurring(docs: DataFrame, min_docs: int = 10, min_share: float = 0.1, min_tokens: int = 4, general_tokens: int = 12) -> DataFrame:
+def recurring(docs: DataFrame, min_docs: int = 10, general_tokens: int = 12) -> DataFrame:
     """template, n_docs, n_contents of the templates that recur in ``docs`` (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, some in _parts(batch, "text"):
-                bounds, n, whole, general = parse(some, min_tokens, general_tokens)
+                bounds, counted, whole, general = parse(some, general_tokens)
                 doc = np.repeat(np.arange(len(some)), np.diff(bounds))
-                used = np.flatnonzero(n > 0)
-                order = used[np.lexsort((whole[used], doc[used]))]
-                d, h = doc[order], whole[order]
-                fresh = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])))[: len(d)])
-                d, h = d[fresh], h[fresh]
-                head = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))[: len(d)])
-                least, second = np.zeros(len(some), U), np.zeros(len(some), U)
-                least[d[head]] = h[head]
-                more = head[(head + 1 < len(d)) & (d[np.minimum(head + 1, max(0, len(d) - 1))] == d[head])]
-                second[d[more]] = h[more + 1]
-                use = np.flatnonzero(n >= min_tokens)
-                content = np.where(whole[use] == least[doc[use]], second[doc[use]], least[doc[use]])
-                t, c, d = np.concatenate([whole[use], *general[:, use]]), np.tile(content, 3), np.tile(doc[use], 3)
-                t, c, d = t[t != 0], c[t != 0], d[t != 0]
+                content = np.fromiter((int.from_bytes(hashlib.blake2b(x, digest_size=8).digest()) for x in some), U, len(some))
+                use = np.flatnonzero(counted)
+                t, d = np.concatenate([whole[use], *general[:, use]]), np.tile(doc[use], 3)
+                t, d = t[t != 0], d[t != 0]
                 order = np.lexsort((t, d))
-                t, c, d = t[order], c[order], d[order]
+                t, d = t[order], d[order]
                 keep = np.concatenate(([True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])))[: len(t)]
-                yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(c[keep].view(np.int64))], names=["template", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(content[d[keep]].view(np.int64))], names=["template", "content"])
 
     pairs = docs.select("text").mapInArrow(run, "template long, content long").groupBy("template", "content").agg(F.count(F.lit(1)).alias("n"))
     sums = pairs.groupBy("template").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_contents"))
-    return sums.where((F.col("n_contents") >= min_docs) & (F.col("n_contents") >= min_share * F.col("n_docs")))
+    return sums.where(F.col("n_contents") >= min_docs)
 
 
 def drop_recurring(
-    docs: DataFrame, text: str = "text", min_docs: int = 10, min_share: float = 0.1, min_tokens: int = 4, general_tokens: int = 12, broadcast_templates: int = BROADCAST_TEMPLATES
+    docs: DataFrame, text: str = "text", min_docs: int = 10, general_tokens: int = 12, broadcast_templates: int = BROADCAST_TEMPLATES
 ) -> DataFrame:
     """``docs`` with ``kept`` (the text without its recurring lines), n_lines and n_removed in place
     of columns of these names. A null text stays null, with no lines; blank lines and lines of
-    fewer than ``min_tokens`` tokens stay; a line that a document repeats counts once for it;
+    fewer than ``BARE`` tokens without a literal one stay; a line that a document repeats counts once for it;
     repeated rows are one content; an empty table stays empty."""
     docs = docs.drop("kept", "n_lines", "n_removed")
     spark = docs.sparkSession
-    found = stored(recurring(docs.select(F.col(text).alias("text")), min_docs, min_share, min_tokens, general_tokens), "templates")
+    found = stored(recurring(docs.select(F.col(text).alias("text")), min_docs, general_tokens), "templates")
     shape = T.StructType([*docs.schema.fields, T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     if found.count() <= broadcast_templates:
         gone = spark.sparkContext.broadcast(np.sort(found.select("template").toArrow()["template"].to_numpy().view(U)))
-        return docs.mapInArrow(lambda batches: _cleaned(batches, text, gone.value, min_tokens, general_tokens), shape)
+        return docs.mapInArrow(lambda batches: _cleaned(batches, text, gone.value, general_tokens), shape)
 
     def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, some in _parts(batch, text):
-                bounds, _, whole, general = parse(some, min_tokens, general_tokens)
+                bounds, _, whole, general = parse(some, general_tokens)
                 doc = np.tile(np.repeat(np.arange(len(some)), np.diff(bounds)), 3)
                 keys = part["_key"].to_numpy(zero_copy_only=False)[doc]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate([whole, *general]).view(np.int64))], names=["_key", "template"])
@@ -144,24 +138,24 @@ def drop_recurring(
     hits = keyed.select("_key", text).mapInArrow(where, "_key long, template long").distinct().join(found.select("template"), "template")
     gone = hits.groupBy("_key").agg(F.collect_list("template").alias("_gone"))
     joined = keyed.join(gone, "_key", "left").drop("_key")
-    return joined.mapInArrow(lambda batches: _cleaned(batches, text, None, min_tokens, general_tokens), shape)
+    return joined.mapInArrow(lambda batches: _cleaned(batches, text, None, general_tokens), shape)
 
 
-def _cleaned(batches, text, gone, min_tokens, general_tokens) -> Iterator[pa.RecordBatch]:
+def _cleaned(batches, text, gone, general_tokens) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, some in _parts(batch, text):
             rest = [c for c in part.schema.names if c != "_gone"]
-            bounds, n, whole, general = parse(some, min_tokens, general_tokens)
+            bounds, counted, whole, general = parse(some, general_tokens)
             all_ = np.stack([whole, *general])
             if gone is not None:
                 out = np.isin(all_, gone).any(0)
             else:
-                out = np.zeros(len(n), bool)
+                out = np.zeros(len(counted), bool)
                 for i, g in enumerate(part["_gone"]):
                     if g.is_valid:
                         mine = slice(bounds[i], bounds[i + 1])
                         out[mine] = np.isin(all_[:, mine], np.array(g.as_py(), np.int64).view(U)).any(0)
-            out &= n >= min_tokens
+            out &= counted
             removed = np.add.reduceat(out.astype(np.int64), bounds[:-1]) if len(some) else np.zeros(0, np.int64)
             kept = [t.as_py() for t in part[text]]
             for i in np.flatnonzero(removed).tolist():
