@@ -17,3 +17,16 @@ def cleaned(spark, rows, **more):
 def test_short_lines(spark):
     rows = [(i, f"Les.\n{i}\nown {word(i, 1)} words {word(i, 2)} here\nAll rights reserved.") for i in range(30)]
     assert cleaned(spark, rows) == {i: f"{i}\nown {word(i, 1)} words {word(i, 2)} here" for i in range(30)}
+
+
+def test_a_line_of_a_text_copied_often(spark):
+    line = "this line stands in many other texts too"
+    rows = [(i, f"own {word(i, 1)} words {word(i, 2)}\n{line}") for i in range(20)] + [(1000 + i, f"the copied text begins so\n{line}") for i in range(600)]
+    kept = cleaned(spark, rows)
+    assert all(line not in t for t in kept.values()) and kept[1000] == "the copied text begins so"
+
+
+def test_a_block_of_shared_lines(spark):
+    block = "\n".join(f"shared line {word(k, 3)} of the block" for k in range(20))
+    rows = [(i, f"own {word(i, 1)} words {word(i, 2)}\n{block}") for i in range(100)]
+    assert cleaned(spark, rows) == {i: f"own {word(i, 1)} words {word(i, 2)}" for i in range(100)}
