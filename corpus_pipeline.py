@@ -28,13 +28,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates: that with the least doc_id. Rows that
-    repeat that id are dropped too."""
-    found = stored(probminhash.classes(docs).select("doc_id", "class_id"), "classes")
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    kept = docs.select(*COLUMNS).withColumn("_id", named("doc_id")).join(ids.select(named("doc_id").alias("_id")), "_id", "left_semi").drop("_id")
-    return kept if ids.where("n > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    """Keeps one document of each class of near-duplicates: that with the least doc_id (null last),
+    by id and text, so that different texts under one id stay; of rows that agree in both, one. All
+    documents without words stay."""
+    docs = docs.select(*COLUMNS)
+    first = stored(probminhash.survivors(docs), "survivors")
+    named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-")).alias("_id")
+    kept = docs.select("*", named("doc_id"), F.unhex(F.md5("text")).alias("_node")).join(first.select(named("rep"), F.col("node").alias("_node")), ["_id", "_node"], "left_semi")
+    kept = kept if first.where("n > 1").isEmpty() else kept.dropDuplicates(["_node"])
+    return kept.select(*COLUMNS).unionByName(docs.where(probminhash.wordless("text")))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

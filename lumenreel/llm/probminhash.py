@@ -25,7 +25,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -262,14 +262,9 @@ def _joined(texts: DataFrame, unmet: DataFrame, threshold: float) -> DataFrame:
     return spread.mapInArrow(compare, "a binary, b binary").distinct()
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """One row per document: doc_id, class_id (the least doc_id of its class) and n_texts (different
-    texts in its class).
-
-    Texts without words, and null, are classes of their own, each row for itself (n_texts 0).
-    Repeated rows and equal texts share a class; null ids come last among the ids; an empty table
-    gives no rows; other columns are not read."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _rooted(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The texts with words of docs (doc_id, text): (doc_id, node, bands) by row, and (node, rep,
+    root) by text, with its least doc_id and its class."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = stored(_signed(docs, kind), "signed")
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("rep"))
@@ -286,8 +281,33 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     wider = components(_joined(texts, stored(_unmet(buckets, roots), "unmet"), threshold)).select(F.col("node").alias("root"), F.col("root").alias("top"))
     of = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of = of.join(wider, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+    return signed, of
+
+
+def wordless(text: str) -> Column:
+    """Whether a text, or null, has no words."""
+    return F.col(text).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
+    """One row per document: doc_id, class_id (the least doc_id of its class) and n_texts (different
+    texts in its class).
+
+    Texts without words, and null, are classes of their own, each row for itself (n_texts 0).
+    Repeated rows and equal texts share a class; null ids come last among the ids; an empty table
+    gives no rows; other columns are not read."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    signed, of = _rooted(docs, threshold)
     least = of.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
     named = of.join(least, "root").select("node", "class_id", "n_texts")
     found = signed.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "n_texts")
-    bare = docs.where(F.col("text").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]"))
+    bare = docs.where(wordless("text"))
     return found.unionByName(bare.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_texts")))
+
+
+def survivors(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """One row per class of docs (doc_id, text) with words: node (digest of the text) and rep, of its
+    text with the least doc_id (null last), and n, the rows that agree in both."""
+    signed, of = _rooted(docs.select("doc_id", "text"), threshold)
+    first = of.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("least")).select("least.node", "least.rep")
+    return signed.join(first, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).groupBy("node", "rep").agg(F.count(F.lit(1)).alias("n"))
