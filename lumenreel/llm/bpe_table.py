@@ -4,30 +4,38 @@ A word is a run of characters without white space. The tokenizer neither merges
 across white space, so a text's ids are its words' ids in order. Each distinct word is encoded
 once and the ids come back by position. The table has two parts. The commonest words of a bounded
 sample of the texts (``sample_docs`` documents; at most ``hot_words`` words and ``HOT_BYTES``) are
-broadcast. All other words are split off in Spark, dealt out and sorted by the word, encoded once
-for each distinct word, and joined back to their documents. A frequent word thus meets no shuffle,
-and a rare word's rows are few. Which part a word is in changes no result. Decoding looks every id
-up in the id-to-piece table, whose size is the vocabulary's.
+broadcast as flat arrays. All other words are split off in Spark with their place (key of the text,
+number of the gap), dealt out and sorted by the word, encoded once for each distinct word, and joined
+back to their gaps. What moves of a document are its ids with the gaps, not its text; a frequent
+word meets no shuffle. Which part a word is in changes no result.
+
+Decoding explodes the ids, joins each with the id-to-piece table (broadcast: its size is the
+vocabulary's) and closes the rows of a document up again where they are, without a shuffle.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from .common import lean, slices
 from .fast_bpe import WordEncoder
+from .word_table import WordTable
 
 HOT_BYTES = 16 << 20
 #: A task hands on its word counts at this many distinct words.
 FLUSH_WORDS = 500_000
+#: Bytes of text that are split into words at once.
+SPLIT_BYTES = 1 << 20
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
 _CONTROL = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -64,106 +72,167 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 18) -> dict[str, bytes]:
-    """Ids of the commonest words of about ``sample_docs`` texts, chosen by a hash of the text; at
-    most ``hot_words`` words and HOT_BYTES. A choice of what to broadcast, not of what to count."""
+def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 50_000, hot_words: int = 1 << 20) -> WordTable:
+    """The commonest words of about ``sample_docs`` texts, chosen by a hash of the text, with their
+    ids; at most ``hot_words`` words and HOT_BYTES of words and ids. A choice of what to broadcast, not
+    of what to count."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     picked = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < share * (1 << 20))
-    counts = picked.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where((F.col("n") > 1) & (F.length("word") <= 64)).orderBy(F.desc("n"), "word").limit(hot_words)
+    counts = picked.mapInArrow(lean(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") > 1).orderBy(F.desc("n"), "word").limit(hot_words)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = WordEncoder(path)
         for batch in batches:
-            ids = enc.encode_all([[w] for w in batch["word"].to_pylist()])
+            ids = enc.encode(batch["word"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    got = top.repartition("word").mapInArrow(encoded, "word string, n long, ids binary").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    hot, size = {}, 0
-    for word, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True):
-        size += len(word.encode()) + len(ids)
-        if size > HOT_BYTES:
-            break
-        hot[word] = ids
-    return hot
+    got = top.repartition("word").mapInArrow(lean(encoded), "word string, n long, ids binary").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    size = np.cumsum([len(w.encode()) + len(x) for w, x in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True)])
+    got = got.slice(0, int(np.searchsorted(size, HOT_BYTES, "right")))
+    return WordTable(got["word"].to_pylist(), got["ids"].to_pylist())
+
+
+def _key() -> Column:
+    """96 bits that name a text."""
+    return F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"))
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 20_000, hot_words: int = 1 << 18) -> DataFrame:
-    """One row per document: ``doc_id`` and ``ids`` (binary: little-endian unsigned 32-bit ids).
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 50_000, hot_words: int = 1 << 20) -> DataFrame:
+    """One row per document: ``doc_id``, ``ids`` (array of int) and ``packed``, the ids as little-endian
+    unsigned 32-bit integers.
 
     Null and empty texts get no ids; repeated rows each get their row; ties of word counts go by
-    the word; an empty table gives no rows; other columns are not read. Rows are found again by a
-    64-bit hash of id and text; were two rows to share it, each would be offered the other's words
-    as well, which changes neither's ids."""
+    the word; an empty table gives no rows; other columns are not read. Texts are found again by 96
+    bits of hashes; a gap that gets no ids, or two, raises."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared = spark.sparkContext.broadcast(hot_table(docs, path, "text", sample_docs, hot_words))
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn("key", _key())
+    key = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType())])
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words of each document that aren't in the broadcast table, each once."""
-        hot = shared.value
+        """The words that aren't in the broadcast table, with the number of their gap; of the texts of
+        a batch each once."""
         for batch in batches:
-            keys, out = [], []
-            for key, text in zip(batch["key"].to_pylist(), batch["text"], strict=True):
-                rest = {w for w in words(text.as_py()) if w not in hot}
-                keys += [key] * len(rest)
-                out += rest
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.string())], names=["key", "word"])
+            for part in slices(batch, "text", SPLIT_BYTES):
+                once = list({t: i for i, t in enumerate(part["text"].to_pylist()) if t}.values())
+                part = part.take(pa.array(once, pa.int64()))
+                found = shared.value.look_up(part["text"].to_pylist())
+                who = found.owners()
+                gap = np.arange(len(who)) - np.searchsorted(who, who)
+                yield pa.RecordBatch.from_arrays([part["key"].take(pa.array(who)), pa.array(gap, pa.int32()), pa.array(found.words, pa.string())], names=["key", "gap", "word"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by the word: each distinct word is encoded once, but for one at a batch's edge."""
-        enc = WordEncoder(path, limit=0)
+        enc = WordEncoder(path)
         for batch in batches:
-            out = enc.encode_all([[w] for w in batch["word"].to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["word"], pa.array(out, pa.binary())], names=["key", "word", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["gap"], pa.array(enc.encode(batch["word"].to_pylist()), pa.binary())], names=["key", "gap", "ids"])
 
-    asked = keyed.mapInArrow(others, "key long, word string")
-    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(once, "key long, word string, ids binary")
-    got = table.groupBy("key").agg(F.collect_list(F.struct("word", "ids")).alias("got"))
+    asked = keyed.mapInArrow(lean(others), T.StructType([T.StructField("key", key), T.StructField("gap", T.IntegerType()), T.StructField("word", T.StringType())]))
+    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(lean(once), T.StructType([T.StructField("key", key), T.StructField("gap", T.IntegerType()), T.StructField("ids", T.BinaryType())]))
+    got = table.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("gap", "ids"))).alias("got"))
 
-    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ids of the words in the table, packed, and the places (numbers of ids before) of the gaps."""
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in slices(batch, "text", SPLIT_BYTES):
+                found = shared.value.look_up(part["text"].to_pylist())
+                ids, first, at = found.ids()
+                at = (at - first[found.owners()]).astype("<u4") if len(at) else np.zeros(0, "<u4")
+                edge, gaps = np.append(first, len(ids)).tolist(), np.searchsorted(found.owners(), np.arange(part.num_rows + 1)).tolist()
+                wide = np.dtype(ids.dtype).itemsize
+                body = [pack.compress(ids[a:b].tobytes()) for a, b in zip(edge, edge[1:], strict=False)]
+                places = [pack.compress(at[a:b].tobytes()) if b > a else None for a, b in zip(gaps, gaps[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["key"], pa.array([wide] * part.num_rows, pa.int32()), pa.array(body, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "key", "wide", "body", "places"]
+                )
+
+    def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
+            for part in slices(batch, "body", SPLIT_BYTES // 2):
                 out = []
-                for text, got in zip(part["text"], part["got"], strict=True):
-                    by = {g["word"]: g["ids"] for g in got.as_py() or ()}
-                    out.append(b"".join([hot.get(w) or by.get(w, b"") for w in words(text.as_py())]))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "ids"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return keyed.join(got, "key", "left").select("doc_id", "text", "got").mapInArrow(join_up, f"doc_id {kind}, ids binary")
+                for wide, body, places, got in zip(*(part[c].to_pylist() for c in ("wide", "body", "places", "got")), strict=True):
+                    ids = np.frombuffer(unpack.decompress(body), f"<u{wide}").astype("<u4")
+                    at = np.frombuffer(unpack.decompress(places), "<u4").astype(np.int64) if places is not None else np.zeros(0, np.int64)
+                    if [g["gap"] for g in got or ()] != list(range(len(at))):
+                        raise ValueError("words of a text were lost")
+                    if len(at):
+                        n = [len(g["ids"]) // 4 for g in got]
+                        ids = np.insert(ids, np.repeat(at, n), np.frombuffer(b"".join([g["ids"] for g in got]), "<u4"))
+                    out.append(ids.tobytes())
+                yield pa.RecordBatch.from_arrays([part["doc_id"], listed(out), pa.array(out, pa.binary())], names=["doc_id", "ids", "packed"])
+
+    of = docs.schema["doc_id"].dataType
+    shape = T.StructType([T.StructField("doc_id", of), T.StructField("key", key), T.StructField("wide", T.IntegerType()), T.StructField("body", T.BinaryType()), T.StructField("places", T.BinaryType())])
+    coded = keyed.mapInArrow(lean(code), shape)
+    return coded.join(got, "key", "left").select("doc_id", "wide", "body", "places", "got").mapInArrow(lean(splice), T.StructType([T.StructField("doc_id", of), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType())]))
+
+
+def pieces(path: str) -> list[tuple[int, str]]:
+    """The id-to-piece table; its size is the vocabulary's."""
+    return sorted((i, p) for p, i in load(path).get_vocab(with_added_tokens=True).items())
 
 
-def pieces(path: str) -> list[str]:
-    """The id-to-piece table; its size is the vocabulary's."""
-    tok = load(path)
-    by_id = {i: p for p, i in tok.get_vocab(with_added_tokens=True).items()}
-    return [by_id.get(i, "") for i in range(max(by_id, default=-1) + 1)]
+def listed(packed: list[bytes | None]) -> pa.ListArray:
+    """Lists of ids from unsigned 32-bit integers."""
+    raw = [x or b"" for x in packed]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in raw)]), pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<i4")))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``encoded`` with the column ``text``: what the library's decode() gives for the ids, special
-    tokens kept. Without a decoder in the file that is the pieces joined by one space; with one,
-    the decoder is applied to the pieces."""
+    """``encoded`` with the column ``text`` (one of that name is replaced): what the library's decode()
+    gives for the ids (array of int), special tokens kept. Without a decoder in the file that is the pieces joined by
+    one space; with one, the decoder is applied to the pieces. Null and empty ids give an empty text;
+    ids without a piece are left out, as by the library; repeated rows each get theirs."""
     spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(pieces(path))
+    encoded = encoded.drop(text)
+    vocabulary = spark.createDataFrame(pieces(path), "id int, piece string")
+    plain, names = load(path).decoder is None, [*encoded.columns, text]
+    rows = encoded.select(F.struct("*").alias("row"), F.posexplode_outer(ids).alias("pos", "id"))
+    # a row of the document goes with its first id only
+    rows = rows.select(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("row")).alias("row"), F.coalesce("pos", F.lit(0)).alias("pos"), "id")
+    met = rows.join(F.broadcast(vocabulary), "id", "left").select("row", "pos", "piece")
+
+    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a document follow one another: places count up from 0, which is checked."""
+        decoder, row, found, last = load(path).decoder, None, [], -1
+
+        def text_of(parts: list[pa.Array]) -> str:
+            if not plain:
+                return decoder.decode([x for p in parts for x in p.to_pylist() if x is not None])
+            return " ".join([s for p in parts if (s := _spaced(p))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, decoder = shared.value, load(path).decoder
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                out = []
-                for b in part[ids]:
-                    ps = [table[i] for i in np.frombuffer(b.as_py() or b"", dtype="<u4").tolist()]
-                    out.append(decoder.decode(ps) if decoder is not None else " ".join(ps))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=[*part.schema.names, text])
-
-    return encoded.mapInArrow(run, encoded.drop(text).withColumn(text, F.lit("")).schema)
-
-
-def sha256_hex(b: bytes) -> str:
-    return hashlib.sha256(b).hexdigest()
+            pos, piece = batch["pos"].to_numpy(), batch["piece"]
+            if (np.diff(pos, prepend=last)[pos > 0] != 1).any():
+                raise ValueError("the ids of a document were parted")
+            last = int(pos[-1]) if len(pos) else last
+            starts = np.flatnonzero(pos == 0).tolist()
+            edges = [*starts, len(pos)]
+            if edges[0] and row is not None:
+                found.append(piece.slice(0, edges[0]))
+            out, texts = [], []
+            for a, b in zip(edges, edges[1:], strict=False):
+                if row is not None:
+                    out.append(row)
+                    texts.append(text_of(found))
+                row, found = batch["row"].slice(a, 1), [piece.slice(a, b - a)]
+            if out:
+                yield _whole(out, texts)
+        if row is not None:
+            yield _whole([row], [text_of(found)])
+
+    def _whole(rows: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
+        got = pa.concat_arrays(rows)
+        return pa.RecordBatch.from_arrays([*got.flatten(), pa.array(texts, pa.string())], names=names)
+
+    return met.mapInArrow(lean(closed), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
+
+
+def _spaced(piece: pa.Array) -> str:
+    """The pieces of an array joined by one space, nulls left out."""
+    piece = piece.drop_null()
+    return " ".join(piece.to_pylist())

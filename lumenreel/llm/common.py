@@ -1,16 +1,17 @@
-"""Helpers shared by the operators: shared scratch tables, document keys, Arrow maps."""
+"""Helpers shared by the operators: shared scratch tables, Arrow maps."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Setting that names the folder which driver and executors share.
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -34,18 +35,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def doc_key(doc_id: Column, text: Column) -> Column:
-    """16 bytes that name a row by content: doc_id and text, nulls told apart. Rows that agree
-    in both get the same key, and every operator here gives such rows the same answer."""
-    parts = F.concat(
-        F.when(doc_id.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), doc_id.cast("string"))),
-        F.lit("|"),
-        F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), text)),
-    )
-    return F.unhex(F.md5(parts))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what stored() wrote; nothing may read it afterwards."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        at = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that gives its memory back at its end: workers are used again, and
+    what allocators keep for later adds up."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 def partitions(spark: SparkSession) -> int:

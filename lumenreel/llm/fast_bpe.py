@@ -10,7 +10,6 @@ token or are very long, the library itself encodes the word.
 
 from __future__ import annotations
 
-import gc
 import json
 import unicodedata
 
@@ -30,20 +29,15 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
-class WordEncoder(dict):
-    """word -> ids, as little-endian unsigned 32-bit bytes. ``hot`` words are given beforehand;
-    others are encoded in batches by prepare() and forgotten when there are more than ``limit``."""
+class WordEncoder:
+    """Ids of words, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, hot: dict[str, bytes] | None = None, limit: int = 300_000):
-        super().__init__(hot or {})
-        gc.disable()  # millions of strings and no cycles
-        self.hot, self.limit = hot or {}, limit
+    def __init__(self, path: str):
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
         with open(path, encoding="utf-8") as f:
             self.known = self._understood(json.load(f))
-        self.parts: dict[str, bytes] = {}
 
     def _understood(self, spec: dict) -> bool:
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
@@ -132,43 +126,25 @@ class WordEncoder(dict):
     def _library(self, word: str) -> bytes:
         return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def prepare(self, words: set[str]) -> None:
-        """Encodes those of the words that aren't here yet."""
-        new = [w for w in words if w not in self]
-        if len(self) - len(self.hot) + len(new) > self.limit:
-            self.clear()
-            self.update(self.hot)
-            self.parts.clear()
-            new = [w for w in words if w not in self]
-        if not new:
-            return
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; a word that is repeated, and a pre-token, is encoded once."""
+        distinct = dict.fromkeys(words)
         if not self.known:
-            for w in new:
-                self[w] = self._library(w)
-            return
-        split = {}
-        for w in new:
+            return list(map({w: self._library(w) for w in distinct}.get, words))
+        split, found = {}, {}
+        for w in distinct:
             if "<" in w and any(s in w for s in self.special):
-                self[w] = self._library(w)
+                found[w] = self._library(w)
                 continue
             t = w if w.isascii() else unicodedata.normalize("NFC", w).replace("Σ", "σ")
             split[w] = self.pattern.findall(t.lower())
-        todo = [p for p in {p for ps in split.values() for p in ps} if p not in self.parts]
+        todo = list(dict.fromkeys(p for ps in split.values() for p in ps))
         coded = [p.encode() for p in todo]
         short = [k for k, c in enumerate(coded) if len(c) <= LONGEST]
-        for k, ids in zip(short, self.merge([coded[k] for k in short]), strict=True):
-            self.parts[todo[k]] = ids
+        parts = {todo[k]: ids for k, ids in zip(short, self.merge([coded[k] for k in short]), strict=True)}
         for p, c in zip(todo, coded, strict=True):
             if len(c) > LONGEST:
-                self.parts[p] = self._library(p)
+                parts[p] = self._library(p)
         for w, ps in split.items():
-            self[w] = b"".join([self.parts[p] for p in ps])
-
-    def encode_all(self, split_texts: list[list[str]]) -> list[bytes]:
-        """Ids of texts, given as lists of words."""
-        found = [list(map(self.get, ws)) for ws in split_texts]
-        rest = {w for ws, ids in zip(split_texts, found, strict=True) if None in ids for w, x in zip(ws, ids, strict=True) if x is None}
-        if rest:
-            self.prepare(rest)
-            found = [[x if x is not None else self[w] for w, x in zip(ws, ids, strict=True)] if None in ids else ids for ws, ids in zip(split_texts, found, strict=True)]
-        return [b"".join(ids) for ids in found]
+            found[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+        return list(map(found.__getitem__, words))

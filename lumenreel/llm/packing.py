@@ -15,7 +15,6 @@ there are no more than tasks and lengths together.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,17 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_table import hot_table, words
-from .common import slices, stored
+from .bpe_table import SPLIT_BYTES, hot_table
+from .common import lean, slices, stored
 from .fast_bpe import WordEncoder
 
 WINDOW = 4096
-#: Words with ids that a task holds: broadcast, and remembered beside those.
-HOT_WORDS, OTHER_WORDS = 1 << 17, 100_000
-#: Bytes of text that are split into words at once.
-SPLIT_BYTES = 1 << 20
-
-
 def combinations(window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All (k, a, b) with k*a + b = window, 0 <= b <= a; b = 0 stands for no filler."""
     ks, as_, bs = [], [], []
@@ -174,19 +167,24 @@ def plan(hist: np.ndarray, window: int) -> Plan:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (binary, little-endian unsigned 32-bit) with the end id."""
+    """doc_id and ids (binary, little-endian unsigned 32-bit) with the end id. Words that the broadcast
+    table lacks are encoded where they are, of a MB of text each once. Null and empty texts have the
+    end id alone; repeated rows each get their row; an empty table gives none; other columns are not read."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(hot_table(docs, path, hot_words=HOT_WORDS))
+    shared = docs.sparkSession.sparkContext.broadcast(hot_table(docs, path))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(path, shared.value, OTHER_WORDS)
+        enc = WordEncoder(path)
         for batch in batches:
             for part in slices(batch, "text", SPLIT_BYTES):
-                ids = [b + end for b in enc.encode_all([words(t.as_py()) for t in part["text"]])]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                found = shared.value.look_up(part["text"].to_pylist())
+                ids, first, _ = found.ids(enc.encode(found.words))
+                edge = np.append(first, len(ids)).tolist()
+                out = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(edge, edge[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -219,7 +217,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     cols = f"doc_id {kind}, start long, length int, doc_tokens long, small binary"
-    pieces = stored(tokens.select("doc_id", "ids").mapInArrow(cut, cols), "pieces")
+    pieces = stored(tokens.select("doc_id", "ids").mapInArrow(lean(cut), cols), "pieces")
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rank within the task of each length; the rows come sorted by it."""
@@ -233,7 +231,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(out), pa.int32()), pa.array(out, pa.int64())], names=[*batch.schema.names, "task", "rank"])
 
     spread = pieces.withColumn("h", F.xxhash64("doc_id", "start", F.octet_length("small"), F.crc32("small"))).repartitionByRange("length", "h")
-    rows = stored(spread.drop("h").sortWithinPartitions("length").mapInArrow(ranked, cols + ", task int, rank long"), "ranked")
+    rows = stored(spread.drop("h").sortWithinPartitions("length").mapInArrow(lean(ranked), cols + ", task int, rank long"), "ranked")
     counts = rows.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")).collect()
     hist, base = np.zeros(window + 1, np.int64), {}
     for r in sorted(counts, key=lambda r: (r["length"], r["task"])):
@@ -261,8 +259,5 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
                     names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    return rows.mapInArrow(placed, f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
-
+    return rows.mapInArrow(lean(placed), f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
-def crc32(b: bytes) -> int:
-    return zlib.crc32(b)

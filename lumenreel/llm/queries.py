@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_table, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, substring_dedup, token_counts, url_rules
-from .bpe_table import sha256_hex
 
 WORD_BPE, PIECE_BPE, END_ID = "word_bpe_49k.json", "piece_bpe_32k.model", 2
 
@@ -28,15 +26,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
-    encoded = bpe_table.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [x.as_py() for x in b["ids"]]
-            cols = [b["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([sha256_hex(x) for x in ids]), pa.array([sha256_hex(x.as_py().encode()) for x in b["decoded"]])]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return bpe_table.decode(encoded, path).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    got = bpe_table.decode(bpe_table.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,15 +15,26 @@ _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers = [np.ones(1, U), np.ones(1, U)]
+#: Powers are kept for texts of up to so many bytes; for a longer one they are made for the call.
+KEPT = 1 << 18
+_powers: list[np.ndarray] = []
+
+
+def _powers_of(n: int) -> list[np.ndarray]:
+    out = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(n + 1, base, U)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out
 
 
 def _tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) <= n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(2 * n + 1, base, U)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
+    """The powers up to n of the base and of its inverse."""
+    if n > KEPT:
+        return _powers_of(n)
+    if not _powers:
+        _powers.extend(_powers_of(KEPT))
     return _powers
 
 
@@ -37,11 +48,17 @@ def encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def spans(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words start and end."""
+    a = np.frombuffer(b, np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[a], [True]))))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of the words."""
     a = np.frombuffer(b, np.uint8)
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[a], [True]))))
-    starts, ends = edge[::2], edge[1::2]
+    starts, ends = spans(b)
     power, inverse = _tables(len(a))
     total = np.zeros(len(a) + 1, U)
     np.cumsum((a.astype(U) + U(1)) * power[: len(a)], out=total[1:])

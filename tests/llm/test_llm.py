@@ -88,7 +88,7 @@ def test_bpe_table(spark, odd, none, docs):
         df = spark.createDataFrame(rows, "doc_id long, text string")
         for hot in (0, 1 << 18):
             enc = bpe_table.decode(bpe_table.encode(df, WORDS, hot_words=hot), WORDS).collect()
-            mine = sorted(((r["doc_id"], len(r["ids"]) // 4, brute.hexed(bytes(r["ids"])), brute.hexed(r["decoded"].encode())) for r in enc), key=str)
+            mine = sorted(((r["doc_id"], len(r["ids"]), brute.hexed(bytes(r["packed"])), brute.hexed(r["decoded"].encode())) for r in enc), key=str)
             assert mine == brute.op2(rows)
     assert bpe_table.encode(none, WORDS).count() == 0
 
