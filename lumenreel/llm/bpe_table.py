@@ -6,10 +6,10 @@ once and the ids come back by position. The table has two parts. The commonest w
 sample of the texts (``sample_docs`` documents; at most ``hot_words`` words and ``HOT_BYTES``) are
 broadcast as flat arrays. All other words are split off in Spark with their place (key of the text,
 number of the gap), dealt out and sorted by the word, encoded once for each distinct word, and joined
-back to their gaps. What moves of a document are its ids with the gaps, not its text; a frequent
-word meets no shuffle. Which part a word is in changes no result.
+back to their gaps. What moves of a document are the numbers of its words in the table, with the
+gaps, not its text; a frequent word meets no shuffle. Which part a word is in changes no result.
 
-Decoding explodes the ids, joins each with the id-to-piece table (broadcast: its size is the
+Decoding makes a row of each id, joins it with the id-to-piece table (broadcast: its size is the
 vocabulary's) and closes the rows of a document up again where they are, without a shuffle.
 """
 
@@ -21,17 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import lean, slices
 from .fast_bpe import WordEncoder
-from .word_table import WordTable
+from .word_table import Found, WordTable
 
-HOT_BYTES = 16 << 20
+HOT_BYTES = 24 << 20
 #: A task hands on its word counts at this many distinct words.
 FLUSH_WORDS = 500_000
 #: Bytes of text that are split into words at once.
@@ -93,9 +93,27 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     return WordTable(got["word"].to_pylist(), got["ids"].to_pylist())
 
 
-def _key() -> Column:
-    """96 bits that name a text."""
-    return F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"))
+def _packed(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers below 2**28 in one to four bytes, seven bits in each; and where each starts."""
+    n = 1 + (r >= 1 << 7) + (r >= 1 << 14) + (r >= 1 << 21)
+    at = np.cumsum(n) - n
+    out = np.zeros(int(n.sum()), np.uint8)
+    for k in range(4):
+        some = np.flatnonzero(n > k)
+        out[at[some] + k] = (r[some] >> 7 * k & 127) | (n[some] > k + 1) * 128
+    return out, at
+
+
+def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, and where each starts."""
+    a = np.frombuffer(b, np.uint8).astype(np.int64)
+    ends = np.flatnonzero(a < 128) + 1
+    at = np.append(0, ends)[:-1][: len(ends)]
+    r, n = np.zeros(len(ends), np.int64), ends - at
+    for k in range(4):
+        some = np.flatnonzero(n > k)
+        r[some] |= (a[at[some] + k] & 127) << 7 * k
+    return r, at
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 50_000, hot_words: int = 1 << 20) -> DataFrame:
@@ -103,13 +121,12 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     unsigned 32-bit integers.
 
     Null and empty texts get no ids; repeated rows each get their row; ties of word counts go by
-    the word; an empty table gives no rows; other columns are not read. Texts are found again by 96
+    the word; an empty table gives no rows; other columns are not read. Texts are found again by 80
     bits of hashes; a gap that gets no ids, or two, raises."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared = spark.sparkContext.broadcast(hot_table(docs, path, "text", sample_docs, hot_words))
-    keyed = docs.withColumn("key", _key())
-    key = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType())])
+    keyed = docs.withColumns({"key": F.xxhash64("text"), "more": F.shiftright(F.hash("text"), 16).cast("short")})
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words that aren't in the broadcast table, with the number of their gap; of the texts of
@@ -121,54 +138,58 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 found = shared.value.look_up(part["text"].to_pylist())
                 who = found.owners()
                 gap = np.arange(len(who)) - np.searchsorted(who, who)
-                yield pa.RecordBatch.from_arrays([part["key"].take(pa.array(who)), pa.array(gap, pa.int32()), pa.array(found.words, pa.string())], names=["key", "gap", "word"])
+                at = pa.array(who)
+                yield pa.RecordBatch.from_arrays([part["key"].take(at), part["more"].take(at), pa.array(gap, pa.int32()), pa.array(found.words, pa.string())], names=["key", "more", "gap", "word"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by the word: each distinct word is encoded once, but for one at a batch's edge."""
         enc = WordEncoder(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["gap"], pa.array(enc.encode(batch["word"].to_pylist()), pa.binary())], names=["key", "gap", "ids"])
+            coded = enc.encode(batch["word"].to_pylist())
+            body, at = _packed(np.frombuffer(b"".join(coded), "<u4").astype(np.int64))
+            edge = np.append(at, len(body))[np.cumsum([0, *(len(x) // 4 for x in coded)])].tolist()
+            ids = [body[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["more"], batch["gap"], pa.array(ids, pa.binary())], names=["key", "more", "gap", "ids"])
 
-    asked = keyed.mapInArrow(lean(others), T.StructType([T.StructField("key", key), T.StructField("gap", T.IntegerType()), T.StructField("word", T.StringType())]))
-    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(lean(once), T.StructType([T.StructField("key", key), T.StructField("gap", T.IntegerType()), T.StructField("ids", T.BinaryType())]))
-    got = table.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("gap", "ids"))).alias("got"))
+    asked = keyed.mapInArrow(lean(others), "key long, more short, gap int, word string")
+    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(lean(once), "key long, more short, gap int, ids binary")
+    # dealt out before they are gathered: partial lists would take more room than the rows
+    got = table.repartition("key", "more").groupBy("key", "more").agg(F.sort_array(F.collect_set(F.struct("gap", "ids"))).alias("got"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The ids of the words in the table, packed, and the places (numbers of ids before) of the gaps."""
-        pack = zstandard.ZstdCompressor(level=3)
+        """The numbers of the words, from 1; 0 for a gap."""
         for batch in batches:
             for part in slices(batch, "text", SPLIT_BYTES):
                 found = shared.value.look_up(part["text"].to_pylist())
-                ids, first, at = found.ids()
-                at = (at - first[found.owners()]).astype("<u4") if len(at) else np.zeros(0, "<u4")
-                edge, gaps = np.append(first, len(ids)).tolist(), np.searchsorted(found.owners(), np.arange(part.num_rows + 1)).tolist()
-                wide = np.dtype(ids.dtype).itemsize
-                body = [pack.compress(ids[a:b].tobytes()) for a, b in zip(edge, edge[1:], strict=False)]
-                places = [pack.compress(at[a:b].tobytes()) if b > a else None for a, b in zip(gaps, gaps[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["key"], pa.array([wide] * part.num_rows, pa.int32()), pa.array(body, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "key", "wide", "body", "places"]
-                )
+                body, at = _packed(found.k + 1)
+                edge = np.append(at, len(body))[np.append(found.first, len(at))].tolist()
+                out = [body[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["key"], part["more"], pa.array(out, pa.binary())], names=["doc_id", "key", "more", "body"])
 
     def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in slices(batch, "body", SPLIT_BYTES // 2):
-                out = []
-                for wide, body, places, got in zip(*(part[c].to_pylist() for c in ("wide", "body", "places", "got")), strict=True):
-                    ids = np.frombuffer(unpack.decompress(body), f"<u{wide}").astype("<u4")
-                    at = np.frombuffer(unpack.decompress(places), "<u4").astype(np.int64) if places is not None else np.zeros(0, np.int64)
-                    if [g["gap"] for g in got or ()] != list(range(len(at))):
-                        raise ValueError("words of a text were lost")
-                    if len(at):
-                        n = [len(g["ids"]) // 4 for g in got]
-                        ids = np.insert(ids, np.repeat(at, n), np.frombuffer(b"".join([g["ids"] for g in got]), "<u4"))
-                    out.append(ids.tobytes())
-                yield pa.RecordBatch.from_arrays([part["doc_id"], listed(out), pa.array(out, pa.binary())], names=["doc_id", "ids", "packed"])
-
-    of = docs.schema["doc_id"].dataType
-    shape = T.StructType([T.StructField("doc_id", of), T.StructField("key", key), T.StructField("wide", T.IntegerType()), T.StructField("body", T.BinaryType()), T.StructField("places", T.BinaryType())])
-    coded = keyed.mapInArrow(lean(code), shape)
-    return coded.join(got, "key", "left").select("doc_id", "wide", "body", "places", "got").mapInArrow(lean(splice), T.StructType([T.StructField("doc_id", of), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType())]))
+            for part in slices(batch, "body", SPLIT_BYTES // 4):
+                bodies = part["body"].to_pylist()
+                r, at = _unpacked(b"".join(bodies))
+                first = np.searchsorted(at, np.cumsum([0, *map(len, bodies)])[:-1])
+                found = Found(shared.value, r - 1, first, np.flatnonzero(r == 0), [])
+                got = part["got"].flatten()
+                mine = pc.fill_null(pc.list_value_length(part["got"]), 0).to_numpy(zero_copy_only=False)
+                gap = np.arange(len(got)) - np.repeat(np.cumsum(mine) - mine, mine)
+                if (np.bincount(found.owners(), minlength=part.num_rows) != mine).any() or (got.field("gap").to_numpy() != gap).any():
+                    raise ValueError("words of a text were lost")
+                some = got.field("ids")
+                rest, at = _unpacked(b"".join(some.to_pylist()))
+                edge = np.searchsorted(at, np.append(0, np.cumsum(pc.binary_length(some).to_numpy())))
+                ids, first, _ = found.ids(rest, np.diff(edge))
+                ids, edge = ids.astype("<u4"), np.append(first, len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids.view("<i4")))
+                out = [ids[a:b].tobytes() for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], lists, pa.array(out, pa.binary())], names=["doc_id", "ids", "packed"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    coded = keyed.mapInArrow(lean(code), f"doc_id {kind}, key long, more short, body binary")
+    return coded.join(got, ["key", "more"], "left").select("doc_id", "body", "got").mapInArrow(lean(splice), f"doc_id {kind}, ids array<int>, packed binary")
 
 
 def pieces(path: str) -> list[tuple[int, str]]:
@@ -176,42 +197,46 @@ def pieces(path: str) -> list[tuple[int, str]]:
     return sorted((i, p) for p, i in load(path).get_vocab(with_added_tokens=True).items())
 
 
-def listed(packed: list[bytes | None]) -> pa.ListArray:
-    """Lists of ids from unsigned 32-bit integers."""
-    raw = [x or b"" for x in packed]
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in raw)]), pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<i4")))
-
-
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the column ``text`` (one of that name is replaced): what the library's decode()
-    gives for the ids (array of int), special tokens kept. Without a decoder in the file that is the pieces joined by
-    one space; with one, the decoder is applied to the pieces. Null and empty ids give an empty text;
-    ids without a piece are left out, as by the library; repeated rows each get theirs."""
+    gives for the ids (array of int), special tokens kept. Without a decoder in the file that is the
+    pieces joined by one space; with one, the decoder is applied to the pieces. Null and empty ids give
+    an empty text; ids without a piece are left out, as by the library; repeated rows each get theirs."""
     spark = encoded.sparkSession
     encoded = encoded.drop(text)
     vocabulary = spark.createDataFrame(pieces(path), "id int, piece string")
     plain, names = load(path).decoder is None, [*encoded.columns, text]
-    rows = encoded.select(F.struct("*").alias("row"), F.posexplode_outer(ids).alias("pos", "id"))
-    # a row of the document goes with its first id only
-    rows = rows.select(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("row")).alias("row"), F.coalesce("pos", F.lit(0)).alias("pos"), "id")
-    met = rows.join(F.broadcast(vocabulary), "id", "left").select("row", "pos", "piece")
+    shape = T.StructType([T.StructField("row", encoded.schema), T.StructField("n", T.IntegerType()), T.StructField("id", T.IntegerType())])
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for the document, with its columns and the number of its ids, then one for each id."""
+        for batch in batches:
+            for b in slices_of_lists(batch, ids, SPLIT_BYTES // 4):
+                n = pc.fill_null(pc.list_value_length(b[ids]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                head = np.cumsum(n + 1) - n - 1
+                total = int((n + 1).sum())
+                take, count, out = np.full(total, -1), np.full(total, -1, np.int32), np.full(total, -1, np.int32)
+                take[head], count[head] = np.arange(len(n)), n
+                out[count < 0] = b[ids].flatten().to_numpy(zero_copy_only=False)
+                whole = pa.StructArray.from_arrays(b.columns, fields=list(b.schema))
+                yield pa.RecordBatch.from_arrays([whole.take(pa.array(take, mask=take < 0)), pa.array(count, mask=count < 0), pa.array(out)], names=["row", "n", "id"])
+
+    met = encoded.mapInArrow(lean(exploded), shape).join(F.broadcast(vocabulary), "id", "left").select("row", "n", "piece")
 
     def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a document follow one another: places count up from 0, which is checked."""
-        decoder, row, found, last = load(path).decoder, None, [], -1
+        """The rows of a document follow its first one; their number is checked."""
+        decoder, row, due, found = load(path).decoder, None, 0, []
 
         def text_of(parts: list[pa.Array]) -> str:
-            if not plain:
-                return decoder.decode([x for p in parts for x in p.to_pylist() if x is not None])
-            return " ".join([s for p in parts if (s := _spaced(p))])
+            if sum(map(len, parts)) != due:
+                raise ValueError("the ids of a document were parted")
+            some = [x for p in parts for x in p.drop_null().to_pylist()]
+            return " ".join(some) if plain else decoder.decode(some)
 
         for batch in batches:
-            pos, piece = batch["pos"].to_numpy(), batch["piece"]
-            if (np.diff(pos, prepend=last)[pos > 0] != 1).any():
-                raise ValueError("the ids of a document were parted")
-            last = int(pos[-1]) if len(pos) else last
-            starts = np.flatnonzero(pos == 0).tolist()
-            edges = [*starts, len(pos)]
+            n, piece = batch["n"].to_numpy(zero_copy_only=False), batch["piece"]
+            heads = np.flatnonzero(batch["n"].is_valid().to_numpy(zero_copy_only=False)).tolist()
+            edges = [*heads, batch.num_rows]
             if edges[0] and row is not None:
                 found.append(piece.slice(0, edges[0]))
             out, texts = [], []
@@ -219,20 +244,22 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
                 if row is not None:
                     out.append(row)
                     texts.append(text_of(found))
-                row, found = batch["row"].slice(a, 1), [piece.slice(a, b - a)]
+                row, due, found = batch["row"].slice(a, 1), int(n[a]), [piece.slice(a + 1, b - a - 1)]
             if out:
-                yield _whole(out, texts)
+                yield whole(out, texts)
         if row is not None:
-            yield _whole([row], [text_of(found)])
+            yield whole([row], [text_of(found)])
 
-    def _whole(rows: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
-        got = pa.concat_arrays(rows)
-        return pa.RecordBatch.from_arrays([*got.flatten(), pa.array(texts, pa.string())], names=names)
+    def whole(rows: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*pa.concat_arrays(rows).flatten(), pa.array(texts, pa.string())], names=names)
 
     return met.mapInArrow(lean(closed), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
-def _spaced(piece: pa.Array) -> str:
-    """The pieces of an array joined by one space, nulls left out."""
-    piece = piece.drop_null()
-    return " ".join(piece.to_pylist())
+def slices_of_lists(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``size`` items in a list column."""
+    n = pc.fill_null(pc.list_value_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    at = [0, *(np.flatnonzero(np.diff(np.cumsum(n, dtype=np.int64) // size)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(at, at[1:], strict=False):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)

@@ -179,7 +179,8 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
         for batch in batches:
             for part in slices(batch, "text", SPLIT_BYTES):
                 found = shared.value.look_up(part["text"].to_pylist())
-                ids, first, _ = found.ids(enc.encode(found.words))
+                rest = enc.encode(found.words)
+                ids, first, _ = found.ids(np.frombuffer(b"".join(rest), "<u4"), np.fromiter((len(x) // 4 for x in rest), np.int64, len(rest)))
                 edge = np.append(first, len(ids)).tolist()
                 out = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(edge, edge[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "ids"])

@@ -103,18 +103,17 @@ class Found:
         """The text of each missing word."""
         return np.searchsorted(self.first, self.missing, "right") - 1
 
-    def ids(self, others: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def ids(self, others: np.ndarray | None = None, each: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids one after the other, where each text's start, where each missing word's belong).
-        ``others``: ids of the missing words; without them they are left out."""
+        ``others``: ids of the missing words, ``each``: how many each has; without them they are left out."""
         t = self.table
         n = np.where(self.k >= 0, t.n[self.k] if len(t.n) else 0, 0).astype(np.int64)
         src = np.where(self.k >= 0, t.at[self.k] if len(t.at) else 0, 0)
         flat = t.ids
         if others is not None:
-            rest = np.frombuffer(b"".join(others), "<u4")
-            n[self.missing] = np.fromiter((len(x) // 4 for x in others), np.int64, len(others))
-            src[self.missing] = len(flat) + np.cumsum(n[self.missing]) - n[self.missing]
-            flat = np.concatenate([flat, rest.astype(flat.dtype) if not len(rest) or rest.max() < 1 << 8 * flat.itemsize else rest])
+            n[self.missing] = each
+            src[self.missing] = len(flat) + np.cumsum(each) - each
+            flat = np.concatenate([flat, others.astype(flat.dtype) if not len(others) or others.max() < 1 << 8 * flat.itemsize else others])
         before = np.cumsum(n) - n
         out = flat[np.repeat(src - before, n) + np.arange(n.sum())]
         ends = np.append(before, n.sum())
