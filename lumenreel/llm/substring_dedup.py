@@ -7,20 +7,24 @@ Equal windows have equal minimisers and meet in a bucket, where the windows of t
 share a minimiser are sorted and counted, word for word.
 
 Each task packs what goes to a bucket into compressed blocks and sends a string only once per
-block, with its count; so copies don't pile up. A minimiser that a bounded sample shows to be in
-more than ``HOT`` of the documents would still gather different strings without end; its windows
-travel one by one instead, as 128-bit digests to the bucket of the digest, and are counted there.
-Which way a window goes depends on its minimiser alone, so both counts are complete.
-
-Answers go back by the digest of the string. Documents are then joined with the spans to remove.
+block, with its count; so copies don't pile up. A minimiser of ``HOT`` super-k-mers or more, counted
+over all texts, would still gather different strings without end; its windows travel one by one
+instead, as 128-bit digests to the bucket of the digest, and are counted there. Which way a window
+goes depends on its minimiser alone, so both counts are complete.
+
+Answers go back by the digest of the string, and the spans to remove by the digest of the text. Three
+sets are broadcast as bitmaps of a fixed size, in which a few others may seem to be: the hot minimisers,
+the digests with an answer and the texts with spans. What isn't in them need not travel: a string
+without an answer stays unsent, and a text without spans is never shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,13 +32,17 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import partitions
-from .wordhash import encoded, runs, word_hashes
+from .bitmaps import bitmap, in_bitmap, leading
+from .common import lean, partitions, slices, stored
+from .wordhash import encoded, mixed, runs, word_hashes
 
 N, M = 35, 6
-#: Share of sampled documents from which on a minimiser is hot.
-HOT = 0.002
+#: Super-k-mers from which on a minimiser is hot.
+HOT = 1000
+#: Bytes of strings that a bucket gets, about.
+BUCKET = 64 << 20
 #: Characters of text after which a task sends its blocks on.
 FLUSH = 24 << 20
 
@@ -74,24 +82,15 @@ def _digest(b: bytes) -> bytes:
     return hashlib.blake2b(b, digest_size=16).digest()
 
 
-def _hot(docs: DataFrame, n: int, m: int, sample_docs: int) -> np.ndarray:
-    """Sorted hashes of the hot minimisers, from about ``sample_docs`` documents. The bound on
-    their number: super-k-mers a document, divided by HOT."""
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share * (1 << 20))
-
+def _minimisers(m_of: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = defaultdict(int)
+        """How many super-k-mers each minimiser has. (Their hashes are mixed: least hashes are small.)"""
         for b in batches:
-            for t in b["text"]:
-                for x in set(super_kmers(plain(t.as_py()), n, m)[2].tolist()):
-                    seen[x] += 1
-        yield pa.RecordBatch.from_pydict({"h": pa.array([x - (1 << 63) for x in seen], pa.int64()), "c": pa.array(list(seen.values()), pa.int64())})
+            for part in slices(b, "text", FLUSH // 8):
+                h, c = np.unique(np.concatenate([m_of(t.as_py()) for t in part["text"]]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
 
-    least = max(20, HOT * min(total, sample_docs))
-    got = picked.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least).toPandas()
-    return np.sort(np.array([x + (1 << 63) for x in got["h"].tolist()], np.uint64))
+    return run
 
 
 def _pack(items: dict, singles: dict) -> bytes:
@@ -165,18 +164,30 @@ def _answers(blocks: list[bytes], n: int) -> Iterator[tuple[bytes, bytes]]:
                 yield _digest(s), np.stack([at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]] + 1], 1).astype("<u4").tobytes()
 
 
-def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None = None, sample_docs: int = 4000) -> DataFrame:
-    """key (of xxhash64(doc_id, text)) and spans: (first word, last+1 word) pairs, binary unsigned
-    32-bit, of every window in doc_id, text that starts anywhere else as well."""
+def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None = None, hot: int = HOT) -> DataFrame:
+    """key (MD5 of the text) and found: (at, spans) structs, spans being (first, last+1 window)
+    pairs, binary unsigned 32-bit, relative to ``at``, of every window of a text in docs (text) that
+    starts anywhere else as well."""
     spark = docs.sparkSession
-    hot = spark.sparkContext.broadcast(_hot(docs, n, m, sample_docs))
-    count = buckets or 2 * partitions(spark)
-
-    def is_hot(mh: np.ndarray) -> np.ndarray:
-        h = hot.value
-        if not len(h):
-            return np.zeros(len(mh), bool)
-        return h[np.minimum(np.searchsorted(h, mh), len(h) - 1)] == mh
+    docs = docs.select("text").where(F.col("text").isNotNull())
+    if not buckets:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(2 * partitions(spark), math.ceil(4 * size / BUCKET))
+    counts = docs.mapInArrow(lean(_minimisers(lambda t: mixed(super_kmers(plain(t), n, m)[2]))), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    often = spark.sparkContext.broadcast(bitmap(counts.where(F.col("c") >= hot), "h"))
+
+    def strings(text: bytes) -> Iterator[tuple[bool, int, int, bytes]]:
+        """What travels of a text: (whether a single window, hash of the minimiser, first window, words)."""
+        first, length, mh, start, end = super_kmers(text, n, m)
+        hot_here, ws = in_bitmap(often.value, mixed(mh)), ()
+        if hot_here.any():
+            ws = text.split()
+        for a, w, h, s, e, single in zip(*(z.tolist() for z in (first, length, mh, start, end, hot_here)), strict=True):
+            if single:
+                for i in range(a, a + w):
+                    yield True, h, i, b" ".join(ws[i : i + n])
+            else:
+                yield False, h, a, text[s:e]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: dict[int, dict] = defaultdict(dict)
@@ -185,26 +196,18 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
 
         def flush() -> Iterator[pa.RecordBatch]:
             for b in sorted(items.keys() | singles.keys()):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_pack(items.get(b, {}), singles.get(b, {}))], pa.binary())], names=["bucket", "block"])
-            items.clear()
-            singles.clear()
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_pack(items.pop(b, {}), singles.pop(b, {}))], pa.binary())], names=["bucket", "block"])
 
         for batch in batches:
             for t in batch["text"]:
                 text = plain(t.as_py())
-                first, length, mh, start, end = super_kmers(text, n, m)
-                hot_here, ws = is_hot(mh), ()
-                if hot_here.any():
-                    ws = text.split()
-                for a, w, h, s, e, single in zip(*(z.tolist() for z in (first, length, mh, start, end, hot_here)), strict=True):
+                for single, h, _, words in strings(text):
                     if single:
-                        for i in range(a, a + w):
-                            d = _digest(b" ".join(ws[i : i + n]))
-                            mine = singles[int.from_bytes(d[:8], "little") % count]
-                            mine[d] = mine.get(d, 0) + 1
+                        d = _digest(words)
+                        mine, k = singles[int.from_bytes(d[:8], "little") % buckets], d
                     else:
-                        mine, k = items[(h >> 20) % count], (h, text[s:e])
-                        mine[k] = mine.get(k, 0) + 1
+                        mine, k = items[(h >> 20) % buckets], (h, words)
+                    mine[k] = mine.get(k, 0) + 1
                 size += len(text)
                 if size >= FLUSH:
                     yield from flush()
@@ -214,66 +217,82 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
     def count_windows(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_answers(pdf["block"].tolist(), n), columns=["digest", "spans"])
 
-    blocks = docs.select("text").mapInArrow(send, "bucket int, block binary")
-    answers = blocks.groupBy("bucket").applyInPandas(count_windows, "digest binary, spans binary")
+    blocks = docs.mapInArrow(lean(send), "bucket int, block binary")
+    answers = stored(blocks.groupBy("bucket").applyInPandas(count_windows, "digest binary, spans binary"), "answers")
+    asked = spark.sparkContext.broadcast(bitmap(answers.select(leading("digest").alias("h")), "h"))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Where each string and single window of a document stands."""
+        """Where the strings and single windows that may have an answer stand; of the texts of a batch
+        each once."""
         for batch in batches:
             keys, ds, at = [], [], []
-            for key, t in zip(batch["key"].to_pylist(), batch["text"], strict=True):
-                text = plain(t.as_py())
-                first, length, mh, start, end = super_kmers(text, n, m)
-                hot_here, ws = is_hot(mh), ()
-                if hot_here.any():
-                    ws = text.split()
-                for a, w, s, e, single in zip(*(z.tolist() for z in (first, length, start, end, hot_here)), strict=True):
-                    if single:
-                        ds += [_digest(b" ".join(ws[i : i + n])) for i in range(a, a + w)]
-                        at += range(a, a + w)
-                        keys += [key] * w
-                    else:
-                        ds.append(_digest(text[s:e]))
-                        at.append(a)
-                        keys.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ds, pa.binary()), pa.array(at, pa.int32())], names=["key", "digest", "at"])
+            for t in dict.fromkeys(batch["text"].to_pylist()):
+                some = [(i, _digest(words)) for _, _, i, words in strings(plain(t))]
+                if some:
+                    h = np.frombuffer(b"".join([d for _, d in some]), ">u8")[::2].astype(np.uint64)
+                    mine = [some[i] for i in np.flatnonzero(in_bitmap(asked.value, h)).tolist()]
+                    keys += [hashlib.md5(encoded(t)).digest()] * len(mine)
+                    at += [i for i, _ in mine]
+                    ds += [d for _, d in mine]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ds, pa.binary()), pa.array(at, pa.int32())], names=["key", "digest", "at"])
 
-    where = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(places, "key long, digest binary, at int")
-    return where.join(answers, "digest").groupBy("key").agg(F.collect_list(F.struct("at", "spans")).alias("found"))
+    where = docs.mapInArrow(lean(places), "key binary, digest binary, at int")
+    return where.join(answers, "digest").groupBy("key").agg(F.collect_set(F.struct("at", "spans")).alias("found"))
 
 
-def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, m: int = M, buckets: int | None = None) -> DataFrame:
+def remove_repeated(docs: DataFrame, text: str = "text", n: int = N, m: int = M, buckets: int | None = None, hot: int = HOT) -> DataFrame:
     """``docs`` with n_words, n_removed and kept (the kept words joined by one space) in place of
     columns of these names.
 
     Every word in a window of ``n`` words whose word sequence starts anywhere else too, in the
     same or another document, is removed; windows are judged on the input. Null and empty texts
     have no words; rows that are repeated count as documents of their own, so their windows
-    repeat; texts shorter than a window keep all; an empty table gives no rows. Rows are found
-    again by a 64-bit hash of id and text; the spans are checked against the row's own windows."""
+    repeat; texts shorter than a window keep all; an empty table gives no rows. Texts and strings are
+    told by 128-bit digests."""
     docs = docs.drop("n_words", "n_removed", "kept")
-    spans = repeated_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), n, m, buckets)
-    keyed = docs.withColumn("_key", F.xxhash64(doc_id, text))
-    joined = keyed.join(spans.withColumnRenamed("key", "_key").withColumnRenamed("found", "_found"), "_key", "left").drop("_key")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = stored(repeated_spans(docs.select(F.col(text).alias("text")), n, m, buckets, hot), "spans")
+    hit = docs.sparkSession.sparkContext.broadcast(bitmap(found.select(leading("key").alias("h")), "h"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    row = T.StructField("row", docs.schema)
+    shape = T.StructType([row, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+
+    def dealt(batches: Iterator[pa.RecordBatch], spans: bool) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+        """The rows whose text may have spans, or those whose has none, with the digests of the texts."""
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                total, gone, kept = [], [], []
-                for t, found in zip(part[text], part["_found"], strict=True):
-                    ws = encoded(t.as_py()).split()
-                    edge = np.zeros(len(ws) + n, np.int64)
-                    for f in found.as_py() or ():
-                        for a, b in np.frombuffer(f["spans"], "<u4").reshape(-1, 2).tolist():
-                            edge[f["at"] + a] += 1
-                            edge[f["at"] + b + n - 1] -= 1
-                    out = np.cumsum(edge)[: len(ws)] > 0
-                    total.append(len(ws))
-                    gone.append(int(out.sum()))
-                    kept.append(b" ".join([w for w, x in zip(ws, out.tolist(), strict=True) if not x] if gone[-1] else ws))
-                rest = [c for c in part.schema.names if c != "_found"]
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array([k.decode() for k in kept], pa.string())], names=[*rest, "n_words", "n_removed", "kept"])
-
-    shape = joined.drop("_found").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
-    return joined.mapInArrow(clean, shape)
+            for part in slices(batch, "text", FLUSH // 8):
+                keys = [hashlib.md5(encoded(t)).digest() for t in part["text"].to_pylist()]
+                h = np.frombuffer(b"".join(keys), ">u8")[::2].astype(np.uint64)
+                at = np.flatnonzero(in_bitmap(hit.value, h) == spans)
+                yield part.take(pa.array(at)), [keys[i] for i in at.tolist()]
+
+    def cleaned(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        total, gone, kept = [], [], []
+        for t, mine in zip(part["text"], found, strict=True):
+            ws = encoded(t.as_py()).split()
+            edge = np.zeros(len(ws) + n, np.int64)
+            for f in mine or ():
+                for a, b in np.frombuffer(f["spans"], "<u4").reshape(-1, 2).tolist():
+                    edge[f["at"] + a] += 1
+                    edge[f["at"] + b + n - 1] -= 1
+            out = np.cumsum(edge)[: len(ws)] > 0
+            total.append(len(ws))
+            gone.append(int(out.sum()))
+            kept.append(b" ".join([w for w, x in zip(ws, out.tolist(), strict=True) if not x] if gone[-1] else ws).decode())
+        return pa.RecordBatch.from_arrays([part["row"], pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=shape.names)
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, _ in dealt(batches, False):
+            yield cleaned(part, [None] * part.num_rows)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, keys in dealt(batches, True):
+            yield pa.RecordBatch.from_arrays([part["row"], part["text"], pa.array(keys, pa.binary())], names=["row", "text", "key"])
+
+    def spliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", FLUSH // 8):
+                yield cleaned(part, part["found"].to_pylist())
+
+    touched = rows.mapInArrow(lean(named), T.StructType([row, T.StructField("text", T.StringType()), T.StructField("key", T.BinaryType())]))
+    touched = touched.join(found, "key", "left").select("row", "text", "found").mapInArrow(lean(spliced), shape)
+    return rows.mapInArrow(lean(untouched), shape).unionByName(touched).select("row.*", "n_words", "n_removed", "kept")
