@@ -1,21 +1,30 @@
 """Line dedup with a log-template tree.
 
-Every line is parsed at a fixed depth: by its number of tokens, then its leading tokens, with
-fields that are variable in themselves (numbers, addresses, assignments) generalised to a
-wildcard. A leaf of the tree has three templates for a line: all its tokens; and, from
-``general_tokens`` tokens on, the leading tokens with those at even or at odd places, the others
-being wildcards, so that lines that differ in one more field share at least one of them.
-
-A template recurs if it is in ``min_docs`` different texts or more, whatever their share of its
-documents: a text that was copied a thousand times counts once, so its lines don't recur by that. Near
-copies are different texts. Recurring lines are dropped, however short; only lines of fewer than
-``BARE`` tokens that are all wildcards (a number, say) are not counted, as they share no word.
+A line is parsed at a fixed depth: by its number of tokens, then its leading token; tokens that are
+variable in themselves (numbers, addresses, assignments) are a wildcard from the start. Two kinds of
+template recur and are dropped:
+
+- whole ones, the tokens of a line in order, in ``min_docs`` different texts or more;
+- general ones, whose other variable fields are learned. Below its leaf a line goes to two blocks, the
+  first and the second half of its tokens (each with the leading token). Where the lines of a block are
+  in ``min_docs`` different texts or more, they are a group, and the places outside the block are
+  learned from its distinct lines: a token that ``AGREE`` of them share is literal, any other place is a
+  wildcard. The group's template stands if at least ``LITERAL`` of its tokens are literal; the lines
+  that agree with it in all of them are dropped. One free field, or several in one half, are found
+  this way, in lines of any length that leaves enough literal tokens (four or more).
+
+Texts are told apart by content: a text that was copied a thousand times counts once, so its lines
+don't recur by that. Near copies are different texts. Recurring lines are dropped, however short; only
+lines of fewer than ``BARE`` tokens that are all wildcards (a number, say) are not counted, as they
+share no word. A leaf, a group and a template are rows of aggregates with partial sums by task, so that
+none of them, however common, is gathered anywhere.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,59 +32,106 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .bitmaps import bitmap, in_bitmap
+from .common import lean, stored
 from .wordhash import MIX, U, encoded, mixed, word_hashes
 
-LEAD = 2
 #: Lines of fewer tokens need a literal one.
 BARE = 4
+#: Share of a group's distinct lines that a literal token stands in; of literal tokens in a template.
+AGREE, LITERAL = 0.9, 0.7
 #: Bytes of text that are parsed at once.
 PART = 1 << 18
-#: Up to so many recurring templates (8 bytes each) are broadcast; more are joined.
-BROADCAST_TEMPLATES = 1 << 20
+#: Up to so many whole templates, and tokens of general ones, are broadcast; more are joined.
+BROADCAST = 1 << 20
 #: Bytes that make a token a variable field: digits, and signs of addresses and assignments.
 _FIELD = np.isin(np.arange(256), [*b"0123456789@=\\"])
 
 
-def parse(texts: list[bytes], general_tokens: int) -> tuple[np.ndarray, ...]:
-    """Of some texts: where each one's lines start and end among all (one more than there are
-    texts), and for each line whether it is counted, the hash of its whole template, and its two
-    general ones (rows; 0 where the line has none)."""
-    whole_text = b"\n".join(texts)
-    a = np.frombuffer(whole_text, np.uint8)
-    broken = np.cumsum(a == 10, dtype=np.int32)
-    lines = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
-    bounds = np.concatenate(([0], np.cumsum(lines)))
-    total = int(bounds[-1])
-    starts, ends, h = word_hashes(whole_text)
-    if not len(h):
-        return bounds, np.zeros(total, bool), np.zeros(total, U), np.zeros((2, total), U)
-    vary = np.cumsum(_FIELD[a], dtype=np.int32)
-    h[vary[ends - 1] != vary[starts] - _FIELD[a[starts]]] = 0
-    line = broken[starts]
-    n = np.bincount(line, minlength=total)
-    literal = np.bincount(line[h != 0], minlength=total)
-    first = np.cumsum(n) - n
-    place = np.arange(len(h)) - first[line]
-    value = (h + (place + 1).astype(U) * MIX) * U(0xBF58476D1CE4E5B9)
-    value ^= value >> U(31)
-    value *= U(0x94D049BB133111EB)
-    some = n > 0
-    at, size = first[some], n[some].astype(U) * MIX
-
-    def by_line(v: np.ndarray, salt: int) -> np.ndarray:
-        out = np.zeros(total, U)
-        out[some] = mixed(np.add.reduceat(v, at) + size + U(salt))
-        return out
+class Lines:
+    """Some texts, parsed. Of each line among all: ``n`` tokens, whether it is ``counted``, the hash of
+    its ``whole`` template and of its two ``groups`` (0 for none). ``bounds``: where each text's lines
+    start and end among all. ``token``: 32 bits of each token, 0 for a wildcard."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.texts = texts
+        whole_text = b"\n".join(texts)
+        a = np.frombuffer(whole_text, np.uint8)
+        broken = np.cumsum(a == 10, dtype=np.int32)
+        lines = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
+        self.bounds = np.concatenate(([0], np.cumsum(lines)))
+        total = int(self.bounds[-1])
+        starts, ends, h = word_hashes(whole_text)
+        self.whole, self.groups = np.zeros(total, U), np.zeros((2, total), U)
+        self.n, self.first, self.token = np.zeros(total, np.int64), np.zeros(total, np.int64), np.zeros(0, np.uint32)
+        self.counted = np.zeros(total, bool)
+        if not len(h):
+            return
+        vary = np.cumsum(_FIELD[a], dtype=np.int32)
+        h[vary[ends - 1] != vary[starts] - _FIELD[a[starts]]] = 0
+        self.token = (h >> U(32)).astype(np.uint32)
+        self.token[(h != 0) & (self.token == 0)] = 1
+        line = broken[starts]
+        self.n = np.bincount(line, minlength=total)
+        self.first = np.cumsum(self.n) - self.n
+        literal = np.bincount(line[h != 0], minlength=total)
+        self.counted = (literal > 0) | (self.n >= BARE)
+        place = np.arange(len(h)) - self.first[line]
+        value = mixed(h + (place + 1).astype(U) * MIX)
+        some = self.n > 0
+        at, size = self.first[some], self.n[some].astype(U) * MIX
+
+        def by_line(v: np.ndarray, salt: int) -> np.ndarray:
+            out = np.zeros(total, U)
+            out[some] = mixed(np.add.reduceat(v, at) + size + U(salt))
+            return out
+
+        late = place >= (self.n[line] + 1) // 2
+        self.whole = by_line(value, 0)
+        self.groups = np.stack([by_line(np.where(late, U(0), value), 1), by_line(np.where(late | (place == 0), value, U(0)), 2)])
+        self.groups[:, (self.n < BARE) | ~self.counted] = 0
+
+    def rest(self, kind: int, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens outside the block of the lines, one after the other; how many each has)."""
+        half = (self.n[lines] + 1) // 2
+        lo, hi = (half, self.n[lines]) if kind == 0 else (np.ones_like(half), half)
+        size = hi - lo
+        before = np.cumsum(size) - size
+        return np.repeat(self.first[lines] + lo - before, size) + np.arange(size.sum()), size
 
-    even = np.where((place < LEAD) | (place & 1 == 0), value, U(0))
-    odd = np.where((place < LEAD) | (place & 1 == 1), value, U(0))
-    general = np.stack([by_line(even, 1), by_line(odd, 2)])
-    general[:, n < general_tokens] = 0
-    return bounds, (literal > 0) | (n >= BARE), by_line(value, 0), general
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.texts)), np.diff(self.bounds))
 
 
-def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+class Templates:
+    """General templates: ``group`` hashes, sorted, and the tokens outside the block of each (0: wildcard)."""
+
+    def __init__(self, groups: list[int], tokens: list[list[int | None]]) -> None:
+        g = np.array(groups, np.int64).view(U)
+        order = np.argsort(g)
+        self.group = g[order]
+        flat = [tokens[i] for i in order.tolist()]
+        self.at = np.cumsum([0, *map(len, flat)])
+        self.wild = np.array([t is None for ts in flat for t in ts], bool)
+        self.token = np.array([t or 0 for ts in flat for t in ts], np.int64).astype(np.uint32)
+
+    def fitting(self, lines: Lines) -> np.ndarray:
+        """Which of the lines agree with the template of one of their groups."""
+        out = np.zeros(len(lines.n), bool)
+        if not len(self.group):
+            return out
+        for kind, group in enumerate(lines.groups):
+            k = np.minimum(np.searchsorted(self.group, group), len(self.group) - 1)
+            mine = np.flatnonzero((self.group[k] == group) & (group != 0))
+            words, size = lines.rest(kind, mine)
+            before = np.cumsum(size) - size
+            theirs = np.repeat(self.at[k[mine]] - before, size) + np.arange(size.sum())
+            unlike = ~self.wild[theirs] & (self.token[theirs] != lines.token[words])
+            out[mine] |= np.bincount(np.repeat(np.arange(len(mine)), size), weights=unlike, minlength=len(mine)) == 0
+        return out
+
+
+def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, Lines]]:
     """A batch in parts of about PART bytes, so that few are held at once."""
     size = lo = 0
     some: list[bytes] = []
@@ -83,82 +139,136 @@ def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, l
         some.append(encoded(t.as_py()))
         size += len(some[-1])
         if size >= PART:
-            yield batch.slice(lo, i + 1 - lo), some
+            yield batch.slice(lo, i + 1 - lo), Lines(some)
             lo, size, some = i + 1, 0, []
     if some:
-        yield batch.slice(lo), some
+        yield batch.slice(lo), Lines(some)
 
 
-def recurring(docs: DataFrame, min_docs: int = 10, general_tokens: int = 12) -> DataFrame:
-    """template, n_docs, n_contents of the templates that recur in ``docs`` (text)."""
+def recurring(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """h: the hashes of whole templates and of groups that are in ``min_docs`` different texts of
+    ``docs`` (text) or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, some in _parts(batch, "text"):
-                bounds, counted, whole, general = parse(some, general_tokens)
-                doc = np.repeat(np.arange(len(some)), np.diff(bounds))
-                content = np.fromiter((int.from_bytes(hashlib.blake2b(x, digest_size=8).digest()) for x in some), U, len(some))
-                use = np.flatnonzero(counted)
-                t, d = np.concatenate([whole[use], *general[:, use]]), np.tile(doc[use], 3)
-                t, d = t[t != 0], d[t != 0]
-                order = np.lexsort((t, d))
-                t, d = t[order], d[order]
-                keep = np.concatenate(([True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])))[: len(t)]
-                yield pa.RecordBatch.from_arrays([pa.array(t[keep].view(np.int64)), pa.array(content[d[keep]].view(np.int64))], names=["template", "content"])
-
-    pairs = docs.select("text").mapInArrow(run, "template long, content long").groupBy("template", "content").agg(F.count(F.lit(1)).alias("n"))
-    sums = pairs.groupBy("template").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_contents"))
-    return sums.where(F.col("n_contents") >= min_docs)
-
-
-def drop_recurring(
-    docs: DataFrame, text: str = "text", min_docs: int = 10, general_tokens: int = 12, broadcast_templates: int = BROADCAST_TEMPLATES
-) -> DataFrame:
+            for _, lines in _parts(batch, "text"):
+                content = np.fromiter((int.from_bytes(hashlib.blake2b(x, digest_size=8).digest()) for x in lines.texts), U, len(lines.texts))
+                use = np.flatnonzero(lines.counted)
+                h, d = np.concatenate([lines.whole[use], *lines.groups[:, use]]), np.tile(lines.owners()[use], 3)
+                h, d = h[h != 0], d[h != 0]
+                order = np.lexsort((h, d))
+                h, d = h[order], d[order]
+                keep = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))[: len(h)]
+                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(content[d[keep]].view(np.int64))], names=["h", "content"])
+
+    pairs = docs.select("text").mapInArrow(lean(run), "h long, content long").distinct()
+    return pairs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
+
+
+def learned(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """group, tokens (null: wildcard): the general templates of the groups in ``found`` (h)."""
+    groups = docs.sparkSession.sparkContext.broadcast(bitmap(found, "h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The distinct lines of the groups, with their tokens outside the block and the number of
+        literal ones in it."""
+        for batch in batches:
+            for _, lines in _parts(batch, "text"):
+                literal = np.concatenate(([0], np.cumsum(lines.token != 0)))
+                for kind, group in enumerate(lines.groups):
+                    mine = np.flatnonzero((group != 0) & in_bitmap(groups.value, group))
+                    mine = mine[np.unique(np.stack([group[mine], lines.whole[mine]]), axis=1, return_index=True)[1]] if len(mine) else mine
+                    words, size = lines.rest(kind, mine)
+                    ends = np.concatenate(([0], np.cumsum(size)))
+                    whole = literal[lines.first[mine] + lines.n[mine]] - literal[lines.first[mine]]
+                    outside = np.concatenate(([0], np.cumsum(lines.token[words] != 0)))
+                    inside = whole - (outside[ends[1:]] - outside[ends[:-1]])
+                    rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.token[words].astype(np.int64)))
+                    cols = [pa.array(z.astype(np.int64)) for z in (lines.n[mine], inside)]
+                    yield pa.RecordBatch.from_arrays([pa.array(group[mine].view(np.int64)), pa.array(lines.whole[mine].view(np.int64)), *cols, rest], names=["group", "whole", "n", "inside", "rest"])
+
+    seen = docs.select("text").mapInArrow(lean(run), "group long, whole long, n long, inside long, rest array<long>")
+    first = [F.first(c).alias(c) for c in ("n", "inside", "rest")]  # the same in all rows
+    kinds = seen.groupBy("group", "whole").agg(*first).join(found.select(F.col("h").alias("group")), "group", "left_semi")
+    at = kinds.select("group", "n", "inside", F.posexplode("rest").alias("at", "token"))
+    counts = at.groupBy("group", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("inside").alias("inside"))
+    places = counts.groupBy("group", "at").agg(F.max(F.struct("c", "token")).alias("top"), F.sum("c").alias("all"), F.first("n").alias("n"), F.first("inside").alias("inside"))
+    token = F.when(F.col("top.c") >= AGREE * F.col("all"), F.col("top.token"))
+    whole = places.groupBy("group").agg(
+        F.first("n").alias("n"),
+        (F.first("inside") + F.count_if(token > 0)).alias("literal"),
+        F.count_if(token.isNull()).alias("wild"),
+        F.transform(F.sort_array(F.collect_list(F.struct("at", token.alias("token")))), lambda x: x["token"]).alias("tokens"),
+    )
+    return whole.where((F.col("wild") > 0) & (F.col("literal") >= LITERAL * F.col("n"))).select("group", "tokens")
+
+
+def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = 10, broadcast: int = BROADCAST) -> DataFrame:
     """``docs`` with ``kept`` (the text without its recurring lines), n_lines and n_removed in place
-    of columns of these names. A null text stays null, with no lines; blank lines and lines of
-    fewer than ``BARE`` tokens without a literal one stay; a line that a document repeats counts once for it;
-    repeated rows are one content; an empty table stays empty."""
+    of columns of these names. A null text stays null, with no lines; an empty one has none either; blank
+    lines and lines of fewer than ``BARE`` tokens without a literal one stay; a line that a document
+    repeats counts once for it; repeated rows are one content; an empty table stays empty."""
     docs = docs.drop("kept", "n_lines", "n_removed")
     spark = docs.sparkSession
-    found = stored(recurring(docs.select(F.col(text).alias("text")), min_docs, general_tokens), "templates")
-    shape = T.StructType([*docs.schema.fields, T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    if found.count() <= broadcast_templates:
-        gone = spark.sparkContext.broadcast(np.sort(found.select("template").toArrow()["template"].to_numpy().view(U)))
-        return docs.mapInArrow(lambda batches: _cleaned(batches, text, gone.value, general_tokens), shape)
+    texts = docs.select(F.col(text).alias("text"))
+    found = stored(recurring(texts, min_docs), "recurring")
+    general = stored(learned(texts, found), "templates")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    row = T.StructField("row", docs.schema)
+    shape = T.StructType([row, T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    tokens = general.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+    if found.count() <= broadcast and tokens <= broadcast:
+        got = general.toArrow()
+        gone = spark.sparkContext.broadcast((np.sort(found.toArrow()["h"].to_numpy().view(U)), Templates(got["group"].to_pylist(), got["tokens"].to_pylist())))
+        out = rows.mapInArrow(lean(lambda batches: _cleaned(batches, lambda lines, _: _gone(lines, *gone.value))), shape)
+        return out.select("row.*", "kept", "n_lines", "n_removed")
 
-    def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets = spark.sparkContext.broadcast((bitmap(found, "h"), bitmap(general, "group")))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hashes of each text that seem to be in either table."""
+        whole, groups = sets.value
         for batch in batches:
-            for part, some in _parts(batch, text):
-                bounds, _, whole, general = parse(some, general_tokens)
-                doc = np.tile(np.repeat(np.arange(len(some)), np.diff(bounds)), 3)
-                keys = part["_key"].to_numpy(zero_copy_only=False)[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate([whole, *general]).view(np.int64))], names=["_key", "template"])
+            for _, lines in _parts(batch, "text"):
+                h, d = np.concatenate([lines.whole, *lines.groups]), np.tile(lines.owners(), 3)
+                mine = np.flatnonzero((h != 0) & (in_bitmap(whole, h) | in_bitmap(groups, h)))
+                keys = [hashlib.md5(t).digest() for t in lines.texts]
+                yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in d[mine].tolist()], pa.binary()), pa.array(h[mine].view(np.int64))], names=["key", "h"])
+
+    hashes = texts.mapInArrow(lean(asked), "key binary, h long").distinct()
+    hits = hashes.join(found, "h").select("key", "h", F.lit(None).cast("array<long>").alias("tokens"))
+    hits = hits.unionByName(hashes.join(general.withColumnRenamed("group", "h"), "h"))
+    gone = hits.groupBy("key").agg(F.collect_list(F.struct("h", "tokens")).alias("gone"))
+    joined = rows.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).join(gone, "key", "left").select("row", "text", "gone")
+
+    def each(lines: Lines, part: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros(len(lines.n), bool)
+        for i, mine in enumerate(part["gone"].to_pylist()):
+            if mine:
+                one = Lines([lines.texts[i]])
+                whole = np.sort(np.array([x["h"] for x in mine if x["tokens"] is None], np.int64).view(U))
+                some = [x for x in mine if x["tokens"] is not None]
+                out[lines.bounds[i] : lines.bounds[i + 1]] = _gone(one, whole, Templates([x["h"] for x in some], [x["tokens"] for x in some]))
+        return out
+
+    return joined.mapInArrow(lean(partial(_cleaned, gone=each)), shape).select("row.*", "kept", "n_lines", "n_removed")
+
 
-    keyed = docs.withColumn("_key", F.xxhash64(text))
-    hits = keyed.select("_key", text).mapInArrow(where, "_key long, template long").distinct().join(found.select("template"), "template")
-    gone = hits.groupBy("_key").agg(F.collect_list("template").alias("_gone"))
-    joined = keyed.join(gone, "_key", "left").drop("_key")
-    return joined.mapInArrow(lambda batches: _cleaned(batches, text, None, general_tokens), shape)
+def _gone(lines: Lines, whole: np.ndarray, templates: Templates) -> np.ndarray:
+    """Which lines go; ``whole`` is sorted (it holds groups as well, which no line's template equals)."""
+    out = templates.fitting(lines)
+    if len(whole):
+        out |= whole[np.minimum(np.searchsorted(whole, lines.whole), len(whole) - 1)] == lines.whole
+    return out & lines.counted
 
 
-def _cleaned(batches, text, gone, general_tokens) -> Iterator[pa.RecordBatch]:
+def _cleaned(batches: Iterator[pa.RecordBatch], gone) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, some in _parts(batch, text):
-            rest = [c for c in part.schema.names if c != "_gone"]
-            bounds, counted, whole, general = parse(some, general_tokens)
-            all_ = np.stack([whole, *general])
-            if gone is not None:
-                out = np.isin(all_, gone).any(0)
-            else:
-                out = np.zeros(len(counted), bool)
-                for i, g in enumerate(part["_gone"]):
-                    if g.is_valid:
-                        mine = slice(bounds[i], bounds[i + 1])
-                        out[mine] = np.isin(all_[:, mine], np.array(g.as_py(), np.int64).view(U)).any(0)
-            out &= counted
-            removed = np.add.reduceat(out.astype(np.int64), bounds[:-1]) if len(some) else np.zeros(0, np.int64)
-            kept = [t.as_py() for t in part[text]]
+        for part, lines in _parts(batch, "text"):
+            out, bounds = gone(lines, part), lines.bounds
+            removed = np.add.reduceat(out.astype(np.int64), bounds[:-1])
+            kept = part["text"].to_pylist()
             for i in np.flatnonzero(removed).tolist():
                 kept[i] = "\n".join([x for x, z in zip(kept[i].split("\n"), out[bounds[i] : bounds[i + 1]].tolist(), strict=True) if not z])
-            total = np.where(np.fromiter(map(len, some), np.int64, len(some)) > 0, np.diff(bounds), 0)
-            yield pa.RecordBatch.from_arrays([*(part[c] for c in rest), pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())], names=[*rest, "kept", "n_lines", "n_removed"])
+            total = np.where(np.fromiter(map(len, lines.texts), np.int64, len(lines.texts)) > 0, np.diff(bounds), 0)
+            yield pa.RecordBatch.from_arrays([part["row"], pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())], names=["row", "kept", "n_lines", "n_removed"])

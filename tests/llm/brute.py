@@ -63,6 +63,56 @@ def op4(url, rules):
     return (host, path, *(max(fit)[1:] if fit else (None, None)))
 
 
+def op5(rows, min_docs=10):
+    """Whole templates by exact counting; general ones by their definition: for each block the
+    distinct lines are laid side by side."""
+    masked = lambda w: None if set(w.encode()) & set(b"0123456789@=\\") else w
+    texts = {}
+    for i, t in rows:
+        lines = (t or "").split("\n") if t else []
+        texts[i, t] = [tuple(map(masked, WORD.findall(x))) for x in lines]
+    where = {}
+
+    def blocks(x):
+        half = (len(x) + 1) // 2
+        return [(len(x), 0, x[:half]), (len(x), 1, (x[0], *x[half:]))] if len(x) >= 4 else []
+
+    counted = lambda x: any(w is not None for w in x) or len(x) >= 4
+    for (_, t), lines in texts.items():
+        for x in filter(counted, lines):
+            for key in [x, *blocks(x)]:
+                where.setdefault(key, set()).add(t)
+    often = {k for k, v in where.items() if len(v) >= min_docs}
+    groups = {}
+    for lines in texts.values():
+        for x in filter(counted, lines):
+            for b in blocks(x):
+                if b in often:
+                    groups.setdefault(b, set()).add(x)
+    templates = {}
+    for b, kinds in groups.items():
+        n, half = b[0], (b[0] + 1) // 2
+        rest = range(half, n) if b[1] == 0 else range(1, half)
+        fixed = {}
+        for p in rest:
+            token, c = Counter(x[p] for x in kinds).most_common(1)[0]
+            if c >= 0.9 * len(kinds):
+                fixed[p] = token
+        literal = sum(w is not None for w in b[2]) + sum(w is not None for w in fixed.values())
+        if len(fixed) < len(rest) and literal >= 0.7 * n:
+            templates[b] = fixed
+    out = []
+    for i, t in rows:
+        lines = t.split("\n") if t else []
+        kept = []
+        for raw, x in zip(lines, texts[i, t], strict=True):
+            gone = x in often or any(b in templates and all(x[p] == w for p, w in templates[b].items()) for b in blocks(x))
+            if not (counted(x) and gone):
+                kept.append(raw)
+        out.append((i, len(lines), len(lines) - len(kept), hexed("\n".join(kept).encode())))
+    return sorted(out, key=str)
+
+
 def op6(rows, limit=4096):
     import sentencepiece as spm
 

@@ -9,7 +9,7 @@ def word(i, salt):
 
 def cleaned(spark, rows, **more):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    a, b = ({r["doc_id"]: r["kept"] for r in line_templates.drop_recurring(df, broadcast_templates=n, **more).collect()} for n in (1 << 20, -1))
+    a, b = ({r["doc_id"]: r["kept"] for r in line_templates.drop_recurring(df, broadcast=n, **more).collect()} for n in (1 << 20, -1))
     assert a == b
     return a
 
