@@ -1,14 +1,17 @@
 """Approximate nearest neighbours in a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample (``sample`` vectors): spherical seeds, Lloyd steps, and a
-further split of every cell that holds more than its share. Every row is then indexed: it goes
-down to the nearest child at each level. A query goes through the tree best bin first: a priority
-queue holds the branches not yet taken, the one with the best bound of its inner product in front.
-How many leaves a query visits is calibrated: for a bounded set of sample queries the exact
-neighbours are found against all rows, and the visits are widened until ``recall`` is reached.
-
-Leaves are cut into blocks of at most about ``block`` rows, so that a leaf with a third of all
-rows is many blocks. Each block gives a query its k best; those few are merged.
+The tree is fitted on a bounded sample: spherical seeds, Lloyd steps, and a further split of every
+cell that holds more than its share; it has about as many leaves as the square root of the number of
+rows. Every row is then indexed: it goes down to the nearest child at each level. A query goes through
+the tree best bin first: a priority queue holds the branches not yet taken, the one with the best
+bound of its inner product in front. How many leaves a query visits is calibrated: for a bounded set
+of sample queries the exact neighbours are found against all rows, and the visits are widened until
+``recall`` is reached.
+
+Neighbouring leaves lie together in groves of about ``block`` rows (eight groves at least); one that
+holds more, because of a leaf with a third of all rows say, is cut into parts by a hash. A part meets
+the queries, in blocks, that visit its leaves, compares each with the rows of these leaves, and hands on
+the k best for each. So what is merged grows with the queries and the groves that they visit.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lean, stored
 
 
 @dataclass
@@ -111,29 +114,37 @@ def fit(x: np.ndarray, leaves: int, branching: int = 16, seed: int = 7) -> Tree:
     return Tree(root, made[0])
 
 
-def best(ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its k best rows, its own id left out: (position of the query, ids, scores).
+def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of q and the columns of x, summed dimension by dimension in double
+    precision, in the same order for every pair, so that equal vectors get equal scores everywhere."""
+    s = np.zeros((len(q), x.shape[1]))
+    for d in range(x.shape[0]):
+        s += q[:, d : d + 1] * x[d]
+    return s
 
-    The inner products are summed dimension by dimension in double precision, in the same order
-    for every pair, so that equal vectors get equal scores wherever they are compared."""
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], np.ascontiguousarray(x[order].T, dtype=np.float64)
+
+def best(ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, qid: np.ndarray, q: np.ndarray, asked: list[np.ndarray], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query its k best rows in the leaves ``asked``, rows with its id left out: (position
+    of the query, ids, scores); ties go to the smaller id."""
+    order = np.lexsort((ids, leaf))
+    ids, leaf, x = ids[order], leaf[order], np.ascontiguousarray(x[order].T, dtype=np.float64)
+    starts = np.flatnonzero(np.diff(leaf, prepend=-1))
+    edges = np.append(starts, len(leaf))
     for lo in range(0, len(q), 64):
         part = q[lo : lo + 64].astype(np.float64)
-        s = np.zeros((len(part), len(ids)))
-        for d in range(x.shape[0]):
-            s += part[:, d : d + 1] * x[d]
+        s = np.full((len(part), len(ids)), -np.inf)
+        who = np.repeat(np.arange(len(part)), [len(z) for z in asked[lo : lo + 64]])
+        wanted = np.concatenate([*asked[lo : lo + 64], np.zeros(0, np.int64)])
+        for one, a, b in zip(leaf[starts].tolist(), edges, edges[1:], strict=False):
+            mine = who[wanted == one]
+            if len(mine):
+                s[mine, a:b] = _scores(part[mine], x[:, a:b])
         for i in range(len(part)):
             row = s[i]
-            if len(row) > 4 * k:  # ids are in order, and what equals the k-th best stays: ties go to the smaller id
-                cut = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                near = np.flatnonzero(row >= cut)
-            else:
-                near = np.arange(len(row))
-            near = near[ids[near] != qid[lo + i]]
-            if len(near) < k and len(row) > 4 * k:
-                near = np.flatnonzero(ids != qid[lo + i])
-            top = near[np.argsort(-row[near], kind="stable")[:k]]
+            row[ids == qid[lo + i]] = -np.inf
+            cut = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
+            near = np.flatnonzero((row >= cut) & (row > -np.inf))
+            top = near[np.lexsort((ids[near], -row[near]))[:k]]
             yield lo + i, ids[top], row[top]
 
 
@@ -155,34 +166,39 @@ def search(
     every: int = 20,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
-    recall: float = 0.97,
+    recall: float = 0.94,
     sample: int = 20_000,
-    calibrate: int = 64,
-    leaf_rows: int = 400,
-    max_leaves: int = 4096,
-    block: int = 2000,
+    most_sample: int = 400_000,
+    calibrate: int = 128,
+    block: int = 50_000,
+    asks_block: int = 20_000,
 ) -> DataFrame:
     """For each row whose id is divisible by ``every`` its k nearest other rows by inner product:
     query_id, rank, vec_id, score; nearest first, ties to the smaller id.
 
-    Null, empty, zero and non-finite vectors take no part, nor do those whose length isn't the
-    commonest one. Rows that repeat an id are candidates each, but never for their own id. With
-    fewer candidates than k all are returned; an empty table gives no rows; other columns are not
-    read. Bounds: the tree is fitted on ``sample`` rows, calibrated on ``calibrate`` queries."""
+    Null, empty, zero and non-finite vectors take no part. Vectors are compared with those of their
+    own length. Rows that repeat an id are candidates each, but never for their own id; the query of
+    an id is its shortest and then least vector. With fewer candidates than k all are returned; an
+    empty table gives no rows; other columns are not read. Bounds: a tree is fitted on ``sample`` rows,
+    or eight for each leaf if that is more, at most ``most_sample``; ``calibrate`` queries calibrate it."""
     spark = vectors.sparkSession
     rows = stored(usable(vectors, vec_id, embedding).withColumn("dim", F.size("v")), "vectors")
-    dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    out = "query_id long, rank int, vec_id long, score double"
-    if not dims:
-        return spark.createDataFrame([], out)
-    rows = rows.where(F.col("dim") == dims[0]["dim"]).drop("dim")
-    total = dims[0]["count"]
-    mixed = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30))
-    picked = rows.where(mixed < int(min(1.0, sample / total) * (1 << 30))).limit(2 * sample).select("v").toArrow()
-    x = _matrix(picked["v"].combine_chunks())
-    if not len(x):
-        x = np.zeros((1, dims[0]["dim"]))
-    tree = fit(x, min(max_leaves, max(1, total // leaf_rows), max(1, len(x) // 4)))
+    sizes = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}
+    asks = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim, total in sorted(sizes.items()):
+        mine = [df.where(F.col("dim") == dim).drop("dim") for df in (rows, asks)]
+        out = out.unionByName(_search(*mine, total, k, recall, sample, most_sample, calibrate, block, asks_block))
+    return out
+
+
+def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float, sample: int, most_sample: int, calibrate: int, block: int, asks_block: int) -> DataFrame:
+    spark = rows.sparkSession
+    leaves = max(1, min(math.isqrt(total), most_sample // 8))
+    share = min(1.0, max(sample, 8 * leaves) / total)
+    picked = rows.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").toArrow()
+    x = _matrix(picked["v"].combine_chunks()) if picked.num_rows else _matrix(rows.select("v").limit(1).toArrow()["v"].combine_chunks())
+    tree = fit(x, leaves)
     shared = spark.sparkContext.broadcast(tree)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,48 +206,75 @@ def search(
             leaf = shared.value.assign(_matrix(b["v"])) if b.num_rows else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([b["vec_id"], b["v"], pa.array(leaf, pa.int32())], names=["vec_id", "v", "leaf"])
 
-    indexed = stored(rows.mapInArrow(index, "vec_id long, v array<double>, leaf int"), "indexed")
-    per_leaf = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
-    asks = rows.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
+    indexed = stored(rows.mapInArrow(lean(index), "vec_id long, v array<double>, leaf int"), "indexed")
+    asks = stored(asks, "asks")
+    n_asks = asks.count()
     most = _calibrated(indexed, asks, tree, k, recall, calibrate)
-    blocks = {leaf: math.ceil(n / block) for leaf, n in per_leaf.items()}
-    plan = spark.sparkContext.broadcast((tree, most, blocks))
+    per_leaf = np.zeros(tree.leaves, np.int64)
+    for r in indexed.groupBy("leaf").count().collect():
+        per_leaf[r["leaf"]] = r["count"]
+    room = max(1, math.ceil(total / max(8, math.ceil(total / block))))
+    grove = ((np.cumsum(per_leaf) - per_leaf) // room).astype(np.int32)
+    held = np.bincount(grove, weights=per_leaf)
+    parts = np.maximum(1, np.ceil(held / (2 * room))).astype(np.int64)
+    crowds = max(1, math.ceil(n_asks / asks_block))
+    plan = spark.sparkContext.broadcast((tree, most, grove, parts))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The grove and the part of each row."""
+        _, _, grove, parts = plan.value
+        for b in batches:
+            g = grove[b["leaf"].to_numpy()]
+            part = (b["h"].to_numpy().view(np.uint64) % parts[g].astype(np.uint64)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(part), b["vec_id"], b["v"], b["leaf"]], names=["grove", "part", "vec_id", "v", "leaf"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, most, blocks = plan.value
+        """A query goes to the parts of each grove that it visits, with its leaves there."""
+        tree, most, grove, parts = plan.value
         for b in batches:
-            who, leaf, part = [], [], []
+            who, at, part, seen = [], [], [], []
             for i, q in enumerate(_matrix(b["v"])):
-                for one in tree.visits(q, most):
-                    for p in range(blocks.get(one, 0)):
+                found = np.sort(np.array(tree.visits(q, most), np.int32))
+                for g, mine in zip(*_split(grove[found], found), strict=True):
+                    for p in range(parts[g]):
                         who.append(i)
-                        leaf.append(one)
+                        at.append(g)
                         part.append(p)
-            at = pa.array(who, pa.int64())
+                        seen.append(mine)
+            take = pa.array(who, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf, pa.int32()), pa.array(part, pa.int32()), b["vec_id"].take(at), b["v"].take(at), pa.array([True] * len(who))],
-                names=["leaf", "part", "vec_id", "v", "asks"],
+                [pa.array(at, pa.int32()), pa.array(part, pa.int32()), b["vec_id"].take(take), b["v"].take(take), pa.array(seen, pa.list_(pa.int32())), b["crowd"].take(take)],
+                names=["grove", "part", "vec_id", "v", "seen", "crowd"],
             )
 
-    row = "leaf int, part int, vec_id long, v array<double>, asks boolean"
-    parts = F.create_map(*[F.lit(z) for kv in sorted(blocks.items()) for z in kv])
-    held = indexed.select("leaf", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(parts, F.col("leaf"))).cast("int").alias("part"), "vec_id", "v", F.lit(False).alias("asks"))
-    both = held.unionByName(asks.mapInArrow(visit, row))
+    hashed = indexed.withColumn("h", F.xxhash64("vec_id", "v"))
+    mine = hashed.mapInArrow(lean(placed), "grove int, part int, vec_id long, v array<double>, leaf int").withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1))))
+    crowd = F.pmod(F.xxhash64("vec_id"), F.lit(crowds)).cast("int").alias("crowd")
+    theirs = asks.select("vec_id", "v", crowd).mapInArrow(lean(visit), "grove int, part int, vec_id long, v array<double>, seen array<int>, crowd int")
+    both = mine.unionByName(theirs, allowMissingColumns=True)
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        asks = pdf["seen"].notna()
+        q, c = pdf[asks], pdf[~asks]
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         qid = q["vec_id"].to_numpy()
-        got = [(np.full(len(i), qid[at]), i, s) for at, i, s in best(c["vec_id"].to_numpy(), np.stack(c["v"].to_list()), qid, np.stack(q["v"].to_list()), k)]
+        found = best(c["vec_id"].to_numpy(), np.stack(c["v"].to_list()), c["leaf"].to_numpy().astype(np.int64), qid, np.stack(q["v"].to_list()), q["seen"].to_list(), k)
+        got = [(np.full(len(i), qid[at]), i, s) for at, i, s in found]
         a, b, s = (np.concatenate(z) for z in zip(*got, strict=True))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
-    near = both.groupBy("leaf", "part").applyInPandas(meet, "query_id long, vec_id long, score double")
+    near = both.groupBy("grove", "part", "crowd").applyInPandas(meet, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _split(key: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Runs of equal keys: (keys, the values of each)."""
+    at = np.flatnonzero(np.diff(key)) + 1
+    return [int(key[i]) for i in [0, *at]] if len(key) else [], np.split(values, at) if len(key) else []
+
+
 def _calibrated(indexed: DataFrame, asks: DataFrame, tree: Tree, k: int, recall: float, calibrate: int) -> int:
     """Leaves to visit. For at most ``calibrate`` queries the exact neighbours are found among all
     rows, task by task; then visits are doubled, and halved back, until the share asked for lies
@@ -260,7 +303,7 @@ def _calibrated(indexed: DataFrame, asks: DataFrame, tree: Tree, k: int, recall:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32())], names=["q", "score", "vec_id", "leaf"])
 
     w = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    near = indexed.mapInArrow(exact, "q int, score double, vec_id long, leaf int").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select("q", "leaf").toPandas()
+    near = indexed.mapInArrow(lean(exact), "q int, score double, vec_id long, leaf int").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select("q", "leaf").toPandas()
     depth = []
     for i, found in near.groupby("q")["leaf"]:
         place = {leaf: n for n, leaf in enumerate(tree.visits(q[i]))}

@@ -111,8 +111,17 @@ def test_substring_dedup_hot_minimisers(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(f"u{x}" for x in rng.integers(0, 10**6, 20)) + " " + SENTENCE * 2 + " ".join(f"v{x}" for x in rng.integers(0, 10**6, 20))) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert len(substring_dedup._hot(df, 35, 6, 4000)) > 0
-    assert got(substring_dedup.remove_repeated(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.op3(rows)
+    for hot in (1, 10, 1000):
+        assert got(substring_dedup.remove_repeated(df, hot=hot).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.op3(rows)
+
+
+def test_substring_dedup_rows_alike(spark):
+    """Rows that agree in all columns, and columns with names of every kind, go through unharmed."""
+    rows = [(1, SENTENCE * 2)] * 40 + [(None, SENTENCE * 2), (2, SENTENCE), (3, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("_found", "_key", "found", "key", "row", "digest", "bucket", "at")})
+    out = substring_dedup.remove_repeated(df)
+    assert out.columns == [*df.columns, "n_words", "n_removed", "kept"]
+    assert got(out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.op3(rows)
 
 
 def test_url_rules(spark):
@@ -133,18 +142,57 @@ def test_mined_rules(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] % 3 == 0) for r in out)
 
 
-def test_line_templates(spark, odd, none):
-    """Recurring lines go by either way of looking templates up; the lines of copies stay."""
+def lines_of(df, **how):
+    out = line_templates.drop_recurring(df, **how)
+    return got(out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256)))
+
+
+def test_line_templates(spark, docs):
+    """Against brute force, and by both ways of looking templates up."""
+    rng = np.random.default_rng(6)
+    pick = lambda n, k: " ".join(f"{chr(97 + x)}{chr(97 + y)}" for x, y in rng.integers(0, k, (n, 2)))
     copy = "\n".join(f"a line that only the copied text has and that is number {chr(97 + i)} of its own kind" for i in range(6))
-    rows = [(i, f"unique opening words of {chr(97 + i)}{chr(98 + i)} document\nPosted by user{i} on day {i} of the year\n{chr(97 + i)} closing words nobody else uses") for i in range(25)]
-    rows += [(100 + i, copy) for i in range(40)]
+    rows = [(i, f"{pick(6, 26)}\nposted by {pick(1, 20)} in the daily news of today\nJoined {i} days ago at {i}:00\n{pick(12, 26)}\nthe same words in all\n42\n\nYes.") for i in range(30)]
+    rows += [(50 + i, f"we met {pick(5, 26)} at noon and left the {pick(2, 26)}") for i in range(30)]
+    rows += [(100 + i, copy) for i in range(40)] + [(200, None), (201, ""), (202, "\n\n"), (203, "42\n43"), (None, copy)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    a, b = (got(line_templates.drop_recurring(df, broadcast_templates=n)) for n in (1 << 20, -1))
-    assert a == b and all(r[4] == (1 if r[0] < 100 else 0) for r in a) and all("Posted" not in r[2] for r in a)
-    assert line_templates.drop_recurring(odd).count() == len(ODD) and line_templates.drop_recurring(none).count() == 0
+    want = brute.op5(rows)
+    assert lines_of(df) == want and lines_of(df, broadcast=-1) == want
+    assert lines_of(spark.createDataFrame(docs, "doc_id long, text string")) == brute.op5(docs)
+
+
+def test_line_templates_learn_a_free_field(spark):
+    """One free field in ten tokens is learned; five random ones in twelve make no template."""
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 7)))
+    rows = [(i, f"{word()} {word()} {word()}\nPosted by {word()} in the local section of the news\nthe {word()} of {word()} and {word()} was {word()} for {word()} again now") for i in range(30)]
+    out = line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all("Posted" not in r["kept"] and r["n_removed"] == 1 for r in out)
+
+
+def test_line_templates_odd_rows(spark, odd, none):
+    df = odd.withColumns({c: F.lit(c) for c in ("row", "h", "gone", "_key", "_gone", "group")})
+    out = line_templates.drop_recurring(df)
+    assert out.columns == [c for c in df.columns if c not in ("kept", "n_lines")] + ["kept", "n_lines", "n_removed"]
+    assert lines_of(df) == brute.op5(ODD) and line_templates.drop_recurring(none).count() == 0
 
 
 def test_neighbours(spark):
+    """Many leaves, not all visited, against all rows."""
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(40, 24))
+    x = np.concatenate([m + 0.35 * rng.normal(size=(100, 24)) for m in middles]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    exact = brute.op7(rows)
+    mine = kmeans_tree.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).toPandas()
+    found = mine.sort_values(["query_id", "rank"]).groupby("query_id")["vec_id"].apply(list).to_dict()
+    assert set(found) == set(exact) and sum(len(set(found[i]) & set(exact[i])) for i in exact) >= 0.9 * sum(map(len, exact.values()))
+    v = dict(rows)
+    assert all(abs(r.score - np.dot(np.float64(v[r.query_id]), np.float64(v[r.vec_id]))) < 1e-9 for r in mine.itertuples())
+    assert (mine.groupby("query_id")["rank"].apply(list).str.len() == 20).all()
+
+
+def test_neighbours_of_the_given_table(spark):
     d = pd.read_parquet("/root/testdata/sf0.01/embeddings.parquet")
     exact = brute.op7(list(zip(d["vec_id"], d["embedding"], strict=True)))
     mine = queries.op7_nearest_neighbours(spark, "/root/testdata/sf0.01").toPandas()
@@ -152,16 +200,41 @@ def test_neighbours(spark):
     assert set(found) == set(exact) and sum(len(set(found[i]) & set(exact[i])) for i in exact) >= 0.9 * sum(map(len, exact.values()))
 
 
+def test_a_leaf_is_taken_only_if_visited():
+    """best() compares a query with the rows of the leaves that it asks for."""
+    ids, x, leaf = np.arange(6), np.eye(6), np.array([0, 0, 1, 1, 2, 2])
+    q = np.full((2, 6), 1.0)
+    got = {i: a.tolist() for i, a, _ in kmeans_tree.best(ids, x, leaf, np.array([0, 9]), q, [np.array([0, 2]), np.array([1])], 3)}
+    assert got == {0: [1, 4, 5], 1: [2, 3]}
+
+
 def test_neighbours_odd_rows(spark):
-    rows = [(i, [1.0, float(i % 3)]) for i in range(40)] + [(100, None), (120, [0.0, 0.0]), (140, [float("nan"), 1.0]), (160, []), (180, [1.0]), (None, [1.0, 1.0]), (200, [1.0, None])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    """Ties, short, null, zero, non-finite vectors; other lengths; ids that repeat; clashing columns."""
+    rows = [(i, [1.0, float(i % 3)]) for i in range(40)] + [(100, None), (120, [0.0, 0.0]), (140, [float("nan"), 1.0]), (160, []), (180, [1.0]), (181, [2.0]), (None, [1.0, 1.0]), (200, [1.0, None])]
+    rows += [(20, [5.0, 5.0]), (220, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("mine") for c in ("leaf", "h", "v", "dim", "score", "rank")})
     mine = kmeans_tree.search(df, k=5).toPandas()
-    assert sorted(mine["query_id"].unique()) == [0, 20]
+    assert sorted(mine["query_id"].unique()) == [0, 20, 180]
     assert mine[mine["query_id"] == 20].sort_values("rank")["vec_id"].tolist() == [2, 5, 8, 11, 14]
+    assert mine[mine["query_id"] == 180][["vec_id", "score"]].values.tolist() == [[181, 2.0]]
+    assert mine[mine["query_id"] == 0].sort_values("rank")["vec_id"].tolist() == [20, 1, 2, 3, 4]
     assert kmeans_tree.search(df.limit(0)).count() == 0
     assert kmeans_tree.search(df.where("vec_id in (0, 1)")).count() == 1
 
 
+def test_neighbours_around_a_common_vector(spark):
+    """A third of the rows are one vector: its leaf is cut into parts, and ties go to the smaller ids."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, 0.0, 0.0, 0.0] if i % 3 == 0 else rng.normal(size=4).round(2).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    mine = kmeans_tree.search(df, block=100, asks_block=7).toPandas()
+    exact = {i: sorted(-np.dot(v, u) for j, u in rows if j != i)[19] for i, v in rows if i % 20 == 0}
+    assert (mine.groupby("query_id").size() == 20).all()
+    assert sum(-r.score <= exact[r.query_id] + 1e-12 for r in mine.itertuples()) >= 0.9 * len(mine)
+    near = mine[(mine["query_id"] == 60) & (mine["score"] == 1.0)].sort_values("rank")["vec_id"].tolist()
+    assert near == [i for i in range(0, 1200, 3) if i != 60][: len(near)]
+
+
 def test_packing(spark, none, docs):
     rows = [r.asDict() for r in queries.op8_packing(spark, SF).collect()]
     assert brute.check_packing(rows, brute.op8_ids(docs)) < 0.01
