@@ -20,12 +20,33 @@ def rotation(rows: DataFrame, group: list[str], order: list[str], size: int) ->
     return rows.withColumn("slot", (F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1) % size)
 
 
-def batches(rows: DataFrame, group: list[str], order: list[str], size: int, context: str) -> DataFrame:
-    """``batch`` and the ``context`` column of up to two rows before and after each row."""
+def batches(rows: DataFrame, group: list[str], order: list[str], size: int, text: str, context: int = 2) -> DataFrame:
+    """One row per batch of ``size`` rows: ``batch``, ``texts`` in order, and the texts of up to
+    ``context`` rows ``before`` and ``after`` the batch."""
     w = Window.partitionBy(*group).orderBy(*order)
-    b = rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
-    return b.withColumns({f"{s}{k}": (F.lag if s == "before" else F.lead)(context, k).over(w) for s in ("before", "after") for k in (1, 2)})
+    near = lambda f: F.array_compact(F.array(*[f(text, k).over(w) for k in (range(context, 0, -1) if f is F.lag else range(1, context + 1))]))
+    r = rows.withColumns({"_rn": F.row_number().over(w) - 1, "_before": near(F.lag), "_after": near(F.lead)})
+    r = r.withColumn("batch", F.floor(F.col("_rn") / size).cast("bigint"))
+    sorted_texts = F.transform(F.array_sort(F.collect_list(F.struct("_rn", F.col(text).alias("t")))), lambda x: x["t"])
+    return r.groupBy(*group, "batch").agg(sorted_texts.alias("texts"), F.min_by("_before", "_rn").alias("before"), F.max_by("_after", "_rn").alias("after"))
 
 
 def top_per_group(rows: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def gap_filled(rows: DataFrame, group: list[str], order: list[str], kept: str) -> DataFrame:
+    """``rows`` with ``number`` and ``padded``: the ``kept`` numbers stay, the other rows take the least
+    numbers of their group that are free, in order. Numbers are padded to two digits up to 99 rows, else
+    three, and wider if a kept one is."""
+    n = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(kept).alias("_most"))
+    width = F.when(F.col("_n") <= 99, 2).otherwise(3)
+    wide = n.select(*group, F.greatest(width, F.coalesce(F.length(F.col("_most").cast("string")), F.lit(0))).alias("_width"))
+    # twice as many numbers as rows: enough are free, whatever was kept
+    free = n.select(*group, F.explode(F.sequence(F.lit(1), 2 * F.col("_n"))).alias("number"))
+    free = free.join(rows.where(F.col(kept).isNotNull()).select(*group, F.col(kept).cast("bigint").alias("number")).distinct(), [*group, "number"], "left_anti")
+    free = free.withColumn("_k", F.row_number().over(Window.partitionBy(*group).orderBy("number")))
+    new = rows.where(F.col(kept).isNull()).withColumn("_k", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    out = new.join(free, [*group, "_k"]).drop("_k").unionByName(rows.where(F.col(kept).isNotNull()).withColumn("number", F.col(kept).cast("bigint")))
+    text = F.col("number").cast("string")
+    return out.join(wide, group).withColumn("padded", F.lpad(text, F.greatest("_width", F.length(text)), F.lit("0"))).drop("_width")

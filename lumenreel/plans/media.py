@@ -115,12 +115,15 @@ def copy_rotation(spark, sf_dir):
 
 @register(
     "translation_batches",
-    """SELECT conv_id, turn, CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch, lag(text, 1) OVER w AS before1, lag(text, 2) OVER w AS before2,
-      lead(text, 1) OVER w AS after1, lead(text, 2) OVER w AS after2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text)""",
+    """WITH r AS (SELECT conv_id, text, row_number() OVER w AS rn FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text)),
+      b AS (SELECT conv_id, CAST((rn - 1) // 2 AS BIGINT) AS batch, min(rn) AS lo, max(rn) AS hi, string_agg(text, '|' ORDER BY rn) AS texts FROM r GROUP BY 1, 2)
+    SELECT b.conv_id, b.batch, b.texts, coalesce(string_agg(r.text, '|' ORDER BY r.rn) FILTER (r.rn < b.lo), '') AS before, coalesce(string_agg(r.text, '|' ORDER BY r.rn) FILTER (r.rn > b.hi), '') AS after
+    FROM b JOIN r ON r.conv_id = b.conv_id AND r.rn BETWEEN b.lo - 2 AND b.hi + 2 GROUP BY ALL""",
 )
 def translation_batches(spark, sf_dir):
-    b = numbering.batches(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "text"], 20, "text")
-    return b.select("conv_id", "turn", F.col("batch").cast("bigint").alias("batch"), "before1", "before2", "after1", "after2")
+    """Batches of segments, with up to two before and after each batch for context."""
+    b = numbering.batches(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "text"], 2, "text")
+    return b.select("conv_id", "batch", *[F.array_join(c, "|").alias(c) for c in ("texts", "before", "after")])
 
 
 @register(

@@ -1,4 +1,4 @@
-"""Rate alerts on a request stream."""
+"""Rate alerts and daily counters on a request stream."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+#: Times that a window keeps at most.
+MOST = 500
+
 
 def window_counts(requests: DataFrame, key: str = "api_key", time: str = "ts", width: str = "1 minute", late: str = "10 minutes") -> DataFrame:
     """Requests by key and window; rows later than the watermark are left out."""
@@ -16,21 +19,37 @@ def window_counts(requests: DataFrame, key: str = "api_key", time: str = "ts", w
     return requests.withWatermark(time, late).groupBy(w, key).agg(F.count(F.lit(1)).alias("n_requests")).select(F.col("window.start").alias("start"), key, "n_requests")
 
 
-def spikes(requests: DataFrame, limit: int, window_s: float = 60.0, cooldown_s: float = 60.0) -> DataFrame:
-    """Alerts (api_key, ts, n_requests) of requests (api_key, ts) whose number in the last
-    ``window_s`` seconds passes ``limit``; after an alert a key is silent for ``cooldown_s``. The
-    state of a key is bounded: at most limit + 1 times, and the last alert."""
+def daily_counts(requests: DataFrame, key: str = "api_key", time: str = "ts", late: str = "1 day") -> DataFrame:
+    """Requests by key and Pacific day; a new day starts at 0."""
+    local = F.from_utc_timestamp(time, "America/Los_Angeles")
+    day = requests.withWatermark(time, late).withColumn("day", F.to_date(local))
+    return day.groupBy(key, "day").agg(F.count(F.lit(1)).alias("n_requests"))
+
+
+def spikes(requests: DataFrame, limit: int, window_s: float = 60.0, cooldown_s: float = 120.0, per_key: bool = False) -> DataFrame:
+    """Alerts (scope, ts, n_requests) of requests (api_key, ts) when ``limit`` or more lie in the last
+    ``window_s`` seconds, both ends included; for ``cooldown_s`` after an alert there is no other. The
+    window is that of all keys, as one state; ``per_key`` gives each key its own, which expires when
+    nothing came for a window and a cooldown. Its size is bounded: at most MOST times and the last alert."""
+    window, cooldown = int(window_s * 1e6), int(cooldown_s * 1e6)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         times, last = state.get if state.exists else ([], None)
         times, out = list(times), []
-        for t in sorted(x for f in frames for x in f["ts"].astype("int64").to_list()):
-            times = [x for x in [*times, t] if t - x < window_s * 1e6][-(limit + 1) :]
-            if len(times) > limit and (last is None or t - last >= cooldown_s * 1e6):
+        for t in sorted(x for f in frames for x in f["ts"].to_list()):
+            times = [x for x in [*times, t] if x >= t - window][-MOST:]
+            if len(times) >= limit and (last is None or t - last >= cooldown):
                 last = t
                 out.append((key[0], t, len(times)))
         state.update((times, last))
-        yield pd.DataFrame(out, columns=["api_key", "ts", "n_requests"])
-
-    micros = requests.select("api_key", F.unix_micros("ts").alias("ts"))
-    return micros.groupBy("api_key").applyInPandasWithState(step, "api_key string, ts long, n_requests int", "times array<long>, last long", "append", GroupStateTimeout.NoTimeout)
+        if per_key:
+            state.setTimeoutDuration(int((window + cooldown) / 1000))
+        yield pd.DataFrame(out, columns=["scope", "ts", "n_requests"])
+
+    scope = F.col("api_key") if per_key else F.lit("all")
+    micros = requests.select(scope.alias("scope"), F.unix_micros("ts").alias("ts"))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if per_key else GroupStateTimeout.NoTimeout
+    return micros.groupBy("scope").applyInPandasWithState(step, "scope string, ts long, n_requests int", "times array<long>, last long", "append", timeout)
