@@ -9,8 +9,9 @@ number of the gap), dealt out and sorted by the word, encoded once for each dist
 back to their gaps. What moves of a document are the numbers of its words in the table, with the
 gaps, not its text; a frequent word meets no shuffle. Which part a word is in changes no result.
 
-Decoding makes a row of each id, joins it with the id-to-piece table (broadcast: its size is the
-vocabulary's) and closes the rows of a document up again where they are, without a shuffle.
+Decoding makes a row of each distinct id of some documents, joins it with the id-to-piece table
+(broadcast: its size is the vocabulary's) and brings the pieces back by position where the documents
+are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -206,56 +207,74 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     encoded = encoded.drop(text)
     vocabulary = spark.createDataFrame(pieces(path), "id int, piece string")
     plain, names = load(path).decoder is None, [*encoded.columns, text]
-    shape = T.StructType([T.StructField("row", encoded.schema), T.StructField("n", T.IntegerType()), T.StructField("id", T.IntegerType())])
+    fields = [T.StructField("row", encoded.schema), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("due", T.IntegerType()), T.StructField("id", T.IntegerType())]
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for the document, with its columns and the number of its ids, then one for each id."""
+        """For some documents a row each, with its columns and the places of its ids among the distinct
+        ones, then a row for each distinct id. The first row says how many those are."""
         for batch in batches:
-            for b in slices_of_lists(batch, ids, SPLIT_BYTES // 4):
-                n = pc.fill_null(pc.list_value_length(b[ids]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                head = np.cumsum(n + 1) - n - 1
-                total = int((n + 1).sum())
-                take, count, out = np.full(total, -1), np.full(total, -1, np.int32), np.full(total, -1, np.int32)
-                take[head], count[head] = np.arange(len(n)), n
-                out[count < 0] = b[ids].flatten().to_numpy(zero_copy_only=False)
+            for b in slices_of_lists(batch, ids, SPLIT_BYTES):
+                n = pc.fill_null(pc.list_value_length(b[ids]), 0).to_numpy(zero_copy_only=False)
+                distinct, at = _distinct(b[ids].flatten().to_numpy(zero_copy_only=False))
+                head, tail = b.num_rows, max(1, len(distinct))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(at, pa.int32()))
+                docs = pa.array([*range(head), *[None] * tail], pa.int64())
                 whole = pa.StructArray.from_arrays(b.columns, fields=list(b.schema))
-                yield pa.RecordBatch.from_arrays([whole.take(pa.array(take, mask=take < 0)), pa.array(count, mask=count < 0), pa.array(out)], names=["row", "n", "id"])
+                out = np.concatenate([np.full(head, -1), distinct if len(distinct) else [-1]])
+                yield pa.RecordBatch.from_arrays([whole.take(docs), lists.take(docs), pa.array([tail, *[None] * (head + tail - 1)], pa.int32()), pa.array(out, pa.int32())], names=["row", "at", "due", "id"])
 
-    met = encoded.mapInArrow(lean(exploded), shape).join(F.broadcast(vocabulary), "id", "left").select("row", "n", "piece")
+    met = encoded.mapInArrow(lean(exploded), T.StructType(fields)).join(F.broadcast(vocabulary), "id", "left").select("row", "at", "due", "piece")
 
     def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a document follow its first one; their number is checked."""
-        decoder, row, due, found = load(path).decoder, None, 0, []
-
-        def text_of(parts: list[pa.Array]) -> str:
-            if sum(map(len, parts)) != due:
-                raise ValueError("the ids of a document were parted")
-            some = [x for p in parts for x in p.drop_null().to_pylist()]
-            return " ".join(some) if plain else decoder.decode(some)
+        """The distinct pieces of some documents follow these; how many is checked."""
+        decoder = load(path).decoder
+        docs, lists, found, due = [], [], [], 0
+
+        def texts() -> list[str]:
+            piece = pa.concat_arrays(found)
+            if plain and not piece.null_count:
+                return pc.binary_join(pa.concat_arrays([pa.ListArray.from_arrays(x.offsets, piece.take(x.values)) for x in lists]), " ").to_pylist()
+            out = []
+            for x in lists:
+                flat, ends = piece.take(x.flatten()).to_pylist(), np.cumsum([0, *pc.list_value_length(x).to_pylist()]).tolist()
+                for a, b in zip(ends, ends[1:], strict=False):
+                    some = [p for p in flat[a:b] if p is not None]
+                    out.append(" ".join(some) if plain else decoder.decode(some))
+            return out
 
         for batch in batches:
-            n, piece = batch["n"].to_numpy(zero_copy_only=False), batch["piece"]
-            heads = np.flatnonzero(batch["n"].is_valid().to_numpy(zero_copy_only=False)).tolist()
-            edges = [*heads, batch.num_rows]
-            if edges[0] and row is not None:
-                found.append(piece.slice(0, edges[0]))
-            out, texts = [], []
+            is_doc = batch["at"].is_valid().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(is_doc[1:] != is_doc[:-1]) + 1).tolist(), batch.num_rows]
             for a, b in zip(edges, edges[1:], strict=False):
-                if row is not None:
-                    out.append(row)
-                    texts.append(text_of(found))
-                row, due, found = batch["row"].slice(a, 1), int(n[a]), [piece.slice(a + 1, b - a - 1)]
-            if out:
-                yield whole(out, texts)
-        if row is not None:
-            yield whole([row], [text_of(found)])
-
-    def whole(rows: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*pa.concat_arrays(rows).flatten(), pa.array(texts, pa.string())], names=names)
+                if b <= a:
+                    continue
+                if is_doc[a]:
+                    if found:
+                        raise ValueError("the ids of some documents were parted from them")
+                    docs.append(batch["row"].slice(a, b - a))
+                    # of their own, without the rows before
+                    lists.append(batch["at"].take(pa.array(range(a, b))))
+                    due = next((x for x in batch["due"].slice(a, b - a).to_pylist() if x), due)
+                    continue
+                found.append(batch["piece"].slice(a, b - a))
+                if sum(map(len, found)) == due:
+                    yield pa.RecordBatch.from_arrays([*pa.concat_arrays(docs).flatten(), pa.array(texts(), pa.string())], names=names)
+                    docs, lists, found = [], [], []
+        if docs:
+            raise ValueError("the ids of some documents were lost")
 
     return met.mapInArrow(lean(closed), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
+def _distinct(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and the place of each among them."""
+    if not len(flat) or flat.min() < 0 or flat.max() >= 1 << 22:
+        return np.unique(flat, return_inverse=True)
+    there = np.zeros(int(flat.max()) + 1, bool)
+    there[flat] = True
+    return np.flatnonzero(there), np.cumsum(there)[flat] - 1
+
+
 def slices_of_lists(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with about ``size`` items in a list column."""
     n = pc.fill_null(pc.list_value_length(batch[column]), 0).to_numpy(zero_copy_only=False)
