@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,10 +23,32 @@ def complement(merged: DataFrame, spans: DataFrame, keys: list[str]) -> DataFram
     return edges.select(*keys, F.lag("e").over(w).alias("start"), F.col("s").alias("end")).where("end > start")
 
 
-def with_gaps(rows: DataFrame, keys: list[str], least: float, start: str = "start", end: str = "end") -> DataFrame:
-    """Gaps longer than ``least`` between an interval and the next one: keys, start, end."""
+def with_gaps(rows: DataFrame, keys: list[str], least: float, start: str = "start", end: str = "end", duration: str | None = None) -> DataFrame:
+    """The gaps longer than ``least``: before the first interval, between an interval and the next one,
+    and after the last one up to ``duration`` (a column of rows): keys, start, end."""
     w = Window.partitionBy(*keys).orderBy(start, end)
-    return rows.select(*keys, F.col(end).alias("start"), F.lead(start).over(w).alias("end")).where(F.col("end") - F.col("start") > least)
+    last = F.col(duration) if duration else F.lit(None).cast("double")
+    r = rows.select(*keys, F.col(start).cast("double").alias("_s"), F.col(end).cast("double").alias("_e"), F.lead(start).over(w).alias("_next"), F.lag(start).over(w).alias("_before"), last.cast("double").alias("_d"))
+    gap = lambda a, b: F.struct(a.cast("double").alias("start"), b.cast("double").alias("end"))
+    # a row has the gap after it, and the first one that before it
+    after = gap(F.col("_e"), F.coalesce("_next", "_d"))
+    gaps = F.when(F.col("_before").isNull(), F.array(gap(F.lit(0.0), F.col("_s")), after)).otherwise(F.array(after))
+    return r.select(*keys, F.explode(gaps).alias("g")).select(*keys, "g.start", "g.end").where(F.col("end") - F.col("start") > least)
+
+
+def kept_length(cuts: DataFrame, keys: list[str], duration: str) -> DataFrame:
+    """keys, kept: a duration less the lengths of its cuts (start, end; no end: to the duration's), to
+    three places. What two cuts share is taken off twice, as the lengths are summed."""
+    length = F.greatest(F.lit(0.0), F.least(F.coalesce("end", duration), F.col(duration)) - F.col("start"))
+    return cuts.groupBy(*keys).agg(F.bround(F.greatest(F.lit(0.0), F.max(duration) - F.sum(length)), 3).alias("kept"))
+
+
+def cut_frames(cuts: DataFrame, keys: list[str], fps: Column, frames: str) -> DataFrame:
+    """keys, frame: the numbers of the frames that cuts remove, each once; ends are rounded half to even,
+    and no number passes the last frame's."""
+    a, b = F.bround(F.col("start") * fps).cast("long"), F.least(F.bround(F.col("end") * fps).cast("long"), F.col(frames))
+    r = cuts.select(*keys, a.alias("_a"), b.alias("_b")).where("_b > _a")
+    return r.select(*keys, F.explode(F.sequence("_a", F.col("_b") - 1)).alias("frame")).distinct()
 
 
 def runs(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

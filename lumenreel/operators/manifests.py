@@ -87,3 +87,16 @@ def zipped(segments: DataFrame, arrays: DataFrame, key: str, order: str, items:
     s = s.join(arrays.select(key, F.col(items).alias("_a")), key, "left")
     a = F.coalesce("_a", F.array().cast(arrays.schema[items].dataType))
     return s.withColumns({"item": F.coalesce(F.get(a, F.col("_i")), F.lit("")), "matched": F.size(a) == F.col("_n")}).drop("_i", "_n", "_a")
+
+
+def keys_of(plural: Column, single: Column) -> Column:
+    """Keys of a provider: the items of its list, else its single one."""
+    items = F.filter(F.transform(F.split(F.coalesce(plural, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
+    one = F.filter(F.array(F.trim(F.coalesce(single, F.lit("")))), lambda x: x != "")
+    return F.when(F.size(items) > 0, items).otherwise(one)
+
+
+def all_keys(*providers: Column) -> Column:
+    """The keys of providers one after the other; an error if there are none."""
+    keys = F.concat(*providers)
+    return F.when(F.size(keys) > 0, keys).otherwise(F.raise_error(F.lit("no keys are set")).cast("array<string>"))

@@ -16,8 +16,32 @@ def sequence_names(rows: DataFrame, group: list[str], order: list[str], code: Co
 
 
 def rotation(rows: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
-    """``slot``: the place in a rotation of ``size`` by group."""
-    return rows.withColumn("slot", (F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1) % size)
+    """``place`` in the group, from 1, and ``slot``, that in a rotation of ``size``."""
+    r = rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return r.withColumn("slot", (F.col("place") - 1) % size)
+
+
+def ad_name(campaign: Column, place: Column) -> Column:
+    """campaign_adNN, two digits at least."""
+    n = place.cast("string")
+    return F.concat(campaign, F.lit("_ad"), F.lpad(n, F.greatest(F.lit(2), F.length(n)), F.lit("0")))
+
+
+def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``place`` among all rows, from 1: rows are dealt by ranges of the order and numbered in each; a
+    range starts after the rows of those before it. No task sees all rows."""
+    parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    r = rows.repartitionByRange(int(parts), *order).withColumn("_part", F.spark_partition_id())
+    r = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sizes = r.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
+    before = sizes.select("_part", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_n")).alias("_before"))
+    return r.join(F.broadcast(before), "_part").withColumn("place", (F.col("_before") + F.col("_rn")).cast("bigint")).drop("_part", "_rn", "_before")
+
+
+def sampled(rows: DataFrame, group: list[str], key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows of each group, the least by a digest of key and seed."""
+    w = Window.partitionBy(*group).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), key)
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def batches(rows: DataFrame, group: list[str], order: list[str], size: int, text: str, context: int = 2) -> DataFrame:

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import gates, geometry, levels, media, names, reports, requests, texts, timeline, tracks  # noqa: F401
+from . import gates, geometry, joined, levels, media, names, reports, requests, rules, texts, timeline, tracks  # noqa: F401

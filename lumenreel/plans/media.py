@@ -74,11 +74,13 @@ def interval_complement(spark, sf_dir):
 
 @register(
     "silence_gaps",
-    f"""WITH {SEGMENTS}, g AS (SELECT clip_id, "end" AS start, lead(start) OVER (PARTITION BY clip_id ORDER BY start, "end") AS "end" FROM segment)
+    f"""WITH {SEGMENTS}, g AS (SELECT clip_id, "end" AS start, coalesce(lead(start) OVER (PARTITION BY clip_id ORDER BY start, "end"), 260) AS "end" FROM segment
+      UNION ALL SELECT clip_id, 0, min(start) FROM segment GROUP BY 1)
     SELECT * FROM g WHERE "end" - start > 0.01""",
 )
 def silence_gaps(spark, sf_dir):
-    return intervals.with_gaps(segments(spark, sf_dir), ["clip_id"], 0.01)
+    """Silence before the first segment, between segments, and to the end of the clip."""
+    return intervals.with_gaps(segments(spark, sf_dir).withColumn("d", F.lit(260.0)), ["clip_id"], 0.01, duration="d")
 
 
 @register(
