@@ -80,7 +80,7 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     share = min(1.0, sample_docs / max(1, docs.count()))
     picked = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < share * (1 << 20))
     counts = picked.mapInArrow(lean(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") > 1).orderBy(F.desc("n"), "word").limit(hot_words)
+    top = counts.where((F.col("n") > 1) & (F.length("word") <= 1024)).orderBy(F.desc("n"), "word").limit(hot_words)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = WordEncoder(path)
@@ -91,7 +91,7 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     got = top.repartition("word").mapInArrow(lean(encoded), "word string, n long, ids binary").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     size = np.cumsum([len(w.encode()) + len(x) for w, x in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True)])
     got = got.slice(0, int(np.searchsorted(size, HOT_BYTES, "right")))
-    return WordTable(got["word"].to_pylist(), got["ids"].to_pylist())
+    return WordTable.of(got["word"].to_pylist(), got["ids"].to_pylist())
 
 
 def _packed(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,12 +122,12 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     unsigned 32-bit integers.
 
     Null and empty texts get no ids; repeated rows each get their row; ties of word counts go by
-    the word; an empty table gives no rows; other columns are not read. Texts are found again by 80
+    the word; an empty table gives no rows; other columns are not read. Texts are found again by 96
     bits of hashes; a gap that gets no ids, or two, raises."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared = spark.sparkContext.broadcast(hot_table(docs, path, "text", sample_docs, hot_words))
-    keyed = docs.withColumns({"key": F.xxhash64("text"), "more": F.shiftright(F.hash("text"), 16).cast("short")})
+    keyed = docs.withColumns({"key": F.xxhash64("text"), "more": F.hash("text").cast("long")})
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words that aren't in the broadcast table, with the number of their gap; of the texts of
@@ -138,9 +138,9 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 part = part.take(pa.array(once, pa.int64()))
                 found = shared.value.look_up(part["text"].to_pylist())
                 who = found.owners()
-                gap = np.arange(len(who)) - np.searchsorted(who, who)
-                at = pa.array(who)
-                yield pa.RecordBatch.from_arrays([part["key"].take(at), part["more"].take(at), pa.array(gap, pa.int32()), pa.array(found.words, pa.string())], names=["key", "more", "gap", "word"])
+                # one number for the rest of the text's hash and the gap
+                gap = (part["more"].to_numpy()[who] << 32) + np.arange(len(who)) - np.searchsorted(who, who)
+                yield pa.RecordBatch.from_arrays([part["key"].take(pa.array(who)), pa.array(gap), pa.array(found.words, pa.string())], names=["key", "gap", "word"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by the word: each distinct word is encoded once, but for one at a batch's edge."""
@@ -150,12 +150,12 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             body, at = _packed(np.frombuffer(b"".join(coded), "<u4").astype(np.int64))
             edge = np.append(at, len(body))[np.cumsum([0, *(len(x) // 4 for x in coded)])].tolist()
             ids = [body[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["more"], batch["gap"], pa.array(ids, pa.binary())], names=["key", "more", "gap", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["gap"], pa.array(ids, pa.binary())], names=["key", "gap", "ids"])
 
-    asked = keyed.mapInArrow(lean(others), "key long, more short, gap int, word string")
-    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(lean(once), "key long, more short, gap int, ids binary")
+    asked = keyed.mapInArrow(lean(others), "key long, gap long, word string")
+    table = asked.repartition("word").sortWithinPartitions("word").mapInArrow(lean(once), "key long, gap long, ids binary")
     # dealt out before they are gathered: partial lists would take more room than the rows
-    got = table.repartition("key", "more").groupBy("key", "more").agg(F.sort_array(F.collect_set(F.struct("gap", "ids"))).alias("got"))
+    got = table.repartition("key").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("gap", "ids"))).alias("got"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The numbers of the words, from 1; 0 for a gap."""
@@ -176,8 +176,11 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 found = Found(shared.value, r - 1, first, np.flatnonzero(r == 0), [])
                 got = part["got"].flatten()
                 mine = pc.fill_null(pc.list_value_length(part["got"]), 0).to_numpy(zero_copy_only=False)
-                gap = np.arange(len(got)) - np.repeat(np.cumsum(mine) - mine, mine)
-                if (np.bincount(found.owners(), minlength=part.num_rows) != mine).any() or (got.field("gap").to_numpy() != gap).any():
+                owner, gap = np.repeat(np.arange(part.num_rows), mine), got.field("gap").to_numpy()
+                own = gap >> 32 == part["more"].to_numpy()[owner]  # another text may have the same key
+                got, gap, mine = got.filter(pa.array(own)), gap[own] & 0xFFFFFFFF, np.bincount(owner[own], minlength=part.num_rows)
+                want = np.bincount(found.owners(), minlength=part.num_rows)
+                if (want != mine).any() or (gap != np.arange(len(gap)) - np.repeat(np.cumsum(mine) - mine, mine)).any():
                     raise ValueError("words of a text were lost")
                 some = got.field("ids")
                 rest, at = _unpacked(b"".join(some.to_pylist()))
@@ -189,8 +192,8 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 yield pa.RecordBatch.from_arrays([part["doc_id"], lists, pa.array(out, pa.binary())], names=["doc_id", "ids", "packed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    coded = keyed.mapInArrow(lean(code), f"doc_id {kind}, key long, more short, body binary")
-    return coded.join(got, ["key", "more"], "left").select("doc_id", "body", "got").mapInArrow(lean(splice), f"doc_id {kind}, ids array<int>, packed binary")
+    coded = keyed.mapInArrow(lean(code), f"doc_id {kind}, key long, more long, body binary")
+    return coded.join(got, "key", "left").select("doc_id", "more", "body", "got").mapInArrow(lean(splice), f"doc_id {kind}, ids array<int>, packed binary")
 
 
 def pieces(path: str) -> list[tuple[int, str]]:

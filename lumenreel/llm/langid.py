@@ -1,16 +1,17 @@
 """Language identification by prediction by partial matching (PPM).
 
-For every language a variable-order byte model is fitted: contexts of 3, 2, 1 and 0 bytes, each
-with the counts of the bytes that followed it. A byte's code length under a language is
+For every language a variable-order byte model is fitted: a tree of contexts of ``order`` bytes down to
+none, each with the counts of the bytes that followed it. A byte's code length under a language is
 ``-log2 c/(T+D)`` in the longest context that has seen it, plus ``-log2 D/(T+D)`` for every longer
-context that was seen but had to escape (T occurrences, D distinct followers; escape method C),
-ending in a uniform code. The statistics are frozen after the fit, so all code lengths are known
-beforehand: they are laid out in dense tables and scoring a text is table look-ups over its bytes.
-The language with the shortest code for the whole text wins.
+context that was seen but had to escape (T occurrences, D distinct followers; escape method C), ending
+in a uniform code over all bytes. The statistics are frozen after the fit, so the code length of each
+sequence of ``order`` + 1 bytes is known; a text is scored by its distinct sequences, exactly. A level of
+a tree is two sorted arrays, of its contexts and of what followed them. The language with the shortest
+code for the whole text wins.
 
 The fit uses a bounded sample: at most about ``docs_per_language`` labelled documents of each
-language (documented parameter), chosen by a hash of the text, and of the 3-byte contexts the
-``max_contexts`` commonest. Everything else covers the whole input.
+language (documented parameter), chosen by a hash of the text. Everything else covers the whole input:
+all languages, bytes and contexts of the sample.
 """
 
 from __future__ import annotations
@@ -24,79 +25,104 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 #: Bytes of text that are scored at once.
 BLOCK = 1 << 20
-#: Symbols: the commonest bytes have one of their own, all the others share the last one.
-SYMBOLS = 128
-OTHER = SYMBOLS - 1
-PAD = b"   "
+ORDER = 3
 UNKNOWN = "und"
+#: Up to so many languages their shares are broadcast.
+BROADCAST_LANGUAGES = 10_000
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each is among the sorted keys, its value)."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.float32)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, values[at]
+
+
+class Tree:
+    """The contexts of a language: for each level (bytes of context) the sequences seen with their code
+    lengths, and the contexts with what an escape from them costs."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, order: int) -> None:
+        self.levels = []
+        for k in range(order + 1):
+            seen, at = np.unique(grams & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            c = np.bincount(at, weights=n, minlength=len(seen))
+            contexts, of = np.unique(seen >> np.uint64(8), return_inverse=True)
+            total, distinct = np.bincount(of, weights=c, minlength=len(contexts)), np.bincount(of, minlength=len(contexts))
+            both = total + distinct
+            self.levels.append((seen, (-np.log2(c / both[of])).astype(np.float32), contexts, (-np.log2(distinct / both)).astype(np.float32)))
+
+    def code_lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each sequence, given the bytes before it."""
+        out, todo = np.zeros(len(grams)), np.arange(len(grams))
+        for k in range(len(self.levels) - 1, -1, -1):
+            seen, bits, contexts, escape = self.levels[k]
+            key = grams[todo] & np.uint64((1 << 8 * (k + 1)) - 1)
+            hit, cost = _look_up(seen, bits, key)
+            out[todo[hit]] += cost[hit]
+            todo, key = todo[~hit], key[~hit]
+            known, cost = _look_up(contexts, escape, key >> np.uint64(8))
+            out[todo[known]] += cost[known]
+        out[todo] += 8.0
+        return out
+
+
+def _sequences(b: np.ndarray, order: int) -> np.ndarray:
+    """All runs of ``order`` + 1 bytes as numbers, the last byte lowest."""
+    n = max(0, len(b) - order)
+    out = np.zeros(n, np.uint64)
+    for k in range(order + 1):
+        out = (out << np.uint64(8)) | b[k : k + n]
+    return out
 
 
 @dataclass
 class PpmModel:
-    """Frozen code lengths. ``symbol``: byte to symbol; ``context``: packed 3-symbol context to
-    its row (0: not kept); ``top``: code lengths by row, symbol and language; ``low``: the same
-    by packed 3 symbols (two of context), used where the longest context was not kept."""
+    """The frozen trees of languages."""
 
     langs: list[str]
-    symbol: np.ndarray
-    context: np.ndarray
-    top: np.ndarray
-    low: np.ndarray
+    trees: list[Tree]
+    order: int
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text (row) under each language (column); the texts are whole."""
         out = np.zeros((len(texts), len(self.langs)))
         if not texts or not self.langs:
             return out
-        flat = np.frombuffer(b"".join(PAD + t for t in texts), dtype=np.uint8)
-        sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + len(PAD)
-        ends = np.cumsum(sizes)
-        sym = self.symbol[flat]
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        skip = np.ones(len(flat), dtype=bool)
-        starts = ends - sizes
-        for k in range(len(PAD)):
-            skip[starts + k] = False
+        pad = b" " * self.order
+        flat = np.frombuffer(b"".join(pad + t for t in texts), np.uint8)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        start = np.cumsum(size + self.order) - size - self.order
         for lo in range(0, len(flat), BLOCK):
-            at = np.flatnonzero(skip[lo : lo + BLOCK]) + lo
-            if not len(at):
-                continue
-            s0, s1, s2, s3 = (sym[at - k].astype(np.int32) for k in (3, 2, 1, 0))
-            pair = s1 * SYMBOLS + s2
-            row = self.context[s0 * (SYMBOLS * SYMBOLS) + pair]
-            bits = self.top[row * SYMBOLS + s3]
-            miss = np.flatnonzero(row == 0)
-            if len(miss):
-                bits[miss] = self.low[pair[miss] * SYMBOLS + s3[miss]]
-            who = owner[at]
-            first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-            out[who[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.float64)
+            g = _sequences(flat[lo : lo + BLOCK + self.order], self.order)
+            at = np.arange(lo, lo + len(g))
+            who = np.searchsorted(start, at, "right") - 1
+            mine = np.flatnonzero(at - start[who] < size[who])  # sequences that run into the next text's pad aren't any
+            distinct, of = np.unique(g[mine], return_inverse=True)
+            first = np.flatnonzero(np.diff(who[mine], prepend=-1))
+            if len(first):
+                for k, tree in enumerate(self.trees):
+                    out[who[mine][first], k] += np.add.reduceat(tree.code_lengths(distinct)[of], first)
         return out
 
 
-def _grams(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of 4-byte sequences by language, summed over the partition."""
-    total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-    def merge(lang: str, grams: np.ndarray) -> None:
-        keys, n = np.unique(grams, return_counts=True)
-        if lang in total:
-            old, m = total[lang]
-            keys, inv = np.unique(np.concatenate([old, keys]), return_inverse=True)
-            n = np.bincount(inv, weights=np.concatenate([m, n])).astype(np.int64)
-        total[lang] = keys, n
+def _grams(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of the sequences by language, summed over some texts."""
+        for batch in batches:
+            some: dict[str, list[np.ndarray]] = {}
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                some.setdefault(lang, []).append(_sequences(np.frombuffer(b" " * order + prepared(text), np.uint8), order))
+            for lang, parts in some.items():
+                keys, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
-    for batch in docs:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            b = np.frombuffer(PAD + prepared(text), dtype=np.uint8).astype(np.uint32)
-            if len(b) > 3:
-                merge(lang, (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:])
-    for lang, (keys, n) in total.items():
-        yield pa.RecordBatch.from_pydict(
-            {"lang": pa.array([lang] * len(keys)), "gram": pa.array(keys.astype(np.int64)), "n": pa.array(n.astype(np.int64))}
-        )
+    return run
 
 
 def prepared(text: str) -> bytes:
@@ -104,62 +130,28 @@ def prepared(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
-def build(langs: list[str], lang_ix: np.ndarray, grams: np.ndarray, n: np.ndarray, max_contexts: int) -> PpmModel:
-    """The dense tables from counts of 4-byte sequences."""
-    a, m = SYMBOLS, len(langs)
-    last = grams & 255
-    common = np.argsort(-np.bincount(last, weights=n, minlength=256), kind="stable")[:OTHER]
-    symbol = np.full(256, OTHER, dtype=np.uint8)
-    symbol[common] = np.arange(len(common), dtype=np.uint8)
-    s = [symbol[(grams >> k) & 255].astype(np.int64) for k in (24, 16, 8, 0)]
-    w = n.astype(np.float64)
-
-    def refined(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """counts: contexts x symbols of one language; lower: code lengths of the shorter context."""
-        t, d = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-        seen = t > 0
-        both = np.where(seen, t + d, 1.0)
-        escape = np.where(seen, -np.log2(np.where(seen, d, 1.0) / both), 0.0)
-        return np.where(counts > 0, -np.log2(np.maximum(counts, 1) / both), escape + lower).astype(np.float32)
-
-    ctx = (s[0] * a + s[1]) * a + s[2]
-    by_ctx = np.bincount(ctx, weights=w, minlength=a**3)
-    kept = np.argsort(-by_ctx, kind="stable")[:max_contexts]
-    kept = kept[by_ctx[kept] > 1]
-    context = np.zeros(a**3, dtype=np.int32)
-    context[kept] = np.arange(1, len(kept) + 1, dtype=np.int32)
-    top = np.zeros(((len(kept) + 1), a, m), dtype=np.float32)
-    low = np.zeros((a * a, a, m), dtype=np.float32)
-    for k in range(m):
-        i = np.flatnonzero(lang_ix == k)
-        last3 = [x[i] for x in s]
-        zero = refined(np.bincount(last3[3], weights=w[i], minlength=a)[None], np.full((1, a), 8.0))
-        one = refined(np.bincount(last3[2] * a + last3[3], weights=w[i], minlength=a * a).reshape(a, a), zero)
-        two = np.bincount((last3[1] * a + last3[2]) * a + last3[3], weights=w[i], minlength=a**3).reshape(a, a, a)
-        low[:, :, k] = refined(two, one[None]).reshape(a * a, a)
-        row = context[ctx[i]].astype(np.int64)
-        three = np.bincount(row * a + last3[3], weights=w[i], minlength=(len(kept) + 1) * a).reshape(-1, a)
-        top[1:, :, k] = refined(three[1:], low[kept % (a * a), :, k])
-    return PpmModel(langs, symbol, context, top.reshape(len(top) * a, m), low.reshape(len(low) * a, m))
-
-
-def fit(labelled: DataFrame, docs_per_language: int = 1500, max_languages: int = 200, max_contexts: int = 20_000) -> PpmModel:
-    """The model of ``labelled`` (text, lang). Bounds: about ``docs_per_language`` documents of
-    each language; the ``max_languages`` commonest languages. Rows without text or lang are left
-    out; an empty table gives a model without languages."""
+def build(langs: list[str], lang_ix: np.ndarray, grams: np.ndarray, n: np.ndarray, order: int = ORDER) -> PpmModel:
+    """The model from counts of sequences by language."""
+    grams = grams.astype(np.int64).view(np.uint64)
+    return PpmModel(langs, [Tree(grams[lang_ix == k], n[lang_ix == k], order) for k in range(len(langs))], order)
+
+
+def fit(labelled: DataFrame, docs_per_language: int = 1500, order: int = ORDER) -> PpmModel:
+    """The model of ``labelled`` (text, lang). Bound: about ``docs_per_language`` documents of each
+    language. ``order`` is 7 at most. Rows without text or lang are left out; an empty table gives a
+    model without languages."""
     rows = labelled.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    size = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    langs = sorted(r["lang"] for r in size)
+    size = rows.groupBy("lang").count()
+    langs = sorted(r["lang"] for r in size.select("lang").collect())
     if not langs:
-        return build([], np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0, np.int64), max_contexts)
-    share: Column = F.lit(None).cast("double")
-    for r in size:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, docs_per_language / r["count"]))).otherwise(share)
-    picked = rows.where((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)) < share)
-    got = picked.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+        return build([], np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0, np.int64), order)
+    share = size.select("lang", F.least(F.lit(1.0), docs_per_language / F.col("count")).alias("share"))
+    picked = rows.join(F.broadcast(share) if len(langs) <= BROADCAST_LANGUAGES else share, "lang")
+    picked = picked.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20) < F.col("share")).select("lang", "text")
+    got = picked.mapInArrow(lean(_grams(order)), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     ix = {x: k for k, x in enumerate(langs)}
     lang_ix = np.array([ix[x] for x in got["lang"].to_pylist()], dtype=np.int64)
-    return build(langs, lang_ix, got["gram"].to_numpy(), got["n"].to_numpy(), max_contexts)
+    return build(langs, lang_ix, got["gram"].to_numpy(), got["n"].to_numpy(), order)
 
 
 def predict(docs: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
@@ -194,7 +186,7 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
             )
 
     out = T.StructType([*docs.schema.fields, T.StructField(own[0], T.StringType()), T.StructField(own[1], T.DoubleType()), T.StructField(own[2], T.DoubleType())])
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(lean(run), out)
 
 
 def _groups(todo: list[int], texts: list[str | None]) -> Iterator[list[int]]:

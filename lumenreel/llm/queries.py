@@ -45,9 +45,22 @@ RULES = [
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.when(bad, F.lit("block")).otherwise(F.lit("allow")).alias("label"))
-    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, labels).select("page_id", "host", "path", "rule", "verdict")
+    """The tables have no labels of URLs (``labels`` is of documents): what the given rules say of the
+    URLs they fit is learned from."""
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def url_rule_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4 the given rules decide, for the check with SQL."""
+    p = url_rules.parsed(table(spark, sf_dir, "pages").select("page_id", "url")).withColumn("fit", url_rules.fitting(RULES))
+    return p.select(F.col("row.page_id").alias("page_id"), "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("given"))
+
+
+def base_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base statistics of op9, for the check with SQL."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    d = robust_quality.base_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *names)
+    return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,15 +103,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_bpe_round_trip,
             op3_substring_dedup,
             op4_url_rules,
+            url_rule_parts,
             op5_line_dedup,
             op6_token_counts,
             op7_nearest_neighbours,
             op8_packing,
             op9_robust_quality,
+            base_quality,
             op10_near_duplicates,
         )
     }
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: Windows of 35 words that start elsewhere too, and the words that they cover.
+OP3_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+  s AS (SELECT k, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35), g AS (SELECT s.k, p, md5(array_to_string(w[p : p + 34], ' ')) AS h FROM s JOIN d USING (k)),
+  r AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY h) AS n FROM g) WHERE n > 1), c AS (SELECT DISTINCT k, unnest(range(p, p + 35)) AS p FROM r),
+  o AS (SELECT k, list(p) AS gone FROM c GROUP BY 1)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+    sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ') END) AS kept_sha256 FROM d LEFT JOIN o USING (k)"""
+
+_RULES_SQL = "rule(verdict, host, path) AS (VALUES " + ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES) + ")"
+
+URL_SQL = rf"""WITH {_RULES_SQL}, u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+  f AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS given FROM p JOIN rule r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY 1)
+  SELECT p.page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, given FROM p LEFT JOIN f USING (page_id)"""
+
+BASE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+  s AS (SELECT k, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5), g AS (SELECT s.k, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] || ' ' || w[p + 4] AS h FROM s JOIN d USING (k)),
+  r AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY k, h) AS n FROM g) WHERE n > 1), c AS (SELECT k, count(DISTINCT q) AS n FROM (SELECT k, unnest(range(p, p + 5)) AS q FROM r) GROUP BY 1),
+  l AS (SELECT k, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM d)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(c.n, 0) > 20 * len(w) AS base_failed FROM d JOIN l USING (k) LEFT JOIN c USING (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others are models, tokenizers or plans, which SQL can't express; tests/llm has brute force."""
+    return {"op3_substring_dedup": OP3_SQL, "url_rule_parts": URL_SQL, "base_quality": BASE_SQL}

@@ -19,11 +19,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 MARK = "▁"
 #: Remembered counts of merged pre-tokens; the memory starts over beyond it.
 MEMO = 400_000
 
 
+def _fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a serialised message."""
+
+    def varint() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            x = b[at]
+            out, at, shift = out | (x & 127) << shift, at + 1, shift + 7
+            if x < 128:
+                return out
+
+    at = 0
+    while at < len(b):
+        key = varint()
+        if key & 7 == 0:
+            yield key >> 3, varint()
+            continue
+        size = varint() if key & 7 == 2 else {1: 8, 5: 4}[key & 7]
+        yield key >> 3, b[at : at + size]
+        at += size
+
+
+def normaliser(model: bytes) -> dict[str, bool]:
+    """What a model's own rules do to a text: the third field of a model, whose fields two to five are a
+    table of replaced characters, a mark put in front, runs of blanks cut to one, marks for blanks."""
+    rules = {"charsmap": False, "dummy_prefix": True, "remove_extra": True, "escape": True}  # the format's defaults
+    for number, value in _fields(model):
+        if number == 3:
+            for k, v in _fields(value):
+                if 2 <= k <= 5:
+                    rules[list(rules)[k - 2]] = bool(v)
+    return rules
+
+
 class PieceCounter(dict):
     """pre-token (without its first mark) -> number of tokens."""
 
@@ -99,5 +136,5 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 40
             n = [counter.count(t.as_py()) for t in batch[text]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=[*batch.schema.names, "n_tokens"])
 
-    counted = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType())]))
+    counted = docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType())]))
     return counted.withColumn("n_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("long")).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import zstandard
 
 from .wordhash import MIX, U, mixed, spans
 
@@ -37,21 +38,20 @@ def _keys(b: bytes, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class WordTable:
-    """Ids of ``words`` (distinct, without white space); ``ids`` as little-endian unsigned 32-bit."""
-
-    def __init__(self, words: list[str], ids: list[bytes]) -> None:
-        coded = [w.encode() for w in words]
-        size = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        self.ids = flat.astype("<u2") if not len(flat) or flat.max() < 65536 else flat.copy()
-        self.n = np.fromiter((len(x) // 4 for x in ids), np.int32, len(ids))
-        self.at = (np.cumsum(self.n, dtype=np.int64) - self.n).astype(np.int64)
+    """Ids of distinct words: ``flat``, the words parted by line ends; ``ids`` one after the other, and
+    how many (``n``) each word has. It is pickled as these, compressed, and built anew where it goes."""
+
+    def __init__(self, flat: bytes, ids: np.ndarray, n: np.ndarray) -> None:
+        self.ids = ids.astype("<u2") if not len(ids) or ids.max() < 65536 else ids.astype("<u4")
+        self.flat, self.n = flat, n.astype(np.uint16)
+        self.at = (np.cumsum(n, dtype=np.int64) - n).astype(np.int32)
+        starts, ends = spans(flat)
+        size = ends - starts
         few = np.flatnonzero(size <= SHORT)
-        self.long = {coded[i]: i for i in np.flatnonzero(size > SHORT).tolist()}
-        starts = np.cumsum(size + 1) - size - 1
-        self.first, self.last, h = _keys(b"\n".join(coded), starts[few], size[few])
+        self.long = {flat[starts[i] : ends[i]]: i for i in np.flatnonzero(size > SHORT).tolist()}
+        self.first, self.last, h = _keys(flat, starts[few], size[few])
         self.size, self.of = size[few].astype(np.int8), few.astype(np.int32)
-        bits = max(4, (4 * len(few)).bit_length())
+        bits = max(4, (2 * len(few)).bit_length())
         self.shift = U(64 - bits)
         self.slots = np.full(1 << bits, -1, np.int32)
         todo, at = np.arange(len(few)), (h >> self.shift).astype(np.int64)
@@ -61,6 +61,15 @@ class WordTable:
             lost = self.slots[at] != todo
             todo, at = todo[lost], (at[lost] + 1) & (len(self.slots) - 1)
 
+    @classmethod
+    def of(cls, words: list[str], ids: list[bytes]) -> WordTable:
+        """Of words (distinct, without white space) and their ids, little-endian unsigned 32-bit."""
+        return cls("\n".join(words).encode(), np.frombuffer(b"".join(ids), "<u4"), np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids)))
+
+    def __reduce__(self) -> tuple:
+        pack = zstandard.ZstdCompressor(level=9).compress
+        return _unpickled, (pack(self.flat), pack(self.ids.tobytes()), self.ids.dtype.str, pack(self.n.tobytes()))
+
     def find(self, b: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Number of each word in the table, -1 if it isn't there."""
         size = ends - starts
@@ -92,6 +101,11 @@ class WordTable:
         return Found(self, k, np.searchsorted(starts, at), missing, words)
 
 
+def _unpickled(flat: bytes, ids: bytes, kind: str, n: bytes) -> WordTable:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return WordTable(unpack(flat), np.frombuffer(unpack(ids), kind), np.frombuffer(unpack(n), np.uint16))
+
+
 class Found:
     """The words of some texts: ``k``, the number in the table of each; ``first``, the first word of
     each text; ``missing``, which words the table lacks, and ``words``, their strings."""
@@ -108,7 +122,7 @@ class Found:
         ``others``: ids of the missing words, ``each``: how many each has; without them they are left out."""
         t = self.table
         n = np.where(self.k >= 0, t.n[self.k] if len(t.n) else 0, 0).astype(np.int64)
-        src = np.where(self.k >= 0, t.at[self.k] if len(t.at) else 0, 0)
+        src = np.where(self.k >= 0, t.at[self.k] if len(t.at) else 0, 0).astype(np.int64)
         flat = t.ids
         if others is not None:
             n[self.missing] = each
