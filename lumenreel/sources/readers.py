@@ -2,18 +2,47 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def media_files(spark: SparkSession, root: str, glob: str = "*.mp4", recursive: bool = True, skip_private: bool = True) -> DataFrame:
-    """path, folder, name, size and mtime of files; names that start with ``_`` are skipped on request."""
-    f = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(root)
-    f = f.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-    junk = F.col("name").rlike(r"(\.part|\.temp\.mp4|\.m4a)$|^\.DS_Store$|^\.")
-    f = f.withColumn("junk", junk)
-    return f.where(~F.col("name").startswith("_") & ~F.col("folder").startswith("_")) if skip_private else f
+#: Folders deep that private ones are looked for in a scan of all levels.
+DEEPEST = 4
+#: What isn't media: partial downloads, leftovers of renders, sound tracks.
+JUNK = r"(\.part|\.temp\.mp4|\.m4a)$"
+
+
+def media_files(spark: SparkSession, root: str, glob: str = "*.mp4", levels: int | None = 1, skip_private: bool = True, outside: str | None = None) -> DataFrame:
+    """path, relative, folder (the first one below ``root``, or ''), name, size, mtime and junk of files, ordered
+    by path. ``levels``: how many folders deep, all if null. Folders that start with ``_`` are skipped on
+    request, and what lies below the folder ``outside``. For junk to be seen the glob has to let it through;
+    hidden files (a dot in front) are never listed."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    base = fs.makeQualified(top).toString().rstrip("/")
+    roots = [base]
+    if not skip_private:
+        # Spark passes over names that start with an underscore, unless they are asked for
+        for depth in range((DEEPEST if levels is None else levels) + 1):
+            found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(base + "/*" * depth + "/_*"))
+            roots += [x.getPath().toString() for x in found or ()]
+    f = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(roots).drop("content").dropDuplicates(["path"])
+    bare = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    relative = F.expr(f"substring(p, {len(re.sub('^[a-z]+:/+', '/', base)) + 2})")
+    f = f.withColumn("p", bare(F.col("path"))).withColumn("relative", relative).withColumn("parts", F.split("relative", "/"))
+    folder = F.when(F.size("parts") > 1, F.element_at("parts", 1)).otherwise(F.lit(""))
+    f = f.select("path", "relative", "parts", folder.alias("folder"), F.element_at("parts", -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    f = f.withColumn("junk", F.col("name").rlike(JUNK))
+    if levels is not None:
+        f = f.where(F.size("parts") <= levels + 1)
+    if skip_private:
+        f = f.where(~F.exists(F.slice("parts", F.lit(1), F.size("parts") - 1), lambda x: x.startswith("_")))
+    if outside:
+        f = f.where(~F.col("relative").startswith(outside.rstrip("/") + "/"))
+    return f.drop("parts").orderBy("path")
 
 
 def manifest(spark: SparkSession, path: str, schema: T.StructType, rows: str = "videos") -> DataFrame:
@@ -44,20 +73,28 @@ def env_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     return p.groupBy("name").agg(F.min_by("value", "_n").alias("value"))
 
 
-def sections(rows: DataFrame, key: str, text: str, headers: list[str]) -> DataFrame:
-    """key, section, body of sidecar texts: a line that is a header opens its section; the lines
-    of a section that aren't blank are joined by `` / `` in order."""
-    lines = rows.select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
-    head = F.when(F.upper(F.regexp_replace("line", ":$", "")).isin(headers), F.upper(F.regexp_replace("line", ":$", "")))
+# Lines of a sidecar that are no copy.
+STOP_LINES = ["this ad has multiple versions", "eu transparency", "open dropdown", "quality", "hd", "sd", "0:01", "0:15"]
+
+
+def sections(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """key, primary, headline of sidecar texts: a line that begins with PRIMARY TEXT, or with HEADLINE or
+    CTA, in any case, opens its section; the lines of a section that are neither blank nor on the stop
+    list are joined by `` / `` in order. Keys without a section have empty texts."""
+    lines = rows.select(key, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("n", "line")).withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
+    up = F.upper("line")
+    head = F.when(up.startswith("PRIMARY TEXT"), "primary").when(up.startswith("HEADLINE") | up.startswith("CTA"), "headline")
     w = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     r = lines.withColumn("_h", head).withColumn("section", F.last("_h", ignorenulls=True).over(w))
-    r = r.where(F.col("_h").isNull() & F.col("section").isNotNull() & (F.col("line") != ""))
-    return r.groupBy(key, "section").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), " / ").alias("body"))
+    good = F.col("_h").isNull() & (F.col("line") != "") & ~F.lower("line").isin(STOP_LINES)
+    part = lambda name: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(good & (F.col("section") == name), F.struct("n", "line")))), lambda x: x["line"]), " / ").alias(name)
+    return r.groupBy(key).agg(part("primary"), part("headline"))
 
 
 def gpu_line(line: Column) -> Column:
     """A six-field line as a struct; null if the number of fields or a number is wrong."""
     p = F.split(line, ",")
-    n = lambda k: F.expr("try_cast(NULL AS double)") if k is None else F.trim(p[k]).try_cast("double")
+    text = lambda k: F.trim(F.get(p, F.lit(k)))
+    n = lambda k: text(k).try_cast("double")
     ok = (F.size(p) == 6) & n(2).isNotNull() & n(3).isNotNull() & n(4).isNotNull() & n(5).isNotNull()
-    return F.when(ok, F.struct(F.trim(p[0]).alias("index"), F.trim(p[1]).alias("name"), n(2).alias("used"), n(3).alias("total"), n(4).alias("util"), n(5).alias("temp")))
+    return F.when(ok, F.struct(text(0).alias("index"), text(1).alias("name"), n(2).alias("used"), n(3).alias("total"), n(4).alias("util"), n(5).alias("temp")))
