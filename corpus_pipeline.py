@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreel.llm import langid, line_templates, packing, probminhash, substring_dedup
-from lumenreel.llm.common import stored
+from lumenreel.llm.common import discard, stored
 from lumenreel.llm.queries import END_ID, WORD_BPE, packed_digest, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -67,7 +67,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return stored(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0])
+        discard(*before)
+        before = [docs]
+    return docs

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import lean, slices
+from .common import bounded, lean, slices
 from .fast_bpe import WordEncoder
 from .word_table import Found, WordTable
 
@@ -77,6 +77,7 @@ def hot_table(docs: DataFrame, path: str, text: str = "text", sample_docs: int =
     """The commonest words of about ``sample_docs`` texts, chosen by a hash of the text, with their
     ids; at most ``hot_words`` words and HOT_BYTES of words and ids. A choice of what to broadcast, not
     of what to count."""
+    bounded(docs.sparkSession)
     share = min(1.0, sample_docs / max(1, docs.count()))
     picked = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < share * (1 << 20))
     counts = picked.mapInArrow(lean(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -207,6 +208,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     pieces joined by one space; with one, the decoder is applied to the pieces. Null and empty ids give
     an empty text; ids without a piece are left out, as by the library; repeated rows each get theirs."""
     spark = encoded.sparkSession
+    bounded(spark)
     encoded = encoded.drop(text)
     vocabulary = spark.createDataFrame(pieces(path), "id int, piece string")
     plain, names = load(path).decoder is None, [*encoded.columns, text]
@@ -216,7 +218,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
         """For some documents a row each, with its columns and the places of its ids among the distinct
         ones, then a row for each distinct id. The first row says how many those are."""
         for batch in batches:
-            for b in slices_of_lists(batch, ids, SPLIT_BYTES):
+            for b in slices_of_lists(batch, ids, SPLIT_BYTES // 2):
                 n = pc.fill_null(pc.list_value_length(b[ids]), 0).to_numpy(zero_copy_only=False)
                 distinct, at = _distinct(b[ids].flatten().to_numpy(zero_copy_only=False))
                 head, tail = b.num_rows, max(1, len(distinct))

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Setting that names the folder which driver and executors share.
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Bytes of an Arrow batch.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def bounded(spark: SparkSession) -> None:
+    """Lowers what the session puts into one Arrow batch to BATCH_BYTES: rows here are whole texts, and a
+    batch is held several times over by a task and its Python workers."""
+    now = spark.conf.get(BATCH_CONF).rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: it cuts the lineage, and
     a lost executor costs nothing that was already written."""

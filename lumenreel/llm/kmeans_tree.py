@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, stored
+from .common import bounded, discard, lean, stored
 
 
 @dataclass
@@ -182,6 +182,7 @@ def search(
     empty table gives no rows; other columns are not read. Bounds: a tree is fitted on ``sample`` rows,
     or eight for each leaf if that is more, at most ``most_sample``; ``calibrate`` queries calibrate it."""
     spark = vectors.sparkSession
+    bounded(spark)
     rows = stored(usable(vectors, vec_id, embedding).withColumn("dim", F.size("v")), "vectors")
     sizes = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}
     asks = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v")
@@ -189,6 +190,7 @@ def search(
     for dim, total in sorted(sizes.items()):
         mine = [df.where(F.col("dim") == dim).drop("dim") for df in (rows, asks)]
         out = out.unionByName(_search(*mine, total, k, recall, sample, most_sample, calibrate, block, asks_block))
+    discard(rows)  # what is asked and indexed has been stored
     return out
 
 

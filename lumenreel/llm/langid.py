@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean
+from .common import bounded, lean
 
 #: Bytes of text that are scored at once.
 BLOCK = 1 << 20
@@ -140,6 +140,7 @@ def fit(labelled: DataFrame, docs_per_language: int = 1500, order: int = ORDER)
     """The model of ``labelled`` (text, lang). Bound: about ``docs_per_language`` documents of each
     language. ``order`` is 7 at most. Rows without text or lang are left out; an empty table gives a
     model without languages."""
+    bounded(labelled.sparkSession)
     rows = labelled.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     size = rows.groupBy("lang").count()
     langs = sorted(r["lang"] for r in size.select("lang").collect())
@@ -162,6 +163,7 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
     evidence of the whole text is scaled to that of 64 bytes at most, so it tells texts in one
     language from mixtures at every length. Repeated rows get equal answers."""
     own = ("lang_pred", "score", "bits_per_byte")
+    bounded(docs.sparkSession)
     docs = docs.drop(*own)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bitmaps import bitmap, in_bitmap
-from .common import lean, stored
+from .common import bounded, discard, lean, stored
 from .wordhash import MIX, U, encoded, mixed, word_hashes
 
 #: Lines of fewer tokens need a literal one.
@@ -210,6 +210,7 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = 10, broa
     repeats counts once for it; repeated rows are one content; an empty table stays empty."""
     docs = docs.drop("kept", "n_lines", "n_removed")
     spark = docs.sparkSession
+    bounded(spark)
     texts = docs.select(F.col(text).alias("text"))
     found = stored(recurring(texts, min_docs), "recurring")
     general = stored(learned(texts, found), "templates")
@@ -220,6 +221,7 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = 10, broa
     if found.count() <= broadcast and tokens <= broadcast:
         got = general.toArrow()
         gone = spark.sparkContext.broadcast((np.sort(found.toArrow()["h"].to_numpy().view(U)), Templates(got["group"].to_pylist(), got["tokens"].to_pylist())))
+        discard(found, general)
         out = rows.mapInArrow(lean(lambda batches: _cleaned(batches, lambda lines, _: _gone(lines, *gone.value))), shape)
         return out.select("row.*", "kept", "n_lines", "n_removed")
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_table import SPLIT_BYTES, hot_table
-from .common import lean, slices, stored
+from .common import bounded, discard, lean, slices, stored
 from .fast_bpe import WordEncoder
 
 WINDOW = 4096
@@ -195,6 +195,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     Each id lies in one piece; a window is filled without gaps from 0. Rows without ids give no
     piece; repeated rows are packed each for itself; ids of null count as none; an empty table
     gives no rows; other columns are not read; ties of lengths go by a hash of the document."""
+    bounded(tokens.sparkSession)
     kind = tokens.schema["doc_id"].dataType.simpleString()
     width = 4
 
@@ -233,6 +234,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
 
     spread = pieces.withColumn("h", F.xxhash64("doc_id", "start", F.octet_length("small"), F.crc32("small"))).repartitionByRange("length", "h")
     rows = stored(spread.drop("h").sortWithinPartitions("length").mapInArrow(lean(ranked), cols + ", task int, rank long"), "ranked")
+    discard(pieces)
     counts = rows.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")).collect()
     hist, base = np.zeros(window + 1, np.int64), {}
     for r in sorted(counts, key=lambda r: (r["length"], r["task"])):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bounded, discard, lean, stored
 from .wordhash import MIX, encoded, mixed, runs, word_hashes
 
 SHINGLE, BANDS, ROWS = 5, 20, 5
@@ -116,7 +116,7 @@ def _signed(docs: DataFrame, kind: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * BANDS, pa.int32()), pa.array(out.ravel()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(at, pa.int64())), pa.array(nodes, pa.binary()), lists], names=["doc_id", "node", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>")
+    return docs.mapInArrow(lean(run), f"doc_id {kind}, node binary, bands array<long>")
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -143,12 +143,12 @@ def _verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.bool_())], names=["pivot", "node", "same"])
 
-    return spread.mapInArrow(compare, "pivot binary, node binary, same boolean").distinct()
+    return spread.mapInArrow(lean(compare), "pivot binary, node binary, same boolean").distinct()
 
 
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """node, root for the nodes of ``edges`` (a, b), by alternating large and small stars; root is
-    the least node of the component."""
+    the least node of the component. The table that it reads is the result's ``_stored_at``."""
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     for _ in range(most):
@@ -157,7 +157,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        e = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        old, e = e, stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        discard(old)
         # xor, so that the order of rows doesn't count
         now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == before:
@@ -165,7 +166,9 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         before = now
     else:
         raise RuntimeError("components did not converge")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out._stored_at = e._stored_at
+    return out
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
@@ -176,8 +179,8 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return rows.join(ends, "h").where("node <> pivot").select("node", "h", "pivot")
 
 
-def _unmet(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(node, root, at) of the nodes in buckets (node, h) of several classes (roots: node, root);
+def _unmet(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, root, at), and the stored table that it reads, of the nodes in buckets (node, h) of several classes (roots: node, root);
     ``at`` lists places (h, i, j, holds, meets). The nodes outside a bucket's largest class are
     dealt to blocks i, all of its nodes to blocks j; at place (i, j) those of i are held and those
     of j meet them."""
@@ -192,7 +195,7 @@ def _unmet(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     place = lambda i, j: F.struct("h", i.alias("i"), j.alias("j"), (F.col("open") & (i == F.col("i"))).alias("holds"), (j == F.col("j")).alias("meets"))
     held = F.when(F.col("open"), F.transform(upto("all"), lambda j: place(F.col("i"), j))).otherwise(F.array())
     at = F.array_union(held, F.transform(upto("few"), lambda i: place(i, F.col("j"))))
-    return dealt.select("node", "root", at.alias("at")).groupBy("node", "root").agg(F.flatten(F.collect_list("at")).alias("at"))
+    return dealt.select("node", "root", at.alias("at")).groupBy("node", "root").agg(F.flatten(F.collect_list("at")).alias("at")), of
 
 
 class _Block:
@@ -259,12 +262,13 @@ def _joined(texts: DataFrame, unmet: DataFrame, threshold: float) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["a", "b"])
 
-    return spread.mapInArrow(compare, "a binary, b binary").distinct()
+    return spread.mapInArrow(lean(compare), "a binary, b binary").distinct()
 
 
 def _rooted(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The texts with words of docs (doc_id, text): (doc_id, node, bands) by row, and (node, rep,
     root) by text, with its least doc_id and its class."""
+    bounded(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = stored(_signed(docs, kind), "signed")
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("rep"))
@@ -278,9 +282,14 @@ def _rooted(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     texts = stored(texts.join(asked, ["node", "rep"]).select("node", "text"), "texts")
     done = _verified(texts, buckets.select("pivot", "node").distinct(), threshold)
     roots = components(done.where("same").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-    wider = components(_joined(texts, stored(_unmet(buckets, roots), "unmet"), threshold)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    unmet, within = _unmet(buckets, roots)
+    unmet = stored(unmet, "unmet")
+    links = components(_joined(texts, unmet, threshold))
+    wider = links.select(F.col("node").alias("root"), F.col("root").alias("top"))
     of = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of = of.join(wider, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+    of = stored(of, "classes")
+    discard(nodes, buckets, texts, within, unmet, roots, links)
     return signed, of
 
 

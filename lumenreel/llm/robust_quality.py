@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 SPACE = "\t\n\x0b\x0c\r "
 SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -190,20 +190,22 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
 
     ests = stored(ests, "starts")
     for _ in range(2):
-        ests = stored(_concentrated(rows, flat(factored(ests, names), names), names, cells), "scatter")
+        old, ests = ests, stored(_concentrated(rows, flat(factored(ests, names), names), names, cells), "scatter")
+        discard(old)
     best = flat(factored(ests, names), names)
     least = F.least(*[F.col(f"det_{x}") for x in names])
     pick = F.coalesce(*[F.when(F.col(f"det_{x}") == least, F.col(x)) for x in names])
-    now = stored(best.select("cell", pick.alias("est"), least.alias("det")), "best")
+    now = stored(best.select("cell", pick.alias("est"), least.alias("det"), F.lit(True).alias("falls")), "best")
+    discard(ests)
     for _ in range(STEPS):
         step = _concentrated(rows, now.select("cell", "est"), ["est"], cells)
         new = _with_factor(step).join(now.select("cell", F.col("est").alias("old"), F.col("det").alias("was")), "cell")
         falls = F.col("det") < F.col("was") * (1 - FALL)
-        new = stored(new.select("cell", F.when(falls, F.col("est")).otherwise(F.col("old")).alias("est"), F.when(falls, F.col("det")).otherwise(F.col("was")).alias("det"), falls.alias("falls")), "scatter")
-        now = new.drop("falls")
-        if new.where("falls").isEmpty():
+        old, now = now, stored(new.select("cell", F.when(falls, F.col("est")).otherwise(F.col("old")).alias("est"), F.when(falls, F.col("det")).otherwise(F.col("was")).alias("det"), falls.alias("falls")), "scatter")
+        discard(old)
+        if now.where("falls").isEmpty():
             break
-    return now
+    return now.select("cell", "est", "det")
 
 
 def judge(docs: DataFrame, text: str = "text", by: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
@@ -244,6 +246,7 @@ def judge(docs: DataFrame, text: str = "text", by: tuple[str, ...] = ("lang", "s
         some.append(passed.select(F.lit("all").alias("cell"), *STATS))
     sample = stored(reduce(lambda a, b: a.unionByName(b), some), "sample")
     est = robust_estimates(sample)
+    discard(sample, asked)
     judged = whole.join(F.broadcast(est) if least <= BROADCAST_GROUPS else est, "cell", "left").withColumn("distance", F.when(F.col("est").isNotNull(), _distance(F.col("est"))))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)
     return judged.withColumn("kept", kept).select(*[F.col("row")[c].alias(c) for c in rest], *names)

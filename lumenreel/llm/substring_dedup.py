@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bitmaps import bitmap, in_bitmap, leading
-from .common import lean, partitions, slices, stored
+from .common import bounded, discard, lean, partitions, slices, stored
 from .wordhash import encoded, mixed, runs, word_hashes
 
 N, M = 35, 6
@@ -237,7 +237,9 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ds, pa.binary()), pa.array(at, pa.int32())], names=["key", "digest", "at"])
 
     where = docs.mapInArrow(lean(places), "key binary, digest binary, at int")
-    return where.join(answers, "digest").groupBy("key").agg(F.collect_set(F.struct("at", "spans")).alias("found"))
+    out = stored(where.join(answers, "digest").groupBy("key").agg(F.collect_set(F.struct("at", "spans")).alias("found")), "spans")
+    discard(answers)
+    return out
 
 
 def remove_repeated(docs: DataFrame, text: str = "text", n: int = N, m: int = M, buckets: int | None = None, hot: int = HOT) -> DataFrame:
@@ -249,8 +251,9 @@ def remove_repeated(docs: DataFrame, text: str = "text", n: int = N, m: int = M,
     have no words; rows that are repeated count as documents of their own, so their windows
     repeat; texts shorter than a window keep all; an empty table gives no rows. Texts and strings are
     told by 128-bit digests."""
+    bounded(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed", "kept")
-    found = stored(repeated_spans(docs.select(F.col(text).alias("text")), n, m, buckets, hot), "spans")
+    found = repeated_spans(docs.select(F.col(text).alias("text")), n, m, buckets, hot)
     hit = docs.sparkSession.sparkContext.broadcast(bitmap(found.select(leading("key").alias("h")), "h"))
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
     row = T.StructField("row", docs.schema)

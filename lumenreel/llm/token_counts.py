@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean
+from .common import bounded, lean
 
 MARK = "▁"
 #: Remembered counts of merged pre-tokens; the memory starts over beyond it.
@@ -128,6 +128,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 40
     """``docs`` with n_bytes, n_tokens and over_limit (columns of these names are replaced). Null
     counts as empty; repeated rows get equal counts; an empty table stays empty."""
     own = ("n_bytes", "n_tokens", "over_limit")
+    bounded(docs.sparkSession)
     docs = docs.drop(*own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

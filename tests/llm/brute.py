@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -63,6 +64,34 @@ def op4(url, rules):
     return (host, path, *(max(fit)[1:] if fit else (None, None)))
 
 
+def mined(rows, marks, min_confidence, min_count, min_lift):
+    """Verdicts by all token combinations: support, confidence and lift counted over all URLs."""
+
+    def tokens(url):
+        host, _, path = url.split("://")[1].partition("/")
+        return {*(f"h:{x}" for x in host.split(".")), *(f"p:{re.sub('[0-9]+', '0', x)}" for x in path.split("/") if x), "e:"}
+
+    sets = {i: tokens(u) for i, u in rows}
+    freq = Counter()
+    for i, s in sets.items():
+        for n in range(1, len(s) + 1):
+            for some in itertools.combinations(sorted(s), n):
+                freq[some, None] += 1
+                if i in marks:
+                    freq[some, marks[i]] += 1
+    share = {v: sum(m == v for m in marks.values()) / len(rows) for v in ("block", "allow")}
+    least = max(min_count, 0.005 * len(rows))
+    rules = {}
+    for (some, v), c in freq.items():
+        if v and c >= least and (conf := c / freq[some, None]) >= min_confidence and conf / share[v] >= min_lift:
+            rules[some, v] = conf
+    out = {}
+    for i, s in sets.items():
+        best = {v: max((c for (some, w), c in rules.items() if w == v and set(some) <= s), default=0.0) for v in ("block", "allow")}
+        out[i] = "block" if best["block"] > best["allow"] else "allow"
+    return out
+
+
 def op5(rows, min_docs=10):
     """Whole templates by exact counting; general ones by their definition: for each block the
     distinct lines are laid side by side."""
@@ -183,6 +212,17 @@ def op9(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), rep, len(w) < 10 or 100 * rep > 20 * len(w))
 
 
+def least_determinant(x, h, factor, floors):
+    """(determinant, mean) of the subset of h rows whose scatter has the least determinant."""
+    best = None
+    for some in itertools.combinations(range(len(x)), h):
+        y = x[list(some)]
+        det = np.linalg.det(factor * np.cov(y.T, bias=True) + np.diag(floors))
+        if best is None or det < best[0]:
+            best = det, y.mean(0)
+    return best
+
+
 def shingles(text, n=5):
     w = (text or "").split()
     return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
