@@ -102,6 +102,12 @@ def even_times(duration: Column, n: int, lo: float = 0.05, span: float = 0.9) ->
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: duration * (lo + span * i / max(1, n - 1)))
 
 
+def tail_times(duration: Column, n: int, tail: float = 7.0, end: float = 0.06) -> Column:
+    """``n`` times spread evenly over a clip's last ``tail`` seconds, up to just before its end."""
+    start = F.greatest(F.lit(0.0), duration - tail)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: start + (duration - end - start) * i / (n - 1))
+
+
 def cover_filter(box: Column, background: Column, opacity: Column, start: Column, end: Column, pad: int = 4) -> Column:
     """The filter that covers a text's box [x1, y1, x2, y2] for a while."""
     return F.format_string(

@@ -86,6 +86,28 @@ def capacity(videos: Column, languages: Column, segments: Column, batch: Column,
     return {"calls_per_video": calls, "total_calls": calls * videos, "keys_for_rpm": by_minute, "keys_for_rpd": by_day, "keys": F.when(rpd.isNotNull(), F.greatest(by_minute, by_day) + margin)}
 
 
+def capacity_text(videos: Column, languages: Column, segments: Column, batch: Column, model: Column) -> Column:
+    """The plan in lines; null for a model without a daily quota."""
+    c, lim = capacity(videos, languages, segments, batch, model), limits(model)
+    # The wording.
+    return F.concat_ws(
+        "\n",
+        F.format_string("Workload: %d videos x %d langs, ~%d segments/video, batch_size=%d", videos, languages, segments, batch),
+        F.format_string("Model: %s  (free-tier per-project caps: %d RPM, %d RPD)", model, lim["rpm"], lim["rpd"]),
+        F.format_string("Total calls for batch: %d", c["total_calls"]),
+        F.format_string("Keys needed by RPM: ceil(%d/%d) = %d", c["calls_per_video"], lim["rpm"], c["keys_for_rpm"]),
+        F.format_string("Keys needed by RPD: ceil(%d/%d) = %d", c["total_calls"], lim["rpd"], c["keys_for_rpd"]),
+        F.format_string("=> Recommended: %d keys (max + 1 for retry headroom)", c["keys"]),
+    )
+
+
+def reset_text(utc: Column) -> Column:
+    """When the quota is renewed, and how many hours that is from now."""
+    r = next_reset(utc)
+    hours = (F.unix_micros(r) - F.unix_micros(utc)) / 3_600_000_000
+    return F.format_string("%s UTC | 00:00 PT | ~%.1fh", F.date_format(r, "HH:mm dd/MM/yyyy"), hours)
+
+
 def pacific_hours(utc: Column) -> Column:
     """Offset of the Pacific zone: summer time from the second Sunday of March, 10:00 UTC, to the first
     Sunday of November, 9:00 UTC, in every year."""

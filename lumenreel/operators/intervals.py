@@ -23,6 +23,15 @@ def complement(merged: DataFrame, spans: DataFrame, keys: list[str]) -> DataFram
     return edges.select(*keys, F.lag("e").over(w).alias("start"), F.col("s").alias("end")).where("end > start")
 
 
+def kept_segments(cuts: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
+    """What is left of ``spans`` (keys, lo, hi) after cuts (start, end; no end: to the span's): keys, start,
+    end. A span of which nothing is left is kept whole."""
+    ended = cuts.join(spans, keys).select(*keys, "start", F.least(F.coalesce("end", "hi"), F.col("hi")).alias("end"))
+    free = complement(union(ended, keys, tolerance=1e-6), spans, keys)
+    whole = spans.join(free.select(*keys).distinct(), keys, "left_anti").select(*keys, F.col("lo").alias("start"), F.col("hi").alias("end"))
+    return free.unionByName(whole)
+
+
 def with_gaps(rows: DataFrame, keys: list[str], least: float, start: str = "start", end: str = "end", duration: str | None = None) -> DataFrame:
     """The gaps longer than ``least``: before the first interval, between an interval and the next one,
     and after the last one up to ``duration`` (a column of rows): keys, start, end."""

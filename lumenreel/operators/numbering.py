@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Slices that the rows of a large group are numbered in.
+SLICES = 64
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[str], key: Column | None = None) -> DataFrame:
+    """``rows`` with ``place``, the number of each in its group from 1, and ``total``, the group's rows; for
+    few large groups. ``key`` is a number that grows with the order (by default its first column): it
+    deals a group into slices of equal width, which are numbered each for itself and then moved up by the
+    rows of the slices before. No task has to see a whole group, unless its keys are all alike."""
+    k = (key if key is not None else F.col(order[0])).cast("double")
+    r = rows.withColumn("_k", k)
+    span = r.groupBy(*group).agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in group], F.lit(True))
+    wide = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
+    part = F.coalesce(F.least(F.floor((F.col("_k") - F.col("_lo")) / wide * SLICES), F.lit(SLICES - 1)), F.lit(-1)).cast("int")
+    r = r.alias("r").join(span.alias("s"), same("r", "s")).select("r.*", part.alias("_part"))
+    place = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
+    sizes = r.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # of slices: SLICES + 1 a group
+    sizes = sizes.withColumns({"_before": F.sum("_n").over(w.orderBy("_part")) - F.col("_n"), "total": F.sum("_n").over(w)})
+    r = r.withColumn("_place", place).alias("r").join(sizes.alias("s"), same("r", "s") & (F.col("r._part") == F.col("s._part")))
+    return r.select(*[F.col(f"r.{c}") for c in rows.columns], (F.col("_before") + F.col("_place")).cast("long").alias("place"), F.col("total"))
+
+
 def sequence_names(rows: DataFrame, group: list[str], order: list[str], code: Column, day: Column) -> DataFrame:
     """``seq`` and ``name`` (CODE_ddMM and the padded number) by group; two digits up to 99."""
-    w = Window.partitionBy(*group)
-    seq = F.row_number().over(w.orderBy(*order))
-    n = F.count(F.lit(1)).over(w)
-    width = F.when(n <= 99, 2).otherwise(F.greatest(F.lit(3), F.length(n.cast("string"))))
-    return rows.withColumn("seq", seq).withColumn("name", F.concat(code, F.lit("_"), day, F.lpad(F.col("seq").cast("string"), width, F.lit("0"))))
+    n = numbered(rows, group, order).withColumnRenamed("place", "seq")
+    width = F.when(F.col("total") <= 99, 2).otherwise(F.greatest(F.lit(3), F.length(F.col("total").cast("string"))))
+    return n.withColumn("name", F.concat(code, F.lit("_"), day, F.lpad(F.col("seq").cast("string"), width, F.lit("0")))).drop("total")
 
 
 def rotation(rows: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
     """``place`` in the group, from 1, and ``slot``, that in a rotation of ``size``."""
-    r = rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return r.withColumn("slot", (F.col("place") - 1) % size)
+    return numbered(rows, group, order).drop("total").withColumn("slot", ((F.col("place") - 1) % size).cast("int"))
 
 
 def ad_name(campaign: Column, place: Column) -> Column:
@@ -28,14 +51,8 @@ def ad_name(campaign: Column, place: Column) -> Column:
 
 
 def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``place`` among all rows, from 1: rows are dealt by ranges of the order and numbered in each; a
-    range starts after the rows of those before it. No task sees all rows."""
-    parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    r = rows.repartitionByRange(int(parts), *order).withColumn("_part", F.spark_partition_id())
-    r = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = r.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
-    before = sizes.select("_part", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_n")).alias("_before"))
-    return r.join(F.broadcast(before), "_part").withColumn("place", (F.col("_before") + F.col("_rn")).cast("bigint")).drop("_part", "_rn", "_before")
+    """``place`` among all rows, from 1."""
+    return numbered(rows, [], order).drop("total")
 
 
 def sampled(rows: DataFrame, group: list[str], key: str, n: int, seed: int) -> DataFrame:

@@ -100,14 +100,15 @@ def pad_bands(spark, sf_dir):
 @register(
     "sample_times",
     """SELECT p_partkey, round(greatest(CAST(0.5 AS DOUBLE), p_size * CAST(0.1 AS DOUBLE)), 6) AS first, round(greatest(CAST(0.5 AS DOUBLE), p_size * CAST(0.9 AS DOUBLE)), 6) AS last,
-      array_to_string(list_transform([0, 1, 2, 3, 4], lambda i: CAST(round(p_size * (CAST(0.05 AS DOUBLE) + CAST(0.9 AS DOUBLE) * i / 4), 3) AS VARCHAR)), ' ') AS spread FROM part""",
+      array_to_string(list_transform([0, 1, 2, 3, 4], lambda i: CAST(round(p_size * (CAST(0.05 AS DOUBLE) + CAST(0.9 AS DOUBLE) * i / 4), 3) AS VARCHAR)), ' ') AS spread,
+      round(greatest(0.0, p_size - 7) + (p_size - CAST(0.06 AS DOUBLE) - greatest(0.0, p_size - 7)) * 2 / 3, 6) AS late FROM part""",
 )
 def sample_times(spark, sf_dir):
     """Times at which clips are looked at."""
     d = F.col("p_size").cast("double")
     t = G.sample_times(d, [0.1, 0.5, 0.9])
     spread = F.array_join(F.transform(G.even_times(d, 5), lambda x: F.round(x, 3).cast("string")), " ")
-    return table(spark, sf_dir, "part").select("p_partkey", F.round(t[0], 6).alias("first"), F.round(t[2], 6).alias("last"), spread.alias("spread"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(t[0], 6).alias("first"), F.round(t[2], 6).alias("last"), spread.alias("spread"), F.round(G.tail_times(d, 4)[2], 6).alias("late"))
 
 
 @register(

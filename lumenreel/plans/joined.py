@@ -129,6 +129,24 @@ def kept_lengths(spark, sf_dir):
     return intervals.kept_length(c, ["user_id"], "d")
 
 
+@register(
+    "kept_segments",
+    """WITH c AS (SELECT user_id, event_id % 100 * 1.0 AS s, least(CASE WHEN event_id % 97 > 0 THEN event_id % 100 + value / 15 END, 100.0) AS e FROM events), d AS (SELECT user_id, s, coalesce(e, 100.0) AS e FROM c),
+      m AS (SELECT *, coalesce(s > max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1e-6, true) AS fresh FROM d WHERE e > s),
+      r AS (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM m), u AS (SELECT user_id, min(s) AS s, max(e) AS e FROM r GROUP BY user_id, run),
+      x AS (SELECT user_id, s, e FROM u UNION ALL SELECT DISTINCT user_id, 0, 0 FROM events UNION ALL SELECT DISTINCT user_id, 100, 100 FROM events),
+      f AS (SELECT user_id, lag(e) OVER (PARTITION BY user_id ORDER BY s, e) AS a, s AS b FROM x), g AS (SELECT * FROM f WHERE b > a)
+      SELECT user_id, round(CAST(a AS DOUBLE), 6) AS start, round(CAST(b AS DOUBLE), 6) AS "end" FROM g UNION ALL SELECT DISTINCT user_id, 0, 100 FROM events WHERE user_id NOT IN (SELECT user_id FROM g)""",
+)
+def kept_segments(spark, sf_dir):
+    """What cuts leave of clips; a clip cut away altogether is kept whole."""
+    k = F.col("event_id")
+    e = table(spark, sf_dir, "events")
+    cuts = e.select("user_id", (k % 100).cast("double").alias("start"), F.when(k % 97 > 0, k % 100 + F.col("value") / 15).alias("end"))
+    spans = e.select("user_id").distinct().select("user_id", F.lit(0.0).alias("lo"), F.lit(100.0).alias("hi"))
+    return intervals.kept_segments(cuts, spans, ["user_id"]).select("user_id", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
 @register(
     "cut_frame_counts",
     """WITH c AS (SELECT user_id, CAST(round_even(event_id % 50 * 2.5, 0) AS BIGINT) AS a, least(CAST(round_even((event_id % 50 + value / 50) * 2.5, 0) AS BIGINT), 120) AS b FROM events WHERE event_type = 'view'),

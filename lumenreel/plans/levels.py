@@ -99,6 +99,21 @@ def capacity_plan(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", *[c.alias(n) for n, c in found.items()], L.spike_threshold(L.limits(model)["rpm"]).alias("alert_at"))
 
 
+@register(
+    "capacity_texts",
+    f"""WITH {_LIMITS}, w AS (SELECT p_partkey, p_size AS v, CAST(p_partkey % 4 + 1 AS INT) AS l, CAST(p_partkey % 90 AS INT) AS s, CASE p_partkey % 2 WHEN 0 THEN 'gemini-2.5-flash' ELSE 'gemini-2.5-pro' END AS name FROM part),
+      c AS (SELECT *, greatest(1, CAST(ceil(s / 20) AS INT)) * l AS calls FROM w JOIN model USING (name))
+      SELECT p_partkey, 'Workload: ' || v || ' videos x ' || l || ' langs, ~' || s || ' segments/video, batch_size=20' || chr(10) || 'Model: ' || name || '  (free-tier per-project caps: ' || rpm || ' RPM, ' || rpd || ' RPD)' || chr(10) || 'Total calls for batch: ' || (calls * v) || chr(10)
+        || 'Keys needed by RPM: ceil(' || calls || '/' || rpm || ') = ' || greatest(1, CAST(ceil(calls / rpm) AS INT)) || chr(10) || 'Keys needed by RPD: ceil(' || (calls * v) || '/' || rpd || ') = ' || greatest(1, CAST(ceil(calls * v / rpd) AS INT)) || chr(10)
+        || '=> Recommended: ' || (greatest(1, CAST(ceil(calls / rpm) AS INT), CAST(ceil(calls * v / rpd) AS INT)) + 1) || ' keys (max + 1 for retry headroom)' AS plan FROM c""",
+)
+def capacity_texts(spark, sf_dir):
+    """Plans of workloads in words."""
+    k = F.col("p_partkey")
+    model = F.when(k % 2 == 0, "gemini-2.5-flash").otherwise("gemini-2.5-pro")
+    return table(spark, sf_dir, "part").select("p_partkey", L.capacity_text(F.col("p_size"), (k % 4 + 1).cast("int"), (k % 90).cast("int"), F.lit(20), model).alias("plan"))
+
+
 _PACIFIC = """(ts - INTERVAL 8 HOUR + CASE WHEN ts >= make_timestamp(year(ts), 3, 8, 10, 0, 0) + INTERVAL 1 DAY * ((7 - isodow(make_date(year(ts), 3, 8))) % 7)
     AND ts < make_timestamp(year(ts), 11, 1, 9, 0, 0) + INTERVAL 1 DAY * ((7 - isodow(make_date(year(ts), 11, 1))) % 7) THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END)"""
 
@@ -126,6 +141,16 @@ def quota_resets(spark, sf_dir):
     return e.select("event_id", F.date_format("r", "yyyy-MM-dd HH:mm").alias("reset"), hours.alias("hours"))
 
 
+@register(
+    "reset_texts",
+    f"""WITH e AS (SELECT event_id, ts, CAST({_PACIFIC} AS DATE) + INTERVAL 1 DAY - ({_PACIFIC} - ts) AS reset FROM events)
+      SELECT event_id, strftime(reset, '%H:%M %d/%m/%Y') || ' UTC | 00:00 PT | ~' || printf('%.1f', (epoch(reset) - epoch(ts)) / 3600 + 1e-7) || 'h' AS text FROM e""",
+)
+def reset_texts(spark, sf_dir):
+    """When quotas are renewed, in words."""
+    return table(spark, sf_dir, "events").select("event_id", L.reset_text(F.col("ts").cast("timestamp")).alias("text"))
+
+
 _RATE = "rate AS (SELECT event_id, ts, user_id, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 600 SECOND PRECEDING AND CURRENT ROW) AS n FROM events)"
 
 

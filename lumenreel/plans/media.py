@@ -29,11 +29,12 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "srt_times",
-    f"""WITH {SEGMENTS} SELECT clip_id, seg_id,
-      printf('%02d:%02d:%02d,%03d', CAST(start AS BIGINT) // 3600, CAST(start AS BIGINT) // 60 % 60, CAST(start AS BIGINT) % 60, 0) AS start_text FROM segment""",
+    """WITH t AS (SELECT l_orderkey AS clip_id, l_linenumber AS seg_id, CAST(round_even(l_extendedprice / 7.3::DOUBLE * 1000, 0) AS BIGINT) AS ms FROM lineitem)
+    SELECT clip_id, seg_id, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS start_text FROM t""",
 )
 def srt_times(spark, sf_dir):
-    return segments(spark, sf_dir).select("clip_id", "seg_id", X.srt_time(F.col("start")).alias("start_text"))
+    """Times to the millisecond, over hours."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("clip_id"), F.col("l_linenumber").alias("seg_id"), X.srt_time(F.col("l_extendedprice") / 7.3).alias("start_text"))
 
 
 @register(
@@ -151,12 +152,13 @@ def latest_view(spark, sf_dir):
 
 @register(
     "text_shape",
-    r"""SELECT conv_id, turn, length(text) AS n_chars, CASE WHEN length(trim(regexp_replace(text, '\s+', ' ', 'g'))) > 40 THEN substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 37) || '...'
-      ELSE trim(regexp_replace(text, '\s+', ' ', 'g')) END AS short_text FROM conversations""",
+    r"""SELECT conv_id, turn, length(text) AS n_chars, len(regexp_extract_all(text, '[\p{L}\p{M}\p{Nd}\p{Pc}'']+')) AS n_words, regexp_replace(regexp_replace(text, '[^\p{L}\p{M}\p{Nd}\p{Pc}\s\-/]', '', 'g'), '[/ ]', '_', 'g') AS slug,
+      CASE WHEN length(trim(regexp_replace(text, '\s+', ' ', 'g'))) > 40 THEN substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 37) || '...' ELSE trim(regexp_replace(text, '\s+', ' ', 'g')) END AS short_text FROM conversations""",
 )
 def text_shape(spark, sf_dir):
+    """Length, words, slug and short form of texts."""
     c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", F.length("text").cast("bigint").alias("n_chars"), X.compact(F.col("text"), 40).alias("short_text"))
+    return c.select("conv_id", "turn", F.length("text").cast("bigint").alias("n_chars"), X.word_count(F.col("text")).cast("bigint").alias("n_words"), X.slug(F.col("text")).alias("slug"), X.compact(F.col("text"), 40).alias("short_text"))
 
 
 @register(

@@ -10,18 +10,6 @@ from ..functions import text as X
 from ..session import table
 
 
-@register(
-    "pivot_counts",
-    """SELECT source, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'es') AS es, count(*) FILTER (lang = 'fr') AS fr, count(*) AS total
-    FROM documents GROUP BY 1 UNION ALL
-    SELECT 'TOTAL', count(*) FILTER (lang = 'de'), count(*) FILTER (lang = 'en'), count(*) FILTER (lang = 'es'), count(*) FILTER (lang = 'fr'), count(*) FROM documents""",
-)
-def pivot_counts(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    one = [F.count_if(F.col("lang") == x).alias(x) for x in ("de", "en", "es", "fr")] + [F.count(F.lit(1)).alias("total")]
-    return d.groupBy("source").agg(*one).unionByName(d.agg(*one).withColumn("source", F.lit("TOTAL")))
-
-
 @register("frequency", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, 1")
 def frequency(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "o_orderpriority")
@@ -75,16 +63,6 @@ def selected(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id", "left_semi")
 
 
-@register(
-    "dimension_default",
-    """SELECT doc_id, coalesce(m.folder, 'Other_' || lang) AS folder FROM documents LEFT JOIN (VALUES ('en', 'English'), ('de', 'German'), ('fr', 'French')) m(code, folder) ON lang = code""",
-)
-def dimension_default(spark, sf_dir):
-    m = spark.createDataFrame([("en", "English"), ("de", "German"), ("fr", "French")], "lang string, folder string")
-    d = table(spark, sf_dir, "documents").join(F.broadcast(m), "lang", "left")
-    return d.select("doc_id", F.coalesce("folder", F.concat(F.lit("Other_"), "lang")).alias("folder"))
-
-
 @register(
     "pinned_first",
     "SELECT n_nationkey, n_name, CAST(row_number() OVER (ORDER BY CASE n_name WHEN 'VIETNAM' THEN 0 WHEN 'UNITED KINGDOM' THEN 1 ELSE 2 END, n_name) AS BIGINT) AS place FROM nation",
@@ -100,20 +78,6 @@ def newest_first(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", "ts", "event_type").orderBy(F.desc("ts"), F.desc("event_id")).limit(20)
 
 
-@register(
-    "keyword_vote",
-    """SELECT conv_id, turn, CASE WHEN a = 0 AND b = 0 THEN 'other' WHEN a >= b THEN 'greeting' ELSE 'question' END AS angle
-    FROM (SELECT *, CAST(contains(lower(text), 'hello') AS INT) + CAST(contains(lower(text), 'the') AS INT) AS a,
-      CAST(contains(lower(text), 'how') AS INT) + CAST(contains(lower(text), '?') AS INT) + CAST(contains(lower(text), 'th') AS INT) AS b FROM conversations)""",
-)
-def keyword_vote(spark, sf_dir):
-    lower = F.lower("text")
-    vote = lambda words: sum((F.contains(lower, F.lit(w)).cast("int") for w in words), F.lit(0))
-    c = table(spark, sf_dir, "conversations").withColumns({"a": vote(["hello", "the"]), "b": vote(["how", "?", "th"])})
-    angle = F.when((F.col("a") == 0) & (F.col("b") == 0), "other").when(F.col("a") >= F.col("b"), "greeting").otherwise("question")
-    return c.select("conv_id", "turn", angle.alias("angle"))
-
-
 @register(
     "first_match_rules",
     """SELECT p_partkey, CASE WHEN p_size > 40 THEN 'high' WHEN p_retailprice > 1500 THEN 'pricey' WHEN p_brand LIKE '%1' THEN 'one' ELSE 'calm' END AS bucket FROM part""",
@@ -123,27 +87,6 @@ def first_match_rules(spark, sf_dir):
     return p.select("p_partkey", F.when(F.col("p_size") > 40, "high").when(F.col("p_retailprice") > 1500, "pricey").when(F.col("p_brand").like("%1"), "one").otherwise("calm").alias("bucket"))
 
 
-@register(
-    "violations",
-    """SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity > 45 THEN 'quantity' END, CASE WHEN l_discount > 0.09 THEN 'discount' END, CASE WHEN l_tax = 0 THEN 'tax' END) AS problems FROM lineitem""",
-)
-def violations(spark, sf_dir):
-    rule = lambda test, name: F.when(test, name)
-    problems = F.concat_ws(",", rule(F.col("l_quantity") > 45, "quantity"), rule(F.col("l_discount") > 0.09, "discount"), rule(F.col("l_tax") == 0, "tax"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", problems.alias("problems"))
-
-
-@register(
-    "track_report",
-    """SELECT user_id, count(*) AS n, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.5), 6) AS median, round(max(value) - min(value), 6) AS spread FROM events GROUP BY 1""",
-)
-def track_report(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.percentile("value", 0.05), 6).alias("p05"), F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.max("value") - F.min("value"), 6).alias("spread")
-    )
-
-
 @register(
     "top3_coverage",
     """WITH c AS (SELECT source, lang, count(*) AS n, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS rn FROM documents GROUP BY 1, 2)

@@ -337,3 +337,18 @@ def loaded_keys(spark, sf_dir):
     a = manifests.keys_of(F.when(s % 3 == 0, " k1,, k2").otherwise(""), F.when(s % 3 == 1, " single ").otherwise(""))
     b = manifests.keys_of(F.when(s % 2 == 0, F.concat(F.lit("g"), s.cast("string"))), F.lit("last"))
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(manifests.all_keys(a, b), ",").alias("keys"))
+
+
+@register(
+    "campaign_report",
+    """WITH a AS (SELECT CASE WHEN c_nationkey % 5 = 0 THEN 'BGM_' || c_nationkey ELSE 'VOICED_' || c_nationkey END AS campaign, c_mktsegment AS adset FROM customer), s AS (SELECT campaign, adset, count(*) AS n FROM a GROUP BY 1, 2),
+      c AS (SELECT campaign, '[' || campaign || ']  (' || CAST(sum(n) AS BIGINT) || ' ads)  ->  ' || regexp_replace(campaign, '^VOICED_', '') || chr(10) || string_agg('    ' || rpad(adset, 18, ' ') || ' ' || n, chr(10) ORDER BY n DESC, adset) || chr(10) AS block FROM s GROUP BY 1)
+      SELECT string_agg(block, chr(10) ORDER BY NOT starts_with(campaign, 'BGM'), campaign) AS report FROM c""",
+)
+def campaign_report(spark, sf_dir):
+    """The tree of campaigns and ad sets as a text."""
+    from ..sources.writers import campaign_report as report
+
+    k = F.col("c_nationkey")
+    campaign = F.concat(F.when(k % 5 == 0, "BGM_").otherwise("VOICED_"), k.cast("string"))
+    return report(table(spark, sf_dir, "customer").select(campaign.alias("campaign"), F.col("c_mktsegment").alias("adset")))

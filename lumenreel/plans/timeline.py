@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..functions.levels import pacific_day
+from ..operators import numbering
 from ..session import table
 
 
@@ -118,40 +120,31 @@ def language_fanout(spark, sf_dir):
 )
 def collision_suffix(spark, sf_dir):
     """The first of a name keeps it; others are numbered."""
-    rn = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
-    name = F.when(F.col("rn") == 1, F.col("p_brand")).otherwise(F.concat("p_brand", F.lit("_dup"), (F.col("rn") - 1).cast("string")))
-    return table(spark, sf_dir, "part").withColumn("rn", rn).select("p_partkey", name.alias("name"))
-
-
-@register(
-    "content_key",
-    "SELECT doc_id, substr(sha256(source || '|' || n_chars), 1, 24) AS cache_key FROM documents",
-)
-def content_key(spark, sf_dir):
-    """A cache key: the first 24 digits of a SHA-256 over what names a file."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.left(F.sha2(F.concat_ws("|", "source", F.col("n_chars").cast("string")), 256), F.lit(24)).alias("cache_key"))
+    p = numbering.numbered(table(spark, sf_dir, "part"), ["p_brand"], ["p_partkey"])
+    name = F.when(F.col("place") == 1, F.col("p_brand")).otherwise(F.concat("p_brand", F.lit("_dup"), (F.col("place") - 1).cast("string")))
+    return p.select("p_partkey", name.alias("name"))
 
 
 @register(
     "daily_counter",
-    """SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(*) >= 2 AS warn FROM events GROUP BY 1, 2""",
+    """SELECT user_id, strftime(day, '%Y-%m-%d') AS day, count(*) AS n, count(*) >= 2 AS warn FROM (SELECT user_id, CAST(ts - INTERVAL 8 HOUR AS DATE) AS day FROM events) GROUP BY 1, 2""",
 )
 def daily_counter(spark, sf_dir):
-    """Requests of each key and day, with a warning at the threshold."""
+    """Requests of each key and Pacific day, with a warning at the threshold. (The table's days are in winter.)"""
     n = F.count(F.lit(1))
-    return table(spark, sf_dir, "events").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(n.alias("n"), (n >= 2).alias("warn"))
+    day = pacific_day(F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").groupBy("user_id", F.date_format(day, "yyyy-MM-dd").alias("day")).agg(n.alias("n"), (n >= 2).alias("warn"))
 
 
 @register(
-    "loudness_verdict",
-    """SELECT l_orderkey, l_linenumber, coalesce(nullif(concat_ws(',', CASE WHEN l_quantity < 11 OR l_quantity > 20 THEN 'LUFS-WARN' END, CASE WHEN l_discount > 0.07 THEN 'CLIP-WARN' END,
-      CASE WHEN l_partkey % 10 = 0 THEN 'NO-SPEECH' END), ''), 'PASS') AS verdict FROM lineitem""",
+    "carried_headers",
+    """SELECT user_id, event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS header FROM events""",
 )
-def loudness_verdict(spark, sf_dir):
-    """All warnings that apply, or PASS."""
-    q = F.col("l_quantity")
-    found = F.concat_ws(",", F.when((q < 11) | (q > 20), "LUFS-WARN"), F.when(F.col("l_discount") > 0.07, "CLIP-WARN"), F.when(F.col("l_partkey") % 10 == 0, "NO-SPEECH"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.coalesce(F.nullif(found, F.lit("")), F.lit("PASS")).alias("verdict"))
+def carried_headers(spark, sf_dir):
+    """Each line with the last header before it."""
+    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    header = F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(w)
+    return table(spark, sf_dir, "events").select("user_id", "event_id", header.alias("header"))
 
 
 @register(
