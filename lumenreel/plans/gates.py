@@ -209,9 +209,9 @@ def padding_verdicts(spark, sf_dir):
 def render_issues(spark, sf_dir):
     """What is wrong with renders; the commonest size is the one expected."""
     p = probes(spark, sf_dir).withColumn("dims", F.concat(F.col("w").cast("string"), F.lit("x"), F.col("h").cast("string")))
-    want = p.groupBy("dims").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("dims", F.struct("n")).alias("want"))  # one row
+    want = p.groupBy("dims").agg(F.count(F.lit(1)).alias("n")).agg(F.min_by("dims", F.struct(-F.col("n"), "dims")).alias("want"))
     n, d = F.col("l_linenumber"), F.col("d")
-    p = p.crossJoin(F.broadcast(want))
+    p = p.withColumn("want", want.scalar())
     issues = G.render_issues(
         F.col("dims"), F.col("want"), F.when(n == 6, "4:3").otherwise("1:1"), F.when(n == 7, "yuv444p").otherwise("yuv420p"), F.col("audio"), F.lit(""), d, F.when(n % 5 == 0, d - 3.5 + n % 2), 3.0, F.when(n % 2 == 0, d - 2.5), -d * 15, -F.col("mb") / 8
     )

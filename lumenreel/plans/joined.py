@@ -299,9 +299,9 @@ def job_states(spark, sf_dir):
 def expired_jobs(spark, sf_dir):
     """Jobs a day old that neither wait nor run."""
     e = table(spark, sf_dir, "events")
-    now = e.agg(F.max("ts").alias("now"))  # one row
+    now = e.agg(F.max("ts").cast("timestamp"))
     status = F.when(F.col("event_type") == "view", "queued").when(F.col("event_type") == "click", "running").otherwise("done")
-    j = e.withColumns({"status": status, "ts": F.col("ts").cast("timestamp")}).crossJoin(F.broadcast(now)).withColumn("now", F.col("now").cast("timestamp"))
+    j = e.withColumns({"status": status, "ts": F.col("ts").cast("timestamp")}).withColumn("now", now.scalar())
     return manifests.expired(j, "status", "ts", F.col("now"), 86400).select("event_id")
 
 

@@ -97,8 +97,8 @@ def picked_tracks(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     names = F.array_sort(F.collect_list("n_name"))  # 25 nations
     pools = nation.where("n_regionkey < 4").groupBy("n_regionkey").agg(names.alias("pool"))
-    every = nation.agg(names.alias("names"))  # one row
-    c = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(pools, "n_regionkey", "left").crossJoin(F.broadcast(every))
+    every = nation.agg(names)
+    c = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(pools, "n_regionkey", "left").withColumn("names", every.scalar())
     return c.select("c_custkey", R.picked(F.col("pool"), F.col("names"), F.col("c_custkey"), 7).alias("track"))
 
 
@@ -314,8 +314,8 @@ def target_countries(spark, sf_dir):
     """A core list, the region's own, and extras that aren't there yet."""
     names = F.array_sort(F.collect_list("n_name"))  # 25 nations
     by = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(names.alias("own"))
-    core = by.where("n_regionkey = 0").select(F.col("own").alias("core"))  # one row
-    r = table(spark, sf_dir, "region").join(by, F.col("r_regionkey") == F.col("n_regionkey")).crossJoin(F.broadcast(core))
+    core = by.where("n_regionkey = 0").select("own")
+    r = table(spark, sf_dir, "region").join(by, F.col("r_regionkey") == F.col("n_regionkey")).withColumn("core", core.scalar())
     extra = F.array(F.lit("EXTRA"), F.get("core", F.lit(0)))
     return r.select("r_regionkey", F.array_join(F.array_union(F.array_union("core", "own"), extra), ",").alias("countries"))
 

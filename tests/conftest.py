@@ -1,16 +1,13 @@
-import os
-import sys
+"""One local session for all tests."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-from lumenreel.session import build_session  # noqa: E402
+from lumenreel.session import build_session
 
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("8", 4, "6g")
-    s.sparkContext.setLogLevel("ERROR")
-    yield s
-    s.stop()
+    session = build_session("8", 4, "6g")
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
