@@ -213,13 +213,14 @@ def op9(text):
 
 
 def least_determinant(x, h, factor, floors):
-    """(determinant, mean) of the subset of h rows whose scatter has the least determinant."""
+    """(determinant, mean, scatter) of the subset of h rows whose scatter has the least determinant."""
     best = None
     for some in itertools.combinations(range(len(x)), h):
         y = x[list(some)]
-        det = np.linalg.det(factor * np.cov(y.T, bias=True) + np.diag(floors))
+        scatter = factor * np.cov(y.T, bias=True) + np.diag(floors)
+        det = np.linalg.det(scatter)
         if best is None or det < best[0]:
-            best = det, y.mean(0)
+            best = det, y.mean(0), scatter
     return best
 
 
