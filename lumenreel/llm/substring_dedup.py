@@ -44,7 +44,7 @@ HOT = 1000
 #: Bytes of strings that a bucket gets, about.
 BUCKET = 64 << 20
 #: Characters of text after which a task sends its blocks on.
-FLUSH = 24 << 20
+FLUSH = 12 << 20
 
 
 def plain(text: str | None) -> bytes:
