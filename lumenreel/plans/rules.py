@@ -274,7 +274,7 @@ def by_folder_and_name(spark, sf_dir):
     return numbering.ranked(table(spark, sf_dir, "supplier"), ["s_nationkey", "s_name"]).select("s_suppkey", "place")
 
 
-@register("previews", "SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_linenumber) FILTER (rn <= 3) || CASE WHEN count(*) > 3 THEN ' ...' ELSE '' END AS preview FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS rn FROM lineitem) GROUP BY 1")
+@register("previews", "SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_linenumber, l_partkey) FILTER (rn <= 3) || CASE WHEN count(*) > 3 THEN ' ...' ELSE '' END AS preview FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS rn FROM lineitem) GROUP BY 1")
 def previews(spark, sf_dir):
     """The first few of a list."""
     p = table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")))
