@@ -89,3 +89,9 @@ def idle(now: Column, last_activity: Column, heartbeat: Column, started: Column,
     """Whether a machine may be stopped: nothing done for longer than the limit, no fresh heartbeat, and
     not in the middle of a batch."""
     return (now - last_activity > limit) & F.coalesce(now - heartbeat >= limit, F.lit(True)) & ~(started & ~finished)
+
+
+def run_out(now: Column, started: Column, heartbeat: Column, last_output: Column, cap: float, limit: float) -> Column:
+    """Whether a rented machine is to be stopped: its time is up, or its heartbeat is stale and nothing came
+    out for as long."""
+    return (now - started >= cap) | (F.coalesce(now - heartbeat > limit, F.lit(True)) & F.coalesce(now - last_output > limit, F.lit(True)))

@@ -66,6 +66,13 @@ def displayed(w: Column, h: Column, sar: Column, rotation: Column) -> tuple[Colu
     return dw, F.when(turned, w).otherwise(h)
 
 
+def even_displayed(w: Column, h: Column, sar: Column, rotation: Column) -> tuple[Column, Column]:
+    """The size as shown in even numbers, two at least."""
+    down = lambda c: F.greatest(F.lit(2), c - c % 2)
+    dw, dh = displayed(w, h, sar, rotation)
+    return down(dw), down(dh)
+
+
 def is_portrait(w: Column, h: Column, tolerance: float = 0.05) -> Column:
     """9:16 within a share of it."""
     return F.abs(w / h - 9 / 16) <= tolerance * (9 / 16)

@@ -99,6 +99,11 @@ def script_tier(duration: Column, long: Column, short: Column, least: float = 22
     return F.when((duration >= least) & (long != ""), long).otherwise(F.coalesce(short, F.lit("")))
 
 
+def script_block(scripts: Column, angle: Column, fallback: str = "care-hack") -> Column:
+    """The scripts (a map by angle) for an angle, else those of the fallback; null if there are neither."""
+    return F.coalesce(F.try_element_at(scripts, F.coalesce(angle, F.lit("other"))), F.try_element_at(scripts, F.lit(fallback)))
+
+
 def voice(custom: Column, default: Column) -> Column:
     """The voice asked for, else the language's; an error where there is neither."""
     return F.when(custom != "", custom).when(default.isNotNull(), default).otherwise(F.raise_error(F.lit("no voice for this language")))

@@ -100,3 +100,14 @@ def all_keys(*providers: Column) -> Column:
     """The keys of providers one after the other; an error if there are none."""
     keys = F.concat(*providers)
     return F.when(F.size(keys) > 0, keys).otherwise(F.raise_error(F.lit("no keys are set")).cast("array<string>"))
+
+
+def fan_out(videos: DataFrame, key: str, targets: list[str], source: Column, complete: Column, existing: DataFrame, least_bytes: int = 100_000) -> DataFrame:
+    """key, target, state of each video and target language: ``source`` (recorded, nothing to do),
+    ``untranslated`` (left out for now), ``exists`` (an output of more than ``least_bytes`` is recorded) or
+    ``queued``. ``complete``: a map of languages to whether all is translated; ``existing``: key, target, size."""
+    v = videos.select(key, source.alias("_source"), complete.alias("_complete"), F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    done = existing.where(F.col("size") > least_bytes).select(key, "target").distinct().withColumn("_done", F.lit(True))
+    ready = F.coalesce(F.try_element_at("_complete", F.col("target")), F.lit(False))
+    state = F.when(F.col("target").eqNullSafe(F.col("_source")), "source").when(~ready, "untranslated").when(F.col("_done"), "exists").otherwise("queued")
+    return v.join(done, [key, "target"], "left").select(key, "target", state.alias("state"))

@@ -6,6 +6,8 @@ operators are windows over a clip, or array functions over one of its runs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,7 +191,7 @@ def left_for_good(samples: DataFrame, seen: Column, dark: Column, fps: float, wa
     s = samples.withColumns({"_i": F.row_number().over(w) - 1, "_seen": seen, "_dark": F.coalesce(dark, F.lit(False))})
     ends = s.groupBy("clip").agg(F.count(F.lit(1)).alias("_size"), F.max(F.when(F.col("_seen"), F.col("_i"))).alias("_body"))
     ends = ends.withColumn("_cut", F.least(F.col("_size"), F.col("_body") + 3))
-    back = s.join(ends.where("_body is not null"), "clip").where((F.col("_i") < F.col("_cut")) & (F.col("_i") >= F.greatest(F.col("_cut") - int(walk * fps), F.lit(1))))
+    back = s.join(ends.where("_body is not null"), "clip").where((F.col("_i") < F.col("_cut")) & (F.col("_i") >= F.greatest(F.col("_cut") - math.ceil(walk * fps), F.lit(1))))
     light = back.groupBy("clip").agg(F.max(F.when(~F.col("_dark"), F.col("_i"))).alias("_light"), F.min("_i").alias("_first"))
     out = ends.join(light, "clip", "left").withColumn("_to", F.least(F.col("_cut"), F.coalesce(F.col("_light") + 1, F.col("_first"), F.col("_cut"))))
     fine = (F.col("_to") / fps < F.col("_size") / fps - 0.05) & F.col("_body").isNotNull()

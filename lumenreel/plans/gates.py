@@ -298,9 +298,10 @@ def voice_manifest(spark, sf_dir):
 
 @register(
     "idle_machines",
-    "SELECT p_partkey, p_size * 60 > 900 AND coalesce(CASE WHEN p_partkey % 3 > 0 THEN p_size * 40 >= 900 END, true) AND NOT (p_partkey % 4 = 0 AND NOT p_partkey % 8 = 0) AS stop FROM part",
+    """SELECT p_partkey, p_size * 60 > 900 AND coalesce(CASE WHEN p_partkey % 3 > 0 THEN p_size * 40 >= 900 END, true) AND NOT (p_partkey % 4 = 0 AND NOT p_partkey % 8 = 0) AS stop,
+      p_size * 60 >= 2800 OR (coalesce(CASE WHEN p_partkey % 3 > 0 THEN p_size * 40 > 900 END, true) AND p_partkey % 2000 > 900) AS run_out FROM part""",
 )
 def idle_machines(spark, sf_dir):
     k, s = F.col("p_partkey"), F.col("p_size")
     now = F.lit(100_000)
-    return table(spark, sf_dir, "part").select("p_partkey", G.idle(now, now - s * 60, F.when(k % 3 > 0, now - s * 40), k % 4 == 0, k % 8 == 0, 900).alias("stop"))
+    return table(spark, sf_dir, "part").select("p_partkey", G.idle(now, now - s * 60, F.when(k % 3 > 0, now - s * 40), k % 4 == 0, k % 8 == 0, 900).alias("stop"), G.run_out(now, now - s * 60, F.when(k % 3 > 0, now - s * 40), now - k % 2000, 2800, 900).alias("run_out"))

@@ -75,7 +75,7 @@ def canvas_filters(spark, sf_dir):
     f"""WITH {_SIZES}, s AS (SELECT *, CASE p_size % 5 WHEN 0 THEN '40:33' WHEN 1 THEN '0:1' WHEN 2 THEN 'N/A' WHEN 3 THEN NULL ELSE '1:1' END AS sar, CASE p_size % 4 WHEN 0 THEN -90 WHEN 1 THEN 180 WHEN 2 THEN 270 ELSE 0 END AS rot FROM size),
       n AS (SELECT *, CASE WHEN sar = '40:33' THEN 40 ELSE 1 END AS sn, CASE WHEN sar = '40:33' THEN 33 ELSE 1 END AS sd, rot IN (-90, 270) AS turned FROM s),
       d AS (SELECT *, CAST(CASE WHEN turned THEN h * sd // sn ELSE w * sn // sd END AS INT) AS dw, CASE WHEN turned THEN w ELSE h END AS dh FROM n)
-      SELECT p_partkey, dw, dh, abs(dw / dh - CAST(9 AS DOUBLE) / 16) <= CAST(0.05 AS DOUBLE) * (CAST(9 AS DOUBLE) / 16) AS portrait, abs(dw / dh - CAST(1080 AS DOUBLE) / 1920) <= CAST(0.05 AS DOUBLE) AS target FROM d""",
+      SELECT p_partkey, dw, dh, abs(dw / dh - CAST(9 AS DOUBLE) / 16) <= CAST(0.05 AS DOUBLE) * (CAST(9 AS DOUBLE) / 16) AS portrait, abs(dw / dh - CAST(1080 AS DOUBLE) / 1920) <= CAST(0.05 AS DOUBLE) AS target, CAST(greatest(2, dw - dw % 2) AS INT) AS even_w, CAST(greatest(2, dh - dh % 2) AS INT) AS even_h FROM d""",
 )
 def displayed_sizes(spark, sf_dir):
     """Sizes as shown, and two tests of their ratio."""
@@ -83,7 +83,8 @@ def displayed_sizes(spark, sf_dir):
     sar = F.when(s % 5 == 0, "40:33").when(s % 5 == 1, "0:1").when(s % 5 == 2, "N/A").when(s % 5 == 4, "1:1")
     rot = F.when(s % 4 == 0, -90).when(s % 4 == 1, 180).when(s % 4 == 2, 270).otherwise(0)
     dw, dh = G.displayed(F.col("w"), F.col("h"), sar, rot)
-    d = sizes(spark, sf_dir).select("p_partkey", dw.alias("dw"), dh.alias("dh"))
+    even_w, even_h = G.even_displayed(F.col("w"), F.col("h"), sar, rot)
+    d = sizes(spark, sf_dir).select("p_partkey", dw.alias("dw"), dh.alias("dh"), even_w.alias("even_w"), even_h.alias("even_h"))
     return d.withColumns({"portrait": G.is_portrait(F.col("dw"), F.col("dh")), "target": G.is_target(F.col("dw"), F.col("dh"))})
 
 

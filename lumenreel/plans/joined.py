@@ -336,3 +336,16 @@ def nearest_frames(spark, sf_dir):
     e = e.withColumns({"lo": F.max(frame).over(w.rangeBetween(Window.unboundedPreceding, 0)), "hi": F.min(frame).over(w.rangeBetween(0, Window.unboundedFollowing))})
     at = F.when(F.col("lo").isNull() | (F.col("hi") - F.col("x") < F.col("x") - F.col("lo")), F.col("hi")).otherwise(F.col("lo"))
     return e.where("event_type = 'error'").select(F.col("event_id").alias("k"), at.alias("at")).where("at is not null")
+
+
+@register(
+    "dub_jobs",
+    """WITH t AS (SELECT doc_id, lang, n_chars, unnest(['en', 'de', 'fr', 'es']) AS target FROM documents)
+      SELECT doc_id, target, CASE WHEN lang IS NOT DISTINCT FROM target THEN 'source' WHEN target = 'fr' AND doc_id % 2 = 0 OR target = 'es' THEN 'untranslated' WHEN target = 'de' AND n_chars * 100 > 100000 THEN 'exists' ELSE 'queued' END AS state FROM t""",
+)
+def dub_jobs(spark, sf_dir):
+    """What is to be done for each clip and target language."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    complete = F.create_map(F.lit("en"), F.lit(True), F.lit("de"), F.lit(True), F.lit("fr"), F.col("doc_id") % 2 == 1)
+    existing = d.select("doc_id", F.lit("de").alias("target"), (F.col("n_chars") * 100).alias("size"))
+    return manifests.fan_out(d, "doc_id", ["en", "de", "fr", "es"], F.col("lang"), complete, existing)

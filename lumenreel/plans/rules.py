@@ -73,7 +73,7 @@ def shopping_list(spark, sf_dir):
 @register(
     "routed_outros",
     """SELECT p_partkey, CASE WHEN v = 'man' THEN 'man.mp4' WHEN v IN ('woman', 'women', 'female') AND p_partkey % 2 = 0 THEN 'woman.mp4' ELSE 'any.mp4' END AS outro,
-      CASE WHEN p_size >= 22 AND p_partkey % 3 > 0 THEN 'long' ELSE CASE WHEN p_partkey % 5 > 0 THEN 'short' ELSE '' END END AS script, CASE WHEN p_partkey % 4 = 0 THEN p_brand ELSE 'Voice-' || p_size % 3 END AS voice, CASE WHEN p_brand IN ('tiny', 'base') OR p_size % 2 = 0 THEN 1 ELSE 5 END AS beam
+      CASE WHEN p_size >= 22 AND p_partkey % 3 > 0 THEN 'long' ELSE CASE WHEN p_partkey % 5 > 0 THEN 'short' ELSE '' END END AS script, CASE WHEN p_partkey % 4 = 0 THEN p_brand ELSE 'Voice-' || p_size % 3 END AS voice, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 5 END AS beam, CASE WHEN p_size % 3 = 0 THEN 'feature' WHEN p_partkey % 2 = 0 THEN 'care' END AS block
       FROM (SELECT *, CASE p_size % 5 WHEN 0 THEN 'man' WHEN 1 THEN 'woman' WHEN 2 THEN 'female' ELSE '' END AS v FROM part)""",
 )
 def routed_outros(spark, sf_dir):
@@ -83,7 +83,9 @@ def routed_outros(spark, sf_dir):
     out = R.outro(v, F.lit("man.mp4"), F.when(k % 2 == 0, "woman.mp4").otherwise(""), F.lit("any.mp4"))
     script = R.script_tier(s, F.when(k % 3 > 0, "long"), F.when(k % 5 > 0, "short"))
     voice = R.voice(F.when(k % 4 == 0, F.col("p_brand")), F.concat(F.lit("Voice-"), (s % 3).cast("string")))
-    return table(spark, sf_dir, "part").select("p_partkey", out.alias("outro"), F.coalesce(script, F.lit("")).alias("script"), voice.alias("voice"), R.beam_size(F.when(s % 2 == 0, "tiny").otherwise("medium")).alias("beam"))
+    scripts = F.when(k % 2 == 0, F.create_map(*map(F.lit, ("care-hack", "care", "demo", "feature")))).otherwise(F.create_map(*map(F.lit, ("demo", "feature"))))
+    block = R.script_block(scripts, F.when(s % 3 == 0, "demo").when(s % 3 == 1, "unknown"))
+    return table(spark, sf_dir, "part").select("p_partkey", out.alias("outro"), F.coalesce(script, F.lit("")).alias("script"), voice.alias("voice"), R.beam_size(F.when(s % 2 == 0, "tiny").otherwise("medium")).alias("beam"), block.alias("block"))
 
 
 @register(

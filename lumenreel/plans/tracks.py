@@ -155,7 +155,7 @@ def sharp_spans(spark, sf_dir):
 @register(
     "subject_cuts",
     f"""WITH {_SAMPLE}, e AS (SELECT clip, count(*) AS size, max(rn - 1) FILTER (score > 0.9) AS body FROM sample GROUP BY 1), c AS (SELECT *, least(size, body + 3) AS cut FROM e),
-      b AS (SELECT c.clip, max(s.rn - 1) FILTER (s.score > 0.2) AS light, min(s.rn - 1) AS first FROM c JOIN sample s ON s.clip = c.clip AND s.rn - 1 < c.cut AND s.rn - 1 >= greatest(c.cut - 4, 1) WHERE body IS NOT NULL GROUP BY 1),
+      b AS (SELECT c.clip, max(s.rn - 1) FILTER (s.score > 0.2) AS light, min(s.rn - 1) AS first FROM c JOIN sample s ON s.clip = c.clip AND s.rn - 1 < c.cut AND s.rn - 1 >= greatest(c.cut - 5, 1) WHERE body IS NOT NULL GROUP BY 1),
       t AS (SELECT c.*, least(cut, coalesce(light + 1, first, cut)) AS stop FROM c LEFT JOIN b USING (clip))
       SELECT clip, CASE WHEN body IS NOT NULL AND stop / 4.0 < size / 4.0 - 0.05 THEN round(CAST(stop / 4.0 AS DOUBLE), 2) END AS cut, CASE WHEN body IS NOT NULL AND stop / 4.0 < size / 4.0 - 0.05 THEN round(CAST((cut - stop) / 4.0 AS DOUBLE), 3) END AS walked FROM t""",
 )
@@ -219,5 +219,5 @@ def still_shares(spark, sf_dir):
       SELECT * FROM u UNION ALL SELECT clip, 0, CAST(least(5, lim) AS DOUBLE) FROM z WHERE clip NOT IN (SELECT clip FROM u)""",
 )
 def frozen_windows(spark, sf_dir):
-    """The windows in which a frozen card like the reference is shown."""
+    """The windows in which a frozen card that looks like a known one is shown."""
     return T.frozen_windows(samples(spark, sf_dir), "x", 0.5, 90.0, F.col("y"), 60.0)

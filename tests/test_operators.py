@@ -63,6 +63,12 @@ def test_text_functions(spark):
     assert value(spark, X.header_line(F.lit("no Language: here"), F.lit("de"))) == "Language: de\nno Language: here"
 
 
+def test_wrapping(spark):
+    assert value(spark, X.wrapped(F.lit("漢字かなも"), F.lit(16), F.lit(8.0))) == ["漢字", "かな", "も"]
+    assert value(spark, X.wrapped(F.lit("a bb overlong c"), F.lit(32), F.lit(8.0))) == ["a bb", "overlong", "c"]
+    assert value(spark, X.wrapped(F.lit(""), F.lit(32), F.lit(8.0))) == [""]
+
+
 def test_names(spark):
     assert value(spark, names.own_number(F.lit("DE_05110123"), F.lit("DE"), F.lit("0511"))) == 123
     assert value(spark, names.own_number(F.lit("DE_0511x"), F.lit("DE"), F.lit("0511"))) is None
