@@ -19,16 +19,20 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], key: Column |
     rows of the slices before. No task has to see a whole group, unless its keys are all alike."""
     k = (key if key is not None else F.col(order[0])).cast("double")
     r = rows.withColumn("_k", k)
-    span = r.groupBy(*group).agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
-    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in group], F.lit(True))
+    ends = (F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+    same = lambda a, b, by: reduce(lambda x, y: x & y, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in by])
+    if group:
+        r = r.alias("r").join(r.groupBy(*group).agg(*ends).alias("s"), same("r", "s", group)).select("r.*", "_lo", "_hi")
+    else:
+        r = r.withColumns({c: r.agg(f).scalar() for c, f in zip(("_lo", "_hi"), ends, strict=True)})
     wide = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
     part = F.coalesce(F.least(F.floor((F.col("_k") - F.col("_lo")) / wide * SLICES), F.lit(SLICES - 1)), F.lit(-1)).cast("int")
-    r = r.alias("r").join(span.alias("s"), same("r", "s")).select("r.*", part.alias("_part"))
+    r = r.withColumn("_part", part)
     place = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
     sizes = r.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # of slices: SLICES + 1 a group
     sizes = sizes.withColumns({"_before": F.sum("_n").over(w.orderBy("_part")) - F.col("_n"), "total": F.sum("_n").over(w)})
-    r = r.withColumn("_place", place).alias("r").join(sizes.alias("s"), same("r", "s") & (F.col("r._part") == F.col("s._part")))
+    r = r.withColumn("_place", place).alias("r").join(sizes.alias("s"), same("r", "s", [*group, "_part"]))
     return r.select(*[F.col(f"r.{c}") for c in rows.columns], (F.col("_before") + F.col("_place")).cast("long").alias("place"), F.col("total"))
 
 
