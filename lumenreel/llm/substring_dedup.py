@@ -172,7 +172,8 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
     docs = docs.select("text").where(F.col("text").isNotNull())
     if not buckets:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        buckets = max(2 * partitions(spark), math.ceil(4 * size / BUCKET))
+        # several to a partition, so that partitions come out even
+        buckets = max(8 * partitions(spark), math.ceil(4 * size / BUCKET))
     counts = docs.mapInArrow(lean(_minimisers(lambda t: mixed(super_kmers(plain(t), n, m)[2]))), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     often = spark.sparkContext.broadcast(bitmap(counts.where(F.col("c") >= hot), "h"))
 
