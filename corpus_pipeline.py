@@ -49,7 +49,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 tokens."""
-    return packed_digest(packing.pack(packing.tokenize(docs, public_tokenizers.path(WORD_BPE), END_ID)))
+    return packed_digest(packing.pack_texts(docs, public_tokenizers.path(WORD_BPE), END_ID))
 
 
 STAGES = [

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .common import bounded, lean
 
 #: Bytes of text that are scored at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 ORDER = 3
 UNKNOWN = "und"
 #: Up to so many languages their shares are broadcast.

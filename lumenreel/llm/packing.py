@@ -15,7 +15,7 @@ there are no more than tasks and lengths together.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +29,8 @@ from .common import bounded, discard, lean, slices, stored
 from .fast_bpe import WordEncoder
 
 WINDOW = 4096
+#: Columns of a piece.
+PIECE = "doc_id {}, start long, length int, doc_tokens long, small binary"
 def combinations(window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All (k, a, b) with k*a + b = window, 0 <= b <= a; b = 0 stands for no filler."""
     ks, as_, bs = [], [], []
@@ -166,11 +168,8 @@ def plan(hist: np.ndarray, window: int) -> Plan:
     return Plan(window, cols[0], cols[1], cols[2], cols[3], used, at, seq, here)
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (binary, little-endian unsigned 32-bit) with the end id. Words that the broadcast
-    table lacks are encoded where they are, of a MB of text each once. Null and empty texts have the
-    end id alone; repeated rows each get their row; an empty table gives none; other columns are not read."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _encoder(docs: DataFrame, path: str, end_id: int) -> Callable:
+    """A function over batches of doc_id and text that gives doc_id and ids."""
     shared = docs.sparkSession.sparkContext.broadcast(hot_table(docs, path))
     end = np.array([end_id], "<u4").tobytes()
 
@@ -185,28 +184,20 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
                 out = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(edge, edge[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return run
 
 
-def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Pieces of ``tokens`` (doc_id, ids) in windows: doc_id, start, length, doc_tokens,
-    sequence_id, offset, ids (binary, unsigned 32-bit).
-
-    Each id lies in one piece; a window is filled without gaps from 0. Rows without ids give no
-    piece; repeated rows are packed each for itself; ids of null count as none; an empty table
-    gives no rows; other columns are not read; ties of lengths go by a hash of the document."""
-    bounded(tokens.sparkSession)
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    width = 4
+def _cutter(window: int) -> Callable:
+    """A function over batches of doc_id and ids that gives pieces of at most a window."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             who, cols = [], {"start": [], "length": [], "doc_tokens": [], "small": []}
             for i, b in enumerate(batch["ids"]):
-                ids = b.as_py() or b""
-                n = len(ids) // width
+                ids = np.frombuffer(b.as_py() or b"", "<u4")
+                n = len(ids)
                 for start in range(0, n, window):
-                    one = np.frombuffer(ids, "<u4")[start : start + window]
+                    one = ids[start : start + window]
                     who.append(i)
                     cols["start"].append(start)
                     cols["length"].append(len(one))
@@ -218,8 +209,44 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
                 names=["doc_id", *cols],
             )
 
-    cols = f"doc_id {kind}, start long, length int, doc_tokens long, small binary"
-    pieces = stored(tokens.select("doc_id", "ids").mapInArrow(lean(cut), cols), "pieces")
+    return cut
+
+
+def _named(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return docs, docs.schema["doc_id"].dataType.simpleString()
+
+
+def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and ids (binary, little-endian unsigned 32-bit) with the end id. Words that the broadcast
+    table lacks are encoded where they are, of a MB of text each once. Null and empty texts have the
+    end id alone; repeated rows each get their row; an empty table gives none; other columns are not read."""
+    docs, kind = _named(docs, doc_id, text)
+    return docs.mapInArrow(lean(_encoder(docs, path, end_id)), f"doc_id {kind}, ids binary")
+
+
+def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Pieces of ``tokens`` (doc_id, ids) in windows: doc_id, start, length, doc_tokens,
+    sequence_id, offset, ids (binary, unsigned 32-bit).
+
+    Each id lies in one piece; a window is filled without gaps from 0. Rows without ids give no
+    piece; repeated rows are packed each for itself; ids of null count as none; an empty table
+    gives no rows; other columns are not read; ties of lengths go by a hash of the document."""
+    bounded(tokens.sparkSession)
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    return _packed(tokens.select("doc_id", "ids").mapInArrow(lean(_cutter(window)), PIECE.format(kind)), kind, window)
+
+
+def pack_texts(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """pack() of tokenize(), in one pass of the workers."""
+    docs, kind = _named(docs, doc_id, text)
+    encode, cut = _encoder(docs, path, end_id), _cutter(window)
+    return _packed(docs.mapInArrow(lean(lambda batches: cut(encode(batches))), PIECE.format(kind)), kind, window)
+
+
+def _packed(cut: DataFrame, kind: str, window: int) -> DataFrame:
+    cols = PIECE.format(kind)
+    pieces = stored(cut, "pieces")
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rank within the task of each length; the rows come sorted by it."""
@@ -240,7 +267,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     for r in sorted(counts, key=lambda r: (r["length"], r["task"])):
         base[r["task"], r["length"]] = int(hist[r["length"]])
         hist[r["length"]] += r["n"]
-    shared = tokens.sparkSession.sparkContext.broadcast((plan(hist, window), base))
+    shared = cut.sparkSession.sparkContext.broadcast((plan(hist, window), base))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         todo, base = shared.value

@@ -83,7 +83,7 @@ def packed_digest(pieces: DataFrame) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packed_digest(packing.pack(packing.tokenize(docs, public_tokenizers.path(WORD_BPE), END_ID)))
+    return packed_digest(packing.pack_texts(docs, public_tokenizers.path(WORD_BPE), END_ID))
 
 
 def op9_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,8 +135,10 @@ URL_SQL = rf"""WITH {_RULES_SQL}, u AS (SELECT page_id, CASE WHEN contains(url,
 BASE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
   s AS (SELECT k, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5), g AS (SELECT s.k, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] || ' ' || w[p + 4] AS h FROM s JOIN d USING (k)),
   r AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY k, h) AS n FROM g) WHERE n > 1), c AS (SELECT k, count(DISTINCT q) AS n FROM (SELECT k, unnest(range(p, p + 5)) AS q FROM r) GROUP BY 1),
-  l AS (SELECT k, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM d)
-  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  l AS (SELECT k, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM d)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ 	-
+]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(c.n, 0) > 20 * len(w) AS base_failed FROM d JOIN l USING (k) LEFT JOIN c USING (k)"""
 
 
