@@ -45,6 +45,8 @@ HOT = 1000
 BUCKET = 64 << 20
 #: Characters of text after which a task sends its blocks on.
 FLUSH = 12 << 20
+#: Bytes of blocks in a batch.
+SENT = 1 << 20
 
 
 def plain(text: str | None) -> bytes:
@@ -93,11 +95,11 @@ def _minimisers(m_of: Callable) -> Callable:
     return run
 
 
-def _pack(items: dict, singles: dict) -> bytes:
+def _pack(items: dict, singles: dict, zipper: zstandard.ZstdCompressor) -> bytes:
     """One block: items {(minimiser, string): count}, singles {digest: count}."""
     text = b"\n".join(s for _, s in items)
     head = struct.pack("<II", len(items), len(singles))
-    return zstandard.ZstdCompressor(level=3).compress(
+    return zipper.compress(
         b"".join([head, np.array([h for h, _ in items], "<u8").tobytes(), np.array(list(items.values()), "<u4").tobytes(), b"".join(singles), np.array(list(singles.values()), "<u4").tobytes(), text])
     )
 
@@ -193,11 +195,22 @@ def repeated_spans(docs: DataFrame, n: int = N, m: int = M, buckets: int | None
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: dict[int, dict] = defaultdict(dict)
         singles: dict[int, dict] = defaultdict(dict)
-        size = 0
+        size, zipper = 0, zstandard.ZstdCompressor(level=3)
 
         def flush() -> Iterator[pa.RecordBatch]:
+            some, held = [], 0
+
+            def batch_of() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([b for b, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], names=["bucket", "block"])
+
             for b in sorted(items.keys() | singles.keys()):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_pack(items.pop(b, {}), singles.pop(b, {}))], pa.binary())], names=["bucket", "block"])
+                some.append((b, _pack(items.pop(b, {}), singles.pop(b, {}), zipper)))
+                held += len(some[-1][1])
+                if held >= SENT:
+                    yield batch_of()
+                    some, held = [], 0
+            if some:
+                yield batch_of()
 
         for batch in batches:
             for t in batch["text"]:
