@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, substring_dedup, token_counts, url_rules
+from . import bpe_table, click_sessions, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, substring_dedup, token_counts, url_rules
 
 WORD_BPE, PIECE_BPE, END_ID = "word_bpe_49k.json", "piece_bpe_32k.model", 2
 
@@ -95,6 +95,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_click_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_sessions.sessions(table(spark, sf_dir, "clicks"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -111,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_robust_quality,
             base_quality,
             op10_near_duplicates,
+            op12_click_sessions,
         )
     }
 
@@ -142,6 +147,21 @@ BASE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(te
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(c.n, 0) > 20 * len(w) AS base_failed FROM d JOIN l USING (k) LEFT JOIN c USING (k)"""
 
 
+#: Hard breaks by windows, cuts by length one after the other.
+OP12_SQL = """WITH RECURSIVE c AS (SELECT click_id, min(epoch_us(ts)) AS us, min(client_id) AS client_id, coalesce(bool_and(arrived_at > ts + INTERVAL 60 MINUTE), false) AS late,
+    coalesce(bool_and(kind = 'purchase' AND value >= 60), false) AS final, coalesce(min(CAST(floor(100 * value + 0.5) AS BIGINT)), 0) AS cents FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1),
+  k AS (SELECT *, row_number() OVER w AS rn, CASE WHEN lag(final) OVER w THEN 'end' WHEN us - lag(us) OVER w >= 300000000 THEN 'gap' END AS why FROM c WHERE NOT late WINDOW w AS (PARTITION BY client_id ORDER BY us, click_id)),
+  r AS (SELECT *, count(why) OVER (PARTITION BY client_id ORDER BY rn) AS run FROM k),
+  cut(client_id, run, rn, us) AS (SELECT client_id, run, rn, us FROM (SELECT *, row_number() OVER (PARTITION BY client_id, run ORDER BY rn) AS first FROM r) WHERE first = 1
+    UNION ALL SELECT client_id, run, rn, us FROM (SELECT r.client_id, r.run, r.rn, r.us, row_number() OVER (PARTITION BY r.client_id, r.run ORDER BY r.rn) AS first FROM cut JOIN r ON r.client_id = cut.client_id AND r.run = cut.run AND r.us > cut.us + 7200000000) WHERE first = 1),
+  s AS (SELECT *, lead(rn) OVER w AS upto, lead(us) OVER w AS next_us FROM cut WINDOW w AS (PARTITION BY client_id ORDER BY rn)),
+  l AS (SELECT s.client_id, s.rn, count(*) AS n FROM s JOIN c ON c.client_id = s.client_id AND c.late AND c.us >= s.us AND (s.next_us IS NULL OR c.us < s.next_us) GROUP BY 1, 2),
+  a AS (SELECT s.client_id, s.rn, s.upto, min(r.us) AS start_us, max(r.us) AS end_us, count(*) AS n_clicks, CAST(sum(r.cents) AS BIGINT) AS value_cents, arg_min(r.click_id, r.rn) AS session_id, arg_max(r.final, r.rn) AS final,
+    sha256(string_agg(r.click_id, ',' ORDER BY r.rn)) AS path_sha256 FROM s JOIN r ON r.client_id = s.client_id AND r.rn >= s.rn AND (s.upto IS NULL OR r.rn < s.upto) GROUP BY 1, 2, 3)
+  SELECT a.client_id, a.session_id, a.start_us, a.end_us, a.n_clicks, coalesce(l.n, 0) AS n_late, a.value_cents, CASE WHEN a.upto IS NULL THEN CASE WHEN a.final THEN 'end' ELSE 'none' END ELSE coalesce(n.why, 'length') END AS closed_by, a.path_sha256
+  FROM a LEFT JOIN l USING (client_id, rn) LEFT JOIN r n ON n.client_id = a.client_id AND n.rn = a.upto"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others are models, tokenizers or plans, which SQL can't express; tests/llm has brute force."""
-    return {"op3_substring_dedup": OP3_SQL, "url_rule_parts": URL_SQL, "base_quality": BASE_SQL}
+    return {"op3_substring_dedup": OP3_SQL, "url_rule_parts": URL_SQL, "base_quality": BASE_SQL, "op12_click_sessions": OP12_SQL}
