@@ -148,17 +148,20 @@ def _verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame
 
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """node, root for the nodes of ``edges`` (a, b), by alternating large and small stars; root is
-    the least node of the component. The table that it reads is the result's ``_stored_at``."""
+    the least node of the component. The table that it reads is the result's ``_stored_at``.
+
+    The least neighbours are written before they are joined: both sides of the join then come straight from
+    a shuffle, and AQE splits a star of very many edges."""
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     for _ in range(most):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-        old, e = e, stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
-        discard(old)
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        small = large.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        old, e = e, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        discard(old, low, large, least)
         # xor, so that the order of rows doesn't count
         now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == before:
@@ -179,7 +182,7 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return rows.join(ends, "h").where("node <> pivot").select("node", "h", "pivot")
 
 
-def _unmet(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+def unmet(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, root, at), and the stored table that it reads, of the nodes in buckets (node, h) of several classes (roots: node, root);
     ``at`` lists places (h, i, j, holds, meets). The nodes outside a bucket's largest class are
     dealt to blocks i, all of its nodes to blocks j; at place (i, j) those of i are held and those
@@ -282,14 +285,14 @@ def _rooted(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     texts = stored(texts.join(asked, ["node", "rep"]).select("node", "text"), "texts")
     done = _verified(texts, buckets.select("pivot", "node").distinct(), threshold)
     roots = components(done.where("same").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-    unmet, within = _unmet(buckets, roots)
-    unmet = stored(unmet, "unmet")
-    links = components(_joined(texts, unmet, threshold))
+    rest, within = unmet(buckets, roots)
+    rest = stored(rest, "unmet")
+    links = components(_joined(texts, rest, threshold))
     wider = links.select(F.col("node").alias("root"), F.col("root").alias("top"))
     of = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of = of.join(wider, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
     of = stored(of, "classes")
-    discard(nodes, buckets, texts, within, unmet, roots, links)
+    discard(nodes, buckets, texts, within, rest, roots, links)
     return signed, of
 
 

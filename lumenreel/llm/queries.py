@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_table, click_sessions, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, substring_dedup, token_counts, url_rules
+from . import bpe_table, click_sessions, jaccard_join, kmeans_tree, langid, line_templates, packing, probminhash, robust_quality, spelling_variants, substring_dedup, token_counts, url_rules
 
 WORD_BPE, PIECE_BPE, END_ID = "word_bpe_49k.json", "piece_bpe_32k.model", 2
 
@@ -95,10 +95,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_click_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_sessions.sessions(table(spark, sf_dir, "clicks"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -115,7 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_robust_quality,
             base_quality,
             op10_near_duplicates,
+            op11_spelling_variants,
             op12_click_sessions,
+            op13_jaccard_join,
         )
     }
 
