@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,19 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Setting that names the folder which driver and executors share.
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Where shared_dir keeps the folder that it makes for a local session.
+LOCAL_CONF = "lumenreel.local.dir"
 #: Bytes of an Arrow batch.
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints. It is the session's own setting; only where that is unset
-    (tests in one process) a fresh local folder is made and set for the context."""
+    """The folder for checkpoints: the session's own setting. Only where that is unset (tests in one
+    process) a fresh local folder is made; it is kept under a name of our own, as Spark lets nobody set
+    its setting in a running session."""
     found = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    if found:
+        return found
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+    found = spark.conf.get(LOCAL_CONF, None)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="lumenreel-")
-        spark.conf.set(CHECKPOINT_CONF, found)
+        spark.conf.set(LOCAL_CONF, found)
     return found
 
 

@@ -172,6 +172,30 @@ OP12_SQL = """WITH RECURSIVE c AS (SELECT click_id, min(epoch_us(ts)) AS us, min
   FROM a LEFT JOIN l USING (client_id, rn) LEFT JOIN r n ON n.client_id = a.client_id AND n.rn = a.upto"""
 
 
+#: The checksum by its table; near words share what is left without one letter, or are what is left of one another.
+OP11_SQL = r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+  r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+  c AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM r WHERE length(run) >= 7 GROUP BY 1, 2),
+  h AS (SELECT run, n, xor(list_reduce(list_transform(range(0, length(x) // 2), lambda k: CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT)), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295), 4294967295) AS h FROM c, crc),
+  w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1),
+  words AS (SELECT * FROM w WHERE length(word) >= 7 AND n >= 2),
+  v AS (SELECT word, n, length(word) AS l, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+  near AS (SELECT a.word, b.word AS near, b.n AS m FROM v a JOIN v b ON a.d = b.d AND a.i = b.i AND a.l = b.l AND a.word <> b.word
+    UNION SELECT v.word, words.word, words.n FROM v JOIN words ON words.word = v.d UNION SELECT words.word, v.word, v.n FROM v JOIN words ON words.word = v.d),
+  best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY 1), top AS (SELECT word, n_near, best.m, min(near) AS near FROM best JOIN near USING (word, m) GROUP BY 1, 2, 3),
+  f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN top USING (word)),
+  up(word, root) AS (SELECT word, word FROM f UNION SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+  SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up USING (word) JOIN f g ON g.word = up.root AND g.form IS NULL"""
+
+#: All pairs with a shingle in common are counted.
+OP13_SQL = r"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT k, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] END AS g FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM d WHERE len(w) > 0)),
+  n AS (SELECT k, count(*) AS n FROM s GROUP BY 1), c AS (SELECT a.k AS a, b.k AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k <> b.k GROUP BY 1, 2),
+  l AS (SELECT a, b FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+  reached(k, r) AS (SELECT k, k FROM d UNION SELECT reached.k, l.b FROM reached JOIN l ON l.a = reached.r)
+  SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id FROM d JOIN reached USING (k) JOIN d o ON o.k = reached.r LEFT JOIN n ON n.k = d.k GROUP BY d.k, d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others are models, tokenizers or plans, which SQL can't express; tests/llm has brute force."""
-    return {"op3_substring_dedup": OP3_SQL, "url_rule_parts": URL_SQL, "base_quality": BASE_SQL, "op12_click_sessions": OP12_SQL}
+    return {"op3_substring_dedup": OP3_SQL, "url_rule_parts": URL_SQL, "base_quality": BASE_SQL, "op11_spelling_variants": OP11_SQL, "op12_click_sessions": OP12_SQL, "op13_jaccard_join": OP13_SQL}
