@@ -64,26 +64,46 @@ def op4(url, rules):
     return (host, path, *(max(fit)[1:] if fit else (None, None)))
 
 
-def mined(rows, marks, min_confidence, min_count, min_lift):
-    """Verdicts by all token combinations: support, confidence and lift counted over all URLs."""
-
-    def tokens(url):
-        host, _, path = url.split("://")[1].partition("/")
-        return {*(f"h:{x}" for x in host.split(".")), *(f"p:{re.sub('[0-9]+', '0', x)}" for x in path.split("/") if x), "e:"}
-
-    sets = {i: tokens(u) for i, u in rows}
+def url_tokens(url):
+    host, path, *_ = op4(url, [])
+    rest = (url or "").split("://", 1)[-1]
+    query = rest.split("#")[0].partition("?")[2]
+    kind = re.search("(/|[.][a-z0-9]{1,5})$", path)
+    parts = {*(f"h:{x}" for x in host.split(".") if x), *(f"p:{re.sub('[0-9]+', '0', x)}" for x in path.split("/") if x), *(f"q:{x.split('=')[0]}" for x in query.split("&") if x), f"e:{kind[0] if kind else ''}"}
+    return parts if host else set()
+
+
+def mined(rows, marks, min_confidence=0.8, min_lift=1.2, told=8, z=1.645):
+    """Verdicts by all combinations of the tokens of each URL that tell most of the labels: support,
+    confidence and lift counted over all URLs with tokens."""
+    sets = {i: url_tokens(u) for i, u in rows}
+    size = sum(map(bool, sets.values()))
+    least = max(np.ceil(0.005 * size), np.ceil(z * z * min_confidence / (1 - min_confidence)))
+    where = {}
+    for i, s in sets.items():
+        for t in s:
+            where.setdefault(t, set()).add(i)
+    of = {v: {i for i, m in marks.items() if m == v and sets[i]} for v in ("block", "allow")}
+    tells = {t: max(abs(len(w & o) - len(w) * len(o) / size) for o in of.values()) for t, w in where.items() if len(w) >= least}
+    same = {}
+    for t in sorted(tells):
+        same.setdefault(frozenset(where[t]), t)
+    first = {t: same[frozenset(where[t])] for t in tells}
+    order = lambda s: sorted({first[t] for t in s if t in first}, key=lambda t: (-round(tells[t], 6), t))[:told]
     freq = Counter()
     for i, s in sets.items():
-        for n in range(1, len(s) + 1):
-            for some in itertools.combinations(sorted(s), n):
+        ts = sorted(order(s))
+        for n in range(1, len(ts) + 1):
+            for some in itertools.combinations(ts, n):
                 freq[some, None] += 1
                 if i in marks:
                     freq[some, marks[i]] += 1
-    share = {v: sum(m == v for m in marks.values()) / len(rows) for v in ("block", "allow")}
-    least = max(min_count, 0.005 * len(rows))
     rules = {}
     for (some, v), c in freq.items():
-        if v and c >= least and (conf := c / freq[some, None]) >= min_confidence and conf / share[v] >= min_lift:
+        n = freq[some, None]
+        conf = c / n
+        low = (conf + z * z / (2 * n) - z * (conf * (1 - conf) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+        if v and c >= least and low >= min_confidence and conf / (len(of[v]) / size) >= min_lift:
             rules[some, v] = conf
     out = {}
     for i, s in sets.items():
