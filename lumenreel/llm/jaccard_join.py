@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmaps import bitmap, in_bitmap, leading
+from .bitmaps import fitted, in_bitmap, leading
 from .common import bounded, discard, lean, slices, stored
 from .probminhash import PLACE, components, unmet
 from .wordhash import encoded, runs, word_hashes
@@ -225,13 +225,13 @@ def _linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     counted = rows.select(F.explode("low").alias("h")).where(F.shiftrightunsigned("h", 60) < COUNTED)
     shared = stored(counted.groupBy("h").count().where("count > 1"), "shared")
-    hot, more = (sc.broadcast(bitmap(x, "h")) for x in (shared.where(F.col("count") >= HOT), shared))
+    hot, more = (sc.broadcast(fitted(x, "h")) for x in (shared.where(F.col("count") >= HOT), shared))
     nodes = stored(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("low").alias("low"), F.first("tid").alias("tid")), "nodes")
     keyed = stored(_leading(nodes.select("node", "n", "low"), hot, more), "keyed")
     far = nodes.join(keyed.where("keys IS NULL").select("node"), "node", "left_semi")
     tables = [shared, nodes, keyed]
     if not far.isEmpty():  # these need all their columns
-        whole = stored(_sets(docs, sc.broadcast(bitmap(far.select(leading("tid").alias("h")), "h")), "tid"), "whole")
+        whole = stored(_sets(docs, sc.broadcast(fitted(far.select(leading("tid").alias("h")), "h")), "tid"), "whole")
         full = whole.join(far.select("node"), "node", "left_semi").mapInArrow(_unpacked, "node binary, n long, low array<long>")
         further = stored(_leading(full, hot, more), "keyed")
         keyed = keyed.where("keys IS NOT NULL").unionByName(further)
@@ -246,7 +246,7 @@ def _linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     poles = big.select("node", F.explode(F.array("low", "high")).alias("pole"), "n").where("node <> pole").select(F.col("pole").alias("a"), F.col("node").alias("b"))
     pairs = stored(_cold_pairs(dealt.where(F.col("k") <= HOT).select("h", "node", "n", "loose")).unionByName(poles).distinct(), "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(big.select("node"))
-    sets = stored(_sets(docs, sc.broadcast(bitmap(asked.select(leading("node").alias("h")), "h")), "node"), "sets")
+    sets = stored(_sets(docs, sc.broadcast(fitted(asked.select(leading("node").alias("h")), "h")), "node"), "sets")
     near = components(_multiplied(sets, _places(pairs)))
     rest, within = unmet(big.select("node", "h"), near)
     rest = stored(rest, "unmet")

@@ -1,23 +1,30 @@
 """Line dedup with a log-template tree.
 
-A line is parsed at a fixed depth: by its number of tokens, then its leading token; tokens that are
-variable in themselves (numbers, addresses, assignments) are a wildcard from the start. Two kinds of
+A line is parsed at a fixed depth: by its number of tokens, then its leading tokens (or a wildcard for them); tokens that
+are variable in themselves (numbers, addresses, assignments) are a wildcard from the start. Two kinds of
 template recur and are dropped:
 
 - whole ones, the tokens of a line in order, in ``min_docs`` different texts or more;
-- general ones, whose other variable fields are learned. Below its leaf a line goes to two blocks, the
-  first and the second half of its tokens (each with the leading token). Where the lines of a block are
-  in ``min_docs`` different texts or more, they are a group, and the places outside the block are
-  learned from its distinct lines: a token that ``AGREE`` of them share is literal, any other place is a
+- general ones, whose other variable fields are learned. A line's tokens are cut into four quarters, and
+  the line goes to a leaf for each two of them (PAIRS): those with the first quarter are behind its leading tokens,
+  the others behind the wildcard. Where a leaf's lines are in ``min_docs`` different texts or more, they are a
+  group: alike in half of their tokens at least. The places in the other two quarters are learned from its
+  distinct lines: a token that ``AGREE`` of them share is literal, any other place is a
   wildcard. The group's template stands if at least ``LITERAL`` of its tokens are literal; the lines
-  that agree with it in all of them are dropped. One free field, or several in one half, are found
-  this way, in lines of any length that leaves enough literal tokens (four or more).
-
-Texts are told apart by content: a text that was copied a thousand times counts once, so its lines
-don't recur by that. Near copies are different texts. Recurring lines are dropped, however short; only
-lines of fewer than ``BARE`` tokens that are all wildcards (a number, say) are not counted, as they
-share no word. A leaf, a group and a template are rows of aggregates with partial sums by task, so that
-none of them, however common, is gathered anywhere.
+  that agree with it in all of them are dropped. So any number of fields is found, at the start of a line too, that
+  lie in two of its quarters and leave enough literal tokens.
+
+Near copies of a text don't make its lines recur. Texts that are equal count once. A text that has less
+than a quarter (OWN) of its shingles for itself counts by a signature instead: the least hash of the templates and groups that
+recur in it, which near copies share but for the few in which they differ there. Its own shingles are estimated by
+the words in quarters of lines that are in no template or group of ``min_docs`` texts, and OVER more for each run of such
+quarters, as a changed word is in five shingles. (A family of m near copies that each lack a share q of these hashes has
+about log m / log (1/q) signatures: seven for a million copies and a share of 0.15.) Its copies are left to
+near-dedup, and its lines stay unless ``min_docs`` other texts have them.
+
+Recurring lines are dropped, however short; only lines of fewer than ``BARE`` tokens that are all wildcards (a number,
+say) are not counted, as they share no word. A leaf, a group and a template are rows of aggregates with partial
+sums by task, so that none of them, however common, is gathered anywhere.
 """
 
 from __future__ import annotations
@@ -32,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bitmaps import bitmap, in_bitmap
+from .bitmaps import fitted, in_bitmap
 from .common import bounded, discard, lean, stored
 from .wordhash import MIX, U, encoded, mixed, word_hashes
 
@@ -40,6 +47,8 @@ from .wordhash import MIX, U, encoded, mixed, word_hashes
 BARE = 4
 #: Share of a group's distinct lines that a literal token stands in; of literal tokens in a template.
 AGREE, LITERAL = 0.9, 0.7
+#: The quarters of a line that make its groups; share of its shingles that a text needs for itself, and shingles over a run of words.
+PAIRS, OWN, OVER = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)), 0.25, 4
 #: Bytes of text that are parsed at once.
 PART = 1 << 18
 #: Up to so many whole templates, and tokens of general ones, are broadcast; more are joined.
@@ -50,7 +59,7 @@ _FIELD = np.isin(np.arange(256), [*b"0123456789@=\\"])
 
 class Lines:
     """Some texts, parsed. Of each line among all: ``n`` tokens, whether it is ``counted``, the hash of
-    its ``whole`` template and of its two ``groups`` (0 for none). ``bounds``: where each text's lines
+    its ``whole`` template and of its ``groups``, by PAIRS (0 for none). ``bounds``: where each text's lines
     start and end among all. ``token``: 32 bits of each token, 0 for a wildcard."""
 
     def __init__(self, texts: list[bytes]) -> None:
@@ -62,7 +71,7 @@ class Lines:
         self.bounds = np.concatenate(([0], np.cumsum(lines)))
         total = int(self.bounds[-1])
         starts, ends, h = word_hashes(whole_text)
-        self.whole, self.groups = np.zeros(total, U), np.zeros((2, total), U)
+        self.whole, self.groups = np.zeros(total, U), np.zeros((len(PAIRS), total), U)
         self.n, self.first, self.token = np.zeros(total, np.int64), np.zeros(total, np.int64), np.zeros(0, np.uint32)
         self.counted = np.zeros(total, bool)
         if not len(h):
@@ -81,23 +90,28 @@ class Lines:
         some = self.n > 0
         at, size = self.first[some], self.n[some].astype(U) * MIX
 
-        def by_line(v: np.ndarray, salt: int) -> np.ndarray:
+        def by_line(v: np.ndarray) -> np.ndarray:
             out = np.zeros(total, U)
-            out[some] = mixed(np.add.reduceat(v, at) + size + U(salt))
+            out[some] = np.add.reduceat(v, at)
             return out
 
-        late = place >= (self.n[line] + 1) // 2
-        self.whole = by_line(value, 0)
-        self.groups = np.stack([by_line(np.where(late, U(0), value), 1), by_line(np.where(late | (place == 0), value, U(0)), 2)])
+        quarter = 4 * place // self.n[line]
+        parts = [by_line(np.where(quarter == q, value, U(0))) for q in range(4)]
+        length = np.zeros(total, U)
+        length[some] = size
+        self.whole[some] = mixed(sum(parts) + length)[some]
+        self.groups = np.stack([mixed(parts[i] + parts[j] + length + U(1 + k)) for k, (i, j) in enumerate(PAIRS)])
         self.groups[:, (self.n < BARE) | ~self.counted] = 0
 
     def rest(self, kind: int, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens outside the block of the lines, one after the other; how many each has)."""
-        half = (self.n[lines] + 1) // 2
-        lo, hi = (half, self.n[lines]) if kind == 0 else (np.ones_like(half), half)
-        size = hi - lo
+        """(tokens outside the two quarters of the lines, one after the other; how many each has)."""
+        size = self.n[lines]
         before = np.cumsum(size) - size
-        return np.repeat(self.first[lines] + lo - before, size) + np.arange(size.sum()), size
+        place = np.arange(size.sum()) - np.repeat(before, size)
+        quarter = 4 * place // np.repeat(size, size)
+        outside = np.flatnonzero((quarter != PAIRS[kind][0]) & (quarter != PAIRS[kind][1]))
+        owner = np.repeat(np.arange(len(lines)), size)[outside]
+        return self.first[lines][owner] + place[outside], np.bincount(owner, minlength=len(lines))
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.texts)), np.diff(self.bounds))
@@ -145,16 +159,19 @@ def _parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, L
         yield batch.slice(lo), Lines(some)
 
 
-def recurring(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+def _content(texts: list[bytes]) -> np.ndarray:
+    return np.fromiter((int.from_bytes(hashlib.blake2b(x, digest_size=8).digest()) for x in texts), U, len(texts))
+
+
+def often(docs: DataFrame, min_docs: int) -> DataFrame:
     """h: the hashes of whole templates and of groups that are in ``min_docs`` different texts of
     ``docs`` (text) or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, lines in _parts(batch, "text"):
-                content = np.fromiter((int.from_bytes(hashlib.blake2b(x, digest_size=8).digest()) for x in lines.texts), U, len(lines.texts))
-                use = np.flatnonzero(lines.counted)
-                h, d = np.concatenate([lines.whole[use], *lines.groups[:, use]]), np.tile(lines.owners()[use], 3)
+                content, use = _content(lines.texts), np.flatnonzero(lines.counted)
+                h, d = np.concatenate([lines.whole[use], *lines.groups[:, use]]), np.tile(lines.owners()[use], 1 + len(PAIRS))
                 h, d = h[h != 0], d[h != 0]
                 order = np.lexsort((h, d))
                 h, d = h[order], d[order]
@@ -165,31 +182,52 @@ def recurring(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     return pairs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
 
 
-def learned(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """group, tokens (null: wildcard): the general templates of the groups in ``found`` (h)."""
-    groups = docs.sparkSession.sparkContext.broadcast(bitmap(found, "h"))
+def _seen(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """A row for each line and hash in ``found`` (h), or nearly: content, words (of the text), line, n (its words), h, whole and mask (its quarters, as bits); of a
+    group also inside (literal tokens in its quarters) and rest (tokens outside)."""
+    bits = docs.sparkSession.sparkContext.broadcast(fitted(found, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The distinct lines of the groups, with their tokens outside the block and the number of
-        literal ones in it."""
         for batch in batches:
             for _, lines in _parts(batch, "text"):
+                content, owner = _content(lines.texts).view(np.int64), lines.owners()
+                words = np.add.reduceat(lines.n, lines.bounds[:-1])
                 literal = np.concatenate(([0], np.cumsum(lines.token != 0)))
-                for kind, group in enumerate(lines.groups):
-                    mine = np.flatnonzero((group != 0) & in_bitmap(groups.value, group))
-                    mine = mine[np.unique(np.stack([group[mine], lines.whole[mine]]), axis=1, return_index=True)[1]] if len(mine) else mine
-                    words, size = lines.rest(kind, mine)
-                    ends = np.concatenate(([0], np.cumsum(size)))
-                    whole = literal[lines.first[mine] + lines.n[mine]] - literal[lines.first[mine]]
-                    outside = np.concatenate(([0], np.cumsum(lines.token[words] != 0)))
-                    inside = whole - (outside[ends[1:]] - outside[ends[:-1]])
-                    rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.token[words].astype(np.int64)))
-                    cols = [pa.array(z.astype(np.int64)) for z in (lines.n[mine], inside)]
-                    yield pa.RecordBatch.from_arrays([pa.array(group[mine].view(np.int64)), pa.array(lines.whole[mine].view(np.int64)), *cols, rest], names=["group", "whole", "n", "inside", "rest"])
-
-    seen = docs.select("text").mapInArrow(lean(run), "group long, whole long, n long, inside long, rest array<long>")
+                for kind, hashes in enumerate([lines.whole, *lines.groups]):
+                    mine = np.flatnonzero(lines.counted & (hashes != 0) & in_bitmap(bits.value, hashes))
+                    cols = [content[owner[mine]], words[owner[mine]], mine - lines.bounds[owner[mine]], lines.n[mine], hashes[mine].view(np.int64), lines.whole[mine].view(np.int64), np.full(len(mine), sum(1 << q for q in PAIRS[kind - 1]) if kind else 15)]
+                    inside, rest = pa.nulls(len(mine), pa.int64()), pa.nulls(len(mine), pa.list_(pa.int64()))
+                    if kind:
+                        tokens, size = lines.rest(kind - 1, mine)
+                        ends = np.concatenate(([0], np.cumsum(size)))
+                        outside = np.concatenate(([0], np.cumsum(lines.token[tokens] != 0)))
+                        inside = pa.array(literal[lines.first[mine] + lines.n[mine]] - literal[lines.first[mine]] - outside[ends[1:]] + outside[ends[:-1]])
+                        rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.token[tokens].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(z.astype(np.int64)) for z in cols), inside, rest], names=["content", "words", "line", "n", "h", "whole", "mask", "inside", "rest"])
+
+    return docs.select("text").mapInArrow(lean(run), "content long, words long, line long, n long, h long, whole long, mask long, inside long, rest array<long>")
+
+
+def recurring(seen: DataFrame, found: DataFrame, min_docs: int) -> DataFrame:
+    """h: those of ``found`` that texts with enough words of their own, and signatures of the others, have ``min_docs`` times or more."""
+    hits = seen.select("content", "words", "line", "n", "h", "mask").join(found, "h", "left_semi")
+    lines = hits.groupBy("content", "line").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.bit_or("mask").alias("mask"), F.min(F.xxhash64("h")).alias("least"))
+    upto = lambda q: F.ceil(q * F.col("n") / 4)
+    free = lambda q: F.col("mask").bitwiseAND(F.lit(1 << q)) == 0
+    begins = lambda q: free(q) & ~free(q - 1) if q else free(0)
+    own = sum(F.when(free(q), upto(q + 1) - upto(q)).otherwise(0) + F.when(begins(q), OVER).otherwise(0) for q in range(4))
+    texts = lines.groupBy("content").agg(F.first("words").alias("words"), (F.first("words") - F.sum("n") + F.sum(own)).alias("own"), F.min("least").alias("least"))
+    own = F.col("own") >= OWN * F.greatest(F.lit(1), F.col("words") - OVER)
+    named = texts.select("content", F.when(own, F.col("content")).otherwise(F.col("least")).alias("text"), own.alias("own"))
+    pairs = hits.select("content", "h").distinct().join(named, "content").select("h", "text", "own").distinct()
+    return pairs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
+
+
+def learned(seen: DataFrame, found: DataFrame) -> DataFrame:
+    """group, tokens (null: wildcard): the general templates of the groups in ``found`` (h)."""
     first = [F.first(c).alias(c) for c in ("n", "inside", "rest")]  # the same in all rows
-    kinds = seen.groupBy("group", "whole").agg(*first).join(found.select(F.col("h").alias("group")), "group", "left_semi")
+    groups = seen.where("rest IS NOT NULL").withColumnRenamed("h", "group")
+    kinds = groups.groupBy("group", "whole").agg(*first).join(found.select(F.col("h").alias("group")), "group", "left_semi")
     at = kinds.select("group", "n", "inside", F.posexplode("rest").alias("at", "token"))
     counts = at.groupBy("group", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("inside").alias("inside"))
     places = counts.groupBy("group", "at").agg(F.max(F.struct("c", "token")).alias("top"), F.sum("c").alias("all"), F.first("n").alias("n"), F.first("inside").alias("inside"))
@@ -207,13 +245,16 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = 10, broa
     """``docs`` with ``kept`` (the text without its recurring lines), n_lines and n_removed in place
     of columns of these names. A null text stays null, with no lines; an empty one has none either; blank
     lines and lines of fewer than ``BARE`` tokens without a literal one stay; a line that a document
-    repeats counts once for it; repeated rows are one content; an empty table stays empty."""
+    repeats counts once for it; repeated rows are one content, and near copies no more than a few; an empty table stays empty."""
     docs = docs.drop("kept", "n_lines", "n_removed")
     spark = docs.sparkSession
     bounded(spark)
     texts = docs.select(F.col(text).alias("text"))
-    found = stored(recurring(texts, min_docs), "recurring")
-    general = stored(learned(texts, found), "templates")
+    many = stored(often(texts, min_docs), "often")
+    seen = stored(_seen(texts, many), "seen")
+    found = stored(recurring(seen, many, min_docs), "recurring")
+    general = stored(learned(seen, found), "templates")
+    discard(many, seen)
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
     row = T.StructField("row", docs.schema)
     shape = T.StructType([row, T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
@@ -225,14 +266,14 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = 10, broa
         out = rows.mapInArrow(lean(lambda batches: _cleaned(batches, lambda lines, _: _gone(lines, *gone.value))), shape)
         return out.select("row.*", "kept", "n_lines", "n_removed")
 
-    sets = spark.sparkContext.broadcast((bitmap(found, "h"), bitmap(general, "group")))
+    sets = spark.sparkContext.broadcast((fitted(found, "h"), fitted(general, "group")))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The hashes of each text that seem to be in either table."""
         whole, groups = sets.value
         for batch in batches:
             for _, lines in _parts(batch, "text"):
-                h, d = np.concatenate([lines.whole, *lines.groups]), np.tile(lines.owners(), 3)
+                h, d = np.concatenate([lines.whole, *lines.groups]), np.tile(lines.owners(), 1 + len(PAIRS))
                 mine = np.flatnonzero((h != 0) & (in_bitmap(whole, h) | in_bitmap(groups, h)))
                 keys = [hashlib.md5(t).digest() for t in lines.texts]
                 yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in d[mine].tolist()], pa.binary()), pa.array(h[mine].view(np.int64))], names=["key", "h"])

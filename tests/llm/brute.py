@@ -112,52 +112,64 @@ def mined(rows, marks, min_confidence=0.8, min_lift=1.2, told=8, z=1.645):
     return out
 
 
-def op5(rows, min_docs=10):
-    """Whole templates by exact counting; general ones by their definition: for each block the
-    distinct lines are laid side by side."""
+def op5(rows, min_docs=10, signature=None):
+    """Whole templates by exact counting; general ones by their definition: the distinct lines of a
+    group are laid side by side. ``signature``: of the set of whole templates and groups that recur in a text with
+    too few shingles of its own; by default the set itself."""
     masked = lambda w: None if set(w.encode()) & set(b"0123456789@=\\") else w
+    pairs = list(itertools.combinations(range(4), 2))
+    counted = lambda x: any(w is not None for w in x) or len(x) >= 4
     texts = {}
-    for i, t in rows:
-        lines = (t or "").split("\n") if t else []
-        texts[i, t] = [tuple(map(masked, WORD.findall(x))) for x in lines]
-    where = {}
+    for _, t in rows:
+        texts[t] = [tuple(map(masked, WORD.findall(x))) for x in t.split("\n")] if t else []
 
-    def blocks(x):
-        half = (len(x) + 1) // 2
-        return [(len(x), 0, x[:half]), (len(x), 1, (x[0], *x[half:]))] if len(x) >= 4 else []
+    def groups_of(x):
+        inside = lambda p, k: 4 * p // len(x) in pairs[k]
+        return [(len(x), k, tuple((p, w) for p, w in enumerate(x) if inside(p, k))) for k in range(6)] if len(x) >= 4 else []
 
-    counted = lambda x: any(w is not None for w in x) or len(x) >= 4
-    for (_, t), lines in texts.items():
-        for x in filter(counted, lines):
-            for key in [x, *blocks(x)]:
+    keys = lambda x: [x, *groups_of(x)] if counted(x) else []
+    where = {}
+    for t, lines in texts.items():
+        for x in lines:
+            for key in keys(x):
                 where.setdefault(key, set()).add(t)
-    often = {k for k, v in where.items() if len(v) >= min_docs}
+    many = {k for k, v in where.items() if len(v) >= min_docs}
+    name = {}
+    for t, lines in texts.items():
+        words, own = sum(map(len, lines)), 0
+        for x in lines:
+            covered = {q for b in keys(x)[1:] if b in many for q in pairs[b[1]]}
+            if counted(x) and x in many:
+                covered = {0, 1, 2, 3}
+            if not covered:
+                own += len(x)
+            for q in set(range(4)) - covered if covered else ():
+                own += sum(4 * p // len(x) == q for p in range(len(x))) + 4 * (q - 1 in covered or q == 0)
+        mine = frozenset(many.intersection(*[[k for x in lines for k in keys(x)]]))
+        name[t] = t if own >= 0.25 * max(1, words - 4) else (signature or (lambda z: z))(mine)
+    often = {k for k in many if len({name[t] for t in where[k]}) >= min_docs}
     groups = {}
     for lines in texts.values():
-        for x in filter(counted, lines):
-            for b in blocks(x):
+        for x in lines:
+            for b in keys(x)[1:]:
                 if b in often:
                     groups.setdefault(b, set()).add(x)
     templates = {}
     for b, kinds in groups.items():
-        n, half = b[0], (b[0] + 1) // 2
-        rest = range(half, n) if b[1] == 0 else range(1, half)
+        held = {p for p, _ in b[2]}
         fixed = {}
-        for p in rest:
+        for p in set(range(b[0])) - held:
             token, c = Counter(x[p] for x in kinds).most_common(1)[0]
             if c >= 0.9 * len(kinds):
                 fixed[p] = token
-        literal = sum(w is not None for w in b[2]) + sum(w is not None for w in fixed.values())
-        if len(fixed) < len(rest) and literal >= 0.7 * n:
+        literal = sum(w is not None for _, w in b[2]) + sum(w is not None for w in fixed.values())
+        if len(fixed) + len(held) < b[0] and literal >= 0.7 * b[0]:
             templates[b] = fixed
     out = []
     for i, t in rows:
         lines = t.split("\n") if t else []
-        kept = []
-        for raw, x in zip(lines, texts[i, t], strict=True):
-            gone = x in often or any(b in templates and all(x[p] == w for p, w in templates[b].items()) for b in blocks(x))
-            if not (counted(x) and gone):
-                kept.append(raw)
+        gone = [x in often or any(b in templates and all(x[p] == w for p, w in templates[b].items()) for b in keys(x)[1:]) for x in texts[t]]
+        kept = [raw for raw, x, z in zip(lines, texts[t], gone, strict=True) if not (z and counted(x))]
         out.append((i, len(lines), len(lines) - len(kept), hexed("\n".join(kept).encode())))
     return sorted(out, key=str)
 
