@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import gates, geometry, grouped, joined, levels, media, names, reports, rules, texts, timeline, tracks  # noqa: F401
+from . import gates, geometry, grouped, joined, levels, media, names, queues, reports, rules, texts, timeline, tracks  # noqa: F401
