@@ -12,8 +12,9 @@ its pairs; their overlap counts are summed, and pairs are discarded whose sum an
 reach the threshold. In larger columns (passages, groups of copies) all nodes meet the column's least and
 greatest; what is linked then is one class, and where a column still has several, its
 nodes are dealt to blocks of about PLACE, and blocks are multiplied with blocks, except for pairs within the
-largest class. The pairs that are left are counted over all their columns: one side is held as an inverted
-index, which the other's rows are counted against.
+largest class: first over the leading columns only, where the same bounds discard pairs, each pair in
+the least large column that it shares. The pairs that are left are counted over all their columns. In a product of blocks
+one side is held as an inverted index, which the other's rows are counted against.
 
 Shingles are 64-bit hashes throughout. Classes are the connected components of the links.
 """
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +99,8 @@ def _sketched(docs: DataFrame, kind: str) -> DataFrame:
 
 
 def _leading(sets: DataFrame, hot, shared) -> DataFrame:
-    """node, keys (the leading columns that other sets may have), loose (how many of these aren't known to be in less than
-    HOT sets), of sets (node, n, low); keys is null where low doesn't reach so far."""
+    """node, n, tid, keys (the leading columns that other sets may have), loose (how many of these aren't known to be in less than
+    HOT sets), of sets (node, n, tid, low); keys is null where low doesn't reach so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hots, shares, limit = hot.value, shared.value, _U(COUNTED) << _U(60)
@@ -118,9 +119,9 @@ def _leading(sets: DataFrame, hot, shared) -> DataFrame:
                 take = take[~counted[take] | in_bitmap(shares, g[take])]
                 keys.append(g[take].view(np.int64).tolist())
                 loose.append(int((~counted[take] | is_hot[take]).sum()))
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(keys, pa.list_(pa.int64())), pa.array(loose, pa.int64())], names=["node", "keys", "loose"])
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], batch["tid"], pa.array(keys, pa.list_(pa.int64())), pa.array(loose, pa.int64())], names=["node", "n", "tid", "keys", "loose"])
 
-    return sets.mapInArrow(lean(run), "node binary, keys array<long>, loose long")
+    return sets.select("node", "n", "tid", "low").mapInArrow(lean(run), "node binary, n long, tid binary, keys array<long>, loose long")
 
 
 def _sets(docs: DataFrame, wanted, column: str) -> DataFrame:
@@ -147,68 +148,107 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
     pair = F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, HOT), lambda y: F.struct(x.alias("x"), y.alias("y"))))
     met = held.select(F.explode(F.flatten(pair)).alias("p")).select("p.*").where("10 * least(x.n, y.n) >= 9 * greatest(x.n, y.n)")
     summed = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("m"), F.first("y.n").alias("n"), F.first(F.least("x.loose", "y.loose")).alias("loose"))
-    return summed.where("19 * (c + loose + least(m - m div 10 - 1, n - n div 10 - 1)) >= 9 * (m + n)").select("a", "b")
+    return summed.where("19 * (c + loose + greatest(m - m div 10 - 1, n - n div 10 - 1)) >= 9 * (m + n)").select("a", "b")
 
 
 class _Block:
-    """Sets (root, hashes) as an inverted index."""
+    """Rows of hashes as an inverted index."""
 
-    def __init__(self, held: list[tuple]) -> None:
-        self.roots, self.size = [r for r, _ in held], np.array([len(g) for _, g in held])
-        h = np.concatenate([g for _, g in held])
+    def __init__(self, held: list[np.ndarray]) -> None:
+        self.size = np.array([len(g) for g in held])
+        h = np.concatenate(held)
         order = np.argsort(h, kind="stable")
         self.h, self.owner = h[order], np.repeat(np.arange(len(held)), self.size)[order]
 
-    def linked(self, g: np.ndarray) -> np.ndarray:
-        """Which sets link with g: the row of g times the block."""
-        found = np.zeros(len(self.roots), np.int64)
+    def common(self, g: np.ndarray) -> np.ndarray:
+        """How many of g each has: the row of g times the block."""
+        found = np.zeros(len(self.size), np.int64)
         for k in range(0, len(g), LOOKUP):
             lo, hi = (np.searchsorted(self.h, g[k : k + LOOKUP], side) for side in ("left", "right"))
             n = hi - lo
             found += np.bincount(self.owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(found))
-        return np.flatnonzero(100 * found >= 90 * (len(g) + self.size - found))
+        return found
 
 
-def _multiplied(sets: DataFrame, at: DataFrame) -> DataFrame:
-    """(a, b): roots of linked sets; at: node, root, h, i, j, holds, meets. At place (h, i, j) the sets that
-    it holds are a block, and those that meet them its other factor."""
-    met = at.join(sets, "node").select("h", "i", "j", "holds", "meets", "root", "g")
-    spread = met.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", ~F.col("holds"))
+def _at_places(rows: DataFrame) -> DataFrame:
+    return rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", ~F.col("holds"))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+
+def _by_place(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, list[tuple], Iterator[tuple]]]:
+    """(place, the rows it holds, those that meet them), a row being (whether held, *columns). What is held
+    comes first, and of it what meets the others as well comes last."""
+
+    def rows() -> Iterator[tuple]:
         for batch in batches:
-            for h, i, j, holds, meets, root, g in zip(*(batch[c].to_pylist() for c in ("h", "i", "j", "holds", "meets", "root", "g")), strict=True):
-                yield (h, i, j), holds, meets, root, np.frombuffer(g, _U)
+            for h, i, j, holds, meets, *rest in zip(*(batch[c].to_pylist() for c in ("h", "i", "j", "holds", "meets", *columns)), strict=True):
+                yield (h, i, j), holds, meets, rest
+
+    for place, some in groupby(rows(), key=lambda r: r[0]):
+        held, first, both = [], None, []
+        for r in some:
+            if not r[1]:
+                first = r
+                break
+            held.append(r[3])
+            both += [(True, *r[3])] * r[2]
+        meeting = chain(((False, *first[3]),) if first else (), ((False, *r[3]) for r in some), both)
+        if held:
+            yield place, held, meeting
+
+
+def _sieved(keyed: DataFrame, at: DataFrame) -> DataFrame:
+    """The rows of ``at`` (node, root, h, i, j, holds, meets) with a pair at their place that the bounds don't
+    exclude over the leading columns; keyed: node, n, keys, big (its large columns). A pair counts in the least large column of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (h, i, j), held, meeting in _by_place(batches, "node", "root", "n", "keys", "big"):
+            block, sizes = _Block([np.array(keys, np.int64) for _, _, _, keys, _ in held]), np.array([r[2] for r in held])
+            roots, rest, bigs = np.array([r[1] for r in held], object), sizes - sizes // 10 - 1, [set(r[4]) for r in held]
+            out = {}
+            for own, node, root, n, keys, big in meeting:
+                most = block.common(np.array(keys, np.int64)) + np.maximum(rest, n - n // 10 - 1)
+                fit = (19 * most >= 9 * (n + sizes)) & (10 * np.minimum(n, sizes) >= 9 * np.maximum(n, sizes)) & (roots != root)
+                mine = set(big)
+                left = [k for k in np.flatnonzero(fit).tolist() if min(mine & bigs[k]) == h]
+                if left:
+                    out[node] = [root, own or (node in out and out[node][1]), True]
+                    for k in left:
+                        other = out.setdefault(held[k][0], [held[k][1], True, False])
+                        other[1] = True
+            if out:
+                n = len(out)
+                cols = [list(out), [v[0] for v in out.values()], [h] * n, [i] * n, [j] * n, [v[1] for v in out.values()], [v[2] for v in out.values()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()], strict=True)], names=["node", "root", "h", "i", "j", "holds", "meets"])
 
-    def edges(block: _Block, root: bytes, g: np.ndarray, up: dict[bytes, bytes]) -> Iterator[tuple[bytes, bytes]]:
-        def top(x: bytes) -> bytes:
-            while x in up:
-                x = up[x]
-            return x
+    met = at.join(keyed, "node").select("h", F.col("i").cast("long"), F.col("j").cast("long"), "holds", "meets", "node", "root", "n", "keys", "big")
+    return _at_places(met).mapInArrow(lean(run), "node binary, root binary, h long, i long, j long, holds boolean, meets boolean")
 
-        for k in block.linked(g).tolist():
-            x, y = top(root), top(block.roots[k])
-            if x != y:
-                up[x] = y
-                yield root, block.roots[k]
+
+def _multiplied(sets: DataFrame, at: DataFrame) -> DataFrame:
+    """(a, b): roots of linked sets; at: node, root, h, i, j, holds, meets. At place (h, i, j) the sets that
+    it holds are a block, and those that meet them its other factor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, place in groupby(rows(batches), key=lambda r: r[0]):
-            held, meet, block, out, up = [], [], None, [], {}
-            for _, holds, meets, root, g in place:
-                if holds:
-                    held.append((root, g))
-                    meet += [held[-1]] * meets
-                elif held:
-                    block = block or _Block(held)
-                    out += edges(block, root, g, up)
-            block = block or (_Block(held) if meet else None)
-            for root, g in meet:
-                out += edges(block, root, g, up)
+        for _, held, meeting in _by_place(batches, "root", "g"):
+            block, roots, out, up = _Block([np.frombuffer(g, _U) for _, g in held]), [r for r, _ in held], [], {}
+
+            def top(x: bytes, up: dict[bytes, bytes]) -> bytes:
+                while x in up:
+                    x = up[x]
+                return x
+
+            for _, root, g in meeting:
+                both, n = block.common(np.frombuffer(g, _U)), len(g) // 8
+                for k in np.flatnonzero(100 * both >= 90 * (n + block.size - both)).tolist():
+                    x, y = top(root, up), top(roots[k], up)
+                    if x != y:
+                        up[x] = y
+                        out.append((root, roots[k]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["a", "b"])
 
-    return spread.mapInArrow(lean(run), "a binary, b binary").distinct()
+    met = at.join(sets, "node").select("h", "i", "j", "holds", "meets", "root", "g")
+    return _at_places(met).mapInArrow(lean(run), "a binary, b binary").distinct()
 
 
 def _places(pairs: DataFrame) -> DataFrame:
@@ -226,17 +266,17 @@ def _linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     counted = rows.select(F.explode("low").alias("h")).where(F.shiftrightunsigned("h", 60) < COUNTED)
     shared = stored(counted.groupBy("h").count().where("count > 1"), "shared")
     hot, more = (sc.broadcast(fitted(x, "h")) for x in (shared.where(F.col("count") >= HOT), shared))
-    nodes = stored(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("low").alias("low"), F.first("tid").alias("tid")), "nodes")
-    keyed = stored(_leading(nodes.select("node", "n", "low"), hot, more), "keyed")
-    far = nodes.join(keyed.where("keys IS NULL").select("node"), "node", "left_semi")
-    tables = [shared, nodes, keyed]
+    first = [F.first(c).alias(c) for c in ("n", "tid", "keys", "loose")]
+    keyed = stored(_leading(rows, hot, more).groupBy("node").agg(*first), "keyed")
+    far = keyed.where("keys IS NULL")
+    tables = [shared, keyed]
     if not far.isEmpty():  # these need all their columns
         whole = stored(_sets(docs, sc.broadcast(fitted(far.select(leading("tid").alias("h")), "h")), "tid"), "whole")
-        full = whole.join(far.select("node"), "node", "left_semi").mapInArrow(_unpacked, "node binary, n long, low array<long>")
+        full = whole.join(far.select("node", "tid"), "node").mapInArrow(_unpacked, "node binary, n long, tid binary, low array<long>")
         further = stored(_leading(full, hot, more), "keyed")
         keyed = keyed.where("keys IS NOT NULL").unionByName(further)
         tables += [whole, further]
-    columns = stored(keyed.join(nodes.select("node", "n"), "node").select("node", "n", "loose", F.explode("keys").alias("h")), "columns")
+    columns = stored(keyed.select("node", "n", "loose", F.explode("keys").alias("h")), "columns")
     sizes = columns.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("low"), F.max("node").alias("high")).where("k > 1")
     dealt = stored(columns.join(sizes, "h"), "dealt")
     big = dealt.where(F.col("k") > HOT)
@@ -245,23 +285,26 @@ def _linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     big = stored(big.join(alike.groupBy("s", "t").agg(F.min("h").alias("h")).select("h"), "h"), "big")
     poles = big.select("node", F.explode(F.array("low", "high")).alias("pole"), "n").where("node <> pole").select(F.col("pole").alias("a"), F.col("node").alias("b"))
     pairs = stored(_cold_pairs(dealt.where(F.col("k") <= HOT).select("h", "node", "n", "loose")).unionByName(poles).distinct(), "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(big.select("node"))
-    sets = stored(_sets(docs, sc.broadcast(fitted(asked.select(leading("node").alias("h")), "h")), "node"), "sets")
+    near_sets = lambda asked: stored(_sets(docs, sc.broadcast(fitted(asked.select(leading("node").alias("h")), "h")), "node"), "sets")
+    sets = near_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
     near = components(_multiplied(sets, _places(pairs)))
     rest, within = unmet(big.select("node", "h"), near)
-    rest = stored(rest, "unmet")
-    wider = components(_multiplied(sets, rest.select("node", "root", F.explode("at").alias("at")).select("node", "root", "at.*")))
+    rest = rest.select("node", "root", F.explode("at").alias("at")).select("node", "root", "at.*")
+    large = keyed.join(big.groupBy("node").agg(F.collect_list("h").alias("big")), "node").select("node", "n", "keys", "big")
+    rest = stored(_sieved(large, rest), "sieved")
+    more_sets = near_sets(rest.select("node"))
+    wider = components(_multiplied(more_sets, rest))
     up = wider.select(F.col("node").alias("root"), F.col("root").alias("top"))
     both = near.select("node", "root").unionByName(wider.select("node", F.col("node").alias("root"))).distinct()
     both = both.groupBy("node").agg(F.min("root").alias("root")).join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     out = stored(both, "linked")
-    discard(*tables, columns, dealt, big, pairs, sets, near, within, rest, wider)
+    discard(*tables, columns, dealt, big, pairs, sets, near, within, rest, more_sets, wider)
     return out
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], _lists([np.frombuffer(g, _U) for g in batch["g"].to_pylist()])], names=["node", "n", "low"])
+        yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], batch["tid"], _lists([np.frombuffer(g, _U) for g in batch["g"].to_pylist()])], names=["node", "n", "tid", "low"])
 
 
 def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
