@@ -28,6 +28,19 @@ def sliding_count(rows: DataFrame, time: str, seconds: int, keys: tuple[str, ...
     return both.withColumn("n", F.count(F.lit(1)).over(w)).where("_own").drop("_t", "_b", "_own")
 
 
+def sliced_spikes(requests: DataFrame, limit: int, window_s: float = 60.0, cooldown_s: float = 120.0, per_key: bool = False, slice_s: float = 1.0) -> DataFrame:
+    """Alerts (scope, ts, n_requests) of requests (api_key, ts), as streaming.alerts.spikes gives them: slices of time (ts is a slice's start
+    in microseconds) with which the last ``window_s`` seconds hold ``limit`` requests or more, but for those within ``cooldown_s`` of one given."""
+    step, width = int(slice_s * 1e6), int(window_s * 1e6)
+    scope = F.col("api_key").cast("string") if per_key else F.lit("all")
+    n = requests.where("ts IS NOT NULL").groupBy(scope.alias("scope"), (F.floor(_micros("ts") / step) * step).alias("_t")).agg(F.count(F.lit(1)).alias("n"))
+    both = _with_neighbours(n, width)
+    w = Window.partitionBy("scope", "_b").orderBy("_t").rangeBetween(1 - width, 0)
+    hits = both.withColumn("n_requests", F.sum("n").over(w)).where("_own").where(F.col("n_requests") >= limit)
+    hits = hits.select("scope", F.col("_t").alias("ts"), "n_requests", F.timestamp_micros("_t").alias("_at"))
+    return cooled(hits, "scope", "_at", "ts", int(cooldown_s)).select("scope", "ts", "n_requests")
+
+
 def crossings(rows: DataFrame, key: str, time: str, order: str, limit: Column) -> DataFrame:
     """The rows with which a key's count of the Pacific day meets 80 %, 95 % or all of ``limit``: with
     ``n`` and ``kind``. Of thresholds that are equal the lowest counts."""
