@@ -12,11 +12,19 @@ def _micros(time: str) -> Column:
     return F.unix_micros(F.col(time).cast("timestamp"))
 
 
+#: Rows of a slice of time, about.
+SLICE_ROWS = 200_000
+
+
 def _with_neighbours(rows: DataFrame, micros: int) -> DataFrame:
-    """``rows`` (with _t) in slices of time (_b) of that length, each with a copy of the slice before
-    (_own false): what a row looks back on lies in its slice, so a slice is a task's work."""
-    b = F.floor(F.col("_t") / micros)
-    return rows.withColumns({"_b": b, "_own": F.lit(True)}).unionByName(rows.withColumns({"_b": b + 1, "_own": F.lit(False)}))
+    """``rows`` (with _t) in slices of time (_b), each with a copy of what of the slice before is at most ``micros`` older
+    than its start (_own false): what a row looks back on lies in its slice, so a slice is a task's work. Slices are
+    as long as their rows make SLICE_ROWS on average, ``micros`` at least, so that few rows are copied."""
+    n, lo, hi = rows.agg(F.count("_t"), F.min("_t"), F.max("_t")).first()
+    length = max(micros, ((hi or 0) - (lo or 0)) // max(1, n // SLICE_ROWS) + 1)
+    b = F.floor(F.col("_t") / length)
+    late = rows.where((b + 1) * length - F.col("_t") <= micros)
+    return rows.withColumns({"_b": b, "_own": F.lit(True)}).unionByName(late.withColumns({"_b": b + 1, "_own": F.lit(False)}))
 
 
 def sliding_count(rows: DataFrame, time: str, seconds: int, keys: tuple[str, ...] = ()) -> DataFrame:

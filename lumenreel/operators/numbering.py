@@ -8,31 +8,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Slices that the rows of a large group are numbered in.
-SLICES = 64
+#: Rows of a group that one task numbers; larger groups are cut into slices of about half as many.
+PLAIN = 2_000_000
+
+
+def _null_safe(a: str, b: str, names: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in names], F.lit(True))
 
 
 def numbered(rows: DataFrame, group: list[str], order: list[str], key: Column | None = None) -> DataFrame:
-    """``rows`` with ``place``, the number of each in its group from 1, and ``total``, the group's rows; for
-    few large groups. ``key`` is a number that grows with the order (by default its first column): it
-    deals a group into slices of equal width, which are numbered each for itself and then moved up by the
-    rows of the slices before. No task has to see a whole group, unless its keys are all alike."""
+    """``rows`` with ``place``, the number of each in its group from 1, and ``total``, the group's rows.
+
+    The groups are counted first. If none has more than PLAIN rows, a window numbers them. Else those that have are
+    dealt by ``key``, a number that grows with the order (by default its first column), into
+    slices of equal width, which are numbered each for itself and then moved up by the rows of
+    the slices before. No task has to see a whole large group, unless its keys are all alike. Only the large groups' ends are
+    broadcast: at most the rows over PLAIN of them."""
     k = (key if key is not None else F.col(order[0])).cast("double")
-    r = rows.withColumn("_k", k)
-    ends = (F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
-    same = lambda a, b, by: reduce(lambda x, y: x & y, [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in by])
-    if group:
-        r = r.alias("r").join(r.groupBy(*group).agg(*ends).alias("s"), same("r", "s", group)).select("r.*", "_lo", "_hi")
-    else:
-        r = r.withColumns({c: r.agg(f).scalar() for c, f in zip(("_lo", "_hi"), ends, strict=True)})
+    large = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(k).alias("_lo"), F.max(k).alias("_hi")).where(F.col("_n") > PLAIN)
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    if large.isEmpty():
+        return rows.withColumns({"place": F.row_number().over(whole.orderBy(*order)).cast("long"), "total": F.count(F.lit(1)).over(whole)})
+    r = rows.withColumn("_k", k).alias("r").join(F.broadcast(large).alias("s"), _null_safe("r", "s", group), "left").select("r.*", "_n", "_lo", "_hi")
+    slices = F.ceil(2 * F.col("_n") / PLAIN)
     wide = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    part = F.coalesce(F.least(F.floor((F.col("_k") - F.col("_lo")) / wide * SLICES), F.lit(SLICES - 1)), F.lit(-1)).cast("int")
+    part = F.when(F.col("_n").isNull(), 0).otherwise(F.coalesce(F.least(F.floor((F.col("_k") - F.col("_lo")) / wide * slices), slices - 1), F.lit(-1))).cast("int")
     r = r.withColumn("_part", part)
     place = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
     sizes = r.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # of slices: SLICES + 1 a group
-    sizes = sizes.withColumns({"_before": F.sum("_n").over(w.orderBy("_part")) - F.col("_n"), "total": F.sum("_n").over(w)})
-    r = r.withColumn("_place", place).alias("r").join(sizes.alias("s"), same("r", "s", [*group, "_part"]))
+    sizes = sizes.withColumns({"_before": F.sum("_n").over(whole.orderBy("_part")) - F.col("_n"), "total": F.sum("_n").over(whole)})
+    r = r.withColumn("_place", place).alias("r").join(sizes.alias("s"), _null_safe("r", "s", [*group, "_part"]))
     return r.select(*[F.col(f"r.{c}") for c in rows.columns], (F.col("_before") + F.col("_place")).cast("long").alias("place"), F.col("total"))
 
 
@@ -81,17 +86,20 @@ def top_per_group(rows: DataFrame, group: list[str], order: list, k: int) -> Dat
 
 
 def gap_filled(rows: DataFrame, group: list[str], order: list[str], kept: str) -> DataFrame:
-    """``rows`` with ``number`` and ``padded``: the ``kept`` numbers stay, the other rows take the least
+    """``rows`` with ``number`` and ``padded``: the ``kept`` numbers (from 1) stay, the other rows take the least
     numbers of their group that are free, in order. Numbers are padded to two digits up to 99 rows, else
-    three, and wider if a kept one is."""
+    three, and wider if a kept one is. Kept numbers below 1 take none.
+
+    Before the i-th kept number k lie k - i free ones. So if the new rows, by their rank, and the kept numbers, by
+    k - i, are put into one order (new ones first where even), a new row's place in it is its rank and the
+    kept numbers below its own: its number. Ranks and places are numbered(), which cuts large groups."""
+    new = numbered(rows.where(F.col(kept).isNull()), group, order).drop("total").withColumnRenamed("place", "_v")
+    taken = rows.where(F.col(kept) >= 1).select(*group, F.col(kept).cast("bigint").alias("_kept")).distinct()
+    below = numbered(taken, group, ["_kept"]).select(*group, (F.col("_kept") - F.col("place")).alias("_v"))
+    merged = new.withColumn("_new", F.lit(0)).unionByName(below.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    filled = numbered(merged, group, ["_v", "_new"]).where("_new = 0").withColumnRenamed("place", "number").drop("_v", "_new", "total")
+    out = filled.unionByName(rows.where(F.col(kept).isNotNull()).withColumn("number", F.col(kept).cast("bigint")))
     n = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(kept).alias("_most"))
-    width = F.when(F.col("_n") <= 99, 2).otherwise(3)
-    wide = n.select(*group, F.greatest(width, F.coalesce(F.length(F.col("_most").cast("string")), F.lit(0))).alias("_width"))
-    # twice as many numbers as rows: enough are free, whatever was kept
-    free = n.select(*group, F.explode(F.sequence(F.lit(1), 2 * F.col("_n"))).alias("number"))
-    free = free.join(rows.where(F.col(kept).isNotNull()).select(*group, F.col(kept).cast("bigint").alias("number")).distinct(), [*group, "number"], "left_anti")
-    free = free.withColumn("_k", F.row_number().over(Window.partitionBy(*group).orderBy("number")))
-    new = rows.where(F.col(kept).isNull()).withColumn("_k", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    out = new.join(free, [*group, "_k"]).drop("_k").unionByName(rows.where(F.col(kept).isNotNull()).withColumn("number", F.col(kept).cast("bigint")))
+    wide = n.select(*group, F.greatest(F.when(F.col("_n") <= 99, 2).otherwise(3), F.coalesce(F.length(F.col("_most").cast("string")), F.lit(0))).alias("_width"))
     text = F.col("number").cast("string")
     return out.join(wide, group).withColumn("padded", F.lpad(text, F.greatest("_width", F.length(text)), F.lit("0"))).drop("_width")

@@ -70,26 +70,61 @@ def track(samples: DataFrame, accept: float = 0.72, hold: int = 6, scene: float
     return without_short_runs(bridged(gated(samples, accept, hold, scene), hold), least)
 
 
-def _median(v: Column, window: int) -> Column:
-    """Rolling median with the ends repeated; short arrays stay as they are."""
-    half = window // 2
-    near = lambda i: F.array(*[F.get(v, F.least(F.greatest(i + k, F.lit(0)), F.size(v) - 1)) for k in range(-half, half + 1)])
-    return F.when(F.size(v) < window, v).otherwise(F.transform(v, lambda _, i: F.array_sort(near(i))[half]))
+#: Values of a run that are smoothed one after the other; blocks of them are then carried on.
+BLOCK = 32
 
 
-def _ema(v: Column, alpha: float) -> Column:
-    """Exponential mean from the first value on."""
-    first = F.slice(v, 1, 1)
-    return F.aggregate(F.slice(v, F.lit(2), F.size(v)), first, lambda acc, x: F.array_append(acc, alpha * x + (1 - alpha) * F.element_at(acc, -1)))
+def _averaged(runs: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """``runs`` with the exponential mean, from the first value on, of its array columns (name: weight of a new value), as a
+    scan: each block of values starts from zero (the first one from the first value), then the last mean of the block
+    before is carried into all of its places, a power of the decay less by place. The work grows with the
+    values; only the blocks' ends are appended to one list. Blocks and ends are columns, so that each is made once."""
+
+    def within(c: str, alpha: float) -> Column:
+        def block(b: Column) -> Column:
+            start = F.when(b == 0, F.get(c, F.lit(0))).otherwise(F.lit(0.0))
+            first = F.struct(start.alias("last"), F.array().cast("array<double>").alias("all"))
+
+            def step(acc: Column, x: Column) -> Column:
+                return F.transform(F.array(alpha * x + (1 - alpha) * acc["last"]), lambda y: F.struct(y.alias("last"), F.array_append(acc["all"], y).alias("all")))[0]
+
+            return F.aggregate(F.slice(c, b * BLOCK + 1, BLOCK), first, step, lambda acc: acc["all"])
+
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / BLOCK).cast("int")), block)
+
+    def carried(c: str, alpha: float) -> Column:
+        return F.aggregate(f"{c}_b", F.array(F.lit(0.0)), lambda acc, b: F.array_append(acc, F.element_at(b, -1) + F.element_at(acc, -1) * F.pow(F.lit(1 - alpha), F.size(b))))
+
+    def whole(c: str, alpha: float) -> Column:
+        moved = lambda b, k: F.transform(b, lambda x, j: x + F.get(f"{c}_c", k) * F.pow(F.lit(1 - alpha), j + 1))
+        return F.flatten(F.transform(f"{c}_b", moved))
+
+    for suffix, made in (("_b", within), ("_c", carried), ("", whole)):
+        runs = runs.withColumns({c + suffix: made(c, alpha) for c, alpha in weights.items()})
+    return runs.drop(*[c + suffix for c in weights for suffix in ("_b", "_c")])
 
 
 def smoothed(samples: DataFrame, window: int = 5, position: float = 0.35, scale: float = 0.15) -> DataFrame:
-    """In each run of two or more samples that is on: rolling median, then exponential mean; positions
-    in whole pixels, rounded half to even."""
-    s = with_runs(samples)
-    runs = s.where("on").groupBy("clip", "run").agg(F.array_sort(F.collect_list(F.struct("n", "x", "y", "scale"))).alias("_all")).where(F.size("_all") > 1)
-    part = lambda c, alpha: _ema(_median(F.transform("_all", lambda r: r[c].cast("double")), window), alpha)
-    runs = runs.select("clip", F.transform("_all", lambda r: r["n"]).alias("n"), part("x", position).alias("_x"), part("y", position).alias("_y"), part("scale", scale).alias("_s"))
+    """In each run of two or more samples that is on: rolling median (the ends repeated; shorter runs stay), then exponential mean;
+    positions in whole pixels, rounded half to even."""
+    s, half = with_runs(samples), window // 2
+    w = Window.partitionBy("clip", "run").orderBy("n")
+    size = F.count(F.lit(1)).over(Window.partitionBy("clip", "run"))
+
+    def median(c: str) -> Column:
+        near = [F.col(c)]
+        for f in (F.lag, F.lead):  # beyond an end the last value there is
+            beyond = F.col(c)
+            for k in range(1, half + 1):
+                beyond = F.coalesce(f(c, k).over(w), beyond)
+                near.append(beyond)
+        return F.when(F.col("_size") < window, F.col(c)).otherwise(F.array_sort(F.array(*near))[half])
+
+    live = s.where("on").select("clip", "run", "n", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "scale")]).withColumn("_size", size).where("_size > 1")
+    live = live.select("clip", "run", "n", *[median(c).alias(c) for c in ("x", "y", "scale")])
+    runs = live.groupBy("clip", "run").agg(F.array_sort(F.collect_list(F.struct("n", "x", "y", "scale"))).alias("_all"))
+    runs = runs.select("clip", F.col("_all.n").alias("n"), F.col("_all.x").alias("_x"), F.col("_all.y").alias("_y"), F.col("_all.scale").alias("_s"))
+    runs = _averaged(runs, {"_x": position, "_y": position, "_s": scale})
     flat = runs.select("clip", F.explode(F.arrays_zip("n", "_x", "_y", "_s")).alias("z")).select("clip", "z.n", F.bround("z._x").alias("_x"), F.bround("z._y").alias("_y"), F.col("z._s"))
     out = samples.join(flat, ["clip", "n"], "left")
     return out.withColumns({"x": F.coalesce("_x", "x"), "y": F.coalesce("_y", "y"), "scale": F.coalesce("_s", "scale")}).drop("_x", "_y", "_s")
