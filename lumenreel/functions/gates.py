@@ -95,3 +95,26 @@ def run_out(now: Column, started: Column, heartbeat: Column, last_output: Column
     """Whether a rented machine is to be stopped: its time is up, or its heartbeat is stale and nothing came
     out for as long."""
     return (now - started >= cap) | (F.coalesce(now - heartbeat > limit, F.lit(True)) & F.coalesce(now - last_output > limit, F.lit(True)))
+
+
+# What a box may be filled with.
+FILLS = ["logo_rounded", "logo_square", "clean_plate", "blur"]
+
+
+def box_findings(x: Column, y: Column, w: Column, h: Column, start: Column, end: Column, fill: Column, duration: Column) -> list[Column]:
+    """What is wrong with a box of an edit: its fill, its place in shares of the frame, its time."""
+    inside = lambda c: c.between(0, 1)
+    return [
+        F.when(~F.coalesce(fill.isin(FILLS), F.lit(False)), "fill"), *[F.when(~inside(c), name) for name, c in zip("xywh", (x, y, w, h), strict=True)],
+        F.when((x + w > 1.001) | (y + h > 1.001), "edge"), F.when(~((start >= 0) & (start < end) & (end <= duration + 0.05)), "time"),
+    ]
+
+
+def aspect_finding(authored_w: Column, authored_h: Column, w: Column, h: Column) -> Column:
+    """Another frame size is fine, another shape (by more than 0.01) is not: boxes are shares of the frame."""
+    return F.when(F.abs(authored_w / authored_h - w / h) > 0.01, "aspect")
+
+
+def seed_findings(seed: Column, start: Column, end: Column, in_cut: Column, w_px: Column, h_px: Column, least: int = 12) -> list[Column]:
+    """What is wrong with a tracked box: its seed out of its time or in a cut, or a template too small to match."""
+    return [F.when(~seed.between(start, end), "seed"), F.when(in_cut, "seed in a cut"), F.when((w_px < least) | (h_px < least), "small")]

@@ -7,30 +7,14 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Energy by words of an angle, in order; cluster and mood of each energy.
+from ..dims import COUNTRY_REGIONS, DEFAULT_REGION, ENERGY_MUSIC, LANGUAGE_REGIONS, REGION_MUSIC, UNVOICED, VOICED
+
+# Energy by words of an angle, in order.
 ENERGY_WORDS = [
     ("tension", ["myth", "authority", "mistake", "wrong", "stop"]),
     ("uplift", ["transform", "testimonial", "diagnos", "rescue", "revive", "before"]),
     ("modern", ["feature", "demo", "rules", "showcase", "benefit"]),
 ]
-ENERGY = {
-    "calm": ("C_lofi_chill", "lofi chill"),
-    "uplift": ("B_uplifting", "uplifting acoustic"),
-    "tension": ("A_calm_nature", "curious minimal"),
-    "modern": ("D_corporate", "positive corporate"),
-}
-# Region of a language.
-REGIONS = {
-    "anglo": "en", "west_eu": "de fr nl", "south_eu": "it es pt el", "nordics": "sv no da fi", "east_eu": "pl cs hu ro ru uk",
-    "mena": "ar tr fa he", "east_asia": "ko ja zh", "sea": "id ms th vi tl fil",
-}
-# First query of a region.
-SEEDS = {
-    "anglo": "lofi chill", "west_eu": "minimal acoustic", "south_eu": "mediterranean acoustic", "nordics": "airy indie folk", "east_eu": "acoustic pop chill",
-    "mena": "arabic ambient calm", "east_asia": "kawaii cute", "sea": "tropical pop happy",
-}
-
-
 def vote(text: Column, classes: list[tuple[str, list[str]]], default: str) -> Column:
     """The class with the most keywords in a text, in any case; the first of equals, the default for none."""
     t = F.lower(F.coalesce(text, F.lit("")))
@@ -51,20 +35,51 @@ def energy(angle: Column) -> Column:
     return first_match(angle, ENERGY_WORDS, "calm")
 
 
-def _of(table: dict[str, str], key: Column) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+def _of(table: dict[str, str | Column], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[x if isinstance(x, Column) else F.lit(x) for kv in table.items() for x in kv]), key)
 
 
 def region(language: Column) -> Column:
-    return F.coalesce(_of({code: r for r, codes in REGIONS.items() for code in codes.split()}, F.lower(language)), F.lit("anglo"))
+    return F.coalesce(_of(dict(LANGUAGE_REGIONS), F.lower(language)), F.lit(DEFAULT_REGION))
 
 
 def suggestion(language: Column, angle: Column, voice: Column) -> dict[str, Column]:
-    """Region, energy, cluster and at most five queries for a clip's music."""
+    """Region, energy, cluster and the first queries for a clip's music, by its language alone."""
     r, e = region(language), energy(angle)
-    queries = F.array(_of(SEEDS, r), _of({k: v[1] for k, v in ENERGY.items()}, e))
+    queries = F.array(_of({name: seeds[0] for name, _, seeds, _ in REGION_MUSIC}, r), _of({x[0]: x[4] for x in ENERGY_MUSIC}, e))
     queries = F.when(voice, F.array_append(queries, F.lit("instrumental background"))).otherwise(queries)
-    return {"region": r, "energy": e, "cluster": _of({k: v[0] for k, v in ENERGY.items()}, e), "queries": F.slice(F.array_distinct(queries), 1, 5)}
+    return {"region": r, "energy": e, "cluster": _of({x[0]: x[1] for x in ENERGY_MUSIC}, e), "queries": F.slice(F.array_distinct(queries), 1, 5)}
+
+
+def country_region(country: Column) -> Column:
+    """The region of a country's code or name, in any case; null if it isn't known."""
+    return _of(dict(COUNTRY_REGIONS), F.upper(F.trim(country)))
+
+
+def markets(countries: Column, regions: list[tuple[str, str]] = COUNTRY_REGIONS) -> Column:
+    """(top, others): the commonest region of countries (an array of codes or names, in any case; ties by name), and the other regions in
+    order. Countries that aren't known don't count; top is null if none is."""
+    known = F.array_compact(F.transform(F.coalesce(countries, F.array().cast("array<string>")), lambda c: _of(dict(regions), F.upper(F.trim(c)))))
+    each = F.array_sort(F.array_distinct(known))
+    counted = F.transform(each, lambda r: F.struct((-F.size(F.filter(known, lambda x: x == r))).alias("n"), r.alias("r")))
+    top = F.array_min(counted)["r"]
+    return F.struct(top.alias("top"), F.filter(each, lambda r: r != top).alias("others"))
+
+
+def music(language: Column, angle: Column, voice: Column, countries: Column) -> dict[str, Column]:
+    """All of the advice on a clip's music: region (by its countries, else its language, else the default, as ``reason`` says), label, energy,
+    cluster, mood, bpm, at most five different queries, and notes on the voice and the trend, markets of several regions included."""
+    m, spoken, e = markets(countries), _of(dict(LANGUAGE_REGIONS), F.lower(language)), energy(angle)
+    r = F.coalesce(m["top"], spoken, F.lit(DEFAULT_REGION))
+    seeds = F.slice(F.array_distinct(_of({name: F.array(*map(F.lit, some)) for name, _, some, _ in REGION_MUSIC}, r)), 1, 4)
+    queries = F.array_append(seeds, _of({x[0]: x[4] for x in ENERGY_MUSIC}, e))
+    queries = F.when(F.coalesce(voice, F.lit(False)), F.array_append(queries, F.lit("instrumental background"))).otherwise(queries)
+    others = F.when(m["top"].isNotNull() & (F.size(m["others"]) > 0), F.concat(F.lit("  (mixed markets: also "), F.array_join(m["others"], ", "), F.lit(" — pick neutral tracks.)"))).otherwise("")
+    return {
+        "region": r, "reason": F.when(m["top"].isNotNull(), "countries").when(spoken.isNotNull(), "language").otherwise("default"), "label": _of({x[0]: x[1] for x in REGION_MUSIC}, r),
+        "energy": e, "cluster": _of({x[0]: x[1] for x in ENERGY_MUSIC}, e), "mood": _of({x[0]: x[2] for x in ENERGY_MUSIC}, e), "bpm": _of({x[0]: x[3] for x in ENERGY_MUSIC}, e),
+        "queries": F.slice(F.array_distinct(queries), 1, 5), "voice_note": F.when(F.coalesce(voice, F.lit(False)), VOICED).otherwise(UNVOICED), "trend_note": F.concat(_of({x[0]: x[3] for x in REGION_MUSIC}, r), others),
+    }
 
 
 def outro(variant: Column, man: Column, woman: Column, other: Column) -> Column:

@@ -66,3 +66,13 @@ def runs(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     new = F.coalesce(~F.col(value).eqNullSafe(F.lag(value).over(w)) | F.lag(order).over(w).isNull(), F.lit(True)).cast("int")
     r = rows.withColumn("_new", new).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return r.groupBy(*keys, "run").agg(F.first(value).alias("value"), F.min(order).alias("first"), F.max(order).alias("last"), F.count(F.lit(1)).alias("n"))
+
+
+def paired(events: DataFrame, keys: list[str], order: str, time: str, starts: Column, ends: Column, length: DataFrame, eof: str) -> DataFrame:
+    """keys, start, end and ``eof``: each start with the end that follows it. Of starts in a row the last counts, and ends without a start
+    none; a start that stays open ends with its file, of which ``length`` (keys, eof) has the length. Other events don't count."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    marks = events.withColumns({"_start": F.coalesce(starts, F.lit(False)), "_end": F.coalesce(ends, F.lit(False))}).where("_start OR _end")
+    marks = marks.withColumns({"_next": F.lead("_end").over(w), "_to": F.lead(time).over(w)}).where("_start AND coalesce(_next, true)")
+    found = marks.join(length.select(*keys, eof), keys)
+    return found.select(*keys, F.col(time).alias("start"), F.when(F.col("_next"), F.col("_to")).otherwise(F.col(eof)).alias("end"), eof)

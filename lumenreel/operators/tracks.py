@@ -90,10 +90,10 @@ def _averaged(runs: DataFrame, weights: dict[str, float]) -> DataFrame:
 
             return F.aggregate(F.slice(c, b * BLOCK + 1, BLOCK), first, step, lambda acc: acc["all"])
 
-        return F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / BLOCK).cast("int")), block)
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(c) - 1) / BLOCK).cast("int"))), block)
 
     def carried(c: str, alpha: float) -> Column:
-        return F.aggregate(f"{c}_b", F.array(F.lit(0.0)), lambda acc, b: F.array_append(acc, F.element_at(b, -1) + F.element_at(acc, -1) * F.pow(F.lit(1 - alpha), F.size(b))))
+        return F.aggregate(f"{c}_b", F.array(F.lit(0.0)), lambda acc, b: F.array_append(acc, F.get(b, F.size(b) - 1) + F.element_at(acc, -1) * F.pow(F.lit(1 - alpha), F.size(b))))
 
     def whole(c: str, alpha: float) -> Column:
         moved = lambda b, k: F.transform(b, lambda x, j: x + F.get(f"{c}_c", k) * F.pow(F.lit(1 - alpha), j + 1))
@@ -120,14 +120,16 @@ def smoothed(samples: DataFrame, window: int = 5, position: float = 0.35, scale:
                 near.append(beyond)
         return F.when(F.col("_size") < window, F.col(c)).otherwise(F.array_sort(F.array(*near))[half])
 
-    live = s.where("on").select("clip", "run", "n", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "scale")]).withColumn("_size", size).where("_size > 1")
-    live = live.select("clip", "run", "n", *[median(c).alias(c) for c in ("x", "y", "scale")])
-    runs = live.groupBy("clip", "run").agg(F.array_sort(F.collect_list(F.struct("n", "x", "y", "scale"))).alias("_all"))
-    runs = runs.select("clip", F.col("_all.n").alias("n"), F.col("_all.x").alias("_x"), F.col("_all.y").alias("_y"), F.col("_all.scale").alias("_s"))
+    kept = F.struct(*samples.columns).alias("_row")
+    live = s.select("clip", "run", "n", "on", kept, *[F.col(c).cast("double").alias(c) for c in ("x", "y", "scale")]).withColumn("_size", size)
+    live = live.select("clip", "run", "n", "_row", (F.col("on") & (F.col("_size") > 1)).alias("_even"), *[median(c).alias(c) for c in ("x", "y", "scale")])
+    # all runs go the same way, so that what comes before is worked out once
+    runs = live.groupBy("clip", "run", "_even").agg(F.array_sort(F.collect_list(F.struct("n", "x", "y", "scale", "_row"))).alias("_all"))
+    part = lambda c: F.when(F.col("_even"), F.col(f"_all.{c}")).otherwise(F.array().cast("array<double>"))
+    runs = runs.select("_even", F.col("_all._row").alias("_rows"), part("x").alias("_x"), part("y").alias("_y"), part("scale").alias("_s"))
     runs = _averaged(runs, {"_x": position, "_y": position, "_s": scale})
-    flat = runs.select("clip", F.explode(F.arrays_zip("n", "_x", "_y", "_s")).alias("z")).select("clip", "z.n", F.bround("z._x").alias("_x"), F.bround("z._y").alias("_y"), F.col("z._s"))
-    out = samples.join(flat, ["clip", "n"], "left")
-    return out.withColumns({"x": F.coalesce("_x", "x"), "y": F.coalesce("_y", "y"), "scale": F.coalesce("_s", "scale")}).drop("_x", "_y", "_s")
+    flat = runs.select(F.explode(F.arrays_zip("_rows", "_x", "_y", "_s")).alias("z")).select("z._rows.*", F.bround("z._x").alias("_x"), F.bround("z._y").alias("_y"), F.col("z._s").alias("_s"))
+    return flat.withColumns({"x": F.coalesce("_x", "x"), "y": F.coalesce("_y", "y"), "scale": F.coalesce("_s", "scale")}).drop("_x", "_y", "_s")
 
 
 def report(samples: DataFrame, width: int, height: int, scene: float = 25.0) -> DataFrame:

@@ -150,6 +150,29 @@ def spec_problems(spark, sf_dir):
     return s.select("l_orderkey", "l_linenumber", F.array_join(found, ",").alias("problems"))
 
 
+_BOX = f"""box AS (SELECT l_orderkey, l_linenumber, CASE l_partkey % 5 WHEN 4 THEN 'other' ELSE [{', '.join(f"'{x}'" for x in G.FILLS)}][l_partkey % 4 + 1] END AS fill, l_tax * 14 AS x, l_discount * 8 AS y, l_discount * 9 AS w, l_tax * 9 AS h, l_quantity / 2 AS a,
+    l_quantity / 2 + l_discount * 50 - 1 AS b, 24 + l_suppkey % 3 AS d, l_quantity / 2 + 1 AS seed, 1080 + l_suppkey % 30 AS pw, l_linenumber % 3 = 0 AS cut FROM lineitem)"""
+
+
+@register(
+    "box_problems",
+    f"""WITH {_BOX} SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN abs(1080 / 1920::DOUBLE - pw / 1920::DOUBLE) > 0.01 THEN 'aspect' END, CASE WHEN fill = 'other' THEN 'fill' END, CASE WHEN x < 0 OR x > 1 THEN 'x' END, CASE WHEN y < 0 OR y > 1 THEN 'y' END,
+      CASE WHEN w < 0 OR w > 1 THEN 'w' END, CASE WHEN h < 0 OR h > 1 THEN 'h' END, CASE WHEN x + w > 1.001 OR y + h > 1.001 THEN 'edge' END, CASE WHEN NOT (0 <= a AND a < b AND b <= d + 0.05) THEN 'time' END,
+      CASE WHEN seed < a OR seed > b THEN 'seed' END, CASE WHEN cut THEN 'seed in a cut' END, CASE WHEN w * 720 < 12 OR h * 1280 < 12 THEN 'small' END) AS problems FROM box""",
+)
+def box_problems(spark, sf_dir):
+    """What is wrong with the boxes of an edit: shape of the frame, fill, place, time, seed, size."""
+    q, n, s = F.col("l_quantity"), F.col("l_linenumber"), F.col("l_suppkey")
+    fill = F.when(F.col("l_partkey") % 5 == 4, "other").otherwise(F.get(F.array(*map(F.lit, G.FILLS)), (F.col("l_partkey") % 4).cast("int")))
+    x, y, w, h = F.col("l_tax") * 14, F.col("l_discount") * 8, F.col("l_discount") * 9, F.col("l_tax") * 9
+    a, b = q / 2, q / 2 + F.col("l_discount") * 50 - 1
+    found = G.findings(
+        G.aspect_finding(F.lit(1080), F.lit(1920), 1080 + s % 30, F.lit(1920)), *G.box_findings(x, y, w, h, a, b, fill, 24 + s % 3),
+        *G.seed_findings(q / 2 + 1, a, b, n % 3 == 0, w * 720, h * 1280),
+    )
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(found, ",").alias("problems"))
+
+
 _PROBE = """probe AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 1078 ELSE 1080 - CAST(l_quantity AS INT) % 4 END AS w, 1920 - CAST(l_tax * 100 AS INT) % 5 AS h, CASE l_linenumber % 4 WHEN 0 THEN 'hevc' WHEN 1 THEN '' ELSE 'h264' END AS codec,
     l_extendedprice / 150.7::DOUBLE AS mb, l_discount > 0 AS audio, l_quantity / 10 AS d, l_partkey % 20 > 0 AS there FROM lineitem)"""
 

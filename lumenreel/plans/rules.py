@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import dims as D
 from ..catalog import register
 from ..functions import geometry as G
 from ..functions import rules as R
@@ -59,6 +60,54 @@ def music_suggestions(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", *[c.alias(n) for n, c in found.items()])
 
 
+def _values(rows: list[tuple]) -> str:
+    """Rows as SQL's VALUES."""
+    one = lambda x: "[" + ", ".join(map(one, x)) + "]" if isinstance(x, list) else "'" + x.replace("'", "''") + "'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows) + ")"
+
+
+_PLACES = ["us", " Germany", "BRAZIL ", "xx", "Saudi Arabia", "jp", "Mexico", "fr", "", "VN", "Poland"]
+_MUSIC = f"""country(c, r) AS {_values(D.COUNTRY_REGIONS)}, spoken(l, r) AS {_values(D.LANGUAGE_REGIONS)}, style(r, label, seeds, trend) AS {_values(D.REGION_MUSIC)}, en(e, cluster, mood, bpm, anchor) AS {_values(D.ENERGY_MUSIC)}"""
+
+
+@register(
+    "music_advice",
+    f"""WITH {_MUSIC}, p AS (SELECT p_partkey, p_size % 2 = 0 AS voice, lower({_ANGLE}) AS a, lower({_LANG}) AS l, [{", ".join(f"'{x}'" for x in _PLACES)}] AS places FROM part),
+      c AS (SELECT p_partkey, upper(trim(unnest([places[p_partkey % 11 + 1], places[p_partkey // 11 % 11 + 1], places[p_partkey // 7 % 11 + 1]]))) AS c FROM p WHERE p_partkey % 4 > 0),
+      n AS (SELECT p_partkey, r, count(*) AS n FROM c JOIN country USING (c) GROUP BY 1, 2), t AS (SELECT p_partkey, arg_min(r, (-n, r)) AS top FROM n GROUP BY 1),
+      o AS (SELECT p_partkey, top, string_agg(r, ', ' ORDER BY r) FILTER (r <> top) AS others FROM t JOIN n USING (p_partkey) GROUP BY 1, 2),
+      f AS (SELECT p.*, coalesce(o.top, spoken.r, '{D.DEFAULT_REGION}') AS region, CASE WHEN o.top IS NOT NULL THEN 'countries' WHEN spoken.r IS NOT NULL THEN 'language' ELSE 'default' END AS reason, others,
+        CASE WHEN regexp_matches(a, 'myth|authority|mistake|wrong|stop') THEN 'tension' WHEN regexp_matches(a, 'transform|testimonial|diagnos|rescue|revive|before') THEN 'uplift' WHEN regexp_matches(a, 'feature|demo|rules|showcase|benefit') THEN 'modern' ELSE 'calm' END AS energy
+        FROM p LEFT JOIN o USING (p_partkey) LEFT JOIN spoken ON spoken.l = p.l),
+      q AS (SELECT *, seeds[1:4] || CASE WHEN NOT list_contains(seeds[1:4], anchor) THEN [anchor] ELSE [] END || CASE WHEN voice THEN ['instrumental background'] ELSE [] END AS qs FROM f JOIN style ON style.r = region JOIN en ON en.e = energy)
+      SELECT p_partkey, region, reason, label, energy, cluster, mood, bpm, array_to_string(qs[1:5], '|') AS queries, CASE WHEN voice THEN '{D.VOICED.replace("'", "''")}' ELSE '{D.UNVOICED}' END AS voice_note,
+        trend || CASE WHEN others IS NOT NULL THEN '  (mixed markets: also ' || others || ' — pick neutral tracks.)' ELSE '' END AS trend_note FROM q""",
+)
+def music_advice(spark, sf_dir):
+    """Music for clips by their countries, language, angle and voice, with all queries and notes."""
+    k, places = F.col("p_partkey"), F.array(*map(F.lit, _PLACES))
+    place = lambda n: F.get(places, (n % 11).cast("int"))
+    countries = F.when(k % 4 > 0, F.array(place(k), place(F.floor(k / 11)), place(F.floor(k / 7))))
+    found = R.music(_lang(), _angle(), F.col("p_size") % 2 == 0, countries)
+    found["queries"] = F.array_join(found["queries"], "|")
+    return table(spark, sf_dir, "part").select("p_partkey", *[c.alias(n) for n, c in found.items()])
+
+
+@register(
+    "market_regions",
+    f"""WITH country(c, r) AS {_values(D.COUNTRY_REGIONS)}, n AS (SELECT s_nationkey % 7 AS pack, r, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN country ON c = upper(trim(n_name)) GROUP BY 1, 2),
+      t AS (SELECT pack, arg_min(r, (-n, r)) AS top FROM n GROUP BY 1), o AS (SELECT pack, top, coalesce(string_agg(r, ',' ORDER BY r) FILTER (r <> top), '') AS others FROM t JOIN n USING (pack) GROUP BY 1, 2)
+      SELECT DISTINCT CAST(s_nationkey % 7 AS INT) AS pack, top AS region, coalesce(others, '') AS others FROM supplier LEFT JOIN o ON o.pack = s_nationkey % 7""",
+)
+def market_regions(spark, sf_dir):
+    """The region of most of a pack's countries, which are names, and the other regions."""
+    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    n = s.groupBy((F.col("s_nationkey") % 7).cast("int").alias("pack"), R.country_region(F.col("n_name")).alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("r").isNotNull()
+    m = n.groupBy("pack").agg(F.min(F.when(known, F.struct((-F.col("n")).alias("n"), "r")))["r"].alias("region"), F.array_sort(F.collect_set("r")).alias("all"))
+    return m.select("pack", "region", F.array_join(F.filter("all", lambda r: r != F.col("region")), ",").alias("others"))
+
+
 @register(
     "shopping_list",
     """SELECT p_brand, p_size % 3 AS region, string_agg(DISTINCT q, ',' ORDER BY q) AS queries, count(DISTINCT q) AS n FROM (SELECT p_brand, p_size, unnest([p_type, split_part(p_type, ' ', 1)]) AS q FROM part) GROUP BY 1, 2""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import register
 from ..functions.levels import pacific_day
-from ..operators import numbering
+from ..operators import intervals, numbering
 from ..session import table
 
 
@@ -62,6 +62,28 @@ def event_pairs(spark, sf_dir):
     return m.select("user_id", F.col("event_id").alias("first"), F.when(F.col("t2") == "purchase", F.col("e2")).alias("last"))
 
 
+_SPANS = """m AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS t, lead(event_type) OVER w AS t2, lead(epoch_us(ts)) OVER w AS e2 FROM events WHERE event_type IN ('view', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+      length AS (SELECT user_id, max(epoch_us(ts)) AS eof FROM events GROUP BY 1), span AS (SELECT user_id, t AS "start", CASE WHEN t2 = 'purchase' THEN e2 ELSE eof END AS "end", eof FROM m JOIN length USING (user_id) WHERE event_type = 'view' AND (t2 IS NULL OR t2 = 'purchase'))"""
+
+
+def _spans(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    length = e.groupBy("user_id").agg(F.max("t").alias("eof"))
+    return intervals.paired(e, ["user_id"], "event_id", "t", F.col("event_type") == "view", F.col("event_type") == "purchase", length, "eof")
+
+
+@register("event_spans", f'WITH {_SPANS} SELECT user_id, "start", "end" FROM span')
+def event_spans(spark, sf_dir):
+    """Starts with their ends, the last open one up to the end of the file."""
+    return _spans(spark, sf_dir).select("user_id", "start", "end")
+
+
+@register("closing_spans", f'WITH {_SPANS} SELECT user_id, min("start") AS "start" FROM span WHERE "end" >= eof - 86400000000 GROUP BY 1')
+def closing_spans(spark, sf_dir):
+    """Where the block begins that reaches the end, or nearly."""
+    return _spans(spark, sf_dir).where(F.col("end") >= F.col("eof") - 86_400_000_000).groupBy("user_id").agg(F.min("start").alias("start"))
+
+
 @register(
     "prefix_run",
     """WITH n AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos, value < 60 AS ok FROM events)
