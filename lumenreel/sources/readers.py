@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-#: Folders deep that private ones are looked for in a scan of all levels.
-DEEPEST = 4
 #: What isn't media: partial downloads, leftovers of renders, sound tracks.
 JUNK = r"(\.part|\.temp\.mp4|\.m4a)$"
 
@@ -19,16 +17,19 @@ def media_files(spark: SparkSession, root: str, glob: str = "*.mp4", levels: int
     """path, relative, folder (the first one below ``root``, or ''), name, size, mtime and junk of files, ordered
     by path. ``levels``: how many folders deep, all if null. Folders that start with ``_`` are skipped on
     request, and what lies below the folder ``outside``. For junk to be seen the glob has to let it through;
-    hidden files (a dot in front) are never listed."""
+    hidden files (a dot in front) are never listed here, but by the format ``media_walk`` (sources.files)."""
     top = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     base = fs.makeQualified(top).toString().rstrip("/")
     roots = [base]
     if not skip_private:
         # Spark passes over names that start with an underscore, unless they are asked for
-        for depth in range((DEEPEST if levels is None else levels) + 1):
+        depth, below = 0, True
+        while below and (levels is None or depth <= levels):
             found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(base + "/*" * depth + "/_*"))
             roots += [x.getPath().toString() for x in found or ()]
+            depth += 1
+            below = any(x.isDirectory() for x in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(base + "/*" * depth)) or ())
     f = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(roots).drop("content").dropDuplicates(["path"])
     bare = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
     relative = F.expr(f"substring(p, {len(re.sub('^[a-z]+:/+', '/', base)) + 2})")
@@ -45,8 +46,18 @@ def media_files(spark: SparkSession, root: str, glob: str = "*.mp4", levels: int
     return f.drop("parts").orderBy("path")
 
 
-def manifest(spark: SparkSession, path: str, schema: T.StructType, rows: str = "videos") -> DataFrame:
-    """The rows of a JSON document that holds them in the array ``rows``."""
+def manifest(spark: SparkSession, path: str, schema: T.StructType, rows: str = "videos", default: list | None = None) -> DataFrame:
+    """The rows of a JSON document that holds them in the array ``rows``. If there is no such file, or it is broken, those of
+    ``default``, where one is given."""
+    if default is not None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+            return spark.createDataFrame(default, schema)
+        whole = T.StructType([T.StructField(rows, T.ArrayType(schema)), T.StructField("_corrupt", T.StringType())])
+        read = spark.read.schema(whole).option("columnNameOfCorruptRecord", "_corrupt").json(path, multiLine=True).cache()
+        if not read.where(F.col("_corrupt").isNull() & F.col(rows).isNotNull()).isEmpty():
+            return read.select(F.explode(rows).alias("r")).select("r.*")
+        return spark.createDataFrame(default, schema)
     return spark.read.schema(T.StructType([T.StructField(rows, T.ArrayType(schema))])).json(path, multiLine=True).select(F.explode(rows).alias("r")).select("r.*")
 
 
