@@ -337,17 +337,3 @@ def test_streams_equal_batch(spark, tmp_path):
         q.stop()
     assert sum(r["n_requests"] for r in spark.table("counted").collect()) == 400
     assert {(r["api_key"], str(r["day"])): r["n_requests"] for r in spark.table("daily").collect()} == {(k, "2023-12-31"): int((rows["api_key"] == k).sum()) for k in "kq"}
-
-
-def test_manifest_kept_up_from_a_stream(spark, tmp_path):
-    from lumenreel.streaming import manifests as stream
-
-    shape = "id string, name string, angle string"
-    path = str(tmp_path / "manifest")
-    writers.replaced(spark.createDataFrame([("a", "old", "mine"), ("b", "old", None)], shape), path)
-    spark.createDataFrame([("a", "new", None), ("c", "new", "x"), ("c", "newer", "x")], shape).coalesce(1).write.parquet(str(tmp_path / "scans"))
-    for _ in range(2):  # without its checkpoint the stream begins anew, and changes nothing
-        scans = spark.readStream.schema(shape).parquet(str(tmp_path / "scans"))
-        stream.kept_up(scans, path, "id", ["angle"]).option("checkpointLocation", str(tmp_path / f"c{random.random()}")).start().awaitTermination()
-        got = {r["id"]: (r["name"], r["angle"]) for r in writers.current(spark, path).collect()}
-        assert got == {"a": ("new", "mine"), "b": ("old", None), "c": ("newer", "x")}
