@@ -47,7 +47,7 @@ OWN = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n
 #: Least rows for an estimate of a group's own, and of all rows.
 MIN_GROUP, MIN_ALL = 30, 6
 #: Rows of a start, starts, bins to an octave of distances, most steps, and the fall that ends them.
-FEW, STARTS, BINS, STEPS, FALL = 12, 3, 64, 20, 1e-3
+FEW, STARTS, BINS, FALL = 12, 3, 64, 1e-3
 BROADCAST_GROUPS, SALTS = 50_000, 16
 
 
@@ -197,14 +197,16 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     pick = F.coalesce(*[F.when(F.col(f"det_{x}") == least, F.col(x)) for x in names])
     now = stored(best.select("cell", pick.alias("est"), least.alias("det"), F.lit(True).alias("falls")), "best")
     discard(ests)
-    for _ in range(STEPS):
-        step = _concentrated(rows, now.select("cell", "est"), ["est"], cells)
-        new = _with_factor(step).join(now.select("cell", F.col("est").alias("old"), F.col("det").alias("was")), "cell")
+    # every determinant that is stepped on falls by a share and has a floor, so this ends; cells whose determinant
+    # no longer falls are done, and their rows are left out
+    while not (live := now.where("falls")).isEmpty():
+        part = rows.join(F.broadcast(live.select("cell")) if cells <= BROADCAST_GROUPS else live.select("cell"), "cell", "left_semi")
+        step = _concentrated(part, live.select("cell", "est"), ["est"], cells)
+        new = _with_factor(step).join(live.select("cell", F.col("est").alias("old"), F.col("det").alias("was")), "cell")
         falls = F.col("det") < F.col("was") * (1 - FALL)
-        old, now = now, stored(new.select("cell", F.when(falls, F.col("est")).otherwise(F.col("old")).alias("est"), F.when(falls, F.col("det")).otherwise(F.col("was")).alias("det"), falls.alias("falls")), "scatter")
+        new = new.select("cell", F.when(falls, F.col("est")).otherwise(F.col("old")).alias("est"), F.when(falls, F.col("det")).otherwise(F.col("was")).alias("det"), falls.alias("falls"))
+        old, now = now, stored(new.unionByName(now.where("NOT falls")), "scatter")
         discard(old)
-        if now.where("falls").isEmpty():
-            break
     return now.select("cell", "est", "det")
 
 

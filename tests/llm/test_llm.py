@@ -1,6 +1,8 @@
 """The operators against brute force, on the given tables and on awkward rows."""
 
 import time
+import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -85,6 +87,73 @@ def test_code_lengths_are_those_of_ppm():
     assert abs(each[0] - want) < 1e-4 and each[1] == 0 and abs(each[3] - want) < 1e-4 and abs(each[2] - bits(b"   ", b"b")) < 1e-4
 
 
+def test_languages_of_the_documents(spark):
+    """lang_pred and score of all texts against counts by hand, over the rows that may be learned from."""
+    df = pd.read_parquet(f"{SF}/documents.parquet")
+    out = {r["doc_id"]: r for r in queries.op1_language_id(spark, SF).collect()}
+    trees = {}
+    for i, lang, text in zip(df["doc_id"], df["lang"], df["text"], strict=True):
+        if zlib.crc32(str(i).encode()) % 4 == 2 or text is None or lang is None:
+            continue
+        b = b"   " + text.lower().encode()
+        tree = trees.setdefault(lang, [Counter() for _ in range(4)])
+        for k in range(3, len(b)):
+            for m in range(4):
+                tree[m][b[k - m : k + 1]] += 1
+    costs = {}
+    for lang, tree in trees.items():
+        total, kinds = [Counter() for _ in range(4)], [Counter() for _ in range(4)]
+        for m in range(4):
+            for s, n in tree[m].items():
+                total[m][s[:-1]] += n
+                kinds[m][s[:-1]] += 1
+        costs[lang] = (tree, total, kinds)
+
+    def bits(lang, seq):
+        tree, total, kinds = costs[lang]
+        out = 0.0
+        for m in range(3, -1, -1):
+            s = seq[3 - m :]
+            n = total[m][s[:-1]]
+            if tree[m][s]:
+                return out - np.log2(tree[m][s] / (n + kinds[m][s[:-1]]))
+            if n:
+                out -= np.log2(kinds[m][s[:-1]] / (n + kinds[m][s[:-1]]))
+        return out + 8.0
+
+    langs, checked = sorted(costs), 0
+    for i, text in zip(df["doc_id"], df["text"], strict=True):
+        if text is None or not any(map(str.isalpha, text)):
+            assert out[i]["lang_pred"] == "und" and out[i]["score"] == 0
+            continue
+        b = b"   " + text.lower().encode()
+        seqs = Counter(b[k - 3 : k + 1] for k in range(3, len(b)))
+        total = np.array([sum(n * bits(lang, s) for s, n in seqs.items()) for lang in langs])
+        gap = (total - total.min()) * min(1.0, 64 / (len(b) - 3))
+        assert out[i]["lang_pred"] == langs[int(total.argmin())] and abs(out[i]["score"] - 1 / np.exp2(-gap).sum()) < 1e-3
+        checked += 1
+    assert checked > 150
+
+
+def test_texts_longer_than_any_block(spark):
+    """One text of 14 MB next to short ones, through the operators that work in blocks."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{k:x}" for k in range(60_000)])
+    long = " ".join(rng.choice(words, 2_200_000).tolist()) + "\n" + SENTENCE * 3
+    rows = [(1, long), (2, SENTENCE * 3), (3, "short text"), (4, SENTENCE * 3 + "end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert len(long) > 12 << 20
+    tok = brute.word_bpe()
+    ids = {i: brute.encode(tok, t) for i, t in rows}
+    assert {r["doc_id"]: r["n"] for r in bpe_table.encode(df, WORDS).select("doc_id", F.size("ids").alias("n")).collect()} == {i: len(v) for i, v in ids.items()}
+    assert got(substring_dedup.remove_repeated(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.op3(rows)
+    assert lines_of(df) == brute.op5(rows)
+    pieces = packing.pack_texts(df, WORDS, 2).select("doc_id", "length").groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in pieces} == {i: len(v) + 1 for i, v in ids.items()}
+    known = spark.createDataFrame([("the quick brown fox", "en"), ("w1 w2 w3 w4 a9f", "hex")], "text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(df, langid.fit(known)).collect()} == {1: "hex", 2: "en", 3: "en", 4: "en"}
+
+
 def test_languages_beyond_any_number(spark):
     """Rare bytes and many languages are learned like all others."""
     rows = [(chr(0x4E00 + 50 * k) * 30 + chr(0x3040 + k) * 20, f"l{k:03d}") for k in range(230)]
