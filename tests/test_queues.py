@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenreel.functions import rules
-from lumenreel.operators import intervals, numbering, queues, tracks
+from lumenreel.operators import intervals, joins, numbering, queues, tracks
 
 T0 = 1_700_000_000_000_000
 
@@ -123,3 +123,17 @@ def test_music_for_markets(spark):
         region, reason, cluster, n, note = case[4]
         assert (r["region"], r["reason"], r["cluster"], len(r["queries"])) == (region, reason, cluster, n) and r["trend_note"].endswith(note or ".")
         assert len(set(r["queries"])) == n and ("instrumental background" in r["queries"]) == (bool(case[2]) and n == 5 and len(r["queries"]) == 5 and r["queries"][-1] == "instrumental background")
+
+
+@pytest.mark.parametrize("plain", [2_000_000, 5])
+def test_twins_of_large_groups(spark, monkeypatch, plain):
+    monkeypatch.setattr(numbering, "PLAIN", plain)
+    rows = [(k, "same" if k % 3 else f"d{k % 4}") for k in range(60)] + [(100 + k, None) for k in range(5)]
+    df = spark.createDataFrame(rows, "id int, d string")
+    groups = {}
+    for k, d in rows:
+        groups.setdefault(d, []).append(k)
+    chains = sorted((a, b) for d, ks in groups.items() if d for a, b in zip(ks, ks[1:], strict=False))
+    assert sorted(map(tuple, joins.twin_pairs(df, "id", "d").collect())) == chains
+    got = {r["id"]: (r["first_key"], r["n_copies"]) for r in joins.exact_copies(df, "id", "d").collect()}
+    assert got == {k: (min(groups[d]), len(groups[d])) if d else (k, 1) for k, d in rows}
