@@ -9,8 +9,8 @@ of sample queries the exact neighbours are found against all rows, and the visit
 ``recall`` is reached.
 
 Neighbouring leaves lie together in groves of about ``block`` rows (eight groves at least); one that
-holds more, because of a leaf with a third of all rows say, is cut into parts by a hash. A part meets
-the queries, in blocks, that visit its leaves, compares each with the rows of these leaves, and hands on
+holds more, because of a leaf with a third of all rows say, is cut into parts by a hash. A part is held and meets
+the queries, a batch at a time, that visit its leaves, compares each with the rows of these leaves, and hands on
 the k best for each. So what is merged grows with the queries and the groves that they visit.
 """
 
@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,6 +147,10 @@ def best(ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, qid: np.ndarray, q: n
             yield lo + i, ids[top], row[top]
 
 
+#: Bytes of vectors that a part holds at once, about; half as much again where groves are uneven.
+PART_BYTES = 64 << 20
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """vec_id, v (doubles): rows whose vector is not null, not empty, not zero and finite."""
     v = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
@@ -171,7 +174,6 @@ def search(
     most_sample: int = 400_000,
     calibrate: int = 128,
     block: int = 50_000,
-    asks_block: int = 20_000,
 ) -> DataFrame:
     """For each row whose id is divisible by ``every`` its k nearest other rows by inner product:
     query_id, rank, vec_id, score; nearest first, ties to the smaller id.
@@ -189,12 +191,12 @@ def search(
     out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     for dim, total in sorted(sizes.items()):
         mine = [df.where(F.col("dim") == dim).drop("dim") for df in (rows, asks)]
-        out = out.unionByName(_search(*mine, total, k, recall, sample, most_sample, calibrate, block, asks_block))
+        out = out.unionByName(_search(*mine, total, k, recall, sample, most_sample, calibrate, min(block, max(1, PART_BYTES // (8 * dim)))))
     discard(rows)  # what is asked and indexed has been stored
     return out
 
 
-def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float, sample: int, most_sample: int, calibrate: int, block: int, asks_block: int) -> DataFrame:
+def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float, sample: int, most_sample: int, calibrate: int, block: int) -> DataFrame:
     spark = rows.sparkSession
     leaves = max(1, min(math.isqrt(total), most_sample // 8))
     share = min(1.0, max(sample, 8 * leaves) / total)
@@ -210,7 +212,6 @@ def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float,
 
     indexed = stored(rows.mapInArrow(lean(index), "vec_id long, v array<double>, leaf int"), "indexed")
     asks = stored(asks, "asks")
-    n_asks = asks.count()
     most = _calibrated(indexed, asks, tree, k, recall, calibrate)
     per_leaf = np.zeros(tree.leaves, np.int64)
     for r in indexed.groupBy("leaf").count().collect():
@@ -219,7 +220,6 @@ def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float,
     grove = ((np.cumsum(per_leaf) - per_leaf) // room).astype(np.int32)
     held = np.bincount(grove, weights=per_leaf)
     parts = np.maximum(1, np.ceil(held / (2 * room))).astype(np.int64)
-    crowds = max(1, math.ceil(n_asks / asks_block))
     plan = spark.sparkContext.broadcast((tree, most, grove, parts))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,28 +245,40 @@ def _search(rows: DataFrame, asks: DataFrame, total: int, k: int, recall: float,
                         seen.append(mine)
             take = pa.array(who, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), pa.array(part, pa.int32()), b["vec_id"].take(take), b["v"].take(take), pa.array(seen, pa.list_(pa.int32())), b["crowd"].take(take)],
-                names=["grove", "part", "vec_id", "v", "seen", "crowd"],
+                [pa.array(at, pa.int32()), pa.array(part, pa.int32()), b["vec_id"].take(take), b["v"].take(take), pa.array(seen, pa.list_(pa.int32()))],
+                names=["grove", "part", "vec_id", "v", "seen"],
             )
 
     hashed = indexed.withColumn("h", F.xxhash64("vec_id", "v"))
-    mine = hashed.mapInArrow(lean(placed), "grove int, part int, vec_id long, v array<double>, leaf int").withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1))))
-    crowd = F.pmod(F.xxhash64("vec_id"), F.lit(crowds)).cast("int").alias("crowd")
-    theirs = asks.select("vec_id", "v", crowd).mapInArrow(lean(visit), "grove int, part int, vec_id long, v array<double>, seen array<int>, crowd int")
+    mine = hashed.mapInArrow(lean(placed), "grove int, part int, vec_id long, v array<double>, leaf int")
+    theirs = asks.select("vec_id", "v").mapInArrow(lean(visit), "grove int, part int, vec_id long, v array<double>, seen array<int>")
     both = mine.unionByName(theirs, allowMissingColumns=True)
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        asks = pdf["seen"].notna()
-        q, c = pdf[asks], pdf[~asks]
-        if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        qid = q["vec_id"].to_numpy()
-        found = best(c["vec_id"].to_numpy(), np.stack(c["v"].to_list()), c["leaf"].to_numpy().astype(np.int64), qid, np.stack(q["v"].to_list()), q["seen"].to_list(), k)
-        got = [(np.full(len(i), qid[at]), i, s) for at, i, s in found]
-        a, b, s = (np.concatenate(z) for z in zip(*got, strict=True))
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
-
-    near = both.groupBy("grove", "part", "crowd").applyInPandas(meet, "query_id long, vec_id long, score double")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A part's rows come first and are held; its queries pass them, a batch at a time."""
+        key, held = None, []
+        for b in batches:
+            grove, part, asks = b["grove"].to_numpy(), b["part"].to_numpy(), b["seen"].is_valid().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((np.diff(grove) != 0) | (np.diff(part) != 0) | (np.diff(asks) != 0)) + 1).tolist(), len(grove)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if hi == lo:
+                    continue
+                if (grove[lo], part[lo]) != key:
+                    key, held = (grove[lo], part[lo]), []
+                some = b.slice(lo, hi - lo)
+                if not asks[lo]:
+                    held.append((some["vec_id"].to_numpy(), _matrix(some["v"]), some["leaf"].to_numpy().astype(np.int64)))
+                elif held:
+                    held = [tuple(np.concatenate(z) for z in zip(*held, strict=True))] if len(held) > 1 else held
+                    qid = some["vec_id"].to_numpy()
+                    found = best(*held[0], qid, _matrix(some["v"]), [np.asarray(x) for x in some["seen"].to_pylist()], k)
+                    got = [(np.full(len(i), qid[at]), i, s) for at, i, s in found]
+                    if got:
+                        cols = [np.concatenate(z) for z in zip(*got, strict=True)]
+                        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["query_id", "vec_id", "score"])
+
+    met = both.repartition("grove", "part").sortWithinPartitions("grove", "part", F.col("seen").isNotNull())
+    near = met.mapInArrow(lean(meet), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -359,7 +359,7 @@ def test_neighbours_around_a_common_vector(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [1.0, 0.0, 0.0, 0.0] if i % 3 == 0 else rng.normal(size=4).round(2).tolist()) for i in range(1200)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    mine = kmeans_tree.search(df, block=100, asks_block=7).toPandas()
+    mine = kmeans_tree.search(df, block=100).toPandas()
     exact = {i: sorted(-np.dot(v, u) for j, u in rows if j != i)[19] for i, v in rows if i % 20 == 0}
     assert (mine.groupby("query_id").size() == 20).all()
     assert sum(-r.score <= exact[r.query_id] + 1e-12 for r in mine.itertuples()) >= 0.9 * len(mine)
