@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +61,48 @@ def _fs(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def _over(spark: SparkSession, source: str, target: str) -> None:
+    """One rename over what is there."""
+    at, _ = _fs(spark, source)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(options, 1)
+    over[0] = options.OVERWRITE
+    context.rename(at, _fs(spark, target)[0], over)
+
+
+def document(df: DataFrame, path: str, rows: str = "videos", order: list[str] | None = None) -> None:
+    """``df`` as one JSON document, an object with the array ``rows``, a row a line; null fields are left out. It is written aside by one task, which
+    streams the rows (in ``order``, if given), and takes the place of the file at ``path`` by one rename: readers see the
+    old document or the new one."""
+    spark, aside = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    lines = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1)
+
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = '{"' + rows + '": ['
+        for batch in batches:
+            out = []
+            for line in batch["value"].to_pylist():
+                out.append(before + line)
+                before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        if before == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]}"])], names=["value"])
+
+    lines.mapInArrow(framed, "value string").write.text(aside)
+    at, fs = _fs(spark, aside)
+    parts = [s.getPath().toString() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-") and s.getLen()]
+    try:
+        if not parts:  # no rows: Spark ran no task, or one that had nothing to say
+            parts = [f"{aside}/empty"]
+            out = fs.create(_fs(spark, parts[0])[0], True)
+            out.writeBytes('{"' + rows + '": []}')
+            out.close()
+        _over(spark, parts[0], path)
+    finally:
+        fs.delete(at, True)
+
+
 def replaced(df: DataFrame, path: str, keep: int = 2) -> None:
     """``df`` as the new version of the table at ``path``: written to a folder of its own, then named by
     the file CURRENT, which is replaced by one rename over the old one. Readers see the old version or
@@ -70,11 +114,7 @@ def replaced(df: DataFrame, path: str, keep: int = 2) -> None:
     out = fs.create(new, True)
     out.writeBytes(version)
     out.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
-    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    over = spark.sparkContext._gateway.new_array(options, 1)
-    over[0] = options.OVERWRITE
-    context.rename(new, _fs(spark, f"{path.rstrip('/')}/{CURRENT}")[0], over)
+    _over(spark, new.toString(), f"{path.rstrip('/')}/{CURRENT}")
     old = [s for s in fs.listStatus(_fs(spark, path)[0]) if s.getPath().getName().startswith("v-") and s.getPath().getName() != version]
     for s in sorted(old, key=lambda s: s.getModificationTime())[: max(0, len(old) - keep + 1)]:
         fs.delete(s.getPath(), True)

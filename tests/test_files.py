@@ -1,5 +1,7 @@
 """Data sources of folders: all files at any depth, and a file for each clip or none."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,3 +61,13 @@ def test_a_manifest_that_is_not_there(spark, tmp_path):
         (tmp_path / "m.json").write_text(text)
         spark.catalog.clearCache()
         assert [r["id"] for r in readers.manifest(spark, path, shape, default=[("d",)]).collect()] == want
+
+
+def test_a_document_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "m.json")
+    shape = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
+    for rows in ([("b", 2), ("a", None), ('q"', 3)], [("x", 1)], []):
+        writers.document(spark.createDataFrame(rows, shape).repartition(3), path, order=["id"])
+        read = json.loads((tmp_path / "m.json").read_text())
+        assert [(r["id"], r.get("n")) for r in read["videos"]] == sorted(rows) and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["m.json"]
+        assert sorted(map(tuple, readers.manifest(spark, path, shape).collect())) == sorted(rows)
