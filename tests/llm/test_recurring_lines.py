@@ -2,6 +2,7 @@
 
 import pytest
 
+import corpus_pipeline
 from lumenreel.llm import line_templates
 
 
@@ -63,3 +64,16 @@ def test_fields_anywhere(spark):
     rows = [(100 * s + i, body(i, s) + "\n" + k.format(f"a{word(i, 7)}", f"b{word(3 * i, 9)}")) for s, k in enumerate(kinds) for i in range(60)]
     kept = cleaned(spark, rows)
     assert all(kept[100 * s + i] == body(i, s) for s in range(3) for i in range(60))
+
+
+def test_the_pipeline_keeps_one_of_near_copies(spark):
+    """Line dedup leaves a family of near copies its lines, near-dedup then keeps one of them."""
+    body = ["".join(f"{word(40 * k + z, 2)} " for z in range(12)).strip() for k in range(9)]
+    rows = []
+    for i in range(12):
+        mine = list(body)
+        mine[i % 9] = mine[i % 9].replace(mine[i % 9].split(" ")[3], f"other{word(i, 5)}")
+        rows.append((i, "\n".join(mine), "en", "s", None))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_lines(spark, df, ""), "").collect()
+    assert [(r["doc_id"], r["text"]) for r in kept] == [(0, rows[0][1])]
