@@ -222,6 +222,20 @@ def test_near_frames_equal_brute_force(spark):
     assert {(r["a"], r["b"]) for r in got.collect()} == want
 
 
+def test_frames_that_share_most_pieces(spark, monkeypatch):
+    """Signatures with six equal pieces, in several blocks: all pairs are compared, and verified as verified() does."""
+    monkeypatch.setattr(joins, "BLOCK", 300)
+    rnd = random.Random(4)
+    rows = [(i, [rnd.getrandbits(63) for _ in range(2)] + [7] * 6, [rnd.choice([0.0, 1.0, 9.0, None]) for _ in range(rnd.randrange(1, 4))]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, hashes array<bigint>, v array<double>")
+    want = {(a, b, d) for a, x, _ in rows for b, y, _ in rows if a < b and (d := sum((p ^ q).bit_count() for p, q in zip(x, y, strict=True))) <= 56}
+    pairs = joins.near_frames(df.select("id", "hashes"), "id", "hashes", most=56)
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(want) and set(got) == want
+    plain = {tuple(r) for r in joins.verified(pairs, df, "id", "v", 100.0).select("a", "b", "distance", "mad").collect()}
+    assert {tuple(r) for r in joins.near_frames(df, "id", "hashes", most=56, values="v", far=100.0).collect()} == plain and 0 < len(plain) < len(want)
+
+
 def test_merges(spark):
     t = spark.createDataFrame([(1, "a", {"x": "1"}), (2, "b", {"y": "2"})], "id int, s string, m map<string,string>")
     c = spark.createDataFrame([(1, None, {"x": "9", "z": "3"}), (7, "q", {})], "id int, s string, m map<string,string>")
