@@ -200,11 +200,34 @@ def wrapped(text: Column, width: Column, each: Column) -> Column:
     return F.when(F.size(lines) == 0, F.array(F.lit(""))).otherwise(lines)
 
 
+def line_count(lengths: Column, gap: Column, width: Column, each: Column) -> Column:
+    """The number of lines that wrapped() makes of parts of these lengths, ``gap`` characters between two."""
+
+    def step(acc: Column, n: Column) -> Column:
+        longer = acc["wide"] + gap + n
+        fresh = (acc["lines"] == 0) | (longer * each > width)
+        return F.struct((acc["lines"] + F.when(fresh, 1).otherwise(0)).alias("lines"), F.when(fresh, n).otherwise(longer).alias("wide"))
+
+    return F.aggregate(lengths, F.struct(F.lit(0).alias("lines"), F.lit(0).alias("wide")), step, lambda acc: F.greatest(acc["lines"], F.lit(1)))
+
+
 def largest_size(text: Column, width: Column, height: Column, least: int, most: int, share: float = 0.55) -> Column:
     """The largest font size whose wrapped lines fit; ``least`` if none does. A character is ``share``
-    of the size wide, and a line the size and four high."""
-    sizes = F.filter(F.sequence(F.lit(least), F.lit(most)), lambda z: F.size(wrapped(text, width, z * share)) * (z + 4) <= height)
-    return F.coalesce(F.array_max(sizes), F.lit(least))
+    of the size wide, and a line the size and four high. Larger letters never make fewer lines, so sizes are halved; only lengths are counted."""
+    part = lambda c: F.transform(F.filter(c, lambda w: w != ""), lambda w: F.length(w))
+    parts = F.when(cjk(text), F.struct(part(F.split(text, "")).alias("n"), F.lit(0).alias("gap"))).otherwise(F.struct(part(F.split(text, r"\s+")).alias("n"), F.lit(1).alias("gap")))
+
+    def halved(of: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            z = F.shiftright(acc["lo"] + acc["hi"] + 1, 1)
+            fits = F.coalesce(line_count(of["n"], of["gap"], width, z * share) * (z + 4) <= height, F.lit(False))
+            return F.when(acc["lo"] == acc["hi"], acc).when(fits, F.struct(z.alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), (z - 1).alias("hi")))
+
+        steps = F.sequence(F.lit(1), F.lit((most - least + 1).bit_length()))
+        return F.aggregate(steps, F.struct(F.lit(least - 1).alias("lo"), F.lit(most).alias("hi")), step, lambda acc: F.greatest(acc["lo"], F.lit(least)))
+
+    # parts are worked out once a text
+    return F.transform(F.array(parts), halved)[0]
 
 
 def nested_lists(spec: Column) -> Column:

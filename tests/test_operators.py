@@ -3,6 +3,7 @@
 import datetime
 import json
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -182,6 +183,28 @@ def test_sliding_counts_and_cooldown(spark):
     assert {r["id"] for r in batch_alerts.cooled(df, "kind", "ts", "id", 120).collect()} == given
 
 
+def test_largest_sizes_are_those_of_wrapped_lines(spark):
+    """Halving finds what trying each size finds, in words and in texts without blanks, also where nothing fits, without text or bounds; and
+    takes about as long as wrapping once (trying 31 sizes took 15 times that)."""
+    rnd = random.Random(5)
+    texts = [None, "", "  ", "漢字かなも", *(" ".join("x" * rnd.randrange(1, 12) for _ in range(rnd.randrange(1, 9))) for _ in range(60)), *("漢" * n for n in range(1, 20))]
+    rows = [(t, rnd.choice([None, *range(1, 300)]), rnd.choice([None, 5, *range(14, 200)])) for t in texts for _ in range(5)]
+    df = spark.createDataFrame(rows, "t string, w int, h int").withColumn("size", X.largest_size(F.col("t"), F.col("w"), F.col("h"), 10, 40))
+    each = df.withColumn("z", F.explode(F.sequence(F.lit(10), F.lit(40)))).withColumn("n", F.size(X.wrapped(F.col("t"), F.col("w"), F.col("z") * 0.55)))
+    got = [(r["size"], r["want"]) for r in each.groupBy("t", "w", "h").agg(F.first("size").alias("size"), F.coalesce(F.max(F.when(F.col("n") * (F.col("z") + 4) <= F.col("h"), F.col("z"))), F.lit(10)).alias("want")).collect()]
+    assert all(a == b for a, b in got) and len({a for a, _ in got}) > 10
+    many = spark.range(40000).select(F.concat_ws(" ", *[F.repeat(F.lit("w"), 1 + (F.col("id") % k).cast("int")) for k in range(2, 10)]).alias("t"))
+
+    def took(column):
+        began = time.time()
+        many.select(column.alias("x")).write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    bounds = F.lit(150), F.lit(60)
+    quickest = lambda column: min(took(column) for _ in range(3))
+    assert quickest(X.largest_size(F.col("t"), *bounds, 10, 40)) < 5 * quickest(X.wrapped(F.col("t"), bounds[0], F.lit(8.0)))
+
+
 def test_reset_texts_next_to_halves_of_a_tenth(spark, tmp_path):
     """Times up to a few microseconds around the point where the SQL's hours go up, on both offsets."""
     duckdb = pytest.importorskip("duckdb")
