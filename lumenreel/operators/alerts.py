@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,26 +65,60 @@ def crossings(rows: DataFrame, key: str, time: str, order: str, limit: Column) -
 
 def cooled(rows: DataFrame, kind: str, time: str, order: str, seconds: int) -> DataFrame:
     """The alerts that are given: one is left out if the last one given of its kind is less than
-    ``seconds`` old. An alert with no other of its kind in the ``seconds`` before is given in any case;
-    from there on to the next such one they are walked through in order."""
+    ``seconds`` old.
+
+    Slices of time are worked on apart, twice. First each tells, for every alert with which giving may begin in it, the last one that is
+    then given there; later beginnings never have earlier ends, so equal ends are one step of a list. These lists, of which many alerts
+    share a step, are followed from slice to slice in order, and then each slice is walked from where it is entered."""
     span = seconds * 1_000_000
-    both = _with_neighbours(rows.withColumn("_t", _micros(time)), span)
-    near = Window.partitionBy(kind, "_b").orderBy("_t", order)
-    before = F.lag("_t").over(near)
-    own = both.withColumn("_start", F.when(before.isNull() | (F.col("_t") - before >= span), F.col("_t"))).where("_own")
-    # the start that a slice inherits: the last one of the slices before it
-    starts = own.groupBy(kind, "_b").agg(F.max("_start").alias("_last"))
-    earlier = Window.partitionBy(kind).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select(kind, "_b", F.max("_last").over(earlier).alias("_inherited"))
-    upto = Window.partitionBy(kind, "_b").orderBy("_t", order).rowsBetween(Window.unboundedPreceding, 0)
-    run = own.join(starts, [kind, "_b"]).withColumn("_run", F.coalesce(F.max("_start").over(upto), F.col("_inherited")))
-    walked = run.groupBy(kind, "_run").agg(F.array_sort(F.collect_list(F.struct("_t", order))).alias("_all"))
-
-    def step(acc: Column, x: Column) -> Column:
-        given = acc["last"].isNull() | (x["_t"] - acc["last"] >= span)
-        return F.struct(F.when(given, x["_t"]).otherwise(acc["last"]).alias("last"), F.when(given, F.array_append(acc["given"], x[order])).otherwise(acc["given"]).alias("given"))
-
-    kinds = rows.schema[order].dataType.simpleString()
-    first = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast(f"array<{kinds}>").alias("given"))
-    given = walked.select(kind, F.explode(F.aggregate("_all", first, step)["given"]).alias(order))
-    return rows.join(given, [kind, order], "left_semi")
+    timed = rows.select(kind, order, _micros(time).alias("_t")).where(F.col(kind).isNotNull() & F.col("_t").isNotNull())
+    if span <= 0:
+        return rows.join(timed.select(kind, order), [kind, order], "left_semi")
+    n, lo, hi = timed.agg(F.count("_t"), F.min("_t"), F.max("_t")).first()
+    # a slice takes several times the span, as what may begin in it lies within its first one
+    length = max(8 * span, ((hi or 0) - (lo or 0)) // max(1, n // SLICE_ROWS) + 1)
+    own = timed.withColumn("_b", F.floor(F.col("_t") / length)).repartition(kind, "_b").groupBy(kind, "_b", "_t").agg(F.min(order).alias(order))
+    shapes = {f.name: f.dataType.simpleString() for f in timed.schema.fields}
+
+    def times(slice_: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The times in order, the rows that they stand in, and for each time the place of the first that is ``span`` later."""
+        t = slice_["_t"].to_numpy()
+        at = np.argsort(t)
+        return t[at], at, np.searchsorted(t[at], t[at] + span)
+
+    def steps(slice_: pa.Table) -> pa.Table:
+        t, _, after = times(slice_)
+        end = np.where(after < len(t), after, np.arange(len(t)))
+        while (further := end[end] != end).any():
+            end = np.where(further, end[end], end)
+        begin = slice_["_b"][0].as_py() * length + span
+        to = t[end[: np.searchsorted(t, begin) + 1]]
+        last = np.append(to[1:] != to[:-1], True)
+        row = lambda x: pa.array([x[last]], pa.list_(pa.int64()))
+        return pa.table({kind: slice_[kind].slice(0, 1), "_b": slice_["_b"].slice(0, 1), "_upto": row(t[: len(to)]), "_to": row(to)})
+
+    def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = given = None
+        for batch in batches:
+            entries = []
+            for i, k in enumerate(batch[kind].to_pylist()):
+                of, given = k, given if k == of else None
+                entries.append(given)
+                upto = batch["_upto"][i].values.to_numpy()
+                at = 0 if given is None else int(np.searchsorted(upto, given + span))
+                given = batch["_to"][i].values[at].as_py() if at < len(upto) else given
+            yield pa.RecordBatch.from_arrays([batch[kind], batch["_b"], pa.array(entries, pa.int64())], names=[kind, "_b", "_given"])
+
+    def walked(slice_: pa.Table) -> pa.Table:
+        t, at, after = times(slice_)
+        given = slice_["_given"][0].as_py()
+        i, found, after = 0 if given is None else int(np.searchsorted(t, given + span)), [], after.tolist()
+        while i < len(t):
+            found.append(i)
+            i = after[i]
+        return slice_.select([kind, order]).take(pa.array(at[found], pa.int64()))
+
+    told = own.groupBy(kind, "_b").applyInArrow(steps, f"`{kind}` {shapes[kind]}, _b bigint, _upto array<bigint>, _to array<bigint>")
+    entries = told.repartition(kind).sortWithinPartitions(kind, "_b").mapInArrow(entered, f"`{kind}` {shapes[kind]}, _b bigint, _given bigint")
+    found = own.join(entries, [kind, "_b"]).groupBy(kind, "_b").applyInArrow(walked, f"`{kind}` {shapes[kind]}, `{order}` {shapes[order]}")
+    return rows.join(found, [kind, order], "left_semi")

@@ -183,6 +183,25 @@ def test_sliding_counts_and_cooldown(spark):
     assert {r["id"] for r in batch_alerts.cooled(df, "kind", "ts", "id", 120).collect()} == given
 
 
+def test_a_long_run_of_alerts_is_no_one_row(spark, monkeypatch):
+    """Alerts that never pause, in slices with and without gaps between them, equal times and two kinds: given as by a walk, and no
+    row or group of the plan holds a whole run."""
+    monkeypatch.setattr(batch_alerts, "SLICE_ROWS", 50)
+    rnd = random.Random(6)
+    for spread, seconds in ((40_000, 7), (3000, 120), (400_000, 120), (2000, 0)):
+        # the first spread is one run, a few alerts lie long after it
+        times = [(rnd.randrange(spread) if i % 50 else 10 * spread + rnd.randrange(3 * seconds + 1), i, "ab"[rnd.random() < 0.2]) for i in range(3000)]
+        df = spark.createDataFrame([(i, k, datetime.datetime.fromtimestamp(t - 5000, datetime.UTC)) for t, i, k in times], "id int, kind string, ts timestamp")
+        given, last = set(), {}
+        for t, i, k in sorted(times):
+            if k not in last or t - last[k] >= seconds:
+                last[k] = t
+                given.add(i)
+        out = batch_alerts.cooled(df, "kind", "ts", "id", seconds)
+        assert {r["id"] for r in out.collect()} == given
+        assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
 def test_largest_sizes_are_those_of_wrapped_lines(spark):
     """Halving finds what trying each size finds, in words and in texts without blanks, also where nothing fits, without text or bounds; and
     takes about as long as wrapping once (trying 31 sizes took 15 times that)."""
