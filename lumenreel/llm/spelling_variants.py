@@ -8,6 +8,9 @@ bigram; the other side is equal, and so is one half of the edited side (cut in t
 shorter one). The join's keys say all that: the bigram, the equal side, and a half of the other. What
 meets is verified by its edit distance.
 
+All joins are sort-merge joins by hint: Spark takes a table that was exploded, or read from well-packed
+Parquet, for much smaller than it is, and would broadcast it through the driver.
+
 All in the JVM. The bigrams' ranks are a literal: there are at most LETTERS ** 2 = 8100 of them,
 whatever the number of words.
 """
@@ -98,7 +101,7 @@ def near_pairs(found: DataFrame) -> DataFrame:
     coded = found.select("word", "n", _codes("word").alias("codes"))
     keyed = coded.select("word", "n", F.explode(_keys(ranks(found))).alias("key"))
     a, b = keyed.select("key", F.col("word").alias("a"), F.col("n").alias("an")), keyed.select("key", F.col("word").alias("b"), F.col("n").alias("bn"))
-    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    met = a.join(b.hint("merge"), "key").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "an", "b", "bn").distinct()
 
 
@@ -108,7 +111,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         step = at.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        new = stored(at.join(step, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
+        new = stored(at.join(step.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         discard(at)
         at = new.select("word", "root")
         at._stored_at = new._stored_at
@@ -128,9 +131,9 @@ def variants(docs: DataFrame) -> DataFrame:
     other = lambda w, v, n: pairs.select(F.col(w).alias("word"), F.col(v).alias("near"), F.col(n).alias("near_n"))
     both = other("a", "b", "bn").unionByName(other("b", "a", "an"))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("best"))
-    named = found.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.near").alias("near"), (-F.col("best.m")).alias("near_n"))
+    named = found.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.near").alias("near"), (-F.col("best.m")).alias("near_n"))
     large = F.col("near_n") >= RATIO * F.col("n")
     named = stored(named.select("word", "n", "n_near", F.when(large, F.col("near")).alias("form"), F.when(large, F.col("near_n")).alias("form_n")), "named")
     roots = _roots(named.where("form IS NOT NULL"))
     discard(found, pairs)
-    return named.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return named.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

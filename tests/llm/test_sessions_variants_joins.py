@@ -85,6 +85,14 @@ def test_variants_of_invented_words(spark):
     assert rows_of(spelling_variants.variants(df)) == want
 
 
+def test_keys_are_not_broadcast(spark):
+    """Each word has some forty keys, which Spark doesn't count: their table seems as small as that of the words."""
+    found = spark.createDataFrame([("wordone", 3), ("wordtwo", 2)], "word string, n long")
+    plan = spelling_variants.near_pairs(found)._jdf.queryExecution().executedPlan().toString()
+    joins = [name for name in ("SortMergeJoin", "BroadcastHashJoin", "BroadcastExchange") if name in plan]
+    assert joins == ["SortMergeJoin"]
+
+
 def test_variants_of_odd_rows(spark):
     odd = [*ODD, (None, "nothing nothing Nothin"), (11, "nothin× NOTHING÷ nothingā ÉTRANGE étrange étrange")]
     assert rows_of(spelling_variants.variants(spark.createDataFrame(odd, "doc_id long, text string"))) == variants(odd)
