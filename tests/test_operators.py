@@ -3,6 +3,7 @@
 import datetime
 import json
 import random
+import re
 import time
 
 import pandas as pd
@@ -292,6 +293,17 @@ def test_frames_that_share_most_pieces(spark, monkeypatch):
     assert {tuple(r) for r in joins.near_frames(df, "id", "hashes", most=56, values="v", far=100.0).collect()} == plain and 0 < len(plain) < len(want)
 
 
+def test_signatures_travel_to_few_blocks(spark, monkeypatch):
+    """Each of 60,000 signatures goes to 16 blocks, not to one for each 2048; tiles within blocks lose no pair."""
+    rows = spark.range(60_000).select("id", F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.xxhash64("id", i)).alias("hashes"))
+    plan = joins.near_frames(rows, "id", "hashes")._jdf.queryExecution().analyzed().toString()
+    assert int(re.search(r"sequence\(0, (\d+)", plan)[1]) + 1 <= 16
+    few = rows.where("id < 500")
+    whole = {tuple(r) for r in joins.near_frames(few, "id", "hashes", most=230).collect()}
+    monkeypatch.setattr(joins, "WIDE", 7)
+    assert {tuple(r) for r in joins.near_frames(few, "id", "hashes", most=230).collect()} == whole and len(whole) > 100
+
+
 def test_merges(spark):
     t = spark.createDataFrame([(1, "a", {"x": "1"}), (2, "b", {"y": "2"})], "id int, s string, m map<string,string>")
     c = spark.createDataFrame([(1, None, {"x": "9", "z": "3"}), (7, "q", {})], "id int, s string, m map<string,string>")
